@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,9 +94,15 @@ def _by_file(frame: DataFrame) -> DataFrame:
     )
 
 
-def _stage(frame: DataFrame, path: str, codec: str) -> DataFrame:
+def write_and_read(frame: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
+    """Cut the lineage with a written table; its schema is known, so no footer is read."""
     frame.write.option("compression", codec).option("maxRecordsPerFile", 0).parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def scan_bytes(frame: DataFrame) -> int:
+    """Size of the files behind a scan, from the planner's file listing."""
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def position_rows(
@@ -118,12 +124,13 @@ def position_rows(
     if order_by:
         if not in_files:
             staged.append(scratch_dir(spark, "rows"))
-            frame = _stage(frame, staged[-1], codec)
+            frame = write_and_read(frame, staged[-1], codec)
         keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
-        frame = _by_file(frame)
         keys += [F.col(PART), F.col(ROW)]
+        tasks = task_count(spark, scan_bytes(frame))
         frame = (
-            frame.repartitionByRange(_task_count(frame), *keys)
+            _by_file(frame)
+            .repartitionByRange(tasks, *keys)
             .sortWithinPartitions(*keys)
             .drop(PART, ROW)
         )
@@ -136,16 +143,14 @@ def position_rows(
         frame = frame.withColumn(WEIGHT, weight.cast("long"))
         columns += [F.col(WEIGHT), weight_before(WEIGHT).alias(BEFORE)]
     staged.append(scratch_dir(spark, "positions"))
-    frame = _stage(frame.select(*columns), staged[-1], codec)
+    frame = write_and_read(frame.select(*columns), staged[-1], codec)
     frame = frame.select("*", F.col("_metadata.row_index").alias(ROW))
     return Positioned(frame, weight is not None, tuple(staged))
 
 
-def _task_count(scan: DataFrame) -> int:
-    """Tasks for one shuffle of a file scan, from the size of its files."""
-    sizes = scan.groupBy(PART).agg(F.max("_metadata.file_size").alias("bytes"))
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
-    return max(scan.sparkSession.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+def task_count(spark: SparkSession, size: int) -> int:
+    """Tasks for a shuffle of ``size`` bytes of Parquet."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
 
 
 def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
@@ -161,19 +166,23 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
     )
     # One row per file, not per data row: a running total over it fits one task.
     above = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    per_file.select(
+    offsets = per_file.select(
         PART,
+        F.coalesce(F.sum("rows").over(above), zero).alias(_OFFSET_ROWS),
+        F.coalesce(F.sum("weight").over(above), zero).alias(_OFFSET_WEIGHT),
         "rows",
         "weight",
         "bytes",
-        F.coalesce(F.sum("rows").over(above), zero).alias(_OFFSET_ROWS),
-        F.coalesce(F.sum("weight").over(above), zero).alias(_OFFSET_WEIGHT),
-    ).write.parquet(lookup_path)
-    offsets = spark.read.parquet(lookup_path)
-    totals = offsets.agg(
-        F.count(F.lit(1)), F.sum("rows"), F.sum("weight"), F.sum("bytes")
-    ).first()
-    lookup = broadcast_if_small(offsets.select(PART, _OFFSET_ROWS, _OFFSET_WEIGHT), totals[0])
+    )
+    totals = Observation()
+    observed = offsets.observe(
+        totals,
+        F.count(F.lit(1)).alias("files"),
+        *[F.coalesce(F.sum(name), zero).alias(name) for name in ("rows", "weight", "bytes")],
+    )
+    lookup = write_and_read(observed, lookup_path).drop("rows", "weight", "bytes")
+    found = totals.get
+    lookup = broadcast_if_small(lookup, found["files"])
     columns = data_columns(frame)
     columns.append((F.col(_OFFSET_ROWS) + F.col(ROW)).alias(NUMBER))
     if positioned.weighted:
@@ -181,9 +190,9 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
         columns.append(F.col(WEIGHT))
     return Numbered(
         frame.join(lookup, PART).select(*columns),
-        totals[1] or 0,
-        totals[2] or 0,
-        totals[3] or 0,
+        found["rows"],
+        found["weight"],
+        found["bytes"],
     )
 
 

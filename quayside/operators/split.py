@@ -5,18 +5,19 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.numbering import (
     BEFORE,
     NUMBER,
-    TASK_BYTES,
     WEIGHT,
     Numbered,
     broadcast_if_small,
     data_columns,
+    task_count,
+    write_and_read,
 )
 from quayside.sources.dialect import CsvDialect
 
@@ -63,7 +64,7 @@ def csv_header_bytes(spark: SparkSession, schema: T.StructType, dialect: CsvDial
         return 0
     names = F.struct(*[F.lit(name).alias(f"c{i}") for i, name in enumerate(schema.names)])
     line = F.to_csv(names, dialect.text_options())
-    return spark.range(1).select(F.octet_length(line) + 1).first()[0]
+    return spark.sql("SELECT 1").select(F.octet_length(line) + 1).first()[0]
 
 
 def plain_row_bytes(schema: T.StructType) -> Column:
@@ -105,7 +106,6 @@ def assign_files(
         assigned = frame.withColumn(FILE_ID, file_id).drop(BEFORE, WEIGHT)
         return Assigned(assigned, files, numbered.rows)
 
-    spark = frame.sparkSession
     frame = frame.withColumn(_BUCKET, F.expr(f"`{BEFORE}` div {bucket_weight}"))
     rows_per_file = limits.max_rows or max(numbered.rows, 1)
     in_bucket = F.expr(f"ceil(count(1) / {rows_per_file})")
@@ -114,22 +114,26 @@ def assign_files(
     )
     # One row per stretch of output, at most one per output file.
     above = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    buckets.select(
-        _BUCKET,
-        _FIRST,
-        "files",
-        F.coalesce(F.sum("files").over(above), F.lit(0).cast("long")).alias(_FIRST_FILE),
-    ).write.parquet(lookup_path)
-    stretches = spark.read.parquet(lookup_path)
-    count, files = stretches.agg(F.count(F.lit(1)), F.sum("files")).first()
-    lookup = broadcast_if_small(stretches.drop("files"), count)
+    zero = F.lit(0).cast("long")
+    stretches = buckets.select(
+        _BUCKET, _FIRST, "files", F.coalesce(F.sum("files").over(above), zero).alias(_FIRST_FILE)
+    )
+    totals = Observation()
+    observed = stretches.observe(
+        totals,
+        F.count(F.lit(1)).alias("stretches"),
+        F.coalesce(F.sum("files"), zero).alias("files"),
+    )
+    lookup = write_and_read(observed, lookup_path).drop("files")
+    found = totals.get
+    lookup = broadcast_if_small(lookup, found["stretches"])
     file_id = F.expr(f"`{_FIRST_FILE}` + (`{NUMBER}` - `{_FIRST}`) div {rows_per_file}")
     assigned = (
         frame.join(lookup, _BUCKET)
         .withColumn(FILE_ID, file_id)
         .drop(_BUCKET, _FIRST, _FIRST_FILE, BEFORE, WEIGHT)
     )
-    return Assigned(assigned, files or 0, numbered.rows)
+    return Assigned(assigned, found["files"], numbered.rows)
 
 
 def _row_limit_decides(frame: DataFrame, max_rows: int, bucket_weight: int) -> bool:
@@ -148,7 +152,7 @@ def place_files(assigned: Assigned, file_bytes: int) -> DataFrame:
     number of tasks.  The write then starts a new file at each FILE_ID.
     """
     spark = assigned.frame.sparkSession
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(file_bytes / TASK_BYTES))
+    wanted = task_count(spark, file_bytes)
     per_task = math.ceil(assigned.files / min(wanted, assigned.files))
     tasks = math.ceil(assigned.files / per_task)
     task = F.expr(f"cast(`{FILE_ID}` div {per_task} as int)")
