@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.naming import parse_size, split_file_path
 from quayside.operators.numbering import discard, number_rows, position_rows
@@ -107,6 +108,9 @@ def export(
     size = parse_size(max_file_size) if isinstance(max_file_size, str) else max_file_size
     limits = SplitLimits(max_rows_per_file, size)
     source = scan_source(spark, table, query)
+    if format == "csv":
+        _reject_nested(source)
+        source = dialect.writable(source)
     require_parent(HadoopFiles(spark), output)
     sink = _Sink(output, format, dialect, codec)
     if not limits.active:
@@ -117,6 +121,13 @@ def export(
     return _export_split(source, in_files, sink, limits, order_by, as_directory)
 
 
+def _reject_nested(source: DataFrame) -> None:
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
+    names = [f.name for f in source.schema.fields if isinstance(f.dataType, nested)]
+    if names:
+        raise ValueError(f"columns cannot be written as CSV: {', '.join(names)}")
+
+
 def export_json(frame: DataFrame, output: str) -> ExportResult:
     """Write one JSON object per row, keyed by column name; NULL keys are left out."""
     counted, count = _counted(frame)

@@ -181,7 +181,8 @@ class _Run:
         rows = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
         path = f"{self.sink}/result_{number:03d}"
         if self.format == "csv":
-            rows.write.options(**CsvDialect().write_options()).csv(path)
+            dialect = CsvDialect()
+            dialect.writable(rows).write.options(**dialect.write_options()).csv(path)
         else:
             rows.write.options(**TIME_TEXT).json(path)
         return counted.get["rows"]

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 # Microsecond time text, so a round trip loses nothing.
 TIME_TEXT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -37,7 +41,9 @@ class CsvDialect:
             raise ValueError("delimiter and quote must differ")
 
     def _fields(self) -> dict[str, str]:
-        return {
+        # A doubled quote needs no escape of its own; left unset, Spark takes NUL for it.
+        doubling = {} if self.escape else {"charToEscapeQuoteEscaping": self.quote}
+        return doubling | {
             "sep": self.delimiter,
             "quote": self.quote,
             "escape": self.escape or self.quote,
@@ -59,5 +65,23 @@ class CsvDialect:
         """Options that shape one written line; also valid for ``to_csv``."""
         return self._fields() | TIME_TEXT
 
+    def writable(self, frame: DataFrame) -> DataFrame:
+        """``frame`` such that each row gets a line.
+
+        A row whose only field is an empty NULL would be an empty line, which
+        Spark leaves out; written as quoted empty text it still reads as NULL.
+        """
+        if len(frame.columns) != 1 or self.null_value:
+            return frame
+        field = frame.schema.fields[0]
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, T.TimestampNTZType):
+            text = F.date_format(column, TIME_TEXT["timestampNTZFormat"])
+        elif isinstance(field.dataType, T.TimestampType):
+            text = F.date_format(column, TIME_TEXT["timestampFormat"])
+        else:
+            text = column.cast("string")
+        return frame.select(F.coalesce(text, F.lit("")).alias(field.name))
+
     def write_options(self) -> dict[str, str]:
         return self.text_options() | {"header": str(self.header).lower(), "lineSep": "\n"}
