@@ -77,9 +77,10 @@ def update(
     table: str,
     assignments: Mapping[str, str | Column],
     condition: str | Column | None = None,
+    alias: str | None = None,
 ) -> DmlResult:
     """``UPDATE table SET ... WHERE condition``; all values see the old row."""
-    current = spark.table(table_identifier(table))
+    current = _aliased(spark, table, alias)
     if current.where(_holds(condition)).isEmpty():
         return DmlResult(0, None)
     changed = Observation()
@@ -90,10 +91,13 @@ def update(
 
 
 def delete(
-    spark: SparkSession, table: str, condition: str | Column | None = None
+    spark: SparkSession,
+    table: str,
+    condition: str | Column | None = None,
+    alias: str | None = None,
 ) -> DmlResult:
     """``DELETE FROM table WHERE condition``."""
-    current = spark.table(table_identifier(table))
+    current = _aliased(spark, table, alias)
     if current.where(_holds(condition)).isEmpty():
         return DmlResult(0, None)
     counted = Observation()
@@ -232,6 +236,11 @@ def _unmatched(target: DataFrame, source: DataFrame, keys: Mapping[str, str]) ->
     return source.alias("s").join(present.alias("t"), _key_match(keys, "t", "s"), "left_anti")
 
 
+def _aliased(spark: SparkSession, table: str, alias: str | None) -> DataFrame:
+    current = spark.table(table_identifier(table))
+    return current.alias(alias) if alias else current
+
+
 def _location(spark: SparkSession, table: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table_identifier(table)}")
     found = {row.col_name: row.data_type for row in details.collect()}

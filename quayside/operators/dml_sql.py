@@ -1,13 +1,14 @@
 """UPDATE, DELETE and MERGE statements, run as the operators of :mod:`.dml`.
 
-Spark parses the statement; the parsed plan says which table, which columns and
-which stretches of the text hold the values and conditions.
+Spark parses the statement; the parsed plan names the table and holds the values
+and conditions, which are handed on as columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from quayside.functions.naming import quote_identifier
 from quayside.operators.dml import DmlResult, delete, merge, update
 
 
@@ -15,102 +16,89 @@ def run_dml(spark: SparkSession, statement: str) -> DmlResult | None:
     """Run an UPDATE, DELETE or MERGE; ``None`` if the statement is another one."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
     run = {"UpdateTable": _update, "DeleteFromTable": _delete, "MergeIntoTable": _merge}
-    kind = plan.getClass().getSimpleName()
-    return run[kind](spark, plan, statement) if kind in run else None
+    kind = _kind(plan)
+    return run[kind](spark, plan) if kind in run else None
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
 
 
 def _items(sequence) -> list:
     return [sequence.apply(i) for i in range(sequence.size())]
 
 
-def _text(expression, statement: str) -> str:
-    """The expression exactly as written."""
-    origin = expression.origin()
-    return statement[origin.startIndex().get() : origin.stopIndex().get() + 1]
+def _column(spark: SparkSession, expression) -> Column:
+    return Column(spark._jvm.org.apache.spark.sql.classic.ExpressionUtils.column(expression))
 
 
-def _optional_text(option, statement: str) -> str | None:
-    return _text(option.get(), statement) if option.isDefined() else None
+def _condition(spark: SparkSession, option) -> Column | None:
+    return _column(spark, option.get()) if option.isDefined() else None
 
 
 def _relation(plan) -> tuple[str, str | None]:
     """Table name and alias of a relation, with or without one."""
-    if plan.getClass().getSimpleName() == "SubqueryAlias":
+    if _kind(plan) == "SubqueryAlias":
         return _relation(plan.child())[0], plan.alias()
-    parts = _items(plan.multipartIdentifier())
-    return ".".join("`" + part.replace("`", "``") + "`" for part in parts), None
-
+    return ".".join(map(quote_identifier, _items(plan.multipartIdentifier()))), None
 
-def _column_name(expression) -> str:
-    return _items(expression.nameParts())[-1]
 
-
-def _assignments(actions, statement: str) -> dict[str, str]:
+def _assignments(spark: SparkSession, actions) -> dict[str, Column]:
     return {
-        _column_name(item.key()): _text(item.value(), statement) for item in _items(actions)
+        _items(item.key().nameParts())[-1]: _column(spark, item.value())
+        for item in _items(actions)
     }
 
 
-def _update(spark: SparkSession, plan, statement: str) -> DmlResult:
+def _update(spark: SparkSession, plan) -> DmlResult:
     table, alias = _relation(plan.table())
-    if alias is not None:
-        raise ValueError("UPDATE takes no table alias")
-    values = _assignments(plan.assignments(), statement)
-    return update(spark, table, values, _optional_text(plan.condition(), statement))
+    values = _assignments(spark, plan.assignments())
+    return update(spark, table, values, _condition(spark, plan.condition()), alias)
 
 
-def _delete(spark: SparkSession, plan, statement: str) -> DmlResult:
+def _delete(spark: SparkSession, plan) -> DmlResult:
     table, alias = _relation(plan.table())
-    if alias is not None:
-        raise ValueError("DELETE takes no table alias")
-    condition = plan.condition()
-    if condition.getClass().getSimpleName().startswith("Literal"):
-        return delete(spark, table)
-    return delete(spark, table, _text(condition, statement))
+    return delete(spark, table, _column(spark, plan.condition()), alias)
 
 
-def _merge(spark: SparkSession, plan, statement: str) -> DmlResult:
+def _merge(spark: SparkSession, plan) -> DmlResult:
     table, alias = _relation(plan.targetTable())
     source_plan = plan.sourceTable()
-    if source_plan.getClass().getSimpleName() == "SubqueryAlias":
+    if _kind(source_plan) == "SubqueryAlias":
         source_alias = source_plan.alias()
     else:
         source_alias = _items(source_plan.multipartIdentifier())[-1]
     target_alias = alias or table.split("`")[-2]
     if _items(plan.notMatchedBySourceActions()):
         raise ValueError("WHEN NOT MATCHED BY SOURCE is not supported")
-    source = _frame(spark, source_plan)
     columns = spark.table(table).columns
+
+    def values(action) -> dict:
+        if _kind(action) in ("UpdateStarAction", "InsertStarAction"):
+            alias = quote_identifier(source_alias)
+            return {name: f"{alias}.{quote_identifier(name)}" for name in columns}
+        return _assignments(spark, action.assignments())
+
     arguments: dict = {}
     for action in _items(plan.matchedActions()):
-        kind = action.getClass().getSimpleName()
-        when = _optional_text(action.condition(), statement)
-        if kind == "DeleteAction" and "delete_matched" not in arguments:
-            if "update" in arguments:
-                raise ValueError("WHEN MATCHED THEN DELETE must come before UPDATE")
+        when = _condition(spark, action.condition())
+        # Clauses apply in the order written; the operator tries DELETE first.
+        if _kind(action) == "DeleteAction" and not arguments:
             arguments |= {"delete_matched": True, "delete_when": when}
-        elif kind in ("UpdateAction", "UpdateStarAction") and "update" not in arguments:
-            if kind == "UpdateAction":
-                values = _assignments(action.assignments(), statement)
-            else:
-                values = _same_names(columns, source_alias)
-            arguments |= {"update": values, "update_when": when}
+        elif _kind(action) != "DeleteAction" and "update" not in arguments:
+            arguments |= {"update": values(action), "update_when": when}
         else:
-            raise ValueError("one UPDATE and one DELETE clause are supported in MERGE")
+            raise ValueError("MERGE takes one DELETE and then one UPDATE clause for matches")
     inserts = _items(plan.notMatchedActions())
     if len(inserts) > 1:
-        raise ValueError("one INSERT clause is supported in MERGE")
+        raise ValueError("MERGE takes one INSERT clause")
     for action in inserts:
-        if action.getClass().getSimpleName() == "InsertAction":
-            values = _assignments(action.assignments(), statement)
-        else:
-            values = _same_names(columns, source_alias)
-        when = _optional_text(action.condition(), statement)
-        arguments |= {"insert": values, "insert_when": when}
+        when = _condition(spark, action.condition())
+        arguments |= {"insert": values(action), "insert_when": when}
     return merge(
         spark,
         table,
-        source,
+        _frame(spark, source_plan),
         _equal_keys(plan.mergeCondition(), target_alias, source_alias),
         target_alias=target_alias,
         source_alias=source_alias,
@@ -118,10 +106,6 @@ def _merge(spark: SparkSession, plan, statement: str) -> DmlResult:
     )
 
 
-def _same_names(columns: list[str], alias: str) -> dict[str, str]:
-    return {name: f"`{alias}`.`{name}`" for name in columns}
-
-
 def _frame(spark: SparkSession, plan) -> DataFrame:
     dataset = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan)
     return DataFrame(dataset, spark)
@@ -129,19 +113,17 @@ def _frame(spark: SparkSession, plan) -> DataFrame:
 
 def _equal_keys(condition, target_alias: str, source_alias: str) -> dict[str, str]:
     """Target to source key columns of ``t.a = s.a AND ...``."""
-    kind = condition.getClass().getSimpleName()
-    if kind == "And":
+    if _kind(condition) == "And":
         return _equal_keys(condition.left(), target_alias, source_alias) | _equal_keys(
             condition.right(), target_alias, source_alias
         )
     sides = {}
-    if kind == "EqualTo":
+    if _kind(condition) == "EqualTo":
         for side in (condition.left(), condition.right()):
-            if side.getClass().getSimpleName() == "UnresolvedAttribute":
-                parts = _items(side.nameParts())
-                if len(parts) == 2:
-                    sides[parts[0].lower()] = parts[1]
-    wanted = (target_alias.lower(), source_alias.lower())
-    if set(sides) != set(wanted):
+            if _kind(side) == "UnresolvedAttribute" and side.nameParts().size() == 2:
+                alias, name = _items(side.nameParts())
+                sides[alias.lower()] = name
+    target, source = target_alias.lower(), source_alias.lower()
+    if set(sides) != {target, source}:
         raise ValueError("MERGE needs ON target.key = source.key [AND ...]")
-    return {sides[wanted[0]]: sides[wanted[1]]}
+    return {sides[target]: sides[source]}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import parse_size, split_file_path
+from quayside.functions.naming import parse_size, quote_identifier, split_file_path
 from quayside.operators.numbering import discard, number_rows, position_rows
 from quayside.operators.split import (
     FILE_ID,
@@ -23,7 +23,7 @@ from quayside.operators.split import (
     plain_row_bytes,
 )
 from quayside.sources.dialect import TIME_TEXT, CsvDialect
-from quayside.sources.scan import has_file_positions, scan_source
+from quayside.sources.scan import has_file_positions, scan_source, with_typed_nulls
 from quayside.storage import HadoopFiles, require_parent, scratch_dir
 
 # The codecs a Parquet export accepts, with Spark's name for each.
@@ -107,10 +107,9 @@ def export(
     codec = parquet_codec(compression)
     size = parse_size(max_file_size) if isinstance(max_file_size, str) else max_file_size
     limits = SplitLimits(max_rows_per_file, size)
-    source = scan_source(spark, table, query)
+    source = with_typed_nulls(scan_source(spark, table, query))
     if format == "csv":
         _reject_nested(source)
-        source = dialect.writable(source)
     require_parent(HadoopFiles(spark), output)
     sink = _Sink(output, format, dialect, codec)
     if not limits.active:
@@ -144,6 +143,9 @@ class _Sink:
 
     def writer(self, frame: DataFrame):
         if self.format == "csv":
+            names = [name for name in frame.columns if name != FILE_ID]
+            lines = self.dialect.line_columns(frame.select(*map(quote_identifier, names)).schema)
+            frame = frame.select(*lines, *[c for c in frame.columns if c == FILE_ID])
             return frame.write.format("csv").options(**self.dialect.write_options())
         return frame.write.format("parquet").option("compression", self.codec)
 

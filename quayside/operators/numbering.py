@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.naming import quote_identifier
 from quayside.storage import HadoopFiles, scratch_dir
 
 #: Names of the helper columns; user columns must not use them.
@@ -78,7 +79,7 @@ class Numbered:
 
 def data_columns(frame: DataFrame) -> list[Column]:
     reserved = {PART, ROW, WEIGHT, BEFORE, NUMBER}
-    return [F.col(f"`{c}`") for c in frame.columns if c not in reserved]
+    return [F.col(quote_identifier(c)) for c in frame.columns if c not in reserved]
 
 
 def broadcast_if_small(frame: DataFrame, rows: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quayside.functions.sqltext import classify, error_hint, split_statements, truncate_sql
 from quayside.operators.dml_sql import run_dml
 from quayside.sources.dialect import TIME_TEXT, CsvDialect
+from quayside.sources.scan import with_typed_nulls
 
 #: A stored routine: takes the session and the call's argument values, returns rows or nothing.
 Routine = Callable[..., DataFrame | None]
@@ -178,11 +179,12 @@ class _Run:
         if self.sink is None:
             return frame.count()
         counted = Observation()
-        rows = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows = with_typed_nulls(frame).observe(counted, F.count(F.lit(1)).alias("rows"))
         path = f"{self.sink}/result_{number:03d}"
         if self.format == "csv":
             dialect = CsvDialect()
-            dialect.writable(rows).write.options(**dialect.write_options()).csv(path)
+            rows = rows.select(*dialect.line_columns(rows.schema))
+            rows.write.options(**dialect.write_options()).csv(path)
         else:
             rows.write.options(**TIME_TEXT).json(path)
         return counted.get["rows"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.naming import quote_identifier
 from quayside.operators.numbering import (
     BEFORE,
     NUMBER,
@@ -54,7 +55,7 @@ class Assigned:
 
 def csv_line_bytes(schema: T.StructType, dialect: CsvDialect) -> Column:
     """Bytes of the CSV line of a row, with its line end."""
-    record = F.struct(*[F.col(f"`{name}`") for name in schema.names])
+    record = F.struct(*dialect.line_columns(schema))
     return F.octet_length(F.to_csv(record, dialect.text_options())) + 1
 
 
@@ -72,7 +73,7 @@ def plain_row_bytes(schema: T.StructType) -> Column:
     fixed = 0
     total = F.lit(0)
     for field in schema.fields:
-        column = F.col(f"`{field.name}`")
+        column = F.col(quote_identifier(field.name))
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             total = total + F.coalesce(F.octet_length(column), F.lit(0))
             fixed += 4

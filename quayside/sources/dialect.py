@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.naming import quote_identifier
+
 # Microsecond time text, so a round trip loses nothing.
 TIME_TEXT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -65,23 +67,23 @@ class CsvDialect:
         """Options that shape one written line; also valid for ``to_csv``."""
         return self._fields() | TIME_TEXT
 
-    def writable(self, frame: DataFrame) -> DataFrame:
-        """``frame`` such that each row gets a line.
+    def line_columns(self, schema: T.StructType) -> list[Column]:
+        """The columns to write so that each row gets a line.
 
         A row whose only field is an empty NULL would be an empty line, which
         Spark leaves out; written as quoted empty text it still reads as NULL.
         """
-        if len(frame.columns) != 1 or self.null_value:
-            return frame
-        field = frame.schema.fields[0]
-        column = F.col("`" + field.name.replace("`", "``") + "`")
+        columns = [F.col(quote_identifier(name)) for name in schema.names]
+        if len(columns) != 1 or self.null_value:
+            return columns
+        field = schema.fields[0]
         if isinstance(field.dataType, T.TimestampNTZType):
-            text = F.date_format(column, TIME_TEXT["timestampNTZFormat"])
+            text = F.date_format(columns[0], TIME_TEXT["timestampNTZFormat"])
         elif isinstance(field.dataType, T.TimestampType):
-            text = F.date_format(column, TIME_TEXT["timestampFormat"])
+            text = F.date_format(columns[0], TIME_TEXT["timestampFormat"])
         else:
-            text = column.cast("string")
-        return frame.select(F.coalesce(text, F.lit("")).alias(field.name))
+            text = columns[0].cast("string")
+        return [F.coalesce(text, F.lit("")).alias(field.name)]
 
     def write_options(self) -> dict[str, str]:
         return self.text_options() | {"header": str(self.header).lower(), "lineSep": "\n"}

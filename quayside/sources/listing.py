@@ -95,6 +95,8 @@ def extract_blobs(blobs: DataFrame, directory: str) -> tuple[int, int]:
         for batch in batches:
             lengths = []
             for name, content in zip(batch["name"], batch["content"]):
+                if ".." in name.as_py().split("/"):
+                    raise ValueError(f"target outside the directory: {name}")
                 place = f"{root}/{name.as_py()}"
                 files.create_dir(place.rpartition("/")[0], recursive=True)
                 part = f"{place}.{uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import detect_format, table_identifier
+from quayside.functions.naming import detect_format, quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
 
 _RECORD = "__record"
@@ -71,7 +71,7 @@ def scan_csv(
             for part in parts[1:]:
                 frame = frame.unionByName(part)
             return frame if schema is None else frame.select(
-                *[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields]
+                *[F.col(quote_identifier(f.name)).cast(f.dataType) for f in schema.fields]
             )
     if schema is None:
         schema = infer_csv_schema(spark, paths, dialect)
@@ -110,6 +110,20 @@ def scan_source(
     raise ValueError("either table or query must be provided")
 
 
+def with_typed_nulls(frame: DataFrame) -> DataFrame:
+    """Columns that are only ever NULL have no type and no file format; make them text."""
+    if not any(isinstance(field.dataType, T.NullType) for field in frame.schema.fields):
+        return frame
+    return frame.select(
+        *[
+            F.col(quote_identifier(field.name)).cast(
+                "string" if isinstance(field.dataType, T.NullType) else field.dataType
+            )
+            for field in frame.schema.fields
+        ]
+    )
+
+
 def zero_rows(frame: DataFrame) -> DataFrame:
     """The same columns with no rows; the optimizer drops the whole source."""
     return frame.where(F.lit(False))
