@@ -1,8 +1,8 @@
 """SQL-text functions over columns: split scripts, strip comments, classify, shorten, hint.
 
-Text is cut into tokens (quoted text, comments, semicolons, the rest) with one
-regular expression, then the tokens are worked on with array functions, so a
-query log of any size is handled inside the JVM.
+Quotes and comments are skipped with possessive regular expressions, which Java
+runs as plain loops: each function is one pass over the text inside the JVM, and
+neither long scripts nor long literals cost stack or backtracking.
 """
 
 from __future__ import annotations
@@ -10,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: one alternative per token kind; unterminated quotes and block
-# comments run to the end of the text.
-TOKEN_PATTERN = (
-    r"""'[^']*(?:'|\z)|"[^"]*(?:"|\z)|--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|;|[^'";/-]+|[-/]"""
-)
 # Fixed value: the Unicode white space characters.
-SPACE_CLASS = (
-    r"\t\n\x0B\x0C\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 # Statement kind by first word; any other word, or none, is Ddl.
 QUERY_WORDS = ("SELECT", "WITH", "DESCRIBE", "EXPLAIN", "SHOW")
@@ -31,33 +27,26 @@ HINT_PERMISSION = "The user may not have the required permissions."
 HINT_SYNTAX = "Check your SQL syntax near the marked position."
 HINT_CONNECTION = "Check the connection string and ensure the database is reachable."
 
-# A cut is marked by U+0001.  U+0001 and U+0002 in the text itself are written
-# as U+0002 and a letter while the marks are in place.
-_CUT, _ESCAPE = "\u0001", "\u0002"
-
-
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
-
-
-def _is_comment(token: Column) -> Column:
-    return token.startswith("--") | token.startswith("/*")
+_SPACE = f"[{WHITE_SPACE}]"
+# Unterminated quotes and block comments run to the end of the text.
+_QUOTED = r"""'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)"""
+_COMMENT = r"--[^\n]*+|/\*[\s\S]*?(?:\*/|\z)"
+# Everything up to a semicolon that is neither quoted nor in a comment.
+_PIECE = rf"""(?:{_QUOTED}|{_COMMENT}|[^;'"/-]++|[-/])++"""
+_BLANK = rf"\A(?:{_SPACE}++|{_COMMENT})*+\z"
+# Code and then a comment, from where the last match ended.
+_COMMENTED = rf"""\G((?:{_QUOTED}|[^'"/-]++|-(?!-)|/(?!\*))*+)(?:{_COMMENT})"""
+# A word without quotes, up to white space, a comment or the end.
+_FIRST_WORD = rf"""\A(?:{_SPACE}++|{_COMMENT})*+([^{WHITE_SPACE}'"/-]++)(?={_SPACE}|--|/\*|\z)"""
 
 
 def trim_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def strip_comments(text: Column) -> Column:
     """Replace each comment by one space; quoted text is kept."""
-    kept = F.transform(
-        _tokens(text), lambda token: F.when(_is_comment(token), F.lit(" ")).otherwise(token)
-    )
-    return F.array_join(kept, "")
-
-
-def _is_blank(text: Column) -> Column:
-    return trim_space(strip_comments(text)) == ""
+    return F.regexp_replace(text, _COMMENTED, "$1 ")
 
 
 def split_statements(script: Column) -> Column:
@@ -66,36 +55,25 @@ def split_statements(script: Column) -> Column:
     Semicolons inside quotes and comments do not cut.  Pieces with nothing but
     white space and comments are dropped.
     """
-    escaped = F.replace(script, F.lit(_ESCAPE), F.lit(_ESCAPE + "b"))
-    escaped = F.replace(escaped, F.lit(_CUT), F.lit(_ESCAPE + "a"))
-    marked = F.transform(
-        _tokens(escaped), lambda token: F.when(token == ";", F.lit(_CUT)).otherwise(token)
-    )
-    pieces = F.split(F.array_join(marked, ""), _CUT, -1)
-
-    def restore(piece: Column) -> Column:
-        piece = F.replace(piece, F.lit(_ESCAPE + "a"), F.lit(_CUT))
-        return trim_space(F.replace(piece, F.lit(_ESCAPE + "b"), F.lit(_ESCAPE)))
-
-    return F.filter(F.transform(pieces, restore), lambda piece: ~_is_blank(piece))
+    pieces = F.regexp_extract_all(script, F.lit(_PIECE), F.lit(0))
+    statements = F.filter(pieces, lambda piece: ~piece.rlike(_BLANK))
+    return F.transform(statements, trim_space)
 
 
 def first_word(sql: Column) -> Column:
-    """First word of a statement after its comments, in upper case."""
-    return F.upper(
-        F.regexp_extract(trim_space(strip_comments(sql)), rf"^[^{SPACE_CLASS}]+", 0)
-    )
+    """First word of a statement after its comments, in upper case.
+
+    Empty if there is none, or if quotes or operators are part of it.
+    """
+    return F.upper(F.regexp_extract(sql, _FIRST_WORD, 1))
 
 
 def classify(sql: Column) -> Column:
     """``Query``, ``Dml``, ``Execute`` or ``Ddl``, from the first word."""
-    word = first_word(sql)
-    return (
-        F.when(word.isin(*QUERY_WORDS), "Query")
-        .when(word.isin(*DML_WORDS), "Dml")
-        .when(word.isin(*EXECUTE_WORDS), "Execute")
-        .otherwise("Ddl")
-    )
+    kinds = {"Query": QUERY_WORDS, "Dml": DML_WORDS, "Execute": EXECUTE_WORDS}
+    by_word = [F.lit(x) for kind, words in kinds.items() for word in words for x in (word, kind)]
+    # A lookup, so that the word is searched for once and not once per kind.
+    return F.coalesce(F.try_element_at(F.create_map(*by_word), first_word(sql)), F.lit("Ddl"))
 
 
 def truncate_sql(sql: Column, max_length: int = DISPLAY_LENGTH) -> Column:

@@ -146,7 +146,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.add(
     "split_rows_stored_order",
     "WITH total AS (SELECT count(*) AS n FROM lineitem)"
-    " SELECT printf('lineitem_%03d.parquet', i) AS file_name,"
+    " SELECT CASE WHEN n <= 7000 THEN 'lineitem.parquet'"
+    "  ELSE printf('lineitem_%03d.parquet', i) END AS file_name,"
     " least(7000, n - i * 7000) AS rows FROM total, range((n + 6999) // 7000) AS t(i)",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,8 +181,9 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     "blob_manifest",
     "WITH lines AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS rn,"
     "  strlen(concat_ws(',', c_custkey, c_name, c_mktsegment)) + 1 AS size FROM customer)"
-    " SELECT printf('raw/customer_%03d.csv', rn // 400) AS target,"
-    " CAST(sum(size) + 30 AS BIGINT) AS length FROM lines GROUP BY 1",
+    " SELECT CASE WHEN max(max(rn)) OVER () < 400 THEN 'raw/customer.csv'"
+    "  ELSE printf('raw/customer_%03d.csv', rn // 400) END AS target,"
+    " CAST(sum(size) + 30 AS BIGINT) AS length FROM lines GROUP BY rn // 400",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_tables(spark, sf_dir, "customer")

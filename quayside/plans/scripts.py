@@ -10,8 +10,7 @@ from quayside.functions.sqltext import (
     HINT_OBJECT,
     HINT_PERMISSION,
     HINT_SYNTAX,
-    SPACE_CLASS,
-    TOKEN_PATTERN,
+    WHITE_SPACE,
     classify,
     error_hint,
     split_statements,
@@ -218,6 +217,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.report(spark).select("n", "rows")
 
 
+# One alternative per kind of token: the reference SQL cuts text into these.
+_TOKENS = r"""'[^']*(?:'|\z)|"[^"]*(?:"|\z)|--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|;|[^'";/-]+|[-/]"""
+
 # A query log made from the orders (quotes, comments, empty and open pieces), and web
 # pages taken as scripts.  chr(39) is a single quote and chr(10) a line break.
 _LOG = """
@@ -246,12 +248,12 @@ def _sql_text(text: str) -> str:
 
 
 def _trimmed(text: str) -> str:
-    pattern = _sql_text(rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z")
+    pattern = _sql_text(rf"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+\z")
     return f"regexp_replace({text}, {pattern}, '', 'g')"
 
 
 def _mapped(text: str, case: str) -> str:
-    tokens = f"regexp_extract_all({text}, {_sql_text(TOKEN_PATTERN)})"
+    tokens = f"regexp_extract_all({text}, {_sql_text(_TOKENS)})"
     return f"array_to_string(list_transform({tokens}, lambda x: {case}), '')"
 
 
@@ -286,7 +288,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).select("log_id", strip_comments(F.col("script")).alias("stripped"))
 
 
-_WORD = f"upper(regexp_extract({_trimmed(_stripped('statement'))}, '^[^{SPACE_CLASS}]+'))"
+_WORD = f"upper(regexp_extract({_trimmed(_stripped('statement'))}, '^[^{WHITE_SPACE}]+'))"
 
 
 @catalog.add(
