@@ -127,10 +127,12 @@ def position_rows(
             staged.append(scratch_dir(spark, "rows"))
             frame = write_and_read(frame, staged[-1], codec)
         keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
+        # Shuffled with every row, so the file goes in as eight bytes and not as its path.
         keys += [F.col(PART), F.col(ROW)]
         tasks = task_count(spark, scan_bytes(frame))
         frame = (
             _by_file(frame)
+            .withColumn(PART, F.xxhash64(PART))
             .repartitionByRange(tasks, *keys)
             .sortWithinPartitions(*keys)
             .drop(PART, ROW)

@@ -27,6 +27,7 @@ from quayside.plans.common import (
     table_name,
     use_tables,
 )
+from quayside.sources.scan import scan_csv
 
 catalog = Catalog()
 
@@ -84,6 +85,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{folder}/result_002")
 
 
+@catalog.add("script_results_csv", "SELECT * FROM orders WHERE o_orderstatus = 'P'")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_tables(spark, sf_dir, "orders")
+    folder = output_dir(spark, "results")
+    _run(
+        spark,
+        "SELECT o_orderkey FROM orders; SELECT * FROM orders WHERE o_orderstatus = 'P'",
+        sink=folder,
+    )
+    return scan_csv(spark, f"{folder}/result_002", schema=spark.table("orders").schema)
+
+
 @catalog.add(
     "routine_rows",
     "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 1000 GROUP BY 1",

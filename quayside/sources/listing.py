@@ -78,11 +78,12 @@ def ingest_blobs(
     return spark.read.parquet(output)
 
 
-def extract_blobs(blobs: DataFrame, directory: str) -> tuple[int, int]:
+def extract_blobs(blobs: DataFrame, directory: str, prefix: str = "") -> tuple[int, int]:
     """Write a table of contents back to files below ``directory``.
 
-    Tasks write their own rows, each to a name of its own first, so a retried
-    task only repeats its work.  Returns (files, bytes).
+    Only targets under ``prefix`` are written, named from there on.  Tasks write
+    their own rows, each to a name of its own first, so a retried task only
+    repeats its work.  Returns (files, bytes).
     """
     base = directory.rstrip("/")
 
@@ -102,11 +103,17 @@ def extract_blobs(blobs: DataFrame, directory: str) -> tuple[int, int]:
                 part = f"{place}.{uuid4().hex}"
                 with files.open_output_stream(part) as sink:
                     sink.write(content.as_buffer())
+                # Some file systems do not rename onto a file.
+                if files.get_file_info(place).type == fs.FileType.File:
+                    files.delete_file(place)
                 files.move(part, place)
                 lengths.append(len(content.as_buffer()))
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["bytes"])
 
-    rows = blobs.select(F.regexp_replace("target", "^/+", "").alias("name"), "content")
+    lead = prefix.rstrip("/")
+    under = blobs.where(F.col("target").startswith(lead) & (F.length("target") > len(lead)))
+    rest = F.substring("target", len(lead) + 1, 2**31 - 1 - len(lead))
+    rows = under.select(F.regexp_replace(rest, "^/+", "").alias("name"), "content")
     done = rows.mapInArrow(write, "bytes long")
     files, size = done.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     return files, size

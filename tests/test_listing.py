@@ -68,6 +68,8 @@ def test_round_trip(spark, tree, tmp_path_factory):
         assert extract_blobs(table, f"{out}/files") == (3, sum(
             os.path.getsize(f"{tree}/{n}") for n in ("m/one.bin", "m/deep/two.bin", "three.bin")
         ))
+    assert extract_blobs(table, f"{out}/part", "drivers/t")[0] == 2
+    assert sorted(os.listdir(f"{out}/part")) == ["hree.bin", "wo.bin"]
     with open(f"{out}/files/drivers/two.bin", "rb") as a, open(f"{tree}/m/deep/two.bin", "rb") as b:
         assert a.read() == b.read()
     assert sorted(os.listdir(f"{out}/files/drivers")) == ["one.bin", "three.bin", "two.bin"]
