@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from quayside.functions.naming import detect_format, quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
-from quayside.sources.infer import create_table_ddl, infer_csv_schema
+from quayside.sources.infer import create_table_ddl, csv_columns, infer_csv_schema
 from quayside.sources.scan import as_paths, scan_csv, scan_parquet
 
 
@@ -34,10 +34,12 @@ def load(
         source = scan_parquet(spark, paths)
         by_name = True
     else:
-        # An existing table fixes the types; text is parsed to them on the way in.
-        inferred = infer_csv_schema(spark, paths, dialect)
         target = _existing_schema(spark, table)
-        schema = inferred if target is None else _typed_like(inferred, target, dialect.header)
+        if target is None:
+            schema = infer_csv_schema(spark, paths, dialect)
+        else:
+            # The table fixes the types, so only the column names are looked at.
+            schema = _typed_like(csv_columns(spark, paths, dialect), target, dialect.header)
         source = scan_csv(spark, paths, dialect, schema, align_headers=align_headers)
         by_name = dialect.header
     spark.sql(create_table_ddl(source.schema, table, location, if_not_exists=True))
@@ -65,18 +67,16 @@ def _existing_schema(spark: SparkSession, table: str) -> T.StructType | None:
     return spark.table(name).schema if spark.catalog.tableExists(name) else None
 
 
-def _typed_like(
-    inferred: T.StructType, target: T.StructType, by_name: bool
-) -> T.StructType:
+def _typed_like(found: T.StructType, target: T.StructType, by_name: bool) -> T.StructType:
     """The file's columns in file order, with the target's types."""
     if by_name:
         types = {field.name.lower(): field.dataType for field in target.fields}
-        found = [types.get(field.name.lower(), field.dataType) for field in inferred.fields]
+        kinds = [types.get(field.name.lower(), field.dataType) for field in found.fields]
     else:
-        _check_width(len(inferred), len(target))
-        found = [field.dataType for field in target.fields]
+        _check_width(len(found), len(target))
+        kinds = [field.dataType for field in target.fields]
     return T.StructType(
-        [T.StructField(field.name, kind, True) for field, kind in zip(inferred.fields, found)]
+        [T.StructField(field.name, kind, True) for field, kind in zip(found.fields, kinds)]
     )
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import quote_identifier
+from quayside.sources.scan import scan_bytes
 from quayside.storage import HadoopFiles, scratch_dir
 
 #: Names of the helper columns; user columns must not use them.
@@ -32,8 +33,8 @@ _OFFSET_ROWS, _OFFSET_WEIGHT = "__offset_rows", "__offset_weight"
 
 #: Target size of one task's share of staged Parquet.
 TASK_BYTES = 128 * 1024 * 1024
-#: Lookup tables are broadcast up to this many rows (two or three longs each, < 50 MB).
-BROADCAST_ROWS = 1_000_000
+#: Lookup tables are broadcast up to this size; beyond it the join shuffles.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 @F.pandas_udf(T.LongType())
@@ -82,9 +83,9 @@ def data_columns(frame: DataFrame) -> list[Column]:
     return [F.col(quote_identifier(c)) for c in frame.columns if c not in reserved]
 
 
-def broadcast_if_small(frame: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a lookup table of a known row count; beyond the bound let the join shuffle."""
-    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+def broadcast_if_small(frame: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Broadcast a lookup table of a known size if it is within the bound."""
+    return F.broadcast(frame) if rows * row_bytes <= BROADCAST_BYTES else frame
 
 
 def _by_file(frame: DataFrame) -> DataFrame:
@@ -101,11 +102,6 @@ def write_and_read(frame: DataFrame, path: str, codec: str = "snappy") -> DataFr
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def scan_bytes(frame: DataFrame) -> int:
-    """Size of the files behind a scan, from the planner's file listing."""
-    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def position_rows(
     frame: DataFrame,
     in_files: bool,
@@ -181,11 +177,12 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
     observed = offsets.observe(
         totals,
         F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.max(F.length(F.col(PART).cast("string"))), F.lit(0)).alias("key_length"),
         *[F.coalesce(F.sum(name), zero).alias(name) for name in ("rows", "weight", "bytes")],
     )
     lookup = write_and_read(observed, lookup_path).drop("rows", "weight", "bytes")
     found = totals.get
-    lookup = broadcast_if_small(lookup, found["files"])
+    lookup = broadcast_if_small(lookup, found["files"], 16 + found["key_length"])
     columns = data_columns(frame)
     columns.append((F.col(_OFFSET_ROWS) + F.col(ROW)).alias(NUMBER))
     if positioned.weighted:

@@ -127,7 +127,7 @@ def assign_files(
     )
     lookup = write_and_read(observed, lookup_path).drop("files")
     found = totals.get
-    lookup = broadcast_if_small(lookup, found["stretches"])
+    lookup = broadcast_if_small(lookup, found["stretches"], 24)
     file_id = F.expr(f"`{_FIRST_FILE}` + (`{NUMBER}` - `{_FIRST}`) div {rows_per_file}")
     assigned = (
         frame.join(lookup, _BUCKET)

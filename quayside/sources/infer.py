@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import detect_format, quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
-from quayside.sources.scan import _naming_missing_path, as_paths, scan_parquet
-from quayside.storage import HadoopFiles
+from quayside.sources.scan import _naming_missing_path, as_paths, scan_bytes, scan_parquet
 
 #: CSV input up to this size is inferred in full, larger input from a sample of about this size.
 FULL_INFERENCE_BYTES = 256 * 1024 * 1024
+#: At most this many files make up the sample.
+_SAMPLE_FILES = 1000
 
 
 class NoDataRowsError(ValueError):
@@ -43,28 +46,65 @@ def infer_csv_schema(
 
     Whole numbers become 64-bit, date-times carry no zone, and headerless
     columns are named ``col_1 .. col_N``.  Input with no data rows is an error.
+    Large input is judged by some of its files; a value elsewhere that does not
+    fit the type found fails the scan, it is never dropped.
     """
     paths = as_paths(paths)
     dialect = dialect or CsvDialect()
-    files = HadoopFiles(spark)
-    size = sum(files.total_bytes(match) for path in paths for match, _ in files.glob(path))
-    reader = spark.read.options(**dialect.read_options()).option("inferSchema", "true")
+    size = _naming_missing_path(paths, lambda: scan_bytes(spark.read.text(paths)))
+    found = T.StructType()
     if size > FULL_INFERENCE_BYTES:
-        reader = reader.option("samplingRatio", FULL_INFERENCE_BYTES / size)
-    with _session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
-        frame = _naming_missing_path(paths, lambda: reader.csv(paths))
+        found = _parsed_schema(spark, _some_files(spark, paths, size), dialect)
+    if not found.fields:
+        found = _parsed_schema(spark, paths, dialect)
+    if not found.fields:
+        raise NoDataRowsError(f"no data rows in {', '.join(paths)}")
+    return _named_columns(found, dialect, _widen)
+
+
+def csv_columns(
+    spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect | None = None
+) -> T.StructType:
+    """The columns of a CSV input as text, from its first line; types are not looked for."""
+    paths = as_paths(paths)
+    dialect = dialect or CsvDialect()
+    reader = spark.read.options(**dialect.read_options())
+    frame = _naming_missing_path(paths, lambda: reader.csv(paths))
     if frame.isEmpty():
         raise NoDataRowsError(f"no data rows in {', '.join(paths)}")
+    return _named_columns(frame.schema, dialect, lambda found: found)
+
+
+def _named_columns(schema: T.StructType, dialect: CsvDialect, kind: Callable) -> T.StructType:
     return T.StructType(
         [
             T.StructField(
-                field.name if dialect.header else f"col_{ordinal}", _widen(field.dataType), True
+                field.name if dialect.header else f"col_{ordinal}", kind(field.dataType), True
             )
-            for ordinal, field in enumerate(frame.schema.fields, start=1)
+            for ordinal, field in enumerate(schema.fields, start=1)
         ]
     )
 
 
+def _parsed_schema(spark: SparkSession, paths: list[str], dialect: CsvDialect) -> T.StructType:
+    """Schema of the rows in some files, empty if they have none."""
+    reader = spark.read.options(**dialect.read_options()).option("inferSchema", "true")
+    size = scan_bytes(spark.read.text(paths))
+    if size > 2 * FULL_INFERENCE_BYTES:
+        reader = reader.option("samplingRatio", FULL_INFERENCE_BYTES / size)
+    with _session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
+        frame = reader.csv(paths)
+    return T.StructType() if frame.isEmpty() else frame.schema
+
+
+def _some_files(spark: SparkSession, paths: list[str], size: int) -> list[str]:
+    """About FULL_INFERENCE_BYTES of the input files, spread over all of them."""
+    one_in = math.ceil(size / FULL_INFERENCE_BYTES)
+    files = spark.read.format("binaryFile").load(paths).select("path")
+    picked = files.where(F.pmod(F.xxhash64("path"), F.lit(one_in)) == 0).limit(_SAMPLE_FILES)
+    return [row.path for row in picked.collect()] or paths
+
+
 def _widen(found: T.DataType) -> T.DataType:
     return T.LongType() if isinstance(found, T.IntegerType) else found
 

@@ -61,9 +61,6 @@ class HadoopFiles:
         found = self._fs(pattern).globStatus(self._path(pattern)) or []
         return sorted((s.getPath().toString(), s.getLen()) for s in found)
 
-    def total_bytes(self, path: str) -> int:
-        return self._fs(path).getContentSummary(self._path(path)).getLength()
-
     def make_dirs(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))
 

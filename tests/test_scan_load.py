@@ -137,6 +137,20 @@ def test_large_csv_is_inferred_from_a_sample(spark, folder, monkeypatch):
     assert frame.agg(F.sum("id")).first()[0] == sum(range(20000))
 
 
+def test_large_input_is_judged_by_some_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(infer, "FULL_INFERENCE_BYTES", 300)
+    for i in range(40):
+        write(f"{folder}/f{i}.csv", "id,x\n" + "".join(f"{i},{j}.5\n" for j in range(20)))
+    picked = infer._some_files(spark, [f"{folder}/*.csv"], 40 * 130)
+    assert 0 < len(picked) < 20
+    frame = scan_csv(spark, f"{folder}/*.csv")
+    assert frame.dtypes == [("id", "bigint"), ("x", "double")] and frame.count() == 800
+    write(f"{folder}/f40.csv", "id,x\nnot a number,1\n")
+    schema = T.StructType.fromDDL("id bigint, x double")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, f"{folder}/*.csv", schema=schema).collect()
+
+
 def test_dry_run_changes_nothing(spark, folder):
     path = write(f"{folder}/people.csv", PEOPLE)
     before = spark.catalog.listTables()

@@ -135,7 +135,7 @@ def test_numbers_are_dense_and_repeatable(spark, folder):
 
 
 def test_lookup_joins_work_without_broadcast(spark, folder, monkeypatch):
-    monkeypatch.setattr(numbering, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(numbering, "BROADCAST_BYTES", 0)
     rows, frame = letters(spark, 50)
     frame.createOrReplaceTempView("uneven")
     result = export(
