@@ -222,8 +222,7 @@ def _export_split(
         placed = place_files(assigned, numbered.file_bytes)
         writer = sink.writer(placed).option("maxRecordsPerFile", 0)
         writer.partitionBy(FILE_ID).mode("overwrite").save(staging)
-        found = HadoopFiles(spark).glob(f"{staging}/{FILE_ID}=*/part-*")
-        files = tuple(sorted(found, key=lambda item: _file_id(item[0])))
+        files = _numbered_files(spark, staging)
     if not as_directory:
         files = _publish(spark, sink.output, files)
         discard(spark, [staging])
@@ -231,8 +230,14 @@ def _export_split(
     return ExportResult(numbered.rows, files)
 
 
-def _file_id(path: str) -> int:
-    return int(re.search(rf"{FILE_ID}=(\d+)/", path)[1])
+def _numbered_files(spark: SparkSession, directory: str) -> tuple[tuple[str, int], ...]:
+    """The one file of each FILE_ID, in order."""
+    numbered = {}
+    for path, size in HadoopFiles(spark).walk(directory):
+        part = re.search(rf"/{FILE_ID}=(\d+)/part-[^/]+$", path)
+        if part:
+            numbered[int(part[1])] = (path, size)
+    return tuple(numbered[number] for number in sorted(numbered))
 
 
 def _staging_beside(output: str) -> str:

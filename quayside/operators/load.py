@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import detect_format, quote_identifier, table_identifier
+from quayside.functions.naming import quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.infer import create_table_ddl, csv_columns, infer_csv_schema
-from quayside.sources.scan import as_paths, scan_csv, scan_parquet
+from quayside.sources.scan import as_paths, common_format, scan_csv, scan_parquet
 
 
 def load(
@@ -30,7 +30,7 @@ def load(
     """
     paths = as_paths(paths)
     dialect = dialect or CsvDialect()
-    if detect_format(paths[0]) == "parquet":
+    if common_format(paths) == "parquet":
         source = scan_parquet(spark, paths)
         by_name = True
     else:

@@ -49,9 +49,9 @@ class Outcome:
     def text(self) -> str:
         if self.status == "rows":
             return f"{self.rows} rows"
-        if self.status == "affected":
+        if self.status == "affected" and self.rows is not None:
             return f"{self.rows} rows affected"
-        return "OK" if self.status == "ok" else "failed"
+        return "failed" if self.status == "failed" else "OK"
 
 
 @dataclass
@@ -155,14 +155,14 @@ class _Run:
             return "ok", None, None
         return "rows", self._deliver(number, frame), frame
 
-    def _change(self, statement: str) -> int:
+    def _change(self, statement: str) -> int | None:
         changed = run_dml(self.spark, statement)
         if changed is not None:
             return changed.rows
         # An insert has run when sql() returns; its write metric counts committed rows.
         plan = self.spark.sql(statement)._jdf.queryExecution().executedPlan()
         metric = plan.commandPhysicalPlan().metrics().get("numOutputRows")
-        return metric.get().value()
+        return metric.get().value() if metric.isDefined() else None
 
     def _execute(self, statement: str) -> DataFrame | None:
         call = _CALL.fullmatch(_without_comments(self.spark, statement))

@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import detect_format, quote_identifier, table_identifier
+from quayside.functions.naming import quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
-from quayside.sources.scan import _naming_missing_path, as_paths, scan_bytes, scan_parquet
+from quayside.sources.scan import (
+    _naming_missing_path,
+    as_paths,
+    common_format,
+    scan_bytes,
+    scan_parquet,
+)
 
 #: CSV input up to this size is inferred in full, larger input from a sample of about this size.
 FULL_INFERENCE_BYTES = 256 * 1024 * 1024
@@ -114,7 +120,7 @@ def infer_schema(
 ) -> T.StructType:
     """Schema of files of one format, chosen by extension."""
     paths = as_paths(paths)
-    if detect_format(paths[0]) == "parquet":
+    if common_format(paths) == "parquet":
         return infer_parquet_schema(spark, paths)
     return infer_csv_schema(spark, paths, dialect)
 

@@ -24,6 +24,14 @@ def as_paths(paths: str | Sequence[str]) -> list[str]:
     return found
 
 
+def common_format(paths: list[str]) -> str:
+    """The format of all the input files, by extension."""
+    formats = {detect_format(path) for path in paths}
+    if len(formats) > 1:
+        raise ValueError("all input files must have the same format")
+    return formats.pop()
+
+
 def _naming_missing_path(paths: list[str], load):
     try:
         return load()
@@ -89,10 +97,7 @@ def scan_files(
 ) -> DataFrame:
     """Scan by file extension.  CSV settings have no effect on Parquet."""
     paths = as_paths(paths)
-    formats = {detect_format(path) for path in paths}
-    if len(formats) > 1:
-        raise ValueError("all input files must have the same format")
-    if formats == {"parquet"}:
+    if common_format(paths) == "parquet":
         return scan_parquet(spark, paths, lineage)
     return scan_csv(spark, paths, dialect, schema, lineage)
 

@@ -11,11 +11,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
         .config("spark.checkpoint.dir", str(home / "shared"))

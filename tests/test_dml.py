@@ -67,6 +67,19 @@ def test_ambiguous_merge_changes_nothing(spark, filled):
     assert done.rows == 2
 
 
+def test_merge_with_empty_sides(spark, filled):
+    nothing = spark.createDataFrame([], "k int, v string, n int")
+    copy = {"k": "s.k", "v": "s.v", "n": "s.n"}
+    assert merge(spark, filled, nothing, ["k"], update=copy, insert=copy).rows == 0
+    assert merge(spark, filled, spark.table(filled).limit(0), ["k"], update=copy).rows == 0
+    assert len(content(spark, filled)) == 4
+    assert delete(spark, filled).rows == 4
+    assert merge(spark, filled, nothing, ["k"], update=copy, insert=copy).rows == 0
+    some = spark.createDataFrame([(1, "a", 2)], "k int, v string, n int")
+    assert merge(spark, filled, some, ["k"], update=copy, insert=copy).rows == 1
+    assert content(spark, filled) == [(1, "a", 2)]
+
+
 def test_merge_against_a_model(spark, table):
     pick = random.Random(3)
     old = [(i, pick.randrange(100)) for i in range(400)] + [(7, i) for i in range(300)]

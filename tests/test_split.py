@@ -117,7 +117,7 @@ def test_one_hot_order_key_spreads_over_tasks(spark, folder):
     frame.write.parquet(f"{folder}/hot")
     positioned = numbering.position_rows(spark.read.parquet(f"{folder}/hot"), True, ["hot"])
     sizes = [r["count"] for r in positioned.frame.groupBy(numbering.PART).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2000
+    assert len(sizes) == 4 and max(sizes) < 4000
 
 
 def test_numbers_are_dense_and_repeatable(spark, folder):
