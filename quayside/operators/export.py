@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +42,20 @@ DEFAULT_CODEC = "snappy"
 PARQUET_FILL = 0.85
 
 
+class OutputFile(NamedTuple):
+    """A written file; ``rows`` is known for exact splits."""
+
+    path: str
+    bytes: int
+    rows: int | None = None
+
+
 @dataclass(frozen=True)
 class ExportResult:
-    """What an export wrote: data rows, and the files with their sizes in row order."""
+    """What an export wrote: the number of data rows, and the files in row order."""
 
     rows: int
-    files: tuple[tuple[str, int], ...]
+    files: tuple[OutputFile, ...]
 
     @property
     def num_files(self) -> int:
@@ -53,15 +63,17 @@ class ExportResult:
 
     @property
     def paths(self) -> list[str]:
-        return [path for path, _ in self.files]
+        return [file.path for file in self.files]
 
     def manifest(self, spark: SparkSession) -> DataFrame:
-        """One row per file: file_id, file_name, path, bytes."""
+        """One row per file: file_id, file_name, path, bytes, rows (where counted)."""
         rows = [
-            (index, path.rpartition("/")[2], path, size)
-            for index, (path, size) in enumerate(self.files)
+            (index, file.path.rpartition("/")[2], file.path, file.bytes, file.rows)
+            for index, file in enumerate(self.files)
         ]
-        return spark.createDataFrame(rows, "file_id long, file_name string, path string, bytes long")
+        return spark.createDataFrame(
+            rows, "file_id long, file_name string, path string, bytes long, rows long"
+        )
 
 
 def parquet_codec(name: str | None) -> str:
@@ -131,7 +143,7 @@ def export_json(frame: DataFrame, output: str) -> ExportResult:
     """Write one JSON object per row, keyed by column name; NULL keys are left out."""
     counted, count = _counted(frame)
     counted.write.options(**TIME_TEXT).mode("overwrite").json(output)
-    return ExportResult(count(), _part_files(frame.sparkSession, output))
+    return ExportResult(count(), tuple(_part_files(frame.sparkSession, output)))
 
 
 @dataclass(frozen=True)
@@ -157,14 +169,14 @@ def _counted(frame: DataFrame):
     return counted, lambda: observation.get["rows"]
 
 
-def _part_files(spark: SparkSession, directory: str) -> tuple[tuple[str, int], ...]:
-    return tuple(HadoopFiles(spark).glob(f"{directory}/part-*"))
+def _part_files(spark: SparkSession, directory: str) -> list[OutputFile]:
+    return [OutputFile(*found) for found in HadoopFiles(spark).glob(f"{directory}/part-*")]
 
 
 def _export_whole(source: DataFrame, sink: _Sink) -> ExportResult:
     counted, count = _counted(source)
     sink.writer(counted).mode("overwrite").save(sink.output)
-    return ExportResult(count(), _part_files(source.sparkSession, sink.output))
+    return ExportResult(count(), tuple(_part_files(source.sparkSession, sink.output)))
 
 
 def _export_bounded(
@@ -173,15 +185,11 @@ def _export_bounded(
     if limits.max_rows is None or limits.max_bytes is not None:
         raise ValueError("exact=False supports max_rows_per_file only")
     spark = source.sparkSession
-    staging = sink.output if as_directory else _staging_beside(sink.output)
-    counted, count = _counted(source)
-    writer = sink.writer(counted).option("maxRecordsPerFile", limits.max_rows)
-    writer.mode("overwrite").save(staging)
-    files = _part_files(spark, staging)
-    if not as_directory:
-        files = _publish(spark, sink.output, files)
-        discard(spark, [staging])
-    return ExportResult(count(), files)
+    with _delivery(spark, sink.output, as_directory) as delivery:
+        counted, count = _counted(source)
+        writer = sink.writer(counted).option("maxRecordsPerFile", limits.max_rows)
+        writer.mode("overwrite").save(delivery.folder)
+        return ExportResult(count(), delivery.publish(_part_files(spark, delivery.folder)))
 
 
 def _export_split(
@@ -202,15 +210,16 @@ def _export_split(
             weight = csv_line_bytes(source.schema, sink.dialect)
         else:
             weight = plain_row_bytes(source.schema)
-    scratch = scratch_dir(spark, "split")
-    positioned = position_rows(source, in_files, order_by, weight, sink.codec)
-    numbered = number_rows(positioned, f"{scratch}/offsets")
-    staging = sink.output if as_directory else _staging_beside(sink.output)
-    if numbered.rows == 0:
-        # Not partitioned by file: an empty write still leaves one file with the schema.
-        sink.writer(source.limit(0).coalesce(1)).mode("overwrite").save(staging)
-        files = _part_files(spark, staging)
-    else:
+    with _delivery(spark, sink.output, as_directory) as delivery:
+        scratch = delivery.scratch
+        positioned = position_rows(source, in_files, scratch, order_by, weight, sink.codec)
+        numbered = number_rows(positioned, f"{scratch}/offsets")
+        if numbered.rows == 0:
+            # Not partitioned by file: an empty write still leaves one file with the schema.
+            empty = sink.writer(source.limit(0).coalesce(1))
+            empty.mode("overwrite").save(delivery.folder)
+            files = [file._replace(rows=0) for file in _part_files(spark, delivery.folder)]
+            return ExportResult(0, delivery.publish(files))
         bucket = None
         if limits.max_bytes is not None:
             bucket = limits.max_bytes - header
@@ -219,40 +228,63 @@ def _export_split(
                 scale = numbered.weight / max(numbered.file_bytes, 1)
                 bucket = max(1, int(limits.max_bytes * PARQUET_FILL * scale))
         assigned = assign_files(numbered, limits, bucket, f"{scratch}/stretches")
-        placed = place_files(assigned, numbered.file_bytes)
-        writer = sink.writer(placed).option("maxRecordsPerFile", 0)
-        writer.partitionBy(FILE_ID).mode("overwrite").save(staging)
-        files = _numbered_files(spark, staging)
-    if not as_directory:
-        files = _publish(spark, sink.output, files)
-        discard(spark, [staging])
-    discard(spark, [scratch, *positioned.staged])
-    return ExportResult(numbered.rows, files)
-
-
-def _numbered_files(spark: SparkSession, directory: str) -> tuple[tuple[str, int], ...]:
+        counted, count = _counted(place_files(assigned, numbered.file_bytes))
+        writer = sink.writer(counted).option("maxRecordsPerFile", 0)
+        writer.partitionBy(FILE_ID).mode("overwrite").save(delivery.folder)
+        files = _numbered_files(spark, delivery.folder, assigned.rows_of)
+        if count() != numbered.rows or len(files) != assigned.files:
+            raise RuntimeError(f"incomplete export to {sink.output}; the source has changed")
+        return ExportResult(numbered.rows, delivery.publish(files))
+
+
+def _numbered_files(
+    spark: SparkSession, directory: str, rows_of: Sequence[int]
+) -> list[OutputFile]:
     """The one file of each FILE_ID, in order."""
     numbered = {}
     for path, size in HadoopFiles(spark).walk(directory):
         part = re.search(rf"/{FILE_ID}=(\d+)/part-[^/]+$", path)
         if part:
-            numbered[int(part[1])] = (path, size)
-    return tuple(numbered[number] for number in sorted(numbered))
+            number = int(part[1])
+            numbered[number] = OutputFile(path, size, rows_of[number])
+    return [numbered[number] for number in sorted(numbered)]
+
+
+@dataclass(frozen=True)
+class _Delivery:
+    """Where an export is written before its files get their names."""
+
+    spark: SparkSession
+    output: str
+    scratch: str
+    folder: str
+
+    def publish(self, files: list[OutputFile]) -> tuple[OutputFile, ...]:
+        """Give written files their numbered names, or the plain name to a single one."""
+        if self.folder == self.output:
+            return tuple(files)
+        if len(files) == 1:
+            names = [self.output]
+        else:
+            names = [split_file_path(self.output, index) for index in range(len(files))]
+        HadoopFiles(self.spark).replace_all(
+            [(file.path, name) for file, name in zip(files, names)]
+        )
+        return tuple(file._replace(path=name) for file, name in zip(files, names))
+
+
+@contextmanager
+def _delivery(spark: SparkSession, output: str, as_directory: bool) -> Iterator[_Delivery]:
+    """Folders for one export; what is left in them goes away, also after a failure."""
+    scratch = scratch_dir(spark, "export")
+    folder = output if as_directory else _staging_beside(output)
+    try:
+        yield _Delivery(spark, output, scratch, folder)
+    finally:
+        discard(spark, [scratch] if as_directory else [scratch, folder])
 
 
 def _staging_beside(output: str) -> str:
     """A hidden folder next to the output, so that renaming stays in one file system."""
     directory, _, name = output.rpartition("/")
     return f"{directory or '.'}/.{name}.{uuid.uuid4().hex}"
-
-
-def _publish(
-    spark: SparkSession, output: str, files: tuple[tuple[str, int], ...]
-) -> tuple[tuple[str, int], ...]:
-    """Give written files their numbered names, or the plain name to a single one."""
-    if len(files) == 1:
-        names = [output]
-    else:
-        names = [split_file_path(output, index) for index in range(len(files))]
-    HadoopFiles(spark).replace_all([(path, name) for (path, _), name in zip(files, names)])
-    return tuple((name, size) for (_, size), name in zip(files, names))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from quayside.functions.naming import quote_identifier
 from quayside.sources.scan import scan_bytes
-from quayside.storage import HadoopFiles, scratch_dir
+from quayside.storage import HadoopFiles
 
 #: Names of the helper columns; user columns must not use them.
 PART, ROW, WEIGHT, BEFORE, NUMBER = "__part", "__row", "__weight", "__before", "__number"
@@ -63,8 +63,6 @@ class Positioned:
     frame: DataFrame
     """The user's columns plus PART and ROW, and WEIGHT and BEFORE when weighted."""
     weighted: bool
-    staged: tuple[str, ...] = ()
-    """Staging folders to delete once the rows have been written."""
 
 
 @dataclass(frozen=True)
@@ -105,6 +103,7 @@ def write_and_read(frame: DataFrame, path: str, codec: str = "snappy") -> DataFr
 def position_rows(
     frame: DataFrame,
     in_files: bool,
+    scratch: str,
     order_by: Sequence[str | Column] = (),
     weight: Column | None = None,
     codec: str = "snappy",
@@ -112,16 +111,15 @@ def position_rows(
     """Give every row a fixed file position, staging the rows where they have none.
 
     ``in_files`` says that ``frame`` is an unfiltered scan of Parquet files.
+    Folders below ``scratch`` take what is staged; they must outlive the result.
     """
     spark = frame.sparkSession
     clash = {PART, ROW, WEIGHT, BEFORE, NUMBER} & set(frame.columns)
     if clash:
         raise ValueError(f"reserved column names: {', '.join(sorted(clash))}")
-    staged: list[str] = []
     if order_by:
         if not in_files:
-            staged.append(scratch_dir(spark, "rows"))
-            frame = write_and_read(frame, staged[-1], codec)
+            frame = write_and_read(frame, f"{scratch}/rows", codec)
         keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
         # Shuffled with every row, so the file goes in as eight bytes and not as its path.
         keys += [F.col(PART), F.col(ROW)]
@@ -141,10 +139,9 @@ def position_rows(
     if weight is not None:
         frame = frame.withColumn(WEIGHT, weight.cast("long"))
         columns += [F.col(WEIGHT), weight_before(WEIGHT).alias(BEFORE)]
-    staged.append(scratch_dir(spark, "positions"))
-    frame = write_and_read(frame.select(*columns), staged[-1], codec)
+    frame = write_and_read(frame.select(*columns), f"{scratch}/positions", codec)
     frame = frame.select("*", F.col("_metadata.row_index").alias(ROW))
-    return Positioned(frame, weight is not None, tuple(staged))
+    return Positioned(frame, weight is not None)
 
 
 def task_count(spark: SparkSession, size: int) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,12 @@ class Assigned:
     """Rows with the file each belongs to; file ids are dense from 0 in row order."""
 
     frame: DataFrame
-    files: int
-    rows: int
+    rows_of: tuple[int, ...]
+    """Number of rows of each file."""
+
+    @property
+    def files(self) -> int:
+        return len(self.rows_of)
 
 
 def csv_line_bytes(schema: T.StructType, dialect: CsvDialect) -> Column:
@@ -102,39 +106,46 @@ def assign_files(
         if _row_limit_decides(frame, limits.max_rows, bucket_weight):
             bucket_weight = None
     if bucket_weight is None:
-        files = math.ceil(numbered.rows / limits.max_rows)
         file_id = F.expr(f"`{NUMBER}` div {limits.max_rows}")
         assigned = frame.withColumn(FILE_ID, file_id).drop(BEFORE, WEIGHT)
-        return Assigned(assigned, files, numbered.rows)
+        return Assigned(assigned, _even_counts(numbered.rows, limits.max_rows))
 
     frame = frame.withColumn(_BUCKET, F.expr(f"`{BEFORE}` div {bucket_weight}"))
     rows_per_file = limits.max_rows or max(numbered.rows, 1)
-    in_bucket = F.expr(f"ceil(count(1) / {rows_per_file})")
+    in_bucket = F.expr(f"(count(1) + {rows_per_file} - 1) div {rows_per_file}")
     buckets = frame.groupBy(_BUCKET).agg(
-        F.min(NUMBER).alias(_FIRST), in_bucket.cast("long").alias("files")
+        F.min(NUMBER).alias(_FIRST),
+        F.count(F.lit(1)).alias("rows"),
+        in_bucket.cast("long").alias("files"),
     )
     # One row per stretch of output, at most one per output file.
     above = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    stretches = buckets.select(
-        _BUCKET, _FIRST, "files", F.coalesce(F.sum("files").over(above), zero).alias(_FIRST_FILE)
-    )
-    totals = Observation()
-    observed = stretches.observe(
-        totals,
-        F.count(F.lit(1)).alias("stretches"),
-        F.coalesce(F.sum("files"), zero).alias("files"),
+    stretches = write_and_read(
+        buckets.select(
+            _BUCKET,
+            _FIRST,
+            "rows",
+            F.coalesce(F.sum("files").over(above), zero).alias(_FIRST_FILE),
+        ),
+        lookup_path,
     )
-    lookup = write_and_read(observed, lookup_path).drop("files")
-    found = totals.get
-    lookup = broadcast_if_small(lookup, found["stretches"], 24)
+    counts = [row.rows for row in stretches.orderBy(_BUCKET).select("rows").collect()]
+    lookup = broadcast_if_small(stretches.drop("rows"), len(counts), 24)
     file_id = F.expr(f"`{_FIRST_FILE}` + (`{NUMBER}` - `{_FIRST}`) div {rows_per_file}")
     assigned = (
         frame.join(lookup, _BUCKET)
         .withColumn(FILE_ID, file_id)
         .drop(_BUCKET, _FIRST, _FIRST_FILE, BEFORE, WEIGHT)
     )
-    return Assigned(assigned, found["files"], numbered.rows)
+    rows_of = [n for count in counts for n in _even_counts(count, rows_per_file)]
+    return Assigned(assigned, tuple(rows_of))
+
+
+def _even_counts(rows: int, per_file: int) -> tuple[int, ...]:
+    """Row counts of the files that ``rows`` rows are cut into."""
+    full, rest = divmod(rows, per_file)
+    return (per_file,) * full + ((rest,) if rest else ())
 
 
 def _row_limit_decides(frame: DataFrame, max_rows: int, bucket_weight: int) -> bool:

@@ -95,6 +95,7 @@ def test_manifest(spark, folder):
     rows = result.manifest(spark).orderBy("file_id").collect()
     assert [(r.file_id, r.file_name) for r in rows] == [(0, "m_000.csv"), (1, "m_001.csv")]
     assert [r.bytes for r in rows] == [os.path.getsize(r.path) for r in rows]
+    assert [r.rows for r in rows] == [2, 1]
 
 
 def test_json_rows(spark, folder):
@@ -124,8 +125,8 @@ def test_split_plan_shuffles_the_rows_once(spark, folder):
     from quayside.operators.split import SplitLimits, assign_files, place_files
 
     spark.range(0, 1000, 1, 4).write.parquet(f"{folder}/in")
-    positioned = position_rows(spark.read.parquet(f"{folder}/in"), True)
-    assert positioned.staged == ()
+    positioned = position_rows(spark.read.parquet(f"{folder}/in"), True, f"{folder}/scratch")
+    assert not os.path.exists(f"{folder}/scratch")
     numbered = number_rows(positioned, f"{folder}/offsets")
     assigned = assign_files(numbered, SplitLimits(max_rows=300), None, f"{folder}/stretches")
     placed = place_files(assigned, numbered.file_bytes)

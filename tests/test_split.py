@@ -65,7 +65,8 @@ def test_csv_files_equal_brute_force(spark, folder, max_rows, max_bytes):
     names = [os.path.basename(path) for path in result.paths]
     many = [f"u_{i:03d}.csv" for i in range(len(wanted))]
     assert names == (many if len(wanted) > 1 else ["u.csv"])
-    assert [size for _, size in result.files] == [os.path.getsize(p) for p in result.paths]
+    assert [file.bytes for file in result.files] == [os.path.getsize(p) for p in result.paths]
+    assert [file.rows for file in result.files] == [len(part) for part in wanted]
 
 
 def test_row_limit_alone_decides_when_bytes_never_fill(spark, folder):
@@ -115,7 +116,9 @@ def test_one_hot_order_key_spreads_over_tasks(spark, folder):
     """Equal order keys must not end up in one task: the file position breaks ties."""
     frame = spark.range(0, 8000, 1, 4).select(F.lit(1).alias("hot"), "id")
     frame.write.parquet(f"{folder}/hot")
-    positioned = numbering.position_rows(spark.read.parquet(f"{folder}/hot"), True, ["hot"])
+    positioned = numbering.position_rows(
+        spark.read.parquet(f"{folder}/hot"), True, f"{folder}/scratch", ["hot"]
+    )
     sizes = [r["count"] for r in positioned.frame.groupBy(numbering.PART).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 4000
 
@@ -124,7 +127,9 @@ def test_numbers_are_dense_and_repeatable(spark, folder):
     frame = spark.range(0, 5000, 1, 9).withColumn("k", F.col("id") % 13)
     frame.write.parquet(f"{folder}/in")
     scan = spark.read.parquet(f"{folder}/in")
-    positioned = numbering.position_rows(scan, True, [F.desc("k")], F.lit(3))
+    positioned = numbering.position_rows(
+        scan, True, f"{folder}/scratch", [F.desc("k")], F.lit(3)
+    )
     numbered = numbering.number_rows(positioned, f"{folder}/offsets")
     assert (numbered.rows, numbered.weight) == (5000, 15000)
     for _ in range(2):
@@ -198,7 +203,7 @@ def test_parquet_size_limit_alone_splits(spark, folder):
         spark, f"{folder}/p.parquet", "parquet",
         table=f"parquet.`{folder}/in`", max_file_size="500KB",
     )
-    sizes = [size for _, size in result.files]
+    sizes = [file.bytes for file in result.files]
     assert result.num_files > 3 and max(sizes) <= 500_000
     assert scan_parquet(spark, result.paths).distinct().count() == 60000
 
@@ -213,6 +218,15 @@ def test_many_small_files_share_tasks(spark, folder):
     assert read_all(result.paths) == [f"{i}\n" for i in range(500)]
 
 
+def test_failed_exports_leave_nothing_behind(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(f"{shared}/quayside"))
+    query = "SELECT id, raise_error('stop') AS e FROM range(9)"
+    with pytest.raises(Exception, match="stop"):
+        export(spark, f"{folder}/f.csv", "csv", query=query, max_rows_per_file=2)
+    assert os.listdir(folder) == [] and set(os.listdir(f"{shared}/quayside")) == before
+
+
 def test_keep_as_directory(spark, folder):
     spark.range(10).createOrReplaceTempView("small")
     result = export(
