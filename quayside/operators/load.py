@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 from quayside.functions.naming import quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.infer import create_table_ddl, csv_columns, infer_csv_schema
-from quayside.sources.scan import as_paths, common_format, scan_csv, scan_parquet
+from quayside.sources.scan import (
+    as_paths,
+    common_format,
+    scan_csv,
+    scan_parquet,
+    settle_line_breaks,
+)
 
 
 def load(
@@ -34,6 +40,7 @@ def load(
         source = scan_parquet(spark, paths)
         by_name = True
     else:
+        dialect = settle_line_breaks(spark, paths, dialect)
         target = _existing_schema(spark, table)
         if target is None:
             schema = infer_csv_schema(spark, paths, dialect)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -22,8 +23,8 @@ class CsvDialect:
     """Field format of a CSV file.
 
     ``escape=None`` means RFC 4180 doubling of the quote.  ``multi_line`` lets a
-    quoted field hold line breaks; Spark then reads each file in one task, so
-    switch it off for large files known to have none.
+    quoted field hold line breaks, and then each file is read by one task; by
+    default that is so unless large files turn out to have none.
     """
 
     delimiter: str = ","
@@ -31,7 +32,7 @@ class CsvDialect:
     escape: str | None = None
     header: bool = True
     null_value: str = ""
-    multi_line: bool = True
+    multi_line: bool | None = None
 
     def __post_init__(self) -> None:
         for label in ("delimiter", "quote"):
@@ -57,12 +58,23 @@ class CsvDialect:
     def read_options(self) -> dict[str, str]:
         return self._fields() | {
             "header": str(self.header).lower(),
-            "multiLine": str(self.multi_line).lower(),
+            "multiLine": str(self.multi_line is not False).lower(),
             "mode": "FAILFAST",
             "enforceSchema": "false",
             "maxCharsPerColumn": "-1",
         }
 
+    def whole_line_pattern(self) -> str:
+        """Regular expression of a line that holds a whole record, without doubt."""
+        delimiter, quote = re.escape(self.delimiter), re.escape(self.quote)
+        if self.escape in (None, self.quote):
+            inside = rf"[^{quote}]++|{quote}{quote}"
+        else:
+            escape = re.escape(self.escape)
+            inside = rf"[^{quote}{escape}]++|{escape}."
+        field = rf"(?:{quote}(?:{inside})*+{quote}|[^{delimiter}{quote}]*+)"
+        return rf"\A{field}(?:{delimiter}{field})*+\z"
+
     def text_options(self) -> dict[str, str]:
         """Options that shape one written line; also valid for ``to_csv``."""
         return self._fields() | TIME_TEXT

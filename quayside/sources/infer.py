@@ -18,6 +18,7 @@ from quayside.sources.scan import (
     common_format,
     scan_bytes,
     scan_parquet,
+    settle_line_breaks,
 )
 
 #: CSV input up to this size is inferred in full, larger input from a sample of about this size.
@@ -56,7 +57,7 @@ def infer_csv_schema(
     fit the type found fails the scan, it is never dropped.
     """
     paths = as_paths(paths)
-    dialect = dialect or CsvDialect()
+    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
     size = _naming_missing_path(paths, lambda: scan_bytes(spark.read.text(paths)))
     found = T.StructType()
     if size > FULL_INFERENCE_BYTES:
@@ -73,7 +74,7 @@ def csv_columns(
 ) -> T.StructType:
     """The columns of a CSV input as text, from its first line; types are not looked for."""
     paths = as_paths(paths)
-    dialect = dialect or CsvDialect()
+    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
     reader = spark.read.options(**dialect.read_options())
     frame = _naming_missing_path(paths, lambda: reader.csv(paths))
     if frame.isEmpty():

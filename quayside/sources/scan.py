@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,7 @@ def scan_csv(
     from quayside.sources.infer import infer_csv_schema
 
     paths = as_paths(paths)
-    dialect = dialect or CsvDialect()
+    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
     if align_headers and dialect.header:
         groups = _files_by_header(spark, paths, dialect)
         if len(groups) > 1:
@@ -88,6 +89,28 @@ def scan_csv(
     return _with_lineage(frame, lineage)
 
 
+def settle_line_breaks(
+    spark: SparkSession, paths: list[str], dialect: CsvDialect
+) -> CsvDialect:
+    """The dialect with ``multi_line`` decided, if it was left open.
+
+    Files beyond the size of one task are looked through in parallel: if every
+    line is a whole record, they can be split among tasks.
+    """
+    if dialect.multi_line is not None:
+        return dialect
+    lines = _naming_missing_path(paths, lambda: spark.read.text(paths))
+    task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    multi_line = True
+    if scan_bytes(lines) > task:
+        files = spark.read.format("binaryFile").load(paths)
+        if files.agg(F.max("length")).first()[0] > task:
+            broken = F.col("value").contains(dialect.quote)
+            broken &= ~F.col("value").rlike(dialect.whole_line_pattern())
+            multi_line = not lines.where(broken).isEmpty()
+    return replace(dialect, multi_line=multi_line)
+
+
 def scan_files(
     spark: SparkSession,
     paths: str | Sequence[str],

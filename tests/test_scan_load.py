@@ -14,7 +14,7 @@ from quayside.sources.infer import (
     infer_csv_schema,
     infer_schema,
 )
-from quayside.sources.scan import scan_csv, scan_files, scan_parquet, scan_source
+from quayside.sources.scan import scan_csv, scan_files, scan_parquet, scan_source, settle_line_breaks
 
 
 def write(path, text):
@@ -129,6 +129,36 @@ def test_source_needs_exactly_one(spark):
         scan_source(spark)
 
 
+@pytest.mark.parametrize(
+    "line, dialect, whole",
+    [
+        ('{i},"a ""b"", c",x', CsvDialect(), True),
+        ("{i},plain,", CsvDialect(), True),
+        ('{i},"two\nlines",x', CsvDialect(), False),
+        ('{i},5" pipe,x', CsvDialect(), False),
+        ('{i},"a\\"b",x', CsvDialect(escape="\\"), True),
+        ("{i}|'it''s|'|x", CsvDialect("|", "'"), True),
+        ("{i}^'it\n''s'^x", CsvDialect("^", "'"), False),
+    ],
+)
+def test_large_files_are_split_if_lines_are_whole(spark, folder, line, dialect, whole):
+    text = "".join(line.replace("{i}", str(i)) + "\n" for i in range(2000))
+    header = dialect.delimiter.join(["id", "v", "w"]) + "\n"
+    path = write(f"{folder}/w.csv", header + text)
+    schema = T.StructType.fromDDL("id int, v string, w string")
+    small = scan_csv(spark, path, dialect, schema)
+    assert settle_line_breaks(spark, [path], dialect).multi_line is True
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert settle_line_breaks(spark, [path], dialect).multi_line is not whole
+        large = scan_csv(spark, path, dialect, schema)
+        assert large.count() == 2000
+        assert (large.rdd.getNumPartitions() > 1) is whole
+        assert large.exceptAll(small).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_large_csv_is_inferred_from_a_sample(spark, folder, monkeypatch):
     monkeypatch.setattr(infer, "FULL_INFERENCE_BYTES", 20_000)
     write(f"{folder}/l.csv", "id,x\n" + "".join(f"{i},{i}.5\n" for i in range(20000)))
