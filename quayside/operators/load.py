@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from quayside.functions.naming import quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
-from quayside.sources.infer import create_table_ddl, csv_columns, infer_csv_schema
+from quayside.sources.infer import create_table_ddl, csv_columns
 from quayside.sources.scan import (
     as_paths,
     common_format,
@@ -42,9 +42,10 @@ def load(
     else:
         dialect = settle_line_breaks(spark, paths, dialect)
         target = _existing_schema(spark, table)
-        if target is None:
-            schema = infer_csv_schema(spark, paths, dialect)
-        else:
+        schema = None
+        if target is not None and align_headers and dialect.header:
+            schema = target
+        elif target is not None:
             # The table fixes the types, so only the column names are looked at.
             schema = _typed_like(csv_columns(spark, paths, dialect), target, dialect.header)
         source = scan_csv(spark, paths, dialect, schema, align_headers=align_headers)

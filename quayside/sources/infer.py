@@ -140,7 +140,7 @@ def create_table_ddl(
         f"{quote_identifier(field.name)} {type_name(field.dataType)}" for field in schema.fields
     )
     guard = "IF NOT EXISTS " if if_not_exists else ""
-    place = f" LOCATION '{location}'" if location else ""
+    place = " LOCATION '" + location.replace("'", "\\'") + "'" if location else ""
     return f"CREATE TABLE {guard}{table_identifier(table)} ({columns}) USING parquet{place}"
 
 

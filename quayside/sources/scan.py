@@ -75,13 +75,7 @@ def scan_csv(
     if align_headers and dialect.header:
         groups = _files_by_header(spark, paths, dialect)
         if len(groups) > 1:
-            parts = [scan_csv(spark, files, dialect, None, lineage) for files in groups]
-            frame = parts[0]
-            for part in parts[1:]:
-                frame = frame.unionByName(part)
-            return frame if schema is None else frame.select(
-                *[F.col(quote_identifier(f.name)).cast(f.dataType) for f in schema.fields]
-            )
+            return _scan_groups(spark, groups, dialect, schema, lineage)
     if schema is None:
         schema = infer_csv_schema(spark, paths, dialect)
     reader = spark.read.options(**dialect.read_options()).schema(schema)
@@ -89,6 +83,51 @@ def scan_csv(
     return _with_lineage(frame, lineage)
 
 
+def _scan_groups(
+    spark: SparkSession,
+    groups: list[list[str]],
+    dialect: CsvDialect,
+    schema: T.StructType | None,
+    lineage: str | None,
+) -> DataFrame:
+    """Files with several headers, each read in its own column order under the same types."""
+    from quayside.sources.infer import NoDataRowsError, csv_columns, infer_csv_schema
+
+    found: list[tuple[list[str], T.StructType]] = []
+    for files in groups:
+        try:
+            look = csv_columns if schema is not None else infer_csv_schema
+            found.append((files, look(spark, files, dialect)))
+        except NoDataRowsError:
+            continue
+    if not found:
+        raise NoDataRowsError("no data rows in any file")
+    kinds: dict[str, T.DataType] = {}
+    for field in [f for _, s in found for f in s.fields] if schema is None else schema.fields:
+        name = field.name.lower()
+        kinds[name] = _common_type(kinds.get(name, field.dataType), field.dataType)
+    parts = []
+    for files, columns in found:
+        unknown = [name for name in columns.names if name.lower() not in kinds]
+        if unknown:
+            raise ValueError(f"columns not in the schema: {', '.join(unknown)}")
+        typed = T.StructType([T.StructField(n, kinds[n.lower()]) for n in columns.names])
+        parts.append(scan_csv(spark, files, dialect, typed, lineage))
+    frame = parts[0]
+    for part in parts[1:]:
+        frame = frame.unionByName(part)
+    names = list(found[0][1].names if schema is None else schema.names)
+    return frame.select(*map(quote_identifier, names + [lineage] * (lineage is not None)))
+
+
+def _common_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """A type that holds the text of both: theirs if equal, double for numbers, else text."""
+    if one == other:
+        return one
+    numbers = isinstance(one, T.NumericType) and isinstance(other, T.NumericType)
+    return T.DoubleType() if numbers else T.StringType()
+
+
 def settle_line_breaks(
     spark: SparkSession, paths: list[str], dialect: CsvDialect
 ) -> CsvDialect:
@@ -195,10 +234,5 @@ def _files_by_header(
     )
     headers = lines.groupBy(_FILE).agg(F.min_by("value", _ORDER).alias(_RECORD))
     # One row per distinct header; the paths were named by the caller.
-    return [
-        sorted(row.files)
-        for row in headers.groupBy(_RECORD)
-        .agg(F.collect_list(_FILE).alias("files"))
-        .orderBy(_RECORD)
-        .collect()
-    ]
+    groups = headers.groupBy(_RECORD).agg(F.sort_array(F.collect_list(_FILE)).alias("files"))
+    return [row.files for row in groups.orderBy(F.get("files", F.lit(0))).collect()]

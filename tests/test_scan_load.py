@@ -109,6 +109,33 @@ def test_headers_in_other_order(spark, folder):
         assert sorted((r.id, r.name) for r in frame.collect()) == [(1, "x"), (2, "y")]
 
 
+def test_aligned_files_share_their_types(spark, folder):
+    write(f"{folder}/a.csv", "id,code,n\n1,007,1\n")
+    write(f"{folder}/b.csv", "code,n,id\nx1,2.5,2\n")
+    write(f"{folder}/c.csv", "n,id,code\n")
+    frame = scan_csv(spark, f"{folder}/*.csv", align_headers=True, lineage="file")
+    assert frame.dtypes == [
+        ("id", "bigint"), ("code", "string"), ("n", "double"), ("file", "string")
+    ]
+    assert sorted(tuple(r) for r in frame.collect()) == [
+        (1, "007", 1.0, "a.csv"), (2, "x1", 2.5, "b.csv")
+    ]
+    schema = T.StructType.fromDDL("n string, code string, id int")
+    frame = scan_csv(spark, f"{folder}/*.csv", schema=schema, align_headers=True)
+    assert sorted(tuple(r) for r in frame.collect()) == [("1", "007", 1), ("2.5", "x1", 2)]
+
+
+def test_aligned_load(spark, folder, table):
+    write(f"{folder}/a.csv", "id,code\n1,007\n")
+    write(f"{folder}/b.csv", "code,id\n008,2\n")
+    spark.sql(f"CREATE TABLE {table} (ID INT, Code STRING) USING parquet")
+    assert load(spark, f"{folder}/*.csv", table, align_headers=True) == 2
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == [(1, "007"), (2, "008")]
+    spark.sql(f"DROP TABLE {table}")
+    assert load(spark, f"{folder}/*.csv", table, align_headers=True) == 2
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == [(1, 7), (2, 8)]
+
+
 def test_many_paths_and_lineage(spark, folder):
     for i in range(3):
         spark.range(i, i + 1).write.parquet(f"{folder}/p{i}.parquet")
