@@ -37,23 +37,24 @@ TASK_BYTES = 128 * 1024 * 1024
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-@F.pandas_udf(T.LongType())
-def _weight_before(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def weight_before(weight: str) -> Column:
     """Running total of the rows above, over one task's rows in their order.
 
     Only this one column passes through Arrow; a window function would shuffle
     and sort the whole rows again to give the same number.
     """
-    carried = 0
-    for weights in batches:
-        totals = weights.cumsum() + carried
-        yield totals - weights
-        if len(totals):
-            carried = int(totals.iloc[-1])
 
-
-# Evaluated once, on the rows in the order they are written.
-weight_before = _weight_before.asNondeterministic()
+    # A local function travels with the job, so executors need not have this package.
+    def above(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        carried = 0
+        for weights in batches:
+            totals = weights.cumsum() + carried
+            yield totals - weights
+            if len(totals):
+                carried = int(totals.iloc[-1])
+
+    # Evaluated once, on the rows in the order they are written.
+    return F.pandas_udf(above, T.LongType()).asNondeterministic()(weight)
 
 
 @dataclass(frozen=True)
