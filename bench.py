@@ -20,7 +20,7 @@ from quayside.operators.export import PARQUET_CODECS, export
 from quayside.operators.load import load
 from quayside.plans.common import file_table, output_dir, table_file, table_name, use_tables
 from quayside.plans.passthrough import catalog as passthrough
-from quayside.plans.scripts import _LOG
+from quayside.plans.scripts import LOG
 from quayside.sources.scan import scan_csv
 
 
@@ -67,7 +67,7 @@ def benchmarks(spark: SparkSession, sf_dir: str) -> dict:
     def log() -> None:
         use_tables(spark, sf_dir, "orders", "pages")
         statement = F.explode(split_statements(F.col("script"))).alias("statement")
-        kinds = spark.sql(_LOG).select(statement).select(classify(F.col("statement")).alias("k"))
+        kinds = spark.sql(LOG).select(statement).select(classify(F.col("statement")).alias("k"))
         consume(kinds.groupBy("k").count())
 
     target = loaded()

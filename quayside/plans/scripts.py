@@ -235,7 +235,7 @@ _TOKENS = r"""'[^']*(?:'|\z)|"[^"]*(?:"|\z)|--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|;|[^'
 
 # A query log made from the orders (quotes, comments, empty and open pieces), and web
 # pages taken as scripts.  chr(39) is a single quote and chr(10) a line break.
-_LOG = """
+LOG = """
 SELECT o_orderkey AS log_id, CASE o_orderpriority
   WHEN '1-URGENT' THEN concat('INSERT INTO t VALUES (', o_orderkey, ', ', chr(39), 'a;b', chr(39),
     '); -- note; x', chr(10), ' select ', o_custkey, ';')
@@ -253,7 +253,7 @@ UNION ALL SELECT -1 - page_id, html FROM pages
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_tables(spark, sf_dir, "orders", "pages")
-    return spark.sql(_LOG)
+    return spark.sql(LOG)
 
 
 def _sql_text(text: str) -> str:
@@ -281,7 +281,7 @@ _PIECES = (
     f"SELECT log_id, list_filter(list_transform(string_split("
     f"{_mapped('script', 'CASE WHEN x = chr(59) THEN chr(1) ELSE x END')}, chr(1)),"
     f" lambda p: {_trimmed('p')}), lambda p: {_trimmed(_stripped('p'))} <> '') AS pieces"
-    f" FROM ({_LOG}))"
+    f" FROM ({LOG}))"
 )
 
 
@@ -296,7 +296,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _statements(spark, sf_dir)
 
 
-@catalog.add("log_strip", f"SELECT log_id, {_stripped('script')} AS stripped FROM ({_LOG})")
+@catalog.add("log_strip", f"SELECT log_id, {_stripped('script')} AS stripped FROM ({LOG})")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).select("log_id", strip_comments(F.col("script")).alias("stripped"))
 
@@ -319,7 +319,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.add(
     "log_truncate",
     "SELECT log_id, CASE WHEN strlen(t) > 60 THEN concat(substr(t, 1, 57), '...') ELSE t END"
-    f" AS display FROM (SELECT log_id, {_trimmed('script')} AS t FROM ({_LOG}))",
+    f" AS display FROM (SELECT log_id, {_trimmed('script')} AS t FROM ({LOG}))",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).select("log_id", truncate_sql(F.col("script")).alias("display"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from quayside.functions.naming import quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.scan import (
-    _naming_missing_path,
+    naming_missing_path,
     as_paths,
     common_format,
     scan_bytes,
@@ -58,7 +58,7 @@ def infer_csv_schema(
     """
     paths = as_paths(paths)
     dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
-    size = _naming_missing_path(paths, lambda: scan_bytes(spark.read.text(paths)))
+    size = naming_missing_path(paths, lambda: scan_bytes(spark.read.text(paths)))
     found = T.StructType()
     if size > FULL_INFERENCE_BYTES:
         found = _parsed_schema(spark, _some_files(spark, paths, size), dialect)
@@ -76,7 +76,7 @@ def csv_columns(
     paths = as_paths(paths)
     dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
     reader = spark.read.options(**dialect.read_options())
-    frame = _naming_missing_path(paths, lambda: reader.csv(paths))
+    frame = naming_missing_path(paths, lambda: reader.csv(paths))
     if frame.isEmpty():
         raise NoDataRowsError(f"no data rows in {', '.join(paths)}")
     return _named_columns(frame.schema, dialect, lambda found: found)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.sources.scan import _naming_missing_path, as_paths
+from quayside.sources.scan import naming_missing_path, as_paths
 
 
 def list_recursive(paths: DataFrame, prefix: str = "", column: str = "path") -> DataFrame:
@@ -42,7 +42,7 @@ def scan_blobs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """
     paths = as_paths(paths)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return _naming_missing_path(paths, lambda: reader.load(paths))
+    return naming_missing_path(paths, lambda: reader.load(paths))
 
 
 def list_files(

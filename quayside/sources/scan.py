@@ -33,7 +33,7 @@ def common_format(paths: list[str]) -> str:
     return formats.pop()
 
 
-def _naming_missing_path(paths: list[str], load):
+def naming_missing_path(paths: list[str], load):
     try:
         return load()
     except AnalysisException as error:
@@ -50,7 +50,7 @@ def scan_parquet(
     ``lineage`` adds a column of that name with each row's source file name.
     """
     paths = as_paths(paths)
-    frame = _naming_missing_path(paths, lambda: spark.read.parquet(*paths))
+    frame = naming_missing_path(paths, lambda: spark.read.parquet(*paths))
     return _with_lineage(frame, lineage)
 
 
@@ -79,7 +79,7 @@ def scan_csv(
     if schema is None:
         schema = infer_csv_schema(spark, paths, dialect)
     reader = spark.read.options(**dialect.read_options()).schema(schema)
-    frame = _naming_missing_path(paths, lambda: reader.csv(paths))
+    frame = naming_missing_path(paths, lambda: reader.csv(paths))
     return _with_lineage(frame, lineage)
 
 
@@ -138,7 +138,7 @@ def settle_line_breaks(
     """
     if dialect.multi_line is not None:
         return dialect
-    lines = _naming_missing_path(paths, lambda: spark.read.text(paths))
+    lines = naming_missing_path(paths, lambda: spark.read.text(paths))
     task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     multi_line = True
     if scan_bytes(lines) > task:
