@@ -34,7 +34,7 @@ def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def find_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    model = quality.learn(docs, table(spark, sf_dir, "labels"), may_learn=crc32_of("k") % 5 != 0)
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), may_learn=crc32_of("doc_id") % 5 != 0)
     scored = docs.withColumn("_score", quality.score(F.col("text"), model))
     return scored.where(F.col("_score") >= LEAST_QUALITY).select(COLUMNS)
 

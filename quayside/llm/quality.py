@@ -153,13 +153,13 @@ def learn(
 ) -> QualityModel:
     """Fit to about ``rows`` positives and as many unlabelled documents (all, if fewer).
 
-    ``may_learn`` is a condition on the key: only labels of rows that meet it are read.
+    ``may_learn`` is a condition on the rows of ``labels``: only labels of rows that meet it are read.
     """
     may = F.lit(True) if may_learn is None else may_learn
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    shares = known.where(may).agg(F.avg(F.col(label).cast("double")), F.count(F.lit(1))).first()
-    prior = (shares[0] * shares[1] + 1) / (shares[1] + 2) if shares[1] else 0.5
     names = known.select(F.col(key).alias("k"), F.col(label).alias("y"), may.alias("may"))
+    shares = names.where("may").agg(F.avg(F.col("y").cast("double")), F.count(F.lit(1))).first()
+    prior = (shares[0] * shares[1] + 1) / (shares[1] + 2) if shares[1] else 0.5
     drawn = bounded(names.where("may AND y = 1").select("k").distinct(), rows, 5, "k").withColumn("positive", F.lit(True))
     bare = documents.select(F.col(key).alias("k")).join(names.select("k"), "k", "left_anti").where("k IS NOT NULL").distinct()
     drawn = drawn.unionByName(bounded(bare, rows, 6, "k").withColumn("positive", F.lit(False)))
