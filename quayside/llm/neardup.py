@@ -7,10 +7,9 @@ by a 128-bit hash of the set, and only classes go on.
 
 Candidates are star-shaped: in a bucket, every class is paired with one centre, so a bucket of n
 classes gives n - 1 pairs.  Pairs whose signatures rule the similarity out are dropped, the others
-are confirmed on the full sets.  What the confirmed links connect needs no further comparison.  In
-the buckets that still hold several components, more stars follow round other centres, and at last
-the classes of different components are compared by signature block by block, so no link within a
-bucket is lost.  At a similarity of 0.85 a pair shares none of the 32 buckets once in 10**10 times.
+are confirmed on the full sets.  What the confirmed links connect needs no further comparison.  Where
+a bucket still holds several components, its classes are compared on the full sets, block by block
+within tasks that give out only the links which join components, so no link within a bucket is lost.  At a similarity of 0.85 a pair shares none of the 32 buckets once in 10**10 times.
 
 Defined results: null or empty texts have no shingles and are linked with nothing.  A document
 with fewer words than a shingle has its whole sequence as its one shingle.  Rows with the same id
@@ -31,8 +30,8 @@ from quayside.llm.common import Staged, slices
 
 _BINS, _ROWS = 128, 4
 _BANDS = _BINS // _ROWS
-#: Classes of a bucket in one block of the last comparison.
-_BLOCK = 1024
+#: Classes of a block of the last comparison, and columns of a bitmap there.
+_BLOCK, _COLUMNS = 512, 1 << 16
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -140,8 +139,8 @@ def features(text: Column, words: int) -> Column:
 def _least_alike(n: np.ndarray, percent: int) -> np.ndarray:
     """Bins that two sets must share to be worth a look, the smaller with ``n`` members."""
     share = percent / 100
-    really = 0.6 * _BINS * (1 - np.exp(-n / _BINS))
-    return _BINS * (share - 6 * np.sqrt(share * (1 - share) / np.maximum(really, 1)))
+    really = 0.75 * _BINS * (1 - np.exp(-n / _BINS))
+    return _BINS * (share - 5 * np.sqrt(share * (1 - share) / np.maximum(really, 1)))
 
 
 def _may_link(percent: int):
@@ -187,78 +186,81 @@ def components(spark: SparkSession, edges: DataFrame, staged: Staged) -> DataFra
             return label.select("id", "comp")
 
 
-class _Linker:
-    def __init__(self, spark: SparkSession, texts: DataFrame, reps: DataFrame, words: int, percent: int, staged: Staged):
-        self._texts, self._reps, self._words, self._percent, self._staged = texts, reps, words, percent, staged
-        self._tested: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs of classes (``a`` < ``b``), those not tested yet that are links."""
-        pairs = pairs.distinct()
-        if self._tested is not None:
-            pairs = pairs.join(self._tested, ["a", "b"], "left_anti")
-        for side in "ab":
-            pairs = pairs.join(
-                self._reps.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("marks").alias(f"marks_{side}")), side
-            )
-        near = pairs.where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(self._percent) * F.greatest("n_a", "n_b"))
-        near = self._staged(near.where(_may_link(self._percent)("marks_a", "marks_b", "n_a", "n_b")).select("a", "b").distinct())
-        self._tested = near if self._tested is None else self._tested.union(near)
-        ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = self._staged(self._texts.join(ids, "id", "left_semi"))
-        full = near.join(texts.select(F.col("id").alias("a"), F.col("text").alias("t_a")), "a")
-        full = full.join(texts.select(F.col("id").alias("b"), F.col("text").alias("t_b")), "b")
-        linked = self._staged(full.where(_links(self._words, self._percent)("t_a", "t_b")).select("a", "b").distinct())
-        self._staged.drop(texts)
-        return linked
-
-
-def _across(percent: int):
-    """Pairs of different components within a group of rows (ordered by group), by signature."""
-
-    def compare(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-        ids, comps, n, side = (group[c].to_numpy() for c in ("id", "comp", "n", "side"))
-        marks = np.frombuffer(b"".join(group["marks"].to_pylist()), dtype=np.uint8).reshape(-1, _BINS)
-        crossed = group["crossed"][0].as_py()
-        out = []
-        for k in range(len(ids) - 1):
-            rest = slice(k + 1, None)
-            like = (marks[rest] == marks[k]).sum(axis=1) >= _least_alike(np.minimum(n[rest], n[k]), percent)
-            like &= comps[rest] != comps[k]
-            like &= ids[rest] != ids[k]
-            if crossed:
-                like &= side[rest] != side[k]
-            found = ids[rest][like]
-            if len(found):
-                out.append((np.minimum(found, ids[k]), np.maximum(found, ids[k])))
-        return out
+def _confirm(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
+    """Of pairs of classes (``a``, ``b``), those that are links."""
+    pairs = pairs.distinct()
+    for side in "ab":
+        own = reps.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("marks").alias(f"marks_{side}"))
+        pairs = pairs.join(own, side)
+    near = pairs.where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+    near = staged(near.where(_may_link(percent)("marks_a", "marks_b", "n_a", "n_b")).select("a", "b").distinct())
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    some = texts.join(ids, "id", "left_semi")
+    full = near.join(some.select(F.col("id").alias("a"), F.col("text").alias("t_a")), "a")
+    full = full.join(some.select(F.col("id").alias("b"), F.col("text").alias("t_b")), "b")
+    return staged(full.where(_links(words, percent)("t_a", "t_b")).select("a", "b").distinct())
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members every two of the sets have in common, by bitmaps over members of two sets or more."""
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, place = owner[often[place] > 1], place[often[place] > 1]
+    _, place = np.unique(place, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for low in range(0, int(place.max(initial=-1)) + 1, _COLUMNS):
+        part = slice(*np.searchsorted(place, (low, low + _COLUMNS)))
+        bits = np.zeros((len(sets), _COLUMNS), dtype=bool)
+        bits[owner[part], place[part] - low] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        packed = packed[:, : -(-(int(place[part][-1]) - low + 1) // 64)]
+        for k in range(len(sets)):
+            out[k] += np.bitwise_count(packed & packed[k]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _block_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], crossed: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of a block, one for each two components that they join."""
+    both, sizes = _shared(sets), np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    linked &= crossed[:, None] != crossed[None, :] if crossed.any() and not crossed.all() else True
+    labels, out = comps.copy(), []
+    for k in range(len(ids)):
+        for other in np.flatnonzero(linked[k, k + 1 :] & (labels[k + 1 :] != labels[k])) + k + 1:
+            if labels[other] != labels[k]:
+                out.append((int(min(ids[k], ids[other])), int(max(ids[k], ids[other]))))
+                labels[labels == labels[other]] = labels[k]
+    return out
+
+
+def _within_blocks(words: int, percent: int):
+    """Confirmed links between components, block by block, of rows ordered by block."""
+
+    def found(block: pa.Table) -> list[tuple[int, int]]:
+        shingles, sizes = shingle_sets(block["text"].to_pylist(), words)
+        ends = np.cumsum(sizes)
+        sets = [shingles[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        ids, comps, crossed = (block[c].to_numpy() for c in ("id", "comp", "second"))
+        return _block_links(ids, comps, sets, crossed.astype(bool), percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-
-        def results(table: pa.Table, last: bool) -> tuple[list, pa.Table]:
-            groups = table["group"].to_numpy()
-            edges = np.flatnonzero(np.diff(groups)) + 1
-            bounds = [0, *edges.tolist()] + ([len(groups)] if last else [])
-            out = []
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if b - a > 1:
-                    out += compare(table.slice(a, b - a))
-            return out, table.slice(bounds[-1])
-
-        def shown(pairs: list) -> pa.RecordBatch:
-            a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *(p[k] for p in pairs)]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
+        held: pa.Table | None = None
         for batch in batches:
-            if batch.num_rows:
-                held.append(pa.Table.from_batches([batch]))
-                pairs, rest = results(pa.concat_tables(held), False)
-                held = [rest]
-                yield shown(pairs)
-        if held:
-            pairs, _ = results(pa.concat_tables(held), True)
-            yield shown(pairs)
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            blocks = held["block"].to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist()]
+            yield shown([p for a, b in zip(bounds, bounds[1:], strict=False) if b - a > 1 for p in found(held.slice(a, b - a))])
+            held = held.slice(bounds[-1])
+        if held is not None and held.num_rows > 1:
+            yield shown(found(held))
+
+    def shown(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
     return run
 
@@ -270,7 +272,6 @@ def link(
     text: str = "text",
     words: int = 5,
     percent: int = 80,
-    stars: int = 2,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``.
 
@@ -286,26 +287,19 @@ def link(
     bands = reps.select("cid", F.explode("bands").alias("key"))
     hubs = bands.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("far")).where("hub < far")
     crowd = staged(bands.join(hubs.select("key", "hub"), "key").select("key", "cid", "hub"))
-    linker = _Linker(spark, texts, reps, words, percent, staged)
+    # All that is compared from here on lies in a bucket with others.
+    close = staged(texts.join(crowd.select(F.col("cid").alias("id")).distinct(), "id", "left_semi"))
     # A document with several texts is in several classes, which it links.
     several = sets.join(classes, "set_hash").groupBy("id").agg(F.min("cid").alias("a"), F.max("cid").alias("z"), F.collect_set("cid").alias("all"))
     several = several.where("a < z").select("a", F.explode("all").alias("b")).where("a < b")
     edges = staged(several.distinct())
-    edges = edges.union(linker.confirm(crowd.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))))
+    star = crowd.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
+    edges = edges.union(_confirm(star, reps, close, words, percent, staged))
     comps = components(spark, edges, staged)
 
-    for turn in range(1, stars + 1):
-        mixed = _mixed(crowd, comps, staged)
-        if turn == stars:
-            pairs = _blocks(mixed, reps, percent)
-        else:
-            hub = mixed.groupBy("key").agg(F.min_by(F.struct("cid", "comp"), F.xxhash64("cid", F.lit(turn))).alias("h"))
-            star = mixed.join(hub, "key").where("comp <> h.comp")
-            pairs = star.select(F.least("cid", "h.cid").alias("a"), F.greatest("cid", "h.cid").alias("b"))
-        found = linker.confirm(pairs)
-        if not found.isEmpty():
-            edges = edges.union(found)
-            comps = components(spark, edges, staged)
+    more = staged(_across(spark, crowd, comps, close, staged, words, percent))
+    if not more.isEmpty():
+        comps = components(spark, edges.union(more), staged)
 
     of = sets.select("id", "set_hash").join(classes, "set_hash").groupBy("id").agg(F.min("cid").alias("cid"))
     of = of.join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").select("id", F.coalesce("comp", "cid").alias("comp"))
@@ -318,24 +312,27 @@ def link(
     )
 
 
-def _mixed(crowd: DataFrame, comps: DataFrame, staged: Staged) -> DataFrame:
-    """The rows of buckets that hold several components, with the number of rows of the bucket."""
+def _across(
+    spark: SparkSession, crowd: DataFrame, comps: DataFrame, texts: DataFrame, staged: Staged, words: int, percent: int
+) -> DataFrame:
+    """Links between components that have classes in one bucket, besides those to its centre.
+
+    Classes that such buckets connect are a neighbourhood.  It is cut into blocks, and each two blocks
+    of a neighbourhood are compared on the full sets within one task.
+    """
     named = crowd.select("key", "cid").join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left")
     named = named.select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
-    several = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("many"))
-    return staged(named.join(several.where("lo < hi").select("key", "many"), "key"))
-
-
-def _blocks(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components within a bucket whose signatures allow a link."""
-    blocks = F.ceil(F.col("many") / _BLOCK).cast("int")
-    dealt = mixed.withColumn("own", F.pmod(F.xxhash64("cid", F.lit(77)), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    several = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cid").alias("first"))
+    mixed = staged(named.join(several.where("lo < hi").select("key", "first"), "key"))
+    near = components(spark, mixed.where("cid > first").select(F.col("first").alias("a"), F.col("cid").alias("b")), staged)
+    near = near.join(mixed.select(F.col("cid").alias("id"), F.col("comp").alias("own")).distinct(), "id")
+    near = near.join(near.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks")), "comp")
+    dealt = near.withColumn("k", F.pmod(F.xxhash64("id", F.lit(77)), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"),
-        F.col("cid").alias("id"), "comp", F.col("own").alias("side"),
-        F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+        F.xxhash64("comp", F.least("k", "other"), F.greatest("k", "other")).alias("block"),
+        "id", F.col("own").alias("comp"), (F.col("k") > F.col("other")).alias("second"),
     )
-    dealt = dealt.join(reps.select(F.col("cid").alias("id"), "n", "marks"), "id")
-    dealt = dealt.select("group", "id", "comp", "side", (F.col("lo") != F.col("hi")).alias("crossed"), "n", "marks")
-    return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_across(percent), "a bigint, b bigint")
+    dealt = texts.join(dealt, "id").select("block", "id", "comp", "second", "text")
+    pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_within_blocks(words, percent), "a bigint, b bigint")
+    return pairs.distinct()
