@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_HELPERS = uuid.uuid4().hex[:12]
+
 # Size units are base 10.
 SIZE_UNITS = {"": 1, "KB": 1_000, "MB": 1_000_000, "GB": 1_000_000_000}
 # Fixed value: the largest size the 64-bit unsigned counter can hold.
@@ -15,6 +18,11 @@ MAX_SIZE = 2**64 - 1
 FORMATS = ("parquet", "csv")
 
 
+def helper_name(name: str) -> str:
+    """A column name for internal use, drawn anew in each process, that no user column has."""
+    return f"__{name}_{_HELPERS}"
+
+
 def parse_size(text: str) -> int:
     """``500KB`` -> 500000; a bare number is bytes; the unit's case does not matter."""
     if not text.strip():

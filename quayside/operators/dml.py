@@ -7,6 +7,7 @@ the table as it was.  Changed rows are counted in the job that writes them.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -14,10 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.naming import quote_identifier, table_identifier
+from quayside.functions.naming import helper_name, quote_identifier, table_identifier
 from quayside.storage import HadoopFiles
 
-_HIT, _SOURCE = "__hit", "__source"
+_HIT, _SOURCE = helper_name("hit"), helper_name("source")
+
+
+class ConcurrentWriteError(RuntimeError):
+    """The table was written by others while a change to it ran; the change was not applied."""
 
 
 class AmbiguousMergeError(ValueError):
@@ -80,14 +85,15 @@ def update(
     alias: str | None = None,
 ) -> DmlResult:
     """``UPDATE table SET ... WHERE condition``; all values see the old row."""
+    seen = _state(spark, table)
     current = _aliased(spark, table, alias)
     if current.where(_holds(condition)).isEmpty():
         return DmlResult(0, None)
     changed = Observation()
     rows = updated(current, assignments, condition)
     rows = rows.observe(changed, F.count_if(_HIT).alias("rows")).drop(_HIT)
-    version = _write_version(spark, table, rows)
-    return DmlResult(changed.get["rows"], _point_at(spark, table, version))
+    version = _write_version(spark, seen, rows)
+    return DmlResult(changed.get["rows"], _point_at(spark, table, version, seen))
 
 
 def delete(
@@ -97,14 +103,15 @@ def delete(
     alias: str | None = None,
 ) -> DmlResult:
     """``DELETE FROM table WHERE condition``."""
+    seen = _state(spark, table)
     current = _aliased(spark, table, alias)
     if current.where(_holds(condition)).isEmpty():
         return DmlResult(0, None)
     counted = Observation()
     flagged = current.withColumn(_HIT, _holds(condition))
     flagged = flagged.observe(counted, F.count_if(_HIT).alias("rows"))
-    version = _write_version(spark, table, flagged.where(~F.col(_HIT)).drop(_HIT))
-    return DmlResult(counted.get["rows"], _point_at(spark, table, version))
+    version = _write_version(spark, seen, flagged.where(~F.col(_HIT)).drop(_HIT))
+    return DmlResult(counted.get["rows"], _point_at(spark, table, version, seen))
 
 
 def merge(
@@ -129,23 +136,24 @@ def merge(
     conditions may use both aliases (inserts only the source).
     """
     keys = dict(on) if isinstance(on, Mapping) else {key: key for key in on}
+    seen = _state(spark, table)
     target = spark.table(table_identifier(table))
-    if clash := {_HIT, _SOURCE} & {*target.columns, *source.columns}:
-        raise ValueError(f"reserved column names: {', '.join(sorted(clash))}")
-    _reject_ambiguous(target, source, keys)
-
-    counted = Observation()
-    kept = _matched_side(
-        target.alias(target_alias),
-        source.withColumn(_SOURCE, F.lit(True)).alias(source_alias),
-        _key_match(keys, target_alias, source_alias),
-        _by_target_name(target, update or {}),
-        _holds(update_when) if update is not None else F.lit(False),
-        _holds(delete_when) if delete_matched else F.lit(False),
-        target_alias,
-    )
-    kept = kept.observe(counted, F.count_if(F.col(_HIT) != "").alias("rows"))
-    result = kept.where(F.col(_HIT) != "delete").drop(_HIT)
+    # Without a clause for matched rows it does not matter how often they match.
+    changes_matched = update is not None or delete_matched
+    counted, result = Observation(), target
+    if changes_matched:
+        _reject_ambiguous(target, source, keys)
+        kept = _matched_side(
+            target.alias(target_alias),
+            source.withColumn(_SOURCE, F.lit(True)).alias(source_alias),
+            _key_match(keys, target_alias, source_alias),
+            _by_target_name(target, update or {}),
+            _holds(update_when) if update is not None else F.lit(False),
+            _holds(delete_when) if delete_matched else F.lit(False),
+            target_alias,
+        )
+        kept = kept.observe(counted, F.count_if(F.col(_HIT) != "").alias("rows"))
+        result = kept.where(F.col(_HIT) != "delete").drop(_HIT)
 
     inserted = None
     if insert is not None:
@@ -159,9 +167,9 @@ def merge(
             ]
         )
         result = result.unionAll(added.observe(inserted, F.count(F.lit(1)).alias("rows")))
-    version = _write_version(spark, table, result)
-    rows = counted.get["rows"] + (inserted.get["rows"] if inserted else 0)
-    return DmlResult(rows, _point_at(spark, table, version))
+    version = _write_version(spark, seen, result)
+    rows = (counted.get["rows"] if changes_matched else 0) + (inserted.get["rows"] if inserted else 0)
+    return DmlResult(rows, _point_at(spark, table, version, seen))
 
 
 def _key_match(keys: Mapping[str, str], left: str, right: str) -> Column:
@@ -251,14 +259,39 @@ def _location(spark: SparkSession, table: str) -> str:
     return found["Location"]
 
 
-def _write_version(spark: SparkSession, table: str, rows: DataFrame) -> str:
-    current = _location(spark, table).rstrip("/")
-    version = f"{current.split('.v-')[0]}.v-{uuid.uuid4().hex}"
-    rows.write.parquet(version)
+@dataclass(frozen=True)
+class _State:
+    """Where a table lies, and the files (with their sizes) that are there."""
+
+    location: str
+    files: tuple[tuple[str, int], ...]
+
+
+def _state(spark: SparkSession, table: str) -> _State:
+    """Taken before the table is read, and again before it is switched."""
+    location = _location(spark, table)
+    spark.catalog.refreshTable(table_identifier(table))
+    return _State(location, tuple(sorted(HadoopFiles(spark).walk(location))))
+
+
+def _write_version(spark: SparkSession, seen: _State, rows: DataFrame) -> str:
+    version = re.sub(r"\.v-[0-9a-f]{32}$", "", seen.location.rstrip("/")) + f".v-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(version)
+    except Exception:
+        HadoopFiles(spark).delete(version)
+        raise
     return version
 
 
-def _point_at(spark: SparkSession, table: str, version: str) -> str:
-    previous = _location(spark, table)
+def _point_at(spark: SparkSession, table: str, version: str, seen: _State) -> str:
+    """Switch to the new version, unless the table is no longer what it was made from.
+
+    The listings are compared right before the switch; of two changes that end within that moment
+    the later one wins, as there is no lock.
+    """
+    if _state(spark, table) != seen:
+        HadoopFiles(spark).delete(version)
+        raise ConcurrentWriteError(f"{table} was written while it was being changed")
     spark.sql(f"ALTER TABLE {table_identifier(table)} SET LOCATION '{version}'")
-    return previous
+    return seen.location

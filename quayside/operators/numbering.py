@@ -23,13 +23,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import quote_identifier
+from quayside.functions.naming import helper_name, quote_identifier
 from quayside.sources.scan import scan_bytes
 from quayside.storage import HadoopFiles
 
-#: Names of the helper columns; user columns must not use them.
-PART, ROW, WEIGHT, BEFORE, NUMBER = "__part", "__row", "__weight", "__before", "__number"
-_OFFSET_ROWS, _OFFSET_WEIGHT = "__offset_rows", "__offset_weight"
+#: Names of the helper columns.
+PART, ROW, WEIGHT, BEFORE, NUMBER = map(helper_name, ("part", "row", "weight", "before", "number"))
+_OFFSET_ROWS, _OFFSET_WEIGHT = helper_name("offset_rows"), helper_name("offset_weight")
 
 #: Target size of one task's share of staged Parquet.
 TASK_BYTES = 128 * 1024 * 1024

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import quote_identifier
+from quayside.functions.naming import helper_name, quote_identifier
 from quayside.operators.numbering import (
     BEFORE,
     NUMBER,
@@ -22,9 +22,9 @@ from quayside.operators.numbering import (
 )
 from quayside.sources.dialect import CsvDialect
 
-FILE_ID = "__file_id"
-_BUCKET = "__bucket"
-_FIRST, _FIRST_FILE = "__first_number", "__first_file"
+FILE_ID = helper_name("file_id")
+_BUCKET = helper_name("bucket")
+_FIRST, _FIRST_FILE = helper_name("first_number"), helper_name("first_file")
 
 
 @dataclass(frozen=True)
@@ -98,13 +98,9 @@ def assign_files(
     rows are cut wherever the weight before them crosses a multiple of
     ``bucket_weight``, so a file exceeds the limit by at most the row that
     crosses it; a row limit then cuts again inside each of those stretches.
-    When files of ``max_rows`` rows never reach the byte limit, the row limit
-    alone decides.
+    The rule is the same whatever the rows hold.
     """
     frame = numbered.frame
-    if bucket_weight is not None and limits.max_rows is not None:
-        if _row_limit_decides(frame, limits.max_rows, bucket_weight):
-            bucket_weight = None
     if bucket_weight is None:
         file_id = F.expr(f"`{NUMBER}` div {limits.max_rows}")
         assigned = frame.withColumn(FILE_ID, file_id).drop(BEFORE, WEIGHT)
@@ -148,14 +144,6 @@ def _even_counts(rows: int, per_file: int) -> tuple[int, ...]:
     return (per_file,) * full + ((rest,) if rest else ())
 
 
-def _row_limit_decides(frame: DataFrame, max_rows: int, bucket_weight: int) -> bool:
-    """Whether no file of ``max_rows`` rows is full by weight before its last row."""
-    per_file = frame.groupBy(F.expr(f"`{NUMBER}` div {max_rows}")).agg(
-        (F.max(BEFORE) - F.min(BEFORE)).alias("weight")
-    )
-    return (per_file.agg(F.max("weight")).first()[0] or 0) < bucket_weight
-
-
 def place_files(assigned: Assigned, file_bytes: int) -> DataFrame:
     """Bring every file's rows into one task, in row order.
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import quote_identifier, table_identifier
@@ -16,16 +14,10 @@ from quayside.sources.scan import (
     naming_missing_path,
     as_paths,
     common_format,
-    scan_bytes,
     scan_parquet,
     settle_line_breaks,
 )
 
-#: CSV input up to this size is inferred in full, larger input from a sample of about this size.
-FULL_INFERENCE_BYTES = 256 * 1024 * 1024
-#: At most this many files make up the sample.
-_SAMPLE_FILES = 1000
-
 
 class NoDataRowsError(ValueError):
     """A CSV input holds a header but no rows, so it has no types to infer."""
@@ -47,23 +39,22 @@ def infer_parquet_schema(spark: SparkSession, paths: str | Sequence[str]) -> T.S
 
 
 def infer_csv_schema(
-    spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    dialect: CsvDialect | None = None,
+    sampling_ratio: float | None = None,
 ) -> T.StructType:
     """Column names and types found by parsing values under ``dialect``.
 
     Whole numbers become 64-bit, date-times carry no zone, and headerless
     columns are named ``col_1 .. col_N``.  Input with no data rows is an error.
-    Large input is judged by some of its files; a value elsewhere that does not
-    fit the type found fails the scan, it is never dropped.
+    All rows are looked at, in parallel, however large the input.  Only a caller
+    who asks for it gets types from a share of the rows (``sampling_ratio``); a
+    value elsewhere that does not fit then fails the scan, it is never dropped.
     """
     paths = as_paths(paths)
     dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
-    size = naming_missing_path(paths, lambda: scan_bytes(spark.read.text(paths)))
-    found = T.StructType()
-    if size > FULL_INFERENCE_BYTES:
-        found = _parsed_schema(spark, _some_files(spark, paths, size), dialect)
-    if not found.fields:
-        found = _parsed_schema(spark, paths, dialect)
+    found = naming_missing_path(paths, lambda: _parsed_schema(spark, paths, dialect, sampling_ratio))
     if not found.fields:
         raise NoDataRowsError(f"no data rows in {', '.join(paths)}")
     return _named_columns(found, dialect, _widen)
@@ -93,25 +84,18 @@ def _named_columns(schema: T.StructType, dialect: CsvDialect, kind: Callable) ->
     )
 
 
-def _parsed_schema(spark: SparkSession, paths: list[str], dialect: CsvDialect) -> T.StructType:
+def _parsed_schema(
+    spark: SparkSession, paths: list[str], dialect: CsvDialect, sampling_ratio: float | None
+) -> T.StructType:
     """Schema of the rows in some files, empty if they have none."""
     reader = spark.read.options(**dialect.read_options()).option("inferSchema", "true")
-    size = scan_bytes(spark.read.text(paths))
-    if size > 2 * FULL_INFERENCE_BYTES:
-        reader = reader.option("samplingRatio", FULL_INFERENCE_BYTES / size)
+    if sampling_ratio is not None:
+        reader = reader.option("samplingRatio", sampling_ratio)
     with _session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
         frame = reader.csv(paths)
     return T.StructType() if frame.isEmpty() else frame.schema
 
 
-def _some_files(spark: SparkSession, paths: list[str], size: int) -> list[str]:
-    """About FULL_INFERENCE_BYTES of the input files, spread over all of them."""
-    one_in = math.ceil(size / FULL_INFERENCE_BYTES)
-    files = spark.read.format("binaryFile").load(paths).select("path")
-    picked = files.where(F.pmod(F.xxhash64("path"), F.lit(one_in)) == 0).limit(_SAMPLE_FILES)
-    return [row.path for row in picked.collect()] or paths
-
-
 def _widen(found: T.DataType) -> T.DataType:
     return T.LongType() if isinstance(found, T.IntegerType) else found
 

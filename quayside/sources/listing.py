@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.sources.scan import naming_missing_path, as_paths
+from quayside.storage import HadoopFiles
 
 
 def list_recursive(paths: DataFrame, prefix: str = "", column: str = "path") -> DataFrame:
@@ -50,8 +51,8 @@ def list_files(
 ) -> DataFrame:
     """Listing of the files below a root directory."""
     files = scan_blobs(spark, root).select(F.col("path").alias("full"))
-    below = rf"^.*?\Q{root.rstrip('/').split(':')[-1]}\E/"
-    relative = files.select(F.regexp_replace("full", below, "").alias("path"))
+    base = HadoopFiles(spark).qualified(root).rstrip("/")
+    relative = files.select(F.substring("full", len(base) + 2, 2**31 - 1).alias("path"))
     return list_recursive(relative, prefix) if recursive else list_children(relative, prefix)
 
 
@@ -85,14 +86,18 @@ def extract_blobs(blobs: DataFrame, directory: str, prefix: str = "") -> tuple[i
     their own rows, each to a name of its own first, so a retried task only
     repeats its work.  Returns (files, bytes).
     """
-    base = directory.rstrip("/")
+    base = HadoopFiles(blobs.sparkSession).qualified(directory).rstrip("/")
+    if base.startswith("file:"):
+        if not blobs.sparkSession.sparkContext.master.startswith("local"):
+            raise ValueError(f"{directory} is on each executor's own disk; name a shared folder")
+        base = "file://" + base.removeprefix("file:").removeprefix("//")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from uuid import uuid4
 
         from pyarrow import fs
 
-        files, root = fs.FileSystem.from_uri(base if "://" in base else f"file://{base}")
+        files, root = fs.FileSystem.from_uri(base)
         for batch in batches:
             lengths = []
             for name, content in zip(batch["name"], batch["content"]):

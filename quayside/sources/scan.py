@@ -133,21 +133,17 @@ def settle_line_breaks(
 ) -> CsvDialect:
     """The dialect with ``multi_line`` decided, if it was left open.
 
-    Files beyond the size of one task are looked through in parallel: if every
-    line is a whole record, they can be split among tasks.
+    The content alone decides, whatever the size of the input: files of which
+    every line is a whole record can be split among tasks.  A carriage return
+    that ends no line belongs to a value, so such a file is not split.
     """
     if dialect.multi_line is not None:
         return dialect
-    lines = naming_missing_path(paths, lambda: spark.read.text(paths))
-    task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    multi_line = True
-    if scan_bytes(lines) > task:
-        files = spark.read.format("binaryFile").load(paths)
-        if files.agg(F.max("length")).first()[0] > task:
-            broken = F.col("value").contains(dialect.quote)
-            broken &= ~F.col("value").rlike(dialect.whole_line_pattern())
-            multi_line = not lines.where(broken).isEmpty()
-    return replace(dialect, multi_line=multi_line)
+    lines = naming_missing_path(paths, lambda: spark.read.option("lineSep", "\n").text(paths))
+    line = F.regexp_replace("value", "\r$", "")
+    broken = line.contains("\r")
+    broken |= line.contains(dialect.quote) & ~line.rlike(dialect.whole_line_pattern())
+    return replace(dialect, multi_line=not lines.where(broken).isEmpty())
 
 
 def scan_files(

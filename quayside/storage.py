@@ -50,6 +50,10 @@ class HadoopFiles:
     def _fs(self, path: str):
         return self._path(path).getFileSystem(self._conf)
 
+    def qualified(self, path: str) -> str:
+        """The path with its scheme and store, as listings show it."""
+        return self._fs(path).makeQualified(self._path(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.operators import dml
 from quayside.operators.dml import AmbiguousMergeError, delete, merge, update
 from quayside.operators.dml_sql import run_dml
 
@@ -149,3 +150,34 @@ def test_merge_plan_has_no_full_join(spark, table, folder):
     )
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [k" in plan and "LeftOuter, BuildRight" in plan
+
+
+def test_a_write_meanwhile_is_not_lost(spark, filled, monkeypatch):
+    written = dml._write_version
+
+    def slow(spark, *args):
+        version = written(spark, *args)
+        spark.sql(f"INSERT INTO {filled} VALUES (9,'new',9)")
+        return version
+
+    monkeypatch.setattr(dml, "_write_version", slow)
+    for change in (lambda: update(spark, filled, {"n": "0"}), lambda: delete(spark, filled, "k = 1")):
+        with pytest.raises(dml.ConcurrentWriteError):
+            change()
+    assert [row[0] for row in content(spark, filled)] == [1, 2, 3, 4, 9, 9]
+
+
+def test_insert_only_merge_takes_repeated_keys(spark, filled):
+    source = spark.sql("SELECT * FROM VALUES (1,'x',1),(1,'y',2),(7,'z',3) AS s(k, v, n)")
+    assert merge(spark, filled, source, ["k"], insert={"k": "s.k", "v": "s.v", "n": "s.n"}).rows == 1
+    assert (7, "z", 3) in content(spark, filled) and len(content(spark, filled)) == 5
+
+
+def test_versions_stay_beside_the_table(spark, folder, table):
+    spark.sql(f"CREATE TABLE {table} (k INT) USING parquet LOCATION '{folder}/job.v-2/table'")
+    spark.sql(f"INSERT INTO {table} VALUES (1)")
+    for _ in range(2):
+        update(spark, table, {"k": "k + 1"})
+    place = dml._location(spark, table)
+    assert f"{folder}/job.v-2/table.v-" in place and place.count(".v-") == 2
+    assert [r.k for r in spark.table(table).collect()] == [3]

@@ -122,7 +122,7 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
 def test_split_plan_shuffles_the_rows_once(spark, folder):
     """Stored rows are numbered in place: a broadcast lookup, then one exchange by file."""
     from quayside.operators.numbering import number_rows, position_rows
-    from quayside.operators.split import SplitLimits, assign_files, place_files
+    from quayside.operators.split import FILE_ID, SplitLimits, assign_files, place_files
 
     spark.range(0, 1000, 1, 4).write.parquet(f"{folder}/in")
     positioned = position_rows(spark.read.parquet(f"{folder}/in"), True, f"{folder}/scratch")
@@ -135,4 +135,4 @@ def test_split_plan_shuffles_the_rows_once(spark, folder):
     assert plan.count("BroadcastHashJoin") == 1
     assert plan.count("Exchange shufflepartitionidpassthrough") == 1
     assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
-    assert placed.agg(F.max("__file_id")).first()[0] == 3
+    assert placed.agg(F.max(FILE_ID)).first()[0] == 3

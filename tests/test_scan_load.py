@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from quayside.operators.load import append, load
-from quayside.sources import infer
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.infer import (
     NoDataRowsError,
@@ -174,7 +173,7 @@ def test_large_files_are_split_if_lines_are_whole(spark, folder, line, dialect,
     path = write(f"{folder}/w.csv", header + text)
     schema = T.StructType.fromDDL("id int, v string, w string")
     small = scan_csv(spark, path, dialect, schema)
-    assert settle_line_breaks(spark, [path], dialect).multi_line is True
+    assert settle_line_breaks(spark, [path], dialect).multi_line is not whole
     spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
     try:
         assert settle_line_breaks(spark, [path], dialect).multi_line is not whole
@@ -186,28 +185,42 @@ def test_large_files_are_split_if_lines_are_whole(spark, folder, line, dialect,
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_large_csv_is_inferred_from_a_sample(spark, folder, monkeypatch):
-    monkeypatch.setattr(infer, "FULL_INFERENCE_BYTES", 20_000)
-    write(f"{folder}/l.csv", "id,x\n" + "".join(f"{i},{i}.5\n" for i in range(20000)))
-    frame = scan_csv(spark, f"{folder}/l.csv")
-    assert frame.dtypes == [("id", "bigint"), ("x", "double")]
-    assert frame.agg(F.sum("id")).first()[0] == sum(range(20000))
-
-
-def test_large_input_is_judged_by_some_files(spark, folder, monkeypatch):
-    monkeypatch.setattr(infer, "FULL_INFERENCE_BYTES", 300)
+def test_types_hold_for_all_rows(spark, folder):
     for i in range(40):
         write(f"{folder}/f{i}.csv", "id,x\n" + "".join(f"{i},{j}.5\n" for j in range(20)))
-    picked = infer._some_files(spark, [f"{folder}/*.csv"], 40 * 130)
-    assert 0 < len(picked) < 20
-    frame = scan_csv(spark, f"{folder}/*.csv")
-    assert frame.dtypes == [("id", "bigint"), ("x", "double")] and frame.count() == 800
+    assert infer_csv_schema(spark, f"{folder}/*.csv").simpleString() == "struct<id:bigint,x:double>"
     write(f"{folder}/f40.csv", "id,x\nnot a number,1\n")
+    assert scan_csv(spark, f"{folder}/*.csv").dtypes == [("id", "string"), ("x", "double")]
     schema = T.StructType.fromDDL("id bigint, x double")
     with pytest.raises(Exception, match="(?i)malformed"):
         scan_csv(spark, f"{folder}/*.csv", schema=schema).collect()
 
 
+def test_a_lone_carriage_return_reads_alike_at_any_size(spark, folder):
+    path = write(f"{folder}/r.csv", "id,v\n" + "".join(f"{i},a\rb\n" for i in range(200)))
+    schema = T.StructType.fromDDL("id int, v string")
+    small = scan_csv(spark, path, schema=schema).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        assert scan_csv(spark, path, schema=schema).collect() == small and len(small) == 200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("kind, value", [("INT", "1.7D"), ("INT", "3000000000L"), ("INT", "'abc'"), ("DECIMAL(4,1)", "1.25D")])
+def test_append_loses_nothing(spark, table, ansi, kind, value):
+    spark.sql(f"CREATE TABLE {table} (v {kind}) USING parquet")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="does not fit"):
+            append(spark.sql(f"SELECT {value} AS v"), table)
+        assert append(spark.sql("SELECT 2.0D AS v UNION ALL SELECT NULL"), table) == 2
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert sorted(str(r.v) for r in spark.table(table).collect())[1] == "None"
+
+
 def test_dry_run_changes_nothing(spark, folder):
     path = write(f"{folder}/people.csv", PEOPLE)
     before = spark.catalog.listTables()

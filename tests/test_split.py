@@ -27,10 +27,7 @@ def cut(lines, max_rows, max_bytes, header):
     """Brute force: grid of bytes, then rows inside each grid cell."""
     step = max_rows or len(lines)
     by_rows = [lines[i : i + step] for i in range(0, len(lines), step)]
-    full = max_bytes is not None and any(
-        header + sum(map(len, part[:-1])) >= max_bytes for part in by_rows
-    )
-    if max_rows and not full:
+    if max_bytes is None:
         return by_rows
     room, before, cells = max_bytes - header, 0, {}
     for line in lines:
@@ -271,3 +268,12 @@ def test_single_column_keeps_rows_without_a_value(spark, folder):
     assert (result.rows, result.num_files) == (5, 3)
     back = scan_csv(spark, result.paths, schema=spark.read.parquet(f"{folder}/in").schema)
     assert sorted(str(r[0]) for r in back.collect()) == sorted(str(r[0]) for r in rows)
+
+
+@pytest.mark.parametrize("limits", [{"max_rows_per_file": 4}, {"max_file_size": 60}, {"max_rows_per_file": 3, "max_file_size": 60}])
+@pytest.mark.parametrize("name", ["__file_id", "__FILE_ID", "__bucket", "__first_number", "__offset_rows", "__row"])
+def test_no_user_column_is_lost(spark, folder, limits, name):
+    export(spark, f"{folder}/c.csv", "csv", query=f"SELECT id AS {name}, id * 2 AS v FROM range(10)", **limits)
+    written = scan_csv(spark, f"{folder}/c*.csv")
+    assert written.columns == [name, "v"]
+    assert sorted(tuple(r) for r in written.collect()) == [(i, 2 * i) for i in range(10)]
