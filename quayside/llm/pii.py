@@ -31,6 +31,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents to learn from, at most about so many, and windows taken from them.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 3000, 1600
 WINDOW, REACH = 48, 40
+#: Steps of training that few windows are repeated for.
+_LEAST_STEPS = 200
 _STRIDE, _CLASSES, _HIDDEN, _TAGS = WINDOW // 2, 18, 14, 1 + 2 * len(KINDS)
 _LEAST_CERTAIN, _SHORTEST = 0.9, {"email": 6, "ip": 7, "card": 12, "phone": 10}
 
@@ -205,7 +207,9 @@ def fit(classes: np.ndarray, tags: np.ndarray, epochs: int = 8, rate: float = 0.
         weights[f"on_{side}"] = random.normal(0, 0.2, (_HIDDEN, 4 * _HIDDEN))
     weights |= {"out": random.normal(0, 0.3, (2 * _HIDDEN, _TAGS)), "bias": np.zeros(_TAGS), "move": np.zeros((_TAGS, _TAGS))}
     moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in weights.items()}
-    step, steps = 0, epochs * -(-len(classes) // batch)
+    batches = -(-len(classes) // batch)
+    epochs = max(epochs, -(-_LEAST_STEPS // batches))
+    step, steps = 0, epochs * batches
     for _ in range(epochs):
         order = random.permutation(len(classes))
         for at in range(0, len(order), batch):

@@ -182,7 +182,8 @@ def score(text: Column, model: QualityModel) -> Column:
             if model.first is None:
                 scores.append(np.full(len(part), model.prior))
             else:
-                scores.append(_sigmoid(_forward(model, text_features(part.to_pylist(), memory()))[2]))
+                # The last digits depend on what rows are multiplied together.
+                scores.append(_sigmoid(_forward(model, text_features(part.to_pylist(), memory()))[2]).round(9))
         return pa.array(np.concatenate(scores), pa.float64())
 
     return F.arrow_udf(judge, "double").asNondeterministic()(text)
