@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from quayside.storage import HadoopFiles, scratch_dir
 
 #: Text that a task takes into its arrays at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Words that a worker remembers between batches.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,13 +102,15 @@ _KEPT: dict[str, object] = {}
 
 
 def worker_wide(make):
-    """A function that makes an object once per worker process, where tasks that follow find it again."""
+    """A function that makes an object once per worker process, where the next tasks of the job find it again.
+
+    Workers outlive jobs, so a worker keeps the object of the latest job alone.
+    """
     token = uuid.uuid4().hex
 
     def get():
         if token not in _KEPT:
-            while len(_KEPT) > 3:
-                del _KEPT[next(iter(_KEPT))]
+            _KEPT.clear()
             _KEPT[token] = make()
         return _KEPT[token]
 
