@@ -48,8 +48,17 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=1, keepdims=True)
 
 
+#: Documents whose bags are made at a time.
+_CHUNK = 200
+
+
 def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, bucket, share of the document's bag), ordered by document."""
+    parts = [_some_bags(texts[at : at + _CHUNK], at) for at in range(0, len(texts), _CHUNK)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _some_bags(texts: list[str], first_row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     numbers: dict[str, int] = {}
     rows, words, counts = [], [], []
     for row, text in enumerate(texts):
@@ -71,7 +80,8 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.diff(cell, prepend=-1))
     mass = np.add.reduceat(mass, first) if len(first) else mass
     row, bucket = cell[first] // _BUCKETS, cell[first] % _BUCKETS
-    return row, bucket, mass / np.maximum(np.bincount(row, weights=mass, minlength=len(texts)), 1)[row]
+    share = mass / np.maximum(np.bincount(row, weights=mass, minlength=len(texts)), 1)[row]
+    return (row + first_row).astype(np.int32), bucket.astype(np.int32), share.astype(np.float32)
 
 
 def _within(sizes: np.ndarray) -> np.ndarray:
@@ -95,6 +105,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 60, rate: float = 0.02
     often = np.bincount(bucket, minlength=_BUCKETS)[bucket] >= min(max(3, len(texts) // 400), len(texts))
     row, bucket, cell = row[often], bucket[often], cell[often]
     used, bucket = np.unique(bucket, return_inverse=True)
+    bucket = bucket.astype(np.int32)
     one = target[row] == 1
     rates = [
         (np.bincount(bucket[side], minlength=len(used)) + 0.5) / (total + 1) + 0.01
