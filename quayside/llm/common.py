@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quayside.storage import HadoopFiles, scratch_dir
 
 #: Text that a task takes into its arrays at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Words that a worker remembers between batches.
 REMEMBERED_WORDS = 200_000
 
