@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import SLICE_BYTES, Staged, slices
-from quayside.llm.neardup import components
+from quayside.llm.neardup import by_block, components, deal, joining
 
 #: Sampled steps that a fingerprint has at most; on average three quarters of it.
 SAMPLES = 512
@@ -97,7 +97,8 @@ class Notes:
     @classmethod
     def parse(cls, text: str) -> Notes:
         level, _, digits = text.partition(":")
-        return cls(int(level), np.array([int(c, 16) for c in digits], dtype=np.uint8))
+        found = np.frombuffer(digits.encode(), dtype=np.uint8)
+        return cls(int(level), found - np.uint8(48) - np.uint8(39) * (found > 57))
 
     def text(self) -> str:
         """The level, and a hexadecimal digit per sampled step."""
@@ -269,46 +270,164 @@ def compare_in_order(documents: DataFrame, key: str = "doc_id", text: str = "tex
     return in_order(documents, key, text, partitions).mapInArrow(run, _COMPARED)
 
 
-#: Notes of a band, and the least likeness of a link.
-BAND_NOTES, LEAST_LIKENESS = 8, 0.8
+#: Notes of a band, the strides at which bands take them, and the least likeness of a link.
+BAND_NOTES, STRIDES, LEAST_LIKENESS = 9, (3, 5, 11), 0.8
+#: Fingerprints with fewer notes have bands drawn from all of their notes besides, for prefixes of these lengths.
+_SHORT, _DRAWN = 280, 64
+_PREFIXES = sorted({max(k + 1, int(1.1**k)) for k in range(60) if 1.1**k <= _SHORT})
+#: Members of a block of the last comparison.
+_MEMBERS = 512
+
+
+def _drawn(prefix: int) -> np.ndarray:
+    """Places below ``prefix``, a line per band; the shorter the prefix, the fewer notes to a band."""
+    width = 8 if prefix >= 40 else 6 if prefix >= 16 else 4 if prefix >= 8 else max(1, prefix // 2)
+    random = np.random.default_rng(prefix)
+    lines = {tuple(sorted(random.permutation(prefix)[:width].tolist())) for _ in range(_DRAWN)}
+    return np.array(sorted(lines), dtype=np.int64)
+
+
+_PLACES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _places(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The notes of each band of a fingerprint with ``count`` notes, and what names the band; place ``count`` is none."""
+    if count not in _PLACES:
+        lines, names = [], []
+        for stride in STRIDES:
+            span = stride * BAND_NOTES
+            for at in range(count // span * stride):
+                window, first = divmod(at, stride)
+                lines.append(window * span + first + stride * np.arange(BAND_NOTES))
+                names.append((stride << 32) + at)
+        # The longer one of two like texts has at most 1.25 times the notes; prefixes are 1.1 apart, or 1.
+        for prefix in _PREFIXES:
+            if prefix <= count <= max(1.375 * prefix, prefix + 2) and count <= _SHORT:
+                for k, line in enumerate(_drawn(prefix)):
+                    lines.append(line)
+                    names.append((1 << 48) + (prefix << 32) + k)
+        places = np.full((len(lines), BAND_NOTES), count, dtype=np.int64)
+        for row, line in zip(places, lines, strict=True):
+            row[: len(line)] = line
+        _PLACES[count] = places, np.array(names, dtype=np.uint64)
+    return _PLACES[count]
+
+
+def band_keys(notes: Notes) -> np.ndarray:
+    """Keys of all bands: those of the own level, and of the next where a text of that level may be alike."""
+    keys = [np.zeros(0, dtype=np.uint64)]
+    for level in (notes.level, notes.level + 1):
+        own = notes.coarse(level)
+        if level > notes.level and len(own) < SAMPLES // 4:
+            # A text of the next level has about SAMPLES / 2 notes or more.
+            continue
+        places, names = _places(len(own))
+        held = np.append(own.astype(np.uint64), np.uint64(0))[places]
+        content = (held << (np.uint64(4) * np.arange(BAND_NOTES, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+        keys.append(_mixed(content ^ _mixed(names ^ np.uint64(level << 56))))
+    return np.unique(np.concatenate(keys))
+
+
+def _bands(found: pa.Array) -> pa.Array:
+    keys = [band_keys(Notes.parse(line)) for line in found.to_pylist()]
+    ends = np.cumsum([0, *map(len, keys)])
+    flat = np.concatenate([np.zeros(0, dtype=np.uint64), *keys]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+def alike(prints: list[Notes], least: float) -> np.ndarray:
+    """Which of the fingerprints are alike, two by two."""
+    own = np.array([n.level for n in prints])
+    out = np.zeros((len(prints), len(prints)), dtype=bool)
+    for level in np.unique(own).tolist():
+        some = np.flatnonzero(own <= level)
+        notes = [prints[k].coarse(level) for k in some]
+        counts = np.array([len(n) for n in notes])
+        # Two that have both ended are not the same there.
+        lines = np.full((len(some), int(counts.max())), 255, dtype=np.uint8)
+        for line, n in zip(lines, notes, strict=True):
+            line[: len(n)] = n
+        for k, count in zip(some[own[some] == level].tolist(), counts[own[some] == level].tolist(), strict=True):
+            same = np.count_nonzero((lines == lines[np.searchsorted(some, k)])[:, :count], axis=1)
+            out[k, some] = out[some, k] = same / np.maximum(np.maximum(counts, count), 1) >= least
+    return out
+
+
+def _block_links(least: float):
+    def found(block: pa.Table) -> list[tuple[int, int]]:
+        ids, comps, crossed = (block[c].to_numpy() for c in ("id", "comp", "second"))
+        linked = alike([Notes.parse(line) for line in block["print"].to_pylist()], least)
+        return joining(ids, comps, linked, crossed.astype(bool))
+
+    return found
+
+
+def _across(crowd: DataFrame, comps: DataFrame, members: DataFrame, staged: Staged, least: float) -> DataFrame:
+    """Links between components that have members in one band, besides those to its centre.
+
+    Bands with the same members are compared once, block by block within tasks.
+    """
+    named = crowd.select("key", F.col("node").alias("id")).join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+    sums = [F.bit_xor(F.xxhash64(F.lit(seed), "id")).alias(f"s{seed}") for seed in (1, 2)]
+    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), *sums)
+    once = staged(mixed.where("lo < hi").groupBy("n", "s1", "s2").agg(F.min("key").alias("key")))
+    blocks = F.ceil(F.col("n") / _MEMBERS).cast("int").alias("blocks")
+    near = named.join(once.select("key", blocks), "key").withColumnRenamed("comp", "own").withColumnRenamed("key", "comp")
+    dealt = members.select(F.col("node").alias("id"), "print").join(deal(near), "id")
+    pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(by_block(_block_links(least)), "a bigint, b bigint")
+    return staged(pairs.distinct())
+
+
+def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: float = LEAST_LIKENESS) -> DataFrame:
+    """``print, class_id, links`` for each fingerprint of ``id, print``.
+
+    Bands are sampled notes, neighbouring by a stride or drawn.  In a band every member is compared
+    with one centre, so that a band of n members gives n - 1 candidates; where it still holds several
+    components, all its members are compared within tasks.  No link between two that share a band is lost.
+    """
+    firsts = staged(prints.groupBy("print").agg(F.min("id").alias("rep")))
+    seed = 0
+    while True:
+        # Numbers that are each one fingerprint's alone.
+        members = firsts.withColumn("node", F.xxhash64(F.lit(seed), "print"))
+        if members.groupBy("node").count().where("count > 1").isEmpty():
+            break
+        seed += 1
+    members = members.select("node", "rep", "print")
+    dealt = members.select("node", F.explode(F.arrow_udf(_bands, "array<bigint>")("print")).alias("key"))
+    hubs = dealt.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").select("key", "hub")
+    crowd = staged(dealt.join(hubs, "key").select("key", "node", "hub"))
+    pairs = crowd.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(members.select(F.col("node").alias("a"), F.col("print").alias("x")), "a")
+    pairs = pairs.join(members.select(F.col("node").alias("b"), F.col("print").alias("y")), "b")
+
+    def like(a: pa.Array, b: pa.Array) -> pa.Array:
+        both = zip(a.to_pylist(), b.to_pylist(), strict=True)
+        return pa.array([Notes.parse(x).likeness(Notes.parse(y)) >= least for x, y in both], pa.bool_())
+
+    edges = staged(pairs.where(F.arrow_udf(like, "boolean")("x", "y")).select("a", "b"))
+    comps = components(spark, edges, staged)
+    more = _across(crowd, comps, members, staged, least)
+    if not more.isEmpty():
+        edges = staged(edges.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        comps = components(spark, edges, staged)
+    links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    linked = staged(members.drop("print").join(comps.select(F.col("id").alias("node"), "comp"), "node").join(links, "node"))
+    lowest = linked.groupBy("comp").agg(F.min("rep").alias("class_id"))
+    linked = linked.join(lowest, "comp").select("node", "class_id", "links")
+    named = members.join(linked, "node", "left")
+    return staged(named.select("print", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))
 
 
 def similar(
     spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST_LIKENESS
 ) -> DataFrame:
-    """``doc_id, class_id, links``: classes of documents whose fingerprints are alike, and each one's confirmed links.
+    """``doc_id, class_id, links`` for each row: the least id of its class, and confirmed links to its fingerprint.
 
-    Documents with one fingerprint are one class member.  Bands are runs of sampled notes at a
-    fingerprint's own level and the next; in a band every member is compared with the one of the
-    smallest id alone, so a band of n members gives n - 1 candidates.  Rows without an id are left out.
+    Documents with one fingerprint are one class member.  ``links`` counts the links that the classes
+    were joined by, not all two by two within a class.  Rows without an id are left out.
     """
     staged = Staged(spark, "fingerprints")
-    prints = staged(documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), fingerprint(F.col(text)).alias("print")))
-    members = staged(prints.groupBy("print").agg(F.min("id").alias("rep")))
-
-    def bands(found: pa.Array) -> pa.Array:
-        counts, keys = [0], []
-        for line in found.to_pylist():
-            own = Notes.parse(line)
-            for level in (own.level, own.level + 1):
-                notes = own.coarse(level)
-                for at in range(0, max(len(notes) - BAND_NOTES, 0) + 1, BAND_NOTES):
-                    content = notes[at : at + BAND_NOTES].tobytes()
-                    keys.append(int.from_bytes(hashlib.blake2b(b"%d:%d:" % (level, at) + content, digest_size=8).digest(), "little", signed=True))
-            counts.append(len(keys))
-        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(keys, pa.int64()))
-
-    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-        return pa.array([Notes.parse(x).likeness(Notes.parse(y)) >= least for x, y in pairs], pa.bool_())
-
-    dealt = members.select("rep", F.explode(F.arrow_udf(bands, "array<bigint>")("print")).alias("key"))
-    hubs = dealt.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("far")).where("hub < far").select("key", "hub")
-    pairs = dealt.join(hubs, "key").where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = pairs.join(members.select(F.col("rep").alias("a"), F.col("print").alias("x")), "a")
-    pairs = pairs.join(members.select(F.col("rep").alias("b"), F.col("print").alias("y")), "b")
-    edges = staged(pairs.where(F.arrow_udf(alike, "boolean")("x", "y")).select("a", "b"))
-    comps = components(spark, edges, staged)
-    links = edges.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    named = prints.join(members, "print").join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").join(links, "rep", "left")
-    return named.select(F.col("id").alias("doc_id"), F.coalesce("comp", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    own = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), fingerprint(F.col(text)).alias("print"))
+    prints = staged(own)
+    return prints.join(link_prints(spark, prints, staged, least), "print").select(F.col("id").alias("doc_id"), "class_id", "links")

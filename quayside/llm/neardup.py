@@ -248,8 +248,12 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 def _block_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], crossed: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links between different components of a block, one for each two components that they join."""
     both, sizes = _shared(sets), np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-    linked &= crossed[:, None] != crossed[None, :] if crossed.any() and not crossed.all() else True
+    return joining(ids, comps, 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both), crossed)
+
+
+def joining(ids: np.ndarray, comps: np.ndarray, linked: np.ndarray, crossed: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links within a block, one for each two components that they join."""
+    linked = linked & (crossed[:, None] != crossed[None, :] if crossed.any() and not crossed.all() else True)
     labels, out = comps.copy(), []
     for k in range(len(ids)):
         for other in np.flatnonzero(linked[k, k + 1 :] & (labels[k + 1 :] != labels[k])) + k + 1:
@@ -269,6 +273,12 @@ def _within_blocks(words: int, percent: int):
         ids, comps, crossed = (block[c].to_numpy() for c in ("id", "comp", "second"))
         return _block_links(ids, comps, sets, crossed.astype(bool), percent)
 
+    return by_block(found)
+
+
+def by_block(found):
+    """``found`` of each block of rows ordered by block, as rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -335,6 +345,16 @@ def link(
     )
 
 
+def deal(near: DataFrame) -> DataFrame:
+    """``block, id, comp, second``: every two of the blocks of a neighbourhood (``comp``) come together once."""
+    dealt = near.withColumn("k", F.pmod(F.xxhash64("id", F.lit(77)), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        F.xxhash64("comp", F.least("k", "other"), F.greatest("k", "other")).alias("block"),
+        "id", F.col("own").alias("comp"), (F.col("k") > F.col("other")).alias("second"),
+    )
+
+
 def _across(
     spark: SparkSession, crowd: DataFrame, comps: DataFrame, texts: DataFrame, staged: Staged, words: int, percent: int
 ) -> DataFrame:
@@ -350,12 +370,6 @@ def _across(
     near = components(spark, mixed.where("cid > first").select(F.col("first").alias("a"), F.col("cid").alias("b")), staged)
     near = near.join(mixed.select(F.col("cid").alias("id"), F.col("comp").alias("own")).distinct(), "id")
     near = near.join(near.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks")), "comp")
-    dealt = near.withColumn("k", F.pmod(F.xxhash64("id", F.lit(77)), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        F.xxhash64("comp", F.least("k", "other"), F.greatest("k", "other")).alias("block"),
-        "id", F.col("own").alias("comp"), (F.col("k") > F.col("other")).alias("second"),
-    )
-    dealt = texts.join(dealt, "id").select("block", "id", "comp", "second", "text")
+    dealt = texts.join(deal(near), "id").select("block", "id", "comp", "second", "text")
     pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_within_blocks(words, percent), "a bigint, b bigint")
     return pairs.distinct()

@@ -262,6 +262,64 @@ def test_similar_documents(spark, documents, odd):
     assert fingerprint.similar(spark, odd.limit(0)).count() == 0
 
 
+def _near_texts():
+    """Strangers with a shared start, short texts, chains of edits, and repeated ids."""
+    pick = random.Random(9)
+    word = lambda: "".join(pick.choice("abcdefghijklmnop") for _ in range(pick.randint(2, 8)))
+    rows = []
+    for group in range(40):
+        base = list(" ".join(word() for _ in range(pick.choice([2, 4, 10, 40, 90, 300]))))
+        if group % 2:
+            base = list("shared boilerplate that starts many texts, all rights reserved " * 2) + base
+        for _ in range(pick.choice([1, 3, 8])):
+            copy = list(base)
+            for _ in range(pick.choice([0, 1, 2, 4]) * (1 + len(base) // 400)):
+                copy[pick.randrange(len(copy))] = pick.choice("xyz ")
+            rows.append((500 - len(rows) // 2 * 2 if group % 7 == 0 else 500 - len(rows), "".join(copy)))
+            if group % 3 == 0:
+                base = copy
+    return rows
+
+
+def _like_components(rows):
+    """The least id of each text's class, by brute force over all pairs of fingerprints."""
+    notes = {t: fingerprint.walk([fingerprint.classes(t)])[0] for _, t in rows}
+    prints = {n.text(): n for n in notes.values()}
+    label = {p: p for p in prints}
+
+    def root(p):
+        while label[p] != p:
+            p = label[p]
+        return p
+
+    for a in prints:
+        for b in prints:
+            if a < b and prints[a].likeness(prints[b]) >= fingerprint.LEAST_LIKENESS:
+                label[root(a)] = root(b)
+    least = defaultdict(lambda: 10**9)
+    for i, t in rows:
+        own = root(notes[t].text())
+        least[own] = min(least[own], i)
+    return sorted((i, least[root(notes[t].text())]) for i, t in rows)
+
+
+@pytest.mark.parametrize("members", [512, 5])
+def test_similar_equals_brute_force(spark, monkeypatch, members):
+    monkeypatch.setattr(fingerprint, "_MEMBERS", members)
+    rows = _near_texts()
+    found = fingerprint.similar(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = _like_components(rows)
+    assert len({c for _, c in wanted}) < len(rows) - 20
+    assert sorted((r.doc_id, r.class_id) for r in found) == wanted
+
+
+def test_alike_by_pairs():
+    prints = [n for n in fingerprint.walk([fingerprint.classes(t) for _, t in _near_texts()])]
+    found = fingerprint.alike(prints, 0.5)
+    for k, a in enumerate(prints):
+        assert found[k].tolist() == [a.likeness(b) >= 0.5 for b in prints]
+
+
 def test_topk_equals_brute_force(spark):
     pick = np.random.default_rng(3)
     rows = [(int(i), [float(x) for x in pick.normal(0, 0.2, 9)]) for i in range(700)]
