@@ -272,7 +272,7 @@ def compare_in_order(documents: DataFrame, key: str = "doc_id", text: str = "tex
 
 #: Notes of a band, the strides at which bands take them, and the least likeness of a link.
 BAND_NOTES, STRIDES, LEAST_LIKENESS = 9, (3, 5, 11), 0.8
-#: Fingerprints with fewer notes have bands drawn from all of their notes besides, for prefixes of these lengths.
+#: Fingerprints of level 0 with fewer notes have bands drawn from all of their notes besides, for prefixes of these lengths.
 _SHORT, _DRAWN = 280, 64
 _PREFIXES = sorted({max(k + 1, int(1.1**k)) for k in range(60) if 1.1**k <= _SHORT})
 #: Members of a block of the last comparison.
@@ -287,12 +287,12 @@ def _drawn(prefix: int) -> np.ndarray:
     return np.array(sorted(lines), dtype=np.int64)
 
 
-_PLACES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_PLACES: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _places(count: int) -> tuple[np.ndarray, np.ndarray]:
+def _places(count: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
     """The notes of each band of a fingerprint with ``count`` notes, and what names the band; place ``count`` is none."""
-    if count not in _PLACES:
+    if (count, short) not in _PLACES:
         lines, names = [], []
         for stride in STRIDES:
             span = stride * BAND_NOTES
@@ -301,16 +301,16 @@ def _places(count: int) -> tuple[np.ndarray, np.ndarray]:
                 lines.append(window * span + first + stride * np.arange(BAND_NOTES))
                 names.append((stride << 32) + at)
         # The longer one of two like texts has at most 1.25 times the notes; prefixes are 1.1 apart, or 1.
-        for prefix in _PREFIXES:
-            if prefix <= count <= max(1.375 * prefix, prefix + 2) and count <= _SHORT:
+        for prefix in _PREFIXES if short and count <= _SHORT else ():
+            if prefix <= count <= max(1.375 * prefix, prefix + 2):
                 for k, line in enumerate(_drawn(prefix)):
                     lines.append(line)
                     names.append((1 << 48) + (prefix << 32) + k)
         places = np.full((len(lines), BAND_NOTES), count, dtype=np.int64)
         for row, line in zip(places, lines, strict=True):
             row[: len(line)] = line
-        _PLACES[count] = places, np.array(names, dtype=np.uint64)
-    return _PLACES[count]
+        _PLACES[count, short] = places, np.array(names, dtype=np.uint64)
+    return _PLACES[count, short]
 
 
 def band_keys(notes: Notes) -> np.ndarray:
@@ -318,10 +318,10 @@ def band_keys(notes: Notes) -> np.ndarray:
     keys = [np.zeros(0, dtype=np.uint64)]
     for level in (notes.level, notes.level + 1):
         own = notes.coarse(level)
-        if level > notes.level and len(own) < SAMPLES // 4:
-            # A text of the next level has about SAMPLES / 2 notes or more.
+        if level > notes.level and len(own) < SAMPLES * 5 // 16:
+            # A text of the next level has about SAMPLES / 2 notes or more, one like it 0.8 times as many.
             continue
-        places, names = _places(len(own))
+        places, names = _places(len(own), level == 0)
         held = np.append(own.astype(np.uint64), np.uint64(0))[places]
         content = (held << (np.uint64(4) * np.arange(BAND_NOTES, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
         keys.append(_mixed(content ^ _mixed(names ^ np.uint64(level << 56))))
@@ -431,3 +431,17 @@ def similar(
     own = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), fingerprint(F.col(text)).alias("print"))
     prints = staged(own)
     return prints.join(link_prints(spark, prints, staged, least), "print").select(F.col("id").alias("doc_id"), "class_id", "links")
+
+
+def compare_and_link(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", partitions: int = 0) -> DataFrame:
+    """The rows of ``compare_in_order`` with the ``class_id`` and ``links`` of ``similar``; null and 0 without an id.
+
+    Texts are walked once: the fingerprints that are compared are those that are linked.
+    """
+    staged = Staged(spark, "fingerprints")
+    compared = staged(compare_in_order(documents, key, text, partitions))
+    prints = compared.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print"))
+    linked = link_prints(spark, prints, staged)
+    named = compared.join(linked, compared["fingerprint"] == linked["print"], "left").drop("print")
+    known = F.col("doc_id").isNotNull()
+    return named.withColumns({"class_id": F.when(known, F.col("class_id")), "links": F.when(known, F.col("links")).otherwise(F.lit(0))})

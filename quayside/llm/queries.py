@@ -14,7 +14,7 @@ PIECE_MODEL, BYTE_TOKENIZER = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.compare_in_order(table(spark, sf_dir, "documents"))
+    return fingerprint.compare_and_link(spark, table(spark, sf_dir, "documents"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import fingerprint, licenses, neardup, packing, pieces, topk
-from quayside.llm.queries import BYTE_TOKENIZER, PIECE_MODEL
+from quayside.llm.queries import BYTE_TOKENIZER, PIECE_MODEL, QUERIES
 
 ODD_TEXTS = [
     "", " ", "  ", "a  b", "▁a", "a ▁b", "\n", "é\x00z", "日本", "a b  c​", "😀 😀x", " lead", "trail ", "x" * 300,
@@ -313,6 +313,18 @@ def test_similar_equals_brute_force(spark, monkeypatch, members):
     assert sorted((r.doc_id, r.class_id) for r in found) == wanted
 
 
+def test_the_query_links_its_fingerprints(spark, odd, empty):
+    rows = QUERIES["op1_fingerprints"](spark, "/root/testdata/sf0.001").collect()
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    wanted = {(r.doc_id, r.class_id, r.links) for r in fingerprint.similar(spark, documents).collect()}
+    assert {(r.doc_id, r.class_id, r.links) for r in rows} == wanted and len(rows) == documents.count()
+    assert any(r.links for r in rows) and any(r.class_id < r.doc_id for r in rows)
+    rows = fingerprint.compare_and_link(spark, odd, partitions=3).collect()
+    assert len(rows) == odd.count() and {(r.class_id, r.links) for r in rows if r.doc_id is None} == {(None, 0)}
+    assert {r.class_id for r in rows if r.doc_id in (2, 3)} == {2} and {r.class_id for r in rows if r.doc_id == 7} == {7}
+    assert fingerprint.compare_and_link(spark, empty).count() == 0
+
+
 def test_alike_by_pairs():
     prints = [n for n in fingerprint.walk([fingerprint.classes(t) for _, t in _near_texts()])]
     found = fingerprint.alike(prints, 0.5)
