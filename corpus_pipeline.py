@@ -2,7 +2,7 @@
 
 1. ``language`` drops documents without any text in a language that was learnt (no letter, or null).
 2. ``quality`` drops documents that the quality classifier predicts to be 0.
-3. ``near_duplicates`` keeps of each group of near duplicates the document with the smallest id.
+3. ``near_duplicates`` keeps of each group of near duplicates the one row with the smallest id.
 4. ``personal_data`` replaces personal data in the texts by its kind in brackets.
 5. ``packing`` cuts the texts into token pieces and packs these into sequences.
 
@@ -40,11 +40,22 @@ def find_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat an id and a text stay once; ids that are in several groups' links count as linked."""
+    """Every row is a document of its own: of a group, and of rows that repeat an id and a text, one row stays.
+
+    It is the one with the smallest id (an id before none), then by a hash of its columns.  Texts without
+    any word are in no group.
+    """
     ship(spark)
-    gone = neardup.link(spark, docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return rest.select(COLUMNS)
+    staged = Staged(spark, "rows")
+    # Written once, a row keeps its number.
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
+    found = neardup.link(spark, rows.select("_row", "text"), key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text", "lang", "source", "n_chars"), "_row")
+    own = rows.select("_row", "doc_id", F.xxhash64(F.lit(1), F.col("text").isNull(), "text").alias("_text"), order.alias("_order")).join(found, "_row")
+    wordless = F.col("n_shingles") == 0
+    group = [F.when(~wordless, F.col("component_id")), *(F.when(wordless, F.col(c)) for c in ("doc_id", "_text"))]
+    kept = own.groupBy(*(g.alias(f"_g{k}") for k, g in enumerate(group))).agg(F.min("_order").alias("o")).select("o._row")
+    return rows.join(kept, "_row", "left_semi").select(COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

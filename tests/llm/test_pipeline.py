@@ -32,6 +32,18 @@ def test_stages_on_odd_rows(spark, odd, empty):
         assert stage(spark, empty, SMALL).count() == 0
 
 
+def test_near_duplicates_are_decided_by_row(spark):
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(40))
+    rows = [(5, text(1)), (5, text(1)), (None, text(2)), (None, text(2)), (3, text(2)), (None, text(4)), (None, text(4))]
+    # One id with many texts, of which one is near a document with a smaller id.
+    rows += [(9, text(k)) for k in range(10, 15)] + [(2, text(12) + " more"), (6, " "), (6, " "), (7, " "), (7, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
+    wanted = [(5, text(1)), (3, text(2)), (None, text(4)), *((9, text(k)) for k in (10, 11, 13, 14)), (2, text(12) + " more")]
+    wanted += [(6, " "), (7, " "), (7, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, wanted))
+
+
 def test_each_stage_takes_effect(spark, tmp_path):
     folder = "/root/testdata/sf0.01"
     documents = spark.read.parquet(f"{folder}/documents.parquet")
