@@ -1,6 +1,6 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-A paragraph is a line.  Sparse features are its distinct words and pairs of neighbouring words, as far as
+A paragraph is a line, or a run of neighbouring lines over which a notice is wrapped.  Sparse features are its distinct words and pairs of neighbouring words, as far as
 they occur in the templates; a multinomial logistic regression gives the chances of the licence
 families and of the class ``unknown``.  It is trained in numpy, on the templates, whole, shortened and with
 other words around them, against lines of a bounded sample of the corpus; the chances are
@@ -11,7 +11,13 @@ Scanning uses DataFrame functions alone and does not shuffle.  Only paragraphs w
 templates do not share with ordinary prose are scored.  Others cannot be confirmed, as without such a
 word no template's share of words is reached.
 
-Defined results: one row for each paragraph that is scored; null and empty texts give none; repeated
+Lines without a word, as blank lines or bare comment marks, end a run.  Comment marks are no words, so they
+do not count within one.  A run is given out if it is confirmed and just holds a template: without its first or
+its last line it would not, and it has at most twice the template's words and ``RUN_SLACK`` more.  Words are
+the same whether wrapped or not, so the examples of whole lines train for runs too.  Runs have ``RUN_LINES``
+lines at most.
+
+Defined results: one row for each line that is scored and for each run that is given out; null and empty texts give none; repeated
 rows give repeated rows; of equal chances the first family in alphabetical order is taken.  Only the
 named columns are read.
 """
@@ -92,6 +98,8 @@ _COMMON = frozenset(
 UNKNOWN = "unknown"
 #: The share of a template's words that confirms a prediction, and the least chance.
 CONFIRMS, LEAST_CHANCE = 0.9, 0.5
+#: Lines of a run at most, and words that it may have beyond twice a template's.
+RUN_LINES, RUN_SLACK = 24, 24
 #: Documents whose lines stand for unknown text, at most about so many, and lines.
 SAMPLE_ROWS, SAMPLE_LINES = 500, 3000
 _SPLIT = "[^a-z0-9]+"
@@ -185,12 +193,18 @@ def _literal(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 
 
-def scan(documents: DataFrame, model: LicenseModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, paragraph, family, chance, similarity`` for every paragraph that is scored."""
-    lines = documents.select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias("paragraph", "line"))
-    words = F.filter(F.split(F.lower("line"), _SPLIT), lambda w: w != "")
-    anchors = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t)} - _COMMON)
-    scored = lines.withColumn("words", words).where(F.arrays_overlap("words", _literal(anchors)))
+def _words(line: Column) -> Column:
+    return F.filter(F.split(F.lower(line), _SPLIT), lambda w: w != "")
+
+
+def _shares(words: Column, family: str) -> list[tuple[Column, int]]:
+    """The share of each template's words, and how many it has."""
+    own = [sorted(set(words_of(t))) for t in TEMPLATES[family]]
+    return [(F.size(F.array_intersect(words, _literal(w))) / F.lit(float(len(w))), len(w)) for w in own]
+
+
+def _judged(scored: DataFrame, model: LicenseModel) -> DataFrame:
+    """With the class of ``words`` and its chance."""
     pairs = F.transform(
         F.sequence(F.lit(1), F.size("words") - 1), lambda n: F.concat_ws(" ", F.element_at("words", n), F.element_at("words", n + 1))
     )
@@ -206,15 +220,61 @@ def scan(documents: DataFrame, model: LicenseModel, key: str = "doc_id", text: s
     )
     scored = scored.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
     scored = scored.withColumn("class", F.array_position("logits", F.col("top")).cast("int"))
-    scored = scored.withColumn(
+    return scored.withColumn(
         "chance", 1 / F.aggregate("logits", F.lit(0.0), lambda total, v: total + F.exp(v - F.col("top")))
     )
-    shares = []
-    for family in model.families[:-1]:
-        own = [sorted(set(words_of(t))) for t in TEMPLATES[family]]
-        shares.append(F.greatest(*(F.size(F.array_intersect("words", _literal(w))) / F.lit(float(len(w))) for w in own), F.lit(0.0)))
-    similarity = F.element_at(F.array(*shares, F.lit(0.0)), F.col("class"))
-    scored = scored.withColumn("similarity", similarity)
+
+
+def scan(documents: DataFrame, model: LicenseModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, paragraph, family, chance, similarity, lines`` for every line that is scored and every confirmed run.
+
+    ``paragraph`` is the number of its first line, and ``lines`` how many it has.
+    """
+    families = model.families[:-1]
     sure = (F.col("similarity") >= CONFIRMS) & (F.col("chance") >= LEAST_CHANCE)
+    lines = documents.select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias("paragraph", "line"))
+    anchors = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t)} - _COMMON)
+    scored = _judged(lines.withColumn("words", _words(F.col("line"))).where(F.arrays_overlap("words", _literal(anchors))), model)
+    shares = [F.greatest(*(share for share, _ in _shares(F.col("words"), family)), F.lit(0.0)) for family in families]
+    scored = scored.withColumn("similarity", F.element_at(F.array(*shares, F.lit(0.0)), F.col("class")))
     family = F.when(sure, F.element_at(_literal(model.families), F.col("class"))).otherwise(F.lit(UNKNOWN))
-    return scored.select("doc_id", "paragraph", family.alias("family"), "chance", "similarity")
+    single = scored.select("doc_id", "paragraph", family.alias("family"), "chance", "similarity", F.lit(1).alias("lines"))
+    runs = _judged(_runs(documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), families), model)
+    runs = runs.withColumn("similarity", F.element_at(F.concat("shares", F.array(F.lit(0.0))), F.col("class"))).where(sure)
+    named = F.element_at(_literal(model.families), F.col("class")).alias("family")
+    return single.union(runs.select("doc_id", "paragraph", named, "chance", "similarity", "lines"))
+
+
+def _runs(documents: DataFrame, families: list[str]) -> DataFrame:
+    """``doc_id, paragraph, lines, words, shares``: runs of lines that just hold a template, with a share per family."""
+
+    def reached(words: str) -> Column:
+        return F.greatest(*(share for family in families for share, _ in _shares(F.col(words), family))) >= CONFIRMS
+
+    vocabulary = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t)})
+    split = documents.select("doc_id", F.transform(F.split("text", "\n"), _words).alias("all"))
+    # What no whole text or window reaches, no run in it does.
+    held = split.where(F.size("all") > 1).withColumn("distinct", F.array_distinct(F.flatten("all"))).where(reached("distinct"))
+    starts = held.select("doc_id", "all", F.posexplode("all").alias("paragraph", "first")).where(F.arrays_overlap("first", _literal(vocabulary)))
+    ahead = starts.withColumn("ahead", F.slice("all", F.col("paragraph") + 1, RUN_LINES))
+    blank = F.array_position(F.transform("ahead", F.size), F.lit(0)).cast("int")
+    ahead = ahead.select("doc_id", "paragraph", F.when(blank > 0, F.slice("ahead", F.lit(1), blank - 1)).otherwise(F.col("ahead")).alias("ahead"))
+    ahead = ahead.where(F.size("ahead") > 1).withColumn("near", F.array_distinct(F.flatten("ahead"))).where(reached("near"))
+    ends = ahead.select("doc_id", "paragraph", "ahead", F.explode(F.sequence(F.lit(2), F.size("ahead"))).alias("lines"))
+    runs = ends.select(
+        "doc_id", "paragraph", "lines", F.flatten(F.slice("ahead", F.lit(1), F.col("lines"))).alias("words"),
+        F.flatten(F.slice("ahead", F.lit(2), F.col("lines") - 1)).alias("later"),
+        F.flatten(F.slice("ahead", F.lit(1), F.col("lines") - 1)).alias("sooner"),
+    )
+    runs = runs.where(reached("words"))
+    shares = []
+    for family in families:
+        whole, less = _shares(F.col("words"), family), [_shares(F.col(c), family) for c in ("later", "sooner")]
+        just = [
+            F.when(
+                (share >= CONFIRMS) & (a < CONFIRMS) & (b < CONFIRMS) & (F.size("words") <= 2 * n + RUN_SLACK), share
+            ).otherwise(F.lit(0.0))
+            for (share, n), (a, _), (b, _) in zip(whole, *less, strict=True)
+        ]
+        shares.append(F.greatest(*just, F.lit(0.0)))
+    return runs.withColumn("shares", F.array(*shares)).where(F.array_max("shares") >= CONFIRMS)

@@ -373,6 +373,27 @@ def test_license_scan(spark, odd, empty):
     assert licenses.scan(odd, model).count() == 0 and licenses.scan(empty, model).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    import textwrap
+
+    model = licenses.fit([f"some ordinary words number {k} and more of them" for k in range(200)])
+    templates = [(f, t) for f in licenses.TEMPLATES for t in licenses.TEMPLATES[f] if len(t) > 60]
+    texts, wanted = [], []
+    for family, template in templates:
+        for mark, width in (("", 40), ("", 75), (" * ", 50), ("# ", 70), ("// ", 80)):
+            wrapped = [mark + line for line in textwrap.wrap(template, width)]
+            texts.append((len(texts), "\n".join(["an intro", "", *wrapped, mark, "nothing here"])))
+            wanted.append(family)
+    cut = '\n'.join(["Redistribution and use in source and binary forms, with or", "", "without modification, are permitted provided that the following conditions are met:"])
+    texts += [(900, cut), (901, "All of it is new\nand no rights are\n" + "word " * 40 + "\nreserved for them")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = defaultdict(set)
+    for r in licenses.scan(frame, model).collect():
+        found[r.doc_id].add(r.family)
+    assert [found[k] - {licenses.UNKNOWN} for k in range(len(wanted))] == [{f} for f in wanted]
+    assert found[900] | found[901] <= {licenses.UNKNOWN}
+
+
 def test_every_template_can_pass_the_gate():
     for own in licenses.TEMPLATES.values():
         for template in own:
