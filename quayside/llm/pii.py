@@ -76,7 +76,7 @@ def base_spans(text: str | None) -> list[Span]:
         at = text.find("@", max(at + 1, done))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(int(part) <= 255 for part in m[0].split(".")):
+            if all(len(part) < 4 and int(part or 0) <= 255 for part in (p.lstrip("0") for p in m[0].split("."))):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if 12 <= len(digits := _digits(m[0])) <= 19 and _luhn(digits):

@@ -135,6 +135,15 @@ def test_base_spans_equal_the_patterns(held):
         assert pii.base_spans(text) == _by_patterns(text)
 
 
+def test_parts_of_any_length(spark):
+    for long in ("5" * 5000, "0" * 5000 + "9" * 4):
+        assert not any(kind == "ip" for kind, *_ in pii.base_spans(f"{long}.1.1.1"))
+    wide = "0" * 5000 + "9.1.1.1"
+    assert pii.base_spans(wide) == [("ip", 0, len(wide))]
+    frame = spark.createDataFrame([("5" * 5000 + ".1.1.1",)], "text string")
+    assert frame.select(pii.digest(F.col("text"), pii.learn(frame.select(F.lit(1).alias("doc_id"), "text")))).count() == 1
+
+
 def test_the_network_finds_what_it_was_taught(held):
     with_spans = [r[1] for r in held if pii.base_spans(r[1])]
     model = pii.fit(*pii._training_windows(with_spans[::2], 600))
