@@ -6,11 +6,10 @@ longest windows are counted; a ROLLUP over the window's columns then sums them o
 prefixes, which gives the number of every shorter phrase, of single words and of all words of a language
 in one aggregation, without an explosion for each length.
 
-A window is also padded behind a pair of neighbours that occurs too seldom: no phrase through such a pair
-can be frequent.  Pairs are told apart by a counter table of fixed size.  Several pairs may share a
-counter, so a seldom pair may stay, but a frequent one never goes: the counts of frequent phrases are
-exact.  Tasks send their counters, which stop at the threshold, as blocks that are added up in groups of
-bounded size; a bitmap of fixed size comes back.
+A window is also padded behind words, neighbours and triples that occur too seldom: no phrase through such
+ones can be frequent.  They are told apart by a counter table of fixed size, in two readings, the second of
+triples whose pairs are left.  Things may share a counter, so a seldom one may stay, but a frequent one never
+goes: the counts of frequent phrases are exact.  A window that begins with a seldom word still counts as a word.
 
 Defined results: null texts count as empty and give nothing; a null language is ``und``; repeated rows
 count again; an empty table gives no rows.  Ties end at the phrase, which is unique within a language.
@@ -30,11 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Staged, Words, slices
+from quayside.llm.counters import Tally, counter_of, frequent, held, mixed
 
 #: Words of the longest phrase.
 LONGEST = 5
-#: Counters of pairs, counters of a block, and blocks that are added up in one group.
-PAIR_COUNTERS, BLOCK, _GROUP = 1 << 24, 1 << 16, 256
 #: Text whose words a task has at hand at once.
 _STRETCH = 4 << 20
 #: Groups that a language's phrases are first ranked in.
@@ -88,83 +86,52 @@ def _coded(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(numbers), codes
 
 
-def _counters_of(lang: str, distinct: list[bytes], first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Number of the counter that each pair of words shares."""
-    sums = np.fromiter(map(zlib.crc32, distinct), dtype=np.uint64, count=len(distinct))
-    mixed = sums[first] * np.uint64(0x9E3779B97F4A7C15) + sums[second] * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed += np.uint64(zlib.crc32(lang.encode()) * 0x165667B19E3779F9 % (1 << 64))
-    mixed ^= mixed >> np.uint64(31)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(64 - PAIR_COUNTERS.bit_length() + 1)).astype(np.int64)
-
-
-def _packed(counters: np.ndarray) -> bytes:
-    return pa.compress(counters.tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(content: bytes, kind: np.dtype) -> np.ndarray:
-    return np.frombuffer(pa.decompress(content, BLOCK * kind.itemsize, codec="zstd", asbytes=True), dtype=kind)
-
-
-def _count_pairs(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    kind = np.min_scalar_type(least)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(PAIR_COUNTERS, dtype=kind)
+class _Stretch:
+    """The words of a stretch of text by their numbers, with breaks, and what is known of them so far."""
+
+    def __init__(self, lang: str, words: list[bytes], bits: np.ndarray | None = None):
+        self.distinct, self.codes = _coded(words)
+        sums = np.fromiter(map(zlib.crc32, self.distinct), dtype=np.uint64, count=len(self.distinct))
+        self._sums = mixed(sums * np.uint64(0x9E3779B97F4A7C15) + np.uint64(zlib.crc32(lang.encode()) * 0x165667B19E3779F9 % (1 << 64)))
+        inside = self.codes != 0
+        self.frequent = inside.copy()
+        #: Whether a word's next one, and next two, stay in its window.
+        self.linked = np.append(inside[:-1] & inside[1:], False) if len(inside) else inside
+        if bits is not None:
+            self.frequent[inside] = held(bits, self.counters(np.flatnonzero(inside), 1))
+            self.linked &= self.frequent & np.append(self.frequent[1:], False)
+            pairs = np.flatnonzero(self.linked)
+            self.linked[pairs] = held(bits, self.counters(pairs, 2))
+
+    def counters(self, places: np.ndarray, size: int) -> np.ndarray:
+        """Numbers of the counters of the phrases of so many words that begin at these places."""
+        hashes = np.full(len(places), size, dtype=np.uint64)
+        for k in range(size):
+            hashes = mixed(hashes * np.uint64(0xC2B2AE3D27D4EB4F) + self._sums[self.codes[places + k]])
+        return counter_of(hashes)
+
+    def triples(self) -> np.ndarray:
+        """Places from which two neighbours on are linked."""
+        return np.flatnonzero(self.linked & np.append(self.linked[1:], False)) if len(self.linked) else np.zeros(0, dtype=np.int64)
+
+
+def _single_and_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for lang, words, begins in _of_slices(batches):
+        own = _Stretch(lang, words)
+        for size, there in ((1, own.frequent), (2, own.linked)):
+            yield own.counters(np.flatnonzero(there[:begins]), size)
+
+
+def _triples(bits: np.ndarray) -> Tally:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for lang, words, begins in _of_slices(batches):
-            distinct, codes = _coded(words)
-            own = codes[: begins + 1]
-            pairs = np.flatnonzero((own[:-1] != 0) & (own[1:] != 0))
-            places, times = np.unique(_counters_of(lang, distinct, own[pairs], own[pairs + 1]), return_counts=True)
-            counters[places] = np.minimum(counters[places].astype(np.int64) + times, least)
-        blocks = counters.reshape(-1, BLOCK)
-        there = np.flatnonzero(blocks.any(axis=1))
-        for at in range(0, len(there), 16):
-            part = there[at : at + 16]
-            yield pa.RecordBatch.from_pydict(
-                {"block": pa.array(part, pa.int64()), "counters": pa.array([_packed(blocks[b]) for b in part], pa.binary())}
-            )
+            own = _Stretch(lang, words, bits)
+            places = own.triples()
+            yield own.counters(places[places < begins], 3)
 
     return run
 
 
-def _add_blocks(least: int) -> Callable[[pa.Table], pa.Table]:
-    kind = np.min_scalar_type(least)
-
-    def run(rows: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, dtype=np.int64)
-        for content in rows["counters"]:
-            total += _unpacked(content.as_py(), kind)
-        total = np.minimum(total, least).astype(kind)
-        return pa.table(
-            {"block": rows["block"].slice(0, 1), "part": pa.array([rows["part"][0].as_py() // _GROUP], pa.int64()),
-             "counters": pa.array([_packed(total)], pa.binary())}
-        )
-
-    return run
-
-
-def frequent_pairs(spark: SparkSession, texts: DataFrame, least: int) -> np.ndarray:
-    """A bitmap of the counters that reach the threshold: bit ``c % 8`` of byte ``c // 8`` for counter ``c``."""
-    staged = Staged(spark, "pairs")
-    counted = texts.mapInArrow(_count_pairs(least), "block bigint, counters binary")
-    level = staged(counted.withColumn("part", F.spark_partition_id().cast("bigint")))
-    parts = level.agg(F.max("part").alias("m")).first().m
-    kind = np.min_scalar_type(least)
-    while parts:
-        grouped = level.withColumn("group", F.expr(f"part div {_GROUP}")).groupBy("block", "group")
-        added = staged(grouped.applyInArrow(_add_blocks(least), "block bigint, part bigint, counters binary"))
-        staged.drop(level)
-        level, parts = added, parts // _GROUP
-    bits = np.zeros(PAIR_COUNTERS // 8, dtype=np.uint8)
-    # One row for each of a fixed number of blocks.
-    for row in level.toLocalIterator():
-        reached = np.packbits(_unpacked(bytes(row.counters), kind) >= least, bitorder="little")
-        bits[row.block * BLOCK // 8 : (row.block + 1) * BLOCK // 8] = reached
-    staged.drop(level)
-    return bits
-
-
 def _distinct_windows(windows: np.ndarray, radix: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows of word numbers below ``radix``, and how often each occurs."""
     first, number = np.unique(windows[:, 0], return_inverse=True)
@@ -175,23 +142,25 @@ def _distinct_windows(windows: np.ndarray, radix: int) -> tuple[np.ndarray, np.n
     return np.concatenate(rows, axis=1), np.bincount(number, minlength=len(rows[0]))
 
 
-def _windows(bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _windows(bits: np.ndarray, triple_bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, begins in _of_slices(batches):
-            distinct, codes = _coded(words)
-            linked = np.zeros(len(codes) + LONGEST, dtype=bool)
-            pairs = np.flatnonzero((codes[:-1] != 0) & (codes[1:] != 0))
-            counters = _counters_of(lang, distinct, codes[pairs], codes[pairs + 1])
-            linked[pairs] = bits[counters >> 3] >> (counters & 7).astype(np.uint8) & 1
+            own = _Stretch(lang, words, bits)
+            codes, distinct = own.codes, own.distinct
+            triples = own.triples()
+            tripled = np.zeros(len(codes) + LONGEST, dtype=bool)
+            tripled[triples] = held(triple_bits, own.counters(triples, 3))
+            linked = np.append(own.linked, np.zeros(LONGEST, dtype=bool))
             places = np.flatnonzero(codes[:begins])
+            longer = places[linked[places]]
             alone = places[~linked[places]]
-            once = np.bincount(codes[alone], minlength=len(distinct))
+            # Number 0, the break, stands for padding; so does a seldom word, which only counts as one.
+            once = np.bincount(np.where(own.frequent[alone], codes[alone], 0), minlength=len(distinct))
             single = np.flatnonzero(once)
-            # Number 0, the break, stands for padding.
-            longer, alive = places[linked[places]], None
-            lead = [codes[longer]]
+            lead, alive = [codes[longer]], linked[longer]
             for k in range(1, LONGEST):
-                alive = linked[longer + k - 1] if alive is None else alive & linked[longer + k - 1]
+                if k > 1:
+                    alive = alive & tripled[longer + k - 2]
                 lead.append(np.where(alive, codes[np.minimum(longer + k, len(codes) - 1)], 0))
             found, times = _distinct_windows(np.stack(lead, axis=1), len(distinct))
             rows = np.zeros((len(single) + len(found), LONGEST), dtype=np.int64)
@@ -211,10 +180,11 @@ def phrase_counts(spark: SparkSession, documents: DataFrame, least: int, text: s
     """
     texts = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     texts = texts.where(F.col("text").isNotNull() & (F.col("text") != ""))
-    bits = frequent_pairs(spark, texts, least)
+    bits = frequent(spark, texts, _single_and_pairs, least)
+    triple_bits = frequent(spark, texts, _triples(bits), least)
     kinds = ", ".join(f"{c} string" for c in _COLUMNS)
     staged = Staged(spark, "phrases")
-    seen = texts.mapInArrow(_windows(bits), f"lang string, {kinds}, times bigint")
+    seen = texts.mapInArrow(_windows(bits, triple_bits), f"lang string, {kinds}, times bigint")
     windows = staged(seen.groupBy("lang", *_COLUMNS).agg(F.sum("times").alias("times")))
     summed = windows.rollup("lang", *_COLUMNS).agg(F.sum("times").alias("times"), F.grouping_id().cast("int").alias("left_out"))
     # The grouping id has a one for every column left out: 31 for the language alone, 0 for all five words.

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm import collocations, lexical, secret_scan
+from quayside.llm import collocations, counters, lexical, secret_scan
 from quayside.llm.queries import QUERIES
 
 # --- 11: secrets --------------------------------------------------------------------------------
@@ -244,7 +244,7 @@ def test_stretches_of_long_texts_lose_no_window(monkeypatch):
 
 
 def test_phrases_with_many_tasks_and_shared_counters(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "_GROUP", 3)
+    monkeypatch.setattr(counters, "_GROUP", 3)
     rows = phrase_rows(60, 8)
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(11)
     assert mined(spark, frame, 3, 100) == plain_phrases(rows, 3, 100)
