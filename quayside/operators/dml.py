@@ -1,28 +1,41 @@
-"""UPDATE, DELETE and MERGE on plain Parquet tables.
+"""UPDATE, DELETE and MERGE on plain Parquet tables, partitioned or not.
 
-A change writes the table's next version to a new folder and then points the
-table at it; the folder being read is never written, and a failed job leaves
-the table as it was.  Changed rows are counted in the job that writes them.
+A change is copy-on-write by file.  One pass finds the files that hold changed rows; only these are
+read again and written anew, into a hidden folder of the table.  Then the old files move to another
+hidden folder and the new ones move in.  All other files, and all other partitions, are neither read
+twice nor touched, so a change of one row writes one file's worth of data.
+
+A file can be moved away once, so of two changes to the same file one fails, puts its moves back and
+leaves the table as it was.  There is no transaction log: a reader that listed the table before the
+moves may fail with a missing file, and one that lists it between them sees the change without its last
+files.  Changed rows are counted in the job that writes them.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.naming import helper_name, quote_identifier, table_identifier
-from quayside.storage import HadoopFiles
+from quayside.operators.load import stored
+from quayside.sources.scan import with_typed_nulls
+from quayside.storage import HadoopFiles, scratch_dir
 
-_HIT, _SOURCE = helper_name("hit"), helper_name("source")
+_HIT, _FILE, _ROW, _SOURCE = (helper_name(n) for n in ("hit", "file", "row", "source"))
+_OF_FILE, _OF_ROW, _OF_SOURCE = (helper_name(n) for n in ("of_file", "of_row", "of_source"))
+_MOVE_THREADS = 16
 
 
 class ConcurrentWriteError(RuntimeError):
-    """The table was written by others while a change to it ran; the change was not applied."""
+    """The table was changed by others while a change to it ran; the change was not applied."""
 
 
 class AmbiguousMergeError(ValueError):
@@ -31,16 +44,27 @@ class AmbiguousMergeError(ValueError):
 
 @dataclass(frozen=True)
 class DmlResult:
-    """Rows affected, and the folder of the version before, which is kept."""
+    """Rows affected, the hidden folder that keeps the files replaced, their number, and the bytes written."""
 
     rows: int
     previous_location: str | None
+    files: int = 0
+    bytes_written: int = 0
 
     def drop_previous(self, spark: SparkSession) -> None:
         if self.previous_location:
             HadoopFiles(spark).delete(self.previous_location)
 
 
+@dataclass(frozen=True)
+class MergeClause:
+    """What a MERGE does with rows for which ``when`` holds: ``update``, ``delete`` or ``insert``, with values by column."""
+
+    action: str
+    when: str | Column | None = None
+    values: Mapping[str, str | Column] | None = None
+
+
 def _column(value: str | Column) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
@@ -52,29 +76,17 @@ def _holds(condition: str | Column | None) -> Column:
     return F.coalesce(_column(condition), F.lit(False))
 
 
-def _by_target_name(frame: DataFrame, values: Mapping[str, str | Column]) -> dict[str, Column]:
-    names = {name.lower(): name for name in frame.columns}
-    unknown = [name for name in values if name.lower() not in names]
+def _by_target_name(names: Iterable[str], values: Mapping[str, str | Column]) -> dict[str, Column]:
+    own = {name.lower(): name for name in names}
+    unknown = [name for name in values if name.lower() not in own]
     if unknown:
         raise ValueError(f"unknown columns: {', '.join(unknown)}")
-    return {names[name.lower()]: _column(value) for name, value in values.items()}
+    return {own[name.lower()]: _column(value) for name, value in values.items()}
 
 
-def updated(
-    frame: DataFrame, assignments: Mapping[str, str | Column], condition: str | Column | None
-) -> DataFrame:
-    """All rows after an update, with a flag column on the changed ones."""
-    assigned = _by_target_name(frame, assignments)
-    hit = F.col(_HIT)
-    columns = [
-        F.when(hit, assigned[field.name].cast(field.dataType))
-        .otherwise(F.col(quote_identifier(field.name)))
-        .alias(field.name)
-        if field.name in assigned
-        else F.col(quote_identifier(field.name))
-        for field in frame.schema.fields
-    ]
-    return frame.withColumn(_HIT, _holds(condition)).select(*columns, hit)
+def _fitting(frame: DataFrame, value: Column, wanted: T.DataType) -> Column:
+    """The value as the column's type; a value that would lose something is an error."""
+    return stored(value, frame.select(value).schema[0].dataType, wanted)
 
 
 def update(
@@ -85,15 +97,22 @@ def update(
     alias: str | None = None,
 ) -> DmlResult:
     """``UPDATE table SET ... WHERE condition``; all values see the old row."""
-    seen = _state(spark, table)
-    current = _aliased(spark, table, alias)
-    if current.where(_holds(condition)).isEmpty():
-        return DmlResult(0, None)
+    place = _place(spark, table)
+    assigned = _by_target_name(place.names, assignments)
+    current = _current(spark, table, alias)
+    hit = _hit_files(current, condition)
     changed = Observation()
-    rows = updated(current, assignments, condition)
-    rows = rows.observe(changed, F.count_if(_HIT).alias("rows")).drop(_HIT)
-    version = _write_version(spark, seen, rows)
-    return DmlResult(changed.get["rows"], _point_at(spark, table, version, seen))
+    rows = current.where(F.col(_FILE).isin(hit)).withColumn(_HIT, _holds(condition))
+    columns = [
+        F.when(F.col(_HIT), _fitting(current, assigned[field.name], field.dataType))
+        .otherwise(F.col(quote_identifier(field.name)))
+        .alias(field.name)
+        if field.name in assigned
+        else F.col(quote_identifier(field.name))
+        for field in place.schema.fields
+    ]
+    rows = rows.select(*columns, _HIT).observe(changed, F.count_if(_HIT).alias("rows")).drop(_HIT)
+    return _replace(spark, table, place, hit, rows, lambda: changed.get["rows"])
 
 
 def delete(
@@ -103,22 +122,21 @@ def delete(
     alias: str | None = None,
 ) -> DmlResult:
     """``DELETE FROM table WHERE condition``."""
-    seen = _state(spark, table)
-    current = _aliased(spark, table, alias)
-    if current.where(_holds(condition)).isEmpty():
-        return DmlResult(0, None)
+    place = _place(spark, table)
+    current = _current(spark, table, alias)
+    hit = _hit_files(current, condition)
     counted = Observation()
-    flagged = current.withColumn(_HIT, _holds(condition))
-    flagged = flagged.observe(counted, F.count_if(_HIT).alias("rows"))
-    version = _write_version(spark, seen, flagged.where(~F.col(_HIT)).drop(_HIT))
-    return DmlResult(counted.get["rows"], _point_at(spark, table, version, seen))
+    rows = current.where(F.col(_FILE).isin(hit)).withColumn(_HIT, _holds(condition))
+    rows = rows.observe(counted, F.count_if(_HIT).alias("rows")).where(~F.col(_HIT))
+    rows = rows.select(*map(quote_identifier, place.names))
+    return _replace(spark, table, place, hit, rows, lambda: counted.get["rows"])
 
 
 def merge(
     spark: SparkSession,
     table: str,
     source: DataFrame,
-    on: Mapping[str, str] | list[str],
+    on: Mapping[str, str] | list[str] | Column | str,
     update: Mapping[str, str | Column] | None = None,
     update_when: str | Column | None = None,
     delete_matched: bool = False,
@@ -127,171 +145,248 @@ def merge(
     insert_when: str | Column | None = None,
     target_alias: str = "t",
     source_alias: str = "s",
+    matched: Sequence[MergeClause] = (),
+    not_matched: Sequence[MergeClause] = (),
+    not_matched_by_source: Sequence[MergeClause] = (),
 ) -> DmlResult:
-    """``MERGE INTO table t USING source s ON t.key = s.key ...``.
+    """``MERGE INTO table t USING source s ON ... WHEN ...``.
 
-    ``on`` names the key columns, or maps target to source columns.  Matched
-    rows for which ``delete_when`` holds are deleted, else updated if
-    ``update_when`` holds; source rows without a match are inserted.  Values and
-    conditions may use both aliases (inserts only the source).
+    ``on`` names the key columns, maps target to source columns, or is a condition over both
+    aliases that holds an equality between them.  Of the clauses for matched rows, for source
+    rows without a match and for target rows without one, the first whose condition holds is
+    applied to a row.  ``update``, ``delete_matched`` and ``insert`` are short for one DELETE and then
+    one UPDATE clause, and one INSERT clause.  The source is evaluated once.
     """
-    keys = dict(on) if isinstance(on, Mapping) else {key: key for key in on}
-    seen = _state(spark, table)
-    target = spark.table(table_identifier(table))
-    # Without a clause for matched rows it does not matter how often they match.
-    changes_matched = update is not None or delete_matched
-    counted, result = Observation(), target
-    if changes_matched:
-        _reject_ambiguous(target, source, keys)
-        kept = _matched_side(
-            target.alias(target_alias),
-            source.withColumn(_SOURCE, F.lit(True)).alias(source_alias),
-            _key_match(keys, target_alias, source_alias),
-            _by_target_name(target, update or {}),
-            _holds(update_when) if update is not None else F.lit(False),
-            _holds(delete_when) if delete_matched else F.lit(False),
-            target_alias,
-        )
-        kept = kept.observe(counted, F.count_if(F.col(_HIT) != "").alias("rows"))
-        result = kept.where(F.col(_HIT) != "delete").drop(_HIT)
-
-    inserted = None
+    if delete_matched:
+        matched = [*matched, MergeClause("delete", delete_when)]
+    if update is not None:
+        matched = [*matched, MergeClause("update", update_when, update)]
     if insert is not None:
+        not_matched = [*not_matched, MergeClause("insert", insert_when, insert)]
+    place = _place(spark, table)
+    listed = _listing(spark, place) if not_matched else None
+    scratch = scratch_dir(spark, "merge")
+    try:
+        once = _staged_source(source, f"{scratch}/source").alias(source_alias)
+        target = _current(spark, table, target_alias)
+        condition = _match(on, target_alias, source_alias)
+        # The codes of clauses count from 1, over the matched ones and then those by the target alone.
+        changes = [*matched, *not_matched_by_source]
+        pairs = target.join(once, condition, "left" if not_matched_by_source else "inner")
+        found = F.col(_SOURCE).isNotNull()
+        code = F.when(found, _first_clause(matched, 1)).otherwise(_first_clause(not_matched_by_source, 1 + len(matched)))
+        pairs = pairs.select(_FILE, _ROW, _SOURCE, code.alias(_HIT)).where(found | (F.col(_HIT) > 0))
+        pairs.write.parquet(f"{scratch}/matches")
+        matches = spark.read.schema(pairs.schema).parquet(f"{scratch}/matches")
+        if matched:
+            _reject_ambiguous(matches)
+
+        hit, rows, result = [], 0, None
+        if changes:
+            per_file = matches.where(F.col(_HIT) > 0).groupBy(_FILE).agg(F.count(F.lit(1)).alias("n")).collect()
+            hit, rows = [row[_FILE] for row in per_file], sum(row.n for row in per_file)
+        if hit:
+            result = _rewritten(target.where(F.col(_FILE).isin(hit)), target_alias, once, matches, changes, place)
         inserted = Observation()
-        values = _by_target_name(target, insert)
-        added = _unmatched(target, source, keys).alias(source_alias).where(_holds(insert_when))
-        added = added.select(
-            *[
-                values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-                for field in target.schema.fields
-            ]
-        )
-        result = result.unionAll(added.observe(inserted, F.count(F.lit(1)).alias("rows")))
-    version = _write_version(spark, seen, result)
-    rows = (counted.get["rows"] if changes_matched else 0) + (inserted.get["rows"] if inserted else 0)
-    return DmlResult(rows, _point_at(spark, table, version, seen))
-
-
-def _key_match(keys: Mapping[str, str], left: str, right: str) -> Column:
+        if not_matched:
+            present = matches.select(F.col(_SOURCE).alias(_OF_SOURCE)).where(F.col(_OF_SOURCE).isNotNull()).distinct()
+            missing = once.join(present, F.col(_SOURCE) == F.col(_OF_SOURCE), "left_anti")
+            added = _added(missing, not_matched, place).observe(inserted, F.count(F.lit(1)).alias("rows"))
+            result = added if result is None else result.unionAll(added)
+        if result is None:
+            return DmlResult(0, None)
+
+        def changed() -> int:
+            return rows + (inserted.get["rows"] if not_matched else 0)
+
+        return _replace(spark, table, place, hit, result, changed, listed)
+    finally:
+        HadoopFiles(spark).delete(scratch)
+
+
+def _match(on: Mapping[str, str] | list[str] | Column | str, target: str, source: str) -> Column:
+    if isinstance(on, (str, Column)):
+        return _column(on)
+    keys = on if isinstance(on, Mapping) else {key: key for key in on}
     match = F.lit(True)
     for target_key, source_key in keys.items():
-        match = match & (
-            F.col(f"{left}.{quote_identifier(target_key)}")
-            == F.col(f"{right}.{quote_identifier(source_key)}")
-        )
+        own, other = (f"{quote_identifier(a)}.{quote_identifier(k)}" for a, k in ((target, target_key), (source, source_key)))
+        match = match & (F.col(own) == F.col(other))
     return match
 
 
-def _source_keys(source: DataFrame, keys: Mapping[str, str]) -> DataFrame:
-    """The source's keys under the target's names, without NULLs, which never match."""
-    named = source.select(
-        *[F.col(quote_identifier(s)).alias(t) for t, s in keys.items()]
-    )
-    return named.dropna("any")
+def _staged_source(source: DataFrame, path: str) -> DataFrame:
+    """The source's rows with a number each, written once, under whatever names they have."""
+    names = source.columns
+    plain = with_typed_nulls(source).toDF(*(f"c{i}" for i in range(len(names))))
+    numbered = plain.withColumn(_SOURCE, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return source.sparkSession.read.schema(numbered.schema).parquet(path).toDF(*names, _SOURCE)
 
 
-def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: Mapping[str, str]) -> None:
-    repeated = (
-        _source_keys(source, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(_HIT))
-        .where(F.col(_HIT) > 1).drop(_HIT)
-    )
-    if repeated.isEmpty():
-        return
-    hit = target.select(*keys).join(repeated, list(keys), "left_semi")
-    if not hit.isEmpty():
+def _first_clause(clauses: Sequence[MergeClause], first: int) -> Column:
+    """The code of the first clause whose condition holds, else 0."""
+    code = F.lit(0)
+    for n, clause in reversed(list(enumerate(clauses, first))):
+        code = F.when(_holds(clause.when), n).otherwise(code)
+    return code
+
+
+def _reject_ambiguous(matches: DataFrame) -> None:
+    pairs = matches.where(F.col(_SOURCE).isNotNull()).groupBy(_FILE, _ROW).agg(F.count(F.lit(1)).alias("n"))
+    if not pairs.where("n > 1").isEmpty():
         raise AmbiguousMergeError("several source rows match the same target row")
 
 
-def _matched_side(
+def _rewritten(
     target: DataFrame,
-    source: DataFrame,
-    match: Column,
-    assigned: Mapping[str, Column],
-    updates: Column,
-    deletes: Column,
     alias: str,
+    source: DataFrame,
+    matches: DataFrame,
+    clauses: Sequence[MergeClause],
+    place: _Place,
 ) -> DataFrame:
-    """Every target row with its new values, flagged ``update``, ``delete`` or ``''``.
+    """The rows of the files that are hit, after the clauses.
 
-    A left join, so that a small source is broadcast and a hot key of a large
-    target is split across tasks; a full outer join allows neither.
+    A target row is found by its position, of which there is one each, and takes the source row by its
+    number; the target is the streamed side of both joins, so a hot source row is split over tasks.
     """
-    matched = F.col(_SOURCE).isNotNull()
-    action = (
-        F.when(matched & deletes, "delete").when(matched & updates, "update").otherwise("")
+    codes = matches.where(F.col(_HIT) > 0).select(
+        F.col(_FILE).alias(_OF_FILE), F.col(_ROW).alias(_OF_ROW), F.col(_SOURCE).alias(_OF_SOURCE), _HIT
     )
-    # The action is computed once; its value is then read by every column.
-    joined = target.join(source, match, "left").withColumn(_HIT, action)
+    # A target row that the source does not match is there once; one that it matches has been checked.
+    joined = target.join(codes, (F.col(_FILE) == F.col(_OF_FILE)) & (F.col(_ROW) == F.col(_OF_ROW)), "left")
+    joined = joined.join(source, F.col(_OF_SOURCE) == F.col(_SOURCE), "left")
+    code = F.coalesce(F.col(_HIT), F.lit(0))
+    columns = []
+    for field in place.schema.fields:
+        value = F.col(f"{quote_identifier(alias)}.{quote_identifier(field.name)}")
+        for n, clause in enumerate(clauses, 1):
+            assigned = _by_target_name(place.names, clause.values or {})
+            if field.name in assigned:
+                value = F.when(code == n, _fitting(joined, assigned[field.name], field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    deleted = [n for n, clause in enumerate(clauses, 1) if clause.action == "delete"]
+    return joined.where(~code.isin(deleted)).select(*columns) if deleted else joined.select(*columns)
+
+
+def _added(missing: DataFrame, clauses: Sequence[MergeClause], place: _Place) -> DataFrame:
+    coded = missing.withColumn(_HIT, _first_clause(clauses, 1)).where(F.col(_HIT) > 0)
     columns = []
-    for field in target.schema.fields:
-        old = F.col(f"{alias}.{quote_identifier(field.name)}")
-        if field.name in assigned:
-            new = assigned[field.name].cast(field.dataType)
-            old = F.when(F.col(_HIT) == "update", new).otherwise(old)
-        columns.append(old.alias(field.name))
-    return joined.select(*columns, _HIT)
+    for field in place.schema.fields:
+        value = F.lit(None).cast(field.dataType)
+        for n, clause in enumerate(clauses, 1):
+            given = _by_target_name(place.names, clause.values or {})
+            if field.name in given:
+                value = F.when(F.col(_HIT) == n, _fitting(coded, given[field.name], field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return coded.select(*columns)
 
 
-def _unmatched(target: DataFrame, source: DataFrame, keys: Mapping[str, str]) -> DataFrame:
-    """Source rows whose key is not in the target.
+# --- files --------------------------------------------------------------------------------------
 
-    The target's keys are first reduced to those the source has, once each, so
-    a hot key of the target reaches the anti-join as a single row.
-    """
-    names = list(keys)
-    wanted = _source_keys(source, keys)
-    present = target.select(*names).join(wanted, names, "left_semi").distinct()
-    return source.alias("s").join(present.alias("t"), _key_match(keys, "t", "s"), "left_anti")
 
+@dataclass(frozen=True)
+class _Place:
+    """Where a table lies, its columns, and which of them it is partitioned by."""
 
-def _aliased(spark: SparkSession, table: str, alias: str | None) -> DataFrame:
-    current = spark.table(table_identifier(table))
-    return current.alias(alias) if alias else current
+    location: str
+    schema: T.StructType
+    partitions: tuple[str, ...]
+
+    @property
+    def names(self) -> list[str]:
+        return self.schema.names
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table_identifier(table)}")
+def _place(spark: SparkSession, table: str) -> _Place:
+    name = table_identifier(table)
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     found = {row.col_name: row.data_type for row in details.collect()}
     if found.get("Provider", "").lower() != "parquet" or "Location" not in found:
         raise ValueError(f"{table} is not a Parquet table")
-    if "# Partition Information" in found:
-        raise ValueError(f"{table} is partitioned; only unpartitioned tables can be changed")
-    return found["Location"]
+    partitions = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    spark.catalog.refreshTable(name)
+    return _Place(found["Location"].rstrip("/"), spark.table(name).schema, partitions)
 
 
-@dataclass(frozen=True)
-class _State:
-    """Where a table lies, and the files (with their sizes) that are there."""
+def _current(spark: SparkSession, table: str, alias: str | None) -> DataFrame:
+    """The table's rows with their positions."""
+    position = [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW)]
+    current = spark.table(table_identifier(table)).select("*", *position)
+    return current.alias(alias) if alias else current
 
-    location: str
-    files: tuple[tuple[str, int], ...]
 
+def _hit_files(current: DataFrame, condition: str | Column | None) -> list[str]:
+    """The files with rows for which the condition holds; at most those that Spark's own listing of the table holds."""
+    return [row[0] for row in current.where(_holds(condition)).select(_FILE).distinct().collect()]
 
-def _state(spark: SparkSession, table: str) -> _State:
-    """Taken before the table is read, and again before it is switched."""
-    location = _location(spark, table)
-    spark.catalog.refreshTable(table_identifier(table))
-    return _State(location, tuple(sorted(HadoopFiles(spark).walk(location))))
+
+def _listing(spark: SparkSession, place: _Place) -> int:
+    """A sum over the files that readers of the table see, which changes with any of them; it holds no list."""
+    files, total = HadoopFiles(spark), 0
+    root = files.qualified(place.location)
+    for path, size in files.walk(root):
+        if not path.startswith((f"{root}/_", f"{root}/.")):
+            total += int.from_bytes(hashlib.sha256(f"{path} {size}".encode()).digest()[:16], "big")
+    return total
 
 
-def _write_version(spark: SparkSession, seen: _State, rows: DataFrame) -> str:
-    version = re.sub(r"\.v-[0-9a-f]{32}$", "", seen.location.rstrip("/")) + f".v-{uuid.uuid4().hex}"
+def _replace(
+    spark: SparkSession, table: str, place: _Place, hit: list[str], rows: DataFrame, changed, listed: int | None = None
+) -> DmlResult:
+    """Write the rows and put their files in place of the files hit."""
+    if not hit and listed is None:
+        return DmlResult(0, None)
+    files, token = HadoopFiles(spark), uuid.uuid4().hex
+    old = [files.of_uri(uri) for uri in hit]
+    root = files.qualified(place.location)
+    outside = [path for path in old if not path.startswith(root + "/")]
+    if outside:
+        raise ValueError(f"{table} has files outside its folder: {outside[0]}")
+    staging, kept = f"{root}/_change-{token}", f"{root}/_replaced-{token}"
     try:
-        rows.write.parquet(version)
-    except Exception:
-        HadoopFiles(spark).delete(version)
-        raise
-    return version
+        wrote = Observation()
+        counted = rows.observe(wrote, F.count(F.lit(1)).alias("rows"))
+        counted.write.partitionBy(*place.partitions).parquet(staging)
+        if listed is not None and _listing(spark, place) != listed:
+            raise ConcurrentWriteError(f"{table} was written while it was being changed")
+        made = [f for f in files.walk(staging) if f[0].rpartition("/")[2].startswith("part-")] if wrote.get["rows"] else []
+        moves = [(path, kept + path[len(root) :]) for path in old]
+        moves += [(path, root + path[len(staging) :]) for path, _ in made]
+        _move_all(files, table, moves)
+    finally:
+        files.delete(staging)
+    _add_partitions(spark, table, place, {path[len(staging) + 1 :].rpartition("/")[0] for path, _ in made})
+    spark.catalog.refreshTable(table_identifier(table))
+    return DmlResult(changed(), kept if old else None, len(old), sum(size for _, size in made))
 
 
-def _point_at(spark: SparkSession, table: str, version: str, seen: _State) -> str:
-    """Switch to the new version, unless the table is no longer what it was made from.
+def _move_all(files: HadoopFiles, table: str, moves: list[tuple[str, str]]) -> None:
+    """All moves, or none: a file that is gone was changed by others."""
+    with ThreadPoolExecutor(_MOVE_THREADS) as pool:
+        done = list(pool.map(lambda move: files.move(*move), moves))
+        if not all(done):
+            back = [(target, source) for (source, target), moved in zip(moves, done, strict=True) if moved]
+            list(pool.map(lambda move: files.move(*move), back))
+            raise ConcurrentWriteError(f"{table} was changed by others while it was being changed")
 
-    The listings are compared right before the switch; of two changes that end within that moment
-    the later one wins, as there is no lock.
-    """
-    if _state(spark, table) != seen:
-        HadoopFiles(spark).delete(version)
-        raise ConcurrentWriteError(f"{table} was written while it was being changed")
-    spark.sql(f"ALTER TABLE {table_identifier(table)} SET LOCATION '{version}'")
-    return seen.location
+
+def _add_partitions(spark: SparkSession, table: str, place: _Place, folders: set[str]) -> None:
+    """Make the partitions that were written known to the catalog."""
+    if not place.partitions:
+        return
+    specs = []
+    for folder in sorted(folders):
+        values = []
+        for part in folder.split("/"):
+            name, _, value = part.partition("=")
+            text = "NULL" if value == "__HIVE_DEFAULT_PARTITION__" else "'" + _escaped(unquote(value)) + "'"
+            values.append(f"{quote_identifier(unquote(name))} = {text}")
+        specs.append(f"PARTITION ({', '.join(values)})")
+    for at in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {table_identifier(table)} ADD IF NOT EXISTS {' '.join(specs[at : at + 100])}")
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

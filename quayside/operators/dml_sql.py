@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from quayside.functions.naming import quote_identifier
-from quayside.operators.dml import DmlResult, delete, merge, update
+from quayside.operators.dml import DmlResult, MergeClause, delete, merge, update
 
 
 def run_dml(spark: SparkSession, statement: str) -> DmlResult | None:
@@ -69,40 +69,30 @@ def _merge(spark: SparkSession, plan) -> DmlResult:
     else:
         source_alias = _items(source_plan.multipartIdentifier())[-1]
     target_alias = alias or table.split("`")[-2]
-    if _items(plan.notMatchedBySourceActions()):
-        raise ValueError("WHEN NOT MATCHED BY SOURCE is not supported")
-    columns = spark.table(table).columns
-
-    def values(action) -> dict:
-        if _kind(action) in ("UpdateStarAction", "InsertStarAction"):
-            alias = quote_identifier(source_alias)
-            return {name: f"{alias}.{quote_identifier(name)}" for name in columns}
-        return _assignments(spark, action.assignments())
-
-    arguments: dict = {}
-    for action in _items(plan.matchedActions()):
-        when = _condition(spark, action.condition())
-        # Clauses apply in the order written; the operator tries DELETE first.
-        if _kind(action) == "DeleteAction" and not arguments:
-            arguments |= {"delete_matched": True, "delete_when": when}
-        elif _kind(action) != "DeleteAction" and "update" not in arguments:
-            arguments |= {"update": values(action), "update_when": when}
-        else:
-            raise ValueError("MERGE takes one DELETE and then one UPDATE clause for matches")
-    inserts = _items(plan.notMatchedActions())
-    if len(inserts) > 1:
-        raise ValueError("MERGE takes one INSERT clause")
-    for action in inserts:
-        when = _condition(spark, action.condition())
-        arguments |= {"insert": values(action), "insert_when": when}
+    columns, source = spark.table(table).columns, _frame(spark, source_plan)
+
+    def clause(action) -> MergeClause:
+        kind = _kind(action)
+        values = None
+        if kind in ("UpdateStarAction", "InsertStarAction"):
+            values = {name: f"{quote_identifier(source_alias)}.{quote_identifier(name)}" for name in columns}
+        elif kind != "DeleteAction":
+            values = _assignments(spark, action.assignments())
+        return MergeClause(kind[:6].lower(), _condition(spark, action.condition()), values)
+
+    sides = {target_alias.lower(): columns, source_alias.lower(): source.columns}
+    if not _has_key(plan.mergeCondition(), sides):
+        raise ValueError("MERGE needs ON with an equality of a value of the target and one of the source")
     return merge(
         spark,
         table,
-        _frame(spark, source_plan),
-        _equal_keys(plan.mergeCondition(), target_alias, source_alias),
+        source,
+        _column(spark, plan.mergeCondition()),
         target_alias=target_alias,
         source_alias=source_alias,
-        **arguments,
+        matched=[clause(a) for a in _items(plan.matchedActions())],
+        not_matched=[clause(a) for a in _items(plan.notMatchedActions())],
+        not_matched_by_source=[clause(a) for a in _items(plan.notMatchedBySourceActions())],
     )
 
 
@@ -111,19 +101,25 @@ def _frame(spark: SparkSession, plan) -> DataFrame:
     return DataFrame(dataset, spark)
 
 
-def _equal_keys(condition, target_alias: str, source_alias: str) -> dict[str, str]:
-    """Target to source key columns of ``t.a = s.a AND ...``."""
+def _has_key(condition, sides: dict[str, list[str]]) -> bool:
+    """Whether one of the joined conditions equates something of one side with something of the other."""
     if _kind(condition) == "And":
-        return _equal_keys(condition.left(), target_alias, source_alias) | _equal_keys(
-            condition.right(), target_alias, source_alias
-        )
-    sides = {}
-    if _kind(condition) == "EqualTo":
-        for side in (condition.left(), condition.right()):
-            if _kind(side) == "UnresolvedAttribute" and side.nameParts().size() == 2:
-                alias, name = _items(side.nameParts())
-                sides[alias.lower()] = name
-    target, source = target_alias.lower(), source_alias.lower()
-    if set(sides) != {target, source}:
-        raise ValueError("MERGE needs ON target.key = source.key [AND ...]")
-    return {sides[target]: sides[source]}
+        return _has_key(condition.left(), sides) or _has_key(condition.right(), sides)
+    if _kind(condition) != "EqualTo":
+        return False
+    left, right = _sides_of(condition.left(), sides), _sides_of(condition.right(), sides)
+    return len(left) == len(right) == 1 and left != right
+
+
+def _sides_of(expression, sides: dict[str, list[str]]) -> set[str]:
+    """The aliases of the sides whose columns an expression uses."""
+    found = set()
+    for leaf in _items(expression.collectLeaves()):
+        if _kind(leaf) != "UnresolvedAttribute":
+            continue
+        names = [name.lower() for name in _items(leaf.nameParts())]
+        if len(names) > 1 and names[-2] in sides:
+            found.add(names[-2])
+        else:
+            found |= {alias for alias, own in sides.items() if names[0] in map(str.lower, own)}
+    return found

@@ -220,14 +220,14 @@ def _export_split(
             empty.mode("overwrite").save(delivery.folder)
             files = [file._replace(rows=0) for file in _part_files(spark, delivery.folder)]
             return ExportResult(0, delivery.publish(files))
-        bucket = None
+        room = None
         if limits.max_bytes is not None:
-            bucket = limits.max_bytes - header
+            room = limits.max_bytes - header
             if sink.format == "parquet":
                 # The staged rows tell how far encoding shrinks this data.
                 scale = numbered.weight / max(numbered.file_bytes, 1)
-                bucket = max(1, int(limits.max_bytes * PARQUET_FILL * scale))
-        assigned = assign_files(numbered, limits, bucket, f"{scratch}/stretches")
+                room = max(1, int(limits.max_bytes * PARQUET_FILL * scale))
+        assigned = assign_files(numbered, limits, room, f"{scratch}/chain")
         counted, count = _counted(place_files(assigned, numbered.file_bytes))
         writer = sink.writer(counted).option("maxRecordsPerFile", 0)
         writer.partitionBy(FILE_ID).mode("overwrite").save(delivery.folder)

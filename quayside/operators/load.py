@@ -54,19 +54,20 @@ def load(
     return append(source, table, by_name)
 
 
-def _stored(column: Column, kind: T.StructField, wanted: T.DataType) -> Column:
-    """The value as the target's type; one that would lose something on the way is an error.
+def stored(column: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """A value of type ``own`` as the target's type; one that would lose something on the way is an error.
 
     Numbers must be the same when read back, and text must be a number, date or truth value if that is
     what the column holds, whether or not the session runs in ANSI mode.
     """
-    own = kind.dataType
     if own == wanted or isinstance(own, (T.StructType, T.ArrayType, T.MapType, T.NullType)):
         return column.cast(wanted)
     value = column.try_cast(wanted)
     kept = value.isNotNull()
     if isinstance(own, T.NumericType) and isinstance(wanted, T.NumericType):
-        kept = F.coalesce(value.try_cast(own) == column, F.lit(False)) | F.isnan(column.cast("double"))
+        kept = F.coalesce(value.try_cast(own) == column, F.lit(False))
+        if isinstance(wanted, (T.FloatType, T.DoubleType)):
+            kept |= F.isnan(column.cast("double"))
     text = F.concat(F.lit(f"value does not fit column type {wanted.simpleString()}: "), column.cast("string"))
     return F.when(column.isNotNull() & ~kept, F.raise_error(text).cast(wanted)).otherwise(value)
 
@@ -79,7 +80,7 @@ def append(source: DataFrame, table: str, by_name: bool = True) -> int:
     counted = Observation()
     rows = source.select(
         *[
-            _stored(column, kind, field.dataType).alias(field.name)
+            stored(column, kind.dataType, field.dataType).alias(field.name)
             for column, kind, field in zip(columns, source.select(*columns).schema, target.fields)
         ]
     ).observe(counted, F.count(F.lit(1)).alias("rows"))

@@ -31,6 +31,10 @@ from quayside.storage import HadoopFiles
 PART, ROW, WEIGHT, BEFORE, NUMBER = map(helper_name, ("part", "row", "weight", "before", "number"))
 _OFFSET_ROWS, _OFFSET_WEIGHT = helper_name("offset_rows"), helper_name("offset_weight")
 
+_GROUP = helper_name("group")
+
+#: Files whose offsets are summed in one group.
+GROUP_FILES = 4096
 #: Target size of one task's share of staged Parquet.
 TASK_BYTES = 128 * 1024 * 1024
 #: Lookup tables are broadcast up to this size; beyond it the join shuffles.
@@ -71,7 +75,7 @@ class Numbered:
     """Rows with a dense global number, and their totals."""
 
     frame: DataFrame
-    """The user's columns plus NUMBER, and BEFORE (global) when weighted."""
+    """The user's columns plus PART and NUMBER, and WEIGHT and BEFORE (global) when weighted."""
     rows: int
     weight: int
     file_bytes: int
@@ -153,7 +157,6 @@ def task_count(spark: SparkSession, size: int) -> int:
 def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
     """Add the global row number, and the global weight before each row."""
     frame = positioned.frame
-    spark = frame.sparkSession
     zero = F.lit(0).cast("long")
     weight = F.sum(WEIGHT) if positioned.weighted else zero
     per_file = frame.groupBy(PART).agg(
@@ -161,27 +164,18 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
         weight.alias("weight"),
         F.max("_metadata.file_size").alias("bytes"),
     )
-    # One row per file, not per data row: a running total over it fits one task.
-    above = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_file.select(
-        PART,
-        F.coalesce(F.sum("rows").over(above), zero).alias(_OFFSET_ROWS),
-        F.coalesce(F.sum("weight").over(above), zero).alias(_OFFSET_WEIGHT),
-        "rows",
-        "weight",
-        "bytes",
-    )
     totals = Observation()
-    observed = offsets.observe(
+    observed = per_file.observe(
         totals,
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.max(F.length(F.col(PART).cast("string"))), F.lit(0)).alias("key_length"),
         *[F.coalesce(F.sum(name), zero).alias(name) for name in ("rows", "weight", "bytes")],
     )
-    lookup = write_and_read(observed, lookup_path).drop("rows", "weight", "bytes")
+    counts = write_and_read(observed.drop("bytes"), f"{lookup_path}/counts")
     found = totals.get
+    lookup = write_and_read(_offsets(counts, found["files"], lookup_path), f"{lookup_path}/offsets")
     lookup = broadcast_if_small(lookup, found["files"], 16 + found["key_length"])
-    columns = data_columns(frame)
+    columns = [*data_columns(frame), F.col(PART)]
     columns.append((F.col(_OFFSET_ROWS) + F.col(ROW)).alias(NUMBER))
     if positioned.weighted:
         columns.append((F.col(_OFFSET_WEIGHT) + F.col(BEFORE)).alias(BEFORE))
@@ -194,6 +188,33 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
     )
 
 
+def _offsets(counts: DataFrame, files: int, lookup_path: str) -> DataFrame:
+    """What lies before each file: a running total within groups of neighbouring files, and over the groups."""
+    groups = math.ceil(files / GROUP_FILES)
+    if isinstance(counts.schema[PART].dataType, T.IntegerType):
+        counts = counts.withColumn(_GROUP, F.expr(f"`{PART}` div {GROUP_FILES}"))
+    elif groups > 1:
+        ranged = counts.repartitionByRange(groups, PART).withColumn(_GROUP, F.spark_partition_id())
+        counts = write_and_read(ranged, f"{lookup_path}/groups")
+    else:
+        counts = counts.withColumn(_GROUP, F.lit(0))
+    zero = F.lit(0).cast("long")
+    # One row per group of files, so a running total over these fits one task.
+    above_groups = Window.orderBy(_GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy(_GROUP).agg(F.sum("rows").alias("r"), F.sum("weight").alias("w"))
+    sums = sums.select(
+        _GROUP,
+        F.coalesce(F.sum("r").over(above_groups), zero).alias("r"),
+        F.coalesce(F.sum("w").over(above_groups), zero).alias("w"),
+    )
+    above = Window.partitionBy(_GROUP).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.join(broadcast_if_small(sums, groups, 24), _GROUP).select(
+        PART,
+        (F.col("r") + F.coalesce(F.sum("rows").over(above), zero)).alias(_OFFSET_ROWS),
+        (F.col("w") + F.coalesce(F.sum("weight").over(above), zero)).alias(_OFFSET_WEIGHT),
+    )
+
+
 def discard(spark: SparkSession, paths: Sequence[str]) -> None:
     files = HadoopFiles(spark)
     for path in paths:

@@ -9,11 +9,16 @@ from dataclasses import dataclass, field
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import CalendarIntervalType
 
+from quayside.functions.naming import helper_name
 from quayside.functions.sqltext import classify, error_hint, split_statements, truncate_sql
 from quayside.operators.dml_sql import run_dml
 from quayside.sources.dialect import TIME_TEXT, CsvDialect
 from quayside.sources.scan import with_typed_nulls
+from quayside.storage import HadoopFiles, scratch_dir
+
+_PLACE = helper_name("place")
 
 #: A stored routine: takes the session and the call's argument values, returns rows or nothing.
 Routine = Callable[..., DataFrame | None]
@@ -60,6 +65,13 @@ class ScriptResult:
 
     total: int
     outcomes: list[Outcome] = field(default_factory=list)
+    spool: str | None = None
+    """Folder that keeps the result sets."""
+
+    def close(self, spark: SparkSession) -> None:
+        """Remove what is kept of the result sets, which cannot be read any more."""
+        if self.spool:
+            HadoopFiles(spark).delete(self.spool)
 
     @property
     def executed(self) -> int:
@@ -71,7 +83,7 @@ class ScriptResult:
 
     @property
     def results(self) -> list[DataFrame]:
-        """Result sets, in statement order; still DataFrames."""
+        """Result sets, in statement order, as they were when their statements ran."""
         return [o.result for o in self.outcomes if o.result is not None]
 
     @property
@@ -101,9 +113,10 @@ def run_script(
 ) -> ScriptResult:
     """Run the statements of a script in order, each with its text unchanged.
 
-    With ``sink``, each result set is written to ``<sink>/result_<number>`` as
-    CSV with a header or as JSON rows; either way it stays available as a
-    DataFrame.  ``routines`` holds the callables behind
+    Each result set is evaluated once, when its statement runs, and kept below
+    ``spark.checkpoint.dir`` until ``ScriptResult.close``, whatever later statements
+    do to its tables.  With ``sink``, it is also written to ``<sink>/result_<number>``
+    as CSV with a header or as JSON rows.  ``routines`` holds the callables behind
     ``EXECUTE SCRIPT name(arguments)``.
     """
     if format not in ("csv", "json"):
@@ -116,8 +129,9 @@ def run_script(
     ).orderBy("n").collect()
     if not statements:
         raise EmptyScriptError("No SQL statements to execute")
-    run = _Run(spark, sink, format, {k.lower(): v for k, v in (routines or {}).items()})
-    result = ScriptResult(len(statements))
+    spool = scratch_dir(spark, "script")
+    run = _Run(spark, sink, format, {k.lower(): v for k, v in (routines or {}).items()}, spool)
+    result = ScriptResult(len(statements), spool=spool)
     for row in statements:
         number = row.n + 1
         try:
@@ -140,6 +154,7 @@ class _Run:
     sink: str | None
     format: str
     routines: Mapping[str, Routine]
+    spool: str
 
     def statement(
         self, number: int, statement: str, kind: str
@@ -153,11 +168,16 @@ class _Run:
         # Statements without result columns come back as an empty frame.
         if kind == "Ddl" or frame is None or not frame.columns:
             return "ok", None, None
-        return "rows", self._deliver(number, frame), frame
+        rows, frame = self._kept(number, frame)
+        if self.sink is not None:
+            self._deliver(number, frame)
+        return "rows", rows, frame
 
     def _change(self, statement: str) -> int | None:
         changed = run_dml(self.spark, statement)
         if changed is not None:
+            # Nobody could name the replaced files afterwards.
+            changed.drop_previous(self.spark)
             return changed.rows
         # An insert has run when sql() returns; its write metric counts committed rows.
         plan = self.spark.sql(statement)._jdf.queryExecution().executedPlan()
@@ -175,11 +195,28 @@ class _Run:
         values = self.spark.sql(f"SELECT {arguments}").first() if arguments else ()
         return self.routines[name](self.spark, *values)
 
-    def _deliver(self, number: int, frame: DataFrame) -> int:
-        if self.sink is None:
-            return frame.count()
-        counted = Observation()
-        rows = with_typed_nulls(frame).observe(counted, F.count(F.lit(1)).alias("rows"))
+    def _kept(self, number: int, frame: DataFrame) -> tuple[int, DataFrame]:
+        """The number of rows, and the rows as they are now."""
+        plan = frame._jdf.queryExecution().optimizedPlan()
+        if plan.getClass().getSimpleName() in ("CommandResult", "LocalRelation"):
+            return frame.count(), frame
+        if any(isinstance(f.dataType, CalendarIntervalType) for f in frame.schema.fields):
+            raise ValueError("results with calendar intervals cannot be kept; cast them to text")
+        counted, names = Observation(), frame.columns
+        # No file format has room for any name, nor for two columns of one name.
+        rows = with_typed_nulls(frame.toDF(*(f"c{i}" for i in range(len(names)))))
+        ordered = plan.outputOrdering().nonEmpty()
+        if ordered:
+            rows = rows.withColumn(_PLACE, F.monotonically_increasing_id())
+        path = f"{self.spool}/result_{number:03d}"
+        rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        kept = self.spark.read.schema(rows.schema).parquet(path)
+        if ordered:
+            kept = kept.orderBy(_PLACE).drop(_PLACE)
+        return counted.get["rows"], kept.toDF(*names)
+
+    def _deliver(self, number: int, frame: DataFrame) -> None:
+        rows = with_typed_nulls(frame)
         path = f"{self.sink}/result_{number:03d}"
         if self.format == "csv":
             dialect = CsvDialect()
@@ -187,7 +224,6 @@ class _Run:
             rows.write.options(**dialect.write_options()).csv(path)
         else:
             rows.write.options(**TIME_TEXT).json(path)
-        return counted.get["rows"]
 
 
 def _without_comments(spark: SparkSession, statement: str) -> str:

@@ -5,26 +5,25 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import helper_name, quote_identifier
+from quayside.operators.chain import CELL, FILE_BEFORE, STARTS_AT, FileLimit, file_starts
 from quayside.operators.numbering import (
     BEFORE,
     NUMBER,
+    PART,
     WEIGHT,
     Numbered,
     broadcast_if_small,
     data_columns,
     task_count,
-    write_and_read,
 )
 from quayside.sources.dialect import CsvDialect
 
 FILE_ID = helper_name("file_id")
-_BUCKET = helper_name("bucket")
-_FIRST, _FIRST_FILE = helper_name("first_number"), helper_name("first_file")
 
 
 @dataclass(frozen=True)
@@ -89,53 +88,34 @@ def plain_row_bytes(schema: T.StructType) -> Column:
     return total + F.lit(fixed)
 
 
-def assign_files(
-    numbered: Numbered, limits: SplitLimits, bucket_weight: int | None, lookup_path: str
-) -> Assigned:
+def assign_files(numbered: Numbered, limits: SplitLimits, room: int | None, scratch: str) -> Assigned:
     """Assign each row to a file.
 
-    The row limit alone is arithmetic on the row number.  With a byte limit the
-    rows are cut wherever the weight before them crosses a multiple of
-    ``bucket_weight``, so a file exceeds the limit by at most the row that
-    crosses it; a row limit then cuts again inside each of those stretches.
-    The rule is the same whatever the rows hold.
+    The row limit alone is arithmetic on the row number.  With a byte limit a file is full once its
+    rows weigh ``room`` or more, or at the row limit; the next row begins the next file, which starts
+    counting from nothing.  A cell of ``room`` weight then holds at most one start, but for those that
+    the row limit makes, which lie evenly behind the first; so a small row per cell tells every row's file.
     """
-    frame = numbered.frame
-    if bucket_weight is None:
+    frame, helpers = numbered.frame, (PART, BEFORE, WEIGHT)
+    if room is None:
         file_id = F.expr(f"`{NUMBER}` div {limits.max_rows}")
-        assigned = frame.withColumn(FILE_ID, file_id).drop(BEFORE, WEIGHT)
+        assigned = frame.withColumn(FILE_ID, file_id).drop(*helpers)
         return Assigned(assigned, _even_counts(numbered.rows, limits.max_rows))
 
-    frame = frame.withColumn(_BUCKET, F.expr(f"`{BEFORE}` div {bucket_weight}"))
-    rows_per_file = limits.max_rows or max(numbered.rows, 1)
-    in_bucket = F.expr(f"(count(1) + {rows_per_file} - 1) div {rows_per_file}")
-    buckets = frame.groupBy(_BUCKET).agg(
-        F.min(NUMBER).alias(_FIRST),
-        F.count(F.lit(1)).alias("rows"),
-        in_bucket.cast("long").alias("files"),
+    cells = file_starts(frame, FileLimit(room, limits.max_rows), scratch)
+    starts = [row.first for row in cells.starts.orderBy("file_id").select("first").toLocalIterator()]
+    lookup = broadcast_if_small(cells.lookup, cells.lookup.count(), 32)
+    behind = f"(`{NUMBER}` - `{STARTS_AT}`) div {limits.max_rows}" if limits.max_rows else "0"
+    file_id = F.expr(
+        f"CASE WHEN `{NUMBER}` >= `{STARTS_AT}` THEN `{FILE_BEFORE}` + 1 + {behind} ELSE `{FILE_BEFORE}` END"
     )
-    # One row per stretch of output, at most one per output file.
-    above = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    stretches = write_and_read(
-        buckets.select(
-            _BUCKET,
-            _FIRST,
-            "rows",
-            F.coalesce(F.sum("files").over(above), zero).alias(_FIRST_FILE),
-        ),
-        lookup_path,
-    )
-    counts = [row.rows for row in stretches.orderBy(_BUCKET).select("rows").collect()]
-    lookup = broadcast_if_small(stretches.drop("rows"), len(counts), 24)
-    file_id = F.expr(f"`{_FIRST_FILE}` + (`{NUMBER}` - `{_FIRST}`) div {rows_per_file}")
     assigned = (
-        frame.join(lookup, _BUCKET)
+        frame.withColumn(CELL, F.expr(f"`{BEFORE}` div {room}"))
+        .join(lookup, [PART, CELL])
         .withColumn(FILE_ID, file_id)
-        .drop(_BUCKET, _FIRST, _FIRST_FILE, BEFORE, WEIGHT)
+        .drop(CELL, STARTS_AT, FILE_BEFORE, *helpers)
     )
-    rows_of = [n for count in counts for n in _even_counts(count, rows_per_file)]
-    return Assigned(assigned, tuple(rows_of))
+    return Assigned(assigned, tuple(b - a for a, b in zip(starts, [*starts[1:], numbered.rows], strict=True)))
 
 
 def _even_counts(rows: int, per_file: int) -> tuple[int, ...]:

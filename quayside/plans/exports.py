@@ -177,16 +177,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, f"{folder}/lineitem*.parquet")
 
 
+def _chained(rows: str, key: str, header: int, limit: int, per_file: int) -> str:
+    """SQL that goes through rows (``key``, ``size``) one by one: a full file ends before the next row, whose file counts anew."""
+    full = f"held >= {limit} OR taken >= {per_file}"
+    return (
+        f"WITH RECURSIVE lines AS (SELECT *, row_number() OVER (ORDER BY {key}) AS i FROM ({rows})),"
+        f" walk AS (SELECT i, {key}, size, {header} + size AS held, 1::BIGINT AS taken, 0::BIGINT AS f FROM lines WHERE i = 1"
+        f" UNION ALL SELECT l.i, l.{key}, l.size, CASE WHEN {full} THEN {header} ELSE held END + l.size,"
+        f" CASE WHEN {full} THEN 0 ELSE taken END + 1, CASE WHEN {full} THEN f + 1 ELSE f END"
+        f" FROM walk w JOIN lines l ON l.i = w.i + 1)"
+    )
+
+
 @catalog.add(
     "split_bytes_manifest",
-    "WITH lines AS (SELECT o_orderkey, strlen(concat_ws(',', o_orderkey, o_custkey,"
-    "  o_orderstatus, o_orderpriority)) + 1 AS size FROM orders),"
-    " placed AS (SELECT size, (sum(size) OVER (ORDER BY o_orderkey) - size) // (100000 - 51) AS b"
-    "  FROM lines),"
-    " filed AS (SELECT size, dense_rank() OVER (ORDER BY b) - 1 AS f FROM placed)"
-    f" SELECT {_named('orders', 'csv', 'f')} AS file_name,"
-    " CAST(sum(size) + 51 AS BIGINT) AS bytes FROM filed GROUP BY f",
-)
+    _chained(
+        "SELECT o_orderkey, strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) + 1"
+        " AS size FROM orders",
+        "o_orderkey", 51, 100_000, 1 << 60,
+    )
+    + f" SELECT {_named('orders', 'csv', 'f')} AS file_name,"
+    " CAST(sum(size) + 51 AS BIGINT) AS bytes FROM walk GROUP BY f",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_tables(spark, sf_dir, "orders")
     folder = output_dir(spark, "bytes")
@@ -205,17 +217,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @catalog.add(
     "split_both_manifest",
-    "WITH lines AS (SELECT doc_id, 1 + strlen(concat_ws(',', doc_id, lang,"
-    "  concat('x', regexp_replace(text, '[^A-Za-z]', '', 'g')))) AS size FROM documents),"
-    " placed AS (SELECT doc_id, size,"
-    "  (sum(size) OVER (ORDER BY doc_id) - size) // (50000 - 20) AS b FROM lines),"
-    " cut AS (SELECT doc_id, size, b,"
-    "  (row_number() OVER (PARTITION BY b ORDER BY doc_id) - 1) // 30 AS c FROM placed),"
-    " filed AS (SELECT doc_id, size, dense_rank() OVER (ORDER BY b, c) - 1 AS f FROM cut)"
-    f" SELECT {_named('letters', 'csv', 'f')} AS file_name, count(*) AS rows,"
+    _chained(
+        "SELECT doc_id, 1 + strlen(concat_ws(',', doc_id, lang,"
+        " concat('x', regexp_replace(text, '[^A-Za-z]', '', 'g')))) AS size FROM documents",
+        "doc_id", 20, 50_000, 30,
+    )
+    + f" SELECT {_named('letters', 'csv', 'f')} AS file_name, count(*) AS rows,"
     " min(doc_id) AS first_doc, max(doc_id) AS last_doc,"
-    " CAST(sum(size) + 20 AS BIGINT) AS bytes FROM filed GROUP BY f",
-)
+    " CAST(sum(size) + 20 AS BIGINT) AS bytes FROM walk GROUP BY f",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_tables(spark, sf_dir, "documents")
     folder = output_dir(spark, "both")

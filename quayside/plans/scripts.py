@@ -18,10 +18,12 @@ from quayside.functions.sqltext import (
     truncate_sql,
 )
 from quayside.operators.dml import delete, merge, update
+from quayside.operators.export import export
 from quayside.operators.load import append, load
 from quayside.operators.script import ScriptResult, run_script
 from quayside.plans.common import (
     Catalog,
+    file_table,
     output_dir,
     table_file,
     table_name,
@@ -72,6 +74,88 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.report(spark).select("n", "kind", "status", "rows")
 
 
+@catalog.add(
+    "script_results_kept",
+    "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders GROUP BY 1",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result read after its table was changed and dropped."""
+    use_tables(spark, sf_dir, "orders")
+    folder, name = output_dir(spark, "kept"), table_name("kept")
+    script = f"""
+    CREATE TABLE {name} (status STRING, customer BIGINT) USING parquet LOCATION '{folder}/table';
+    INSERT INTO {name} SELECT o_orderstatus, o_custkey FROM orders;
+    SELECT status AS o_orderstatus, count(*) AS n, sum(customer) AS customers FROM {name} GROUP BY status;
+    UPDATE {name} SET customer = 0; DELETE FROM {name} WHERE status = 'F'; DROP TABLE {name}
+    """
+    return _run(spark, script).results[0]
+
+
+@catalog.add(
+    "script_verbatim",
+    "SELECT o_orderkey, '-- kept; /* too */' AS note, ';' || o_orderstatus AS shown FROM orders"
+    " WHERE o_orderpriority <> '; --' AND o_totalprice > 100000",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text between quotes and in comments reaches the engine as it was written."""
+    use_tables(spark, sf_dir, "orders")
+    script = """/* first; */ SELECT 1 -- one; 'two
+    ;/*hint*/ SELECT o_orderkey, '-- kept; /* too */' AS note, ';' || o_orderstatus AS shown -- end;
+    FROM orders WHERE o_orderpriority <> '; --' /* and; */ AND o_totalprice > 100000"""
+    return _run(spark, script).results[1]
+
+
+@catalog.add(
+    "script_ddl",
+    "SELECT o_orderkey AS k, o_orderstatus AS status, NULL::VARCHAR AS note FROM orders WHERE o_orderstatus <> 'P'"
+    " UNION ALL SELECT -c_custkey, 'c', c_name FROM customer WHERE c_acctbal < 0",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas, tables, columns and views made, changed and dropped by one script."""
+    use_tables(spark, sf_dir, "orders", "customer")
+    folder, schema = output_dir(spark, "ddl"), table_name("schema")
+    script = f"""
+    CREATE SCHEMA {schema} LOCATION '{folder}/schema';
+    CREATE TABLE {schema}.draft (k BIGINT, status STRING) USING parquet;
+    INSERT INTO {schema}.draft SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P';
+    ALTER TABLE {schema}.draft ADD COLUMN note STRING;
+    ALTER TABLE {schema}.draft RENAME TO {schema}.final;
+    INSERT INTO {schema}.final SELECT -c_custkey, 'c', c_name FROM customer WHERE c_acctbal < 0;
+    CREATE VIEW {schema}.all_rows AS SELECT * FROM {schema}.final;
+    SELECT * FROM {schema}.all_rows;
+    DROP VIEW {schema}.all_rows; DROP TABLE {schema}.final; DROP SCHEMA {schema}
+    """
+    return _run(spark, script).results[0]
+
+
+@catalog.add(
+    "script_describe",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint'"
+        " WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'"
+        " WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END AS data_type"
+        f" FROM (DESCRIBE SELECT * FROM {table})"
+        for table in ("orders", "lineitem", "embeddings")
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DESCRIBE of the tables that SHOW lists, after an EXPLAIN of each."""
+    names = ("orders", "lineitem", "embeddings")
+    use_tables(spark, sf_dir, *names)
+    script = ";".join(f"EXPLAIN SELECT * FROM {n}; SHOW VIEWS LIKE '{n}'; DESCRIBE {n}" for n in names)
+    results = _run(spark, script).results
+    found = None
+    for at in range(0, len(results), 3):
+        plan, shown, described = results[at : at + 3]
+        if "FileScan" not in plan.first()[0]:
+            raise RuntimeError("EXPLAIN gave no plan of a scan")
+        named = described.select(
+            F.lit(shown.first().viewName).alias("table_name"), F.col("col_name").alias("column_name"), "data_type"
+        )
+        found = named if found is None else found.union(named)
+    return found
+
+
 @catalog.add("script_results", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_tables(spark, sf_dir, "orders")
@@ -158,6 +242,93 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@catalog.add(
+    "dml_hit_files",
+    "WITH placed AS (SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 300 AS f FROM orders),"
+    " hit AS (SELECT * FROM placed WHERE o_orderkey BETWEEN 1000 AND 2000 OR o_totalprice > 499900)"
+    " SELECT (SELECT count(*) FROM hit) AS rows, (SELECT count(DISTINCT f) FROM hit) AS files,"
+    " (SELECT count(DISTINCT f) FROM placed) AS all_files, count(*) AS n, CAST(sum(o_custkey) AS BIGINT)"
+    " + (SELECT count(*) FROM hit) AS customers FROM orders",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An UPDATE writes only the files that hold rows it changes."""
+    folder, name = output_dir(spark, "hit"), table_name("hit")
+    orders = file_table(sf_dir, "orders")
+    made = export(spark, f"{folder}/o.parquet", "parquet", table=orders, max_rows_per_file=300, order_by=["o_orderkey"])
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+    done = update(spark, name, {"o_custkey": "o_custkey + 1"}, "o_orderkey BETWEEN 1000 AND 2000 OR o_totalprice > 499900")
+    counts = [F.lit(n).cast("long").alias(c) for n, c in ((done.rows, "rows"), (done.files, "files"), (made.num_files, "all_files"))]
+    return spark.table(name).agg(
+        *[F.max(c).alias(n) for c, n in zip(counts, ("rows", "files", "all_files"))],
+        F.count(F.lit(1)).alias("n"),
+        F.sum("o_custkey").alias("customers"),
+    )
+
+
+@catalog.add(
+    "dml_partitioned",
+    "WITH changed AS (SELECT l_orderkey, l_linenumber,"
+    " CASE WHEN l_returnflag = 'R' AND l_quantity > 25 THEN -l_quantity ELSE l_quantity END AS l_quantity, l_discount,"
+    " CASE WHEN l_returnflag = 'A' AND l_discount > 0.05 THEN 'a moved' ELSE l_returnflag END AS l_returnflag, l_linestatus"
+    " FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linenumber = 2))"
+    " SELECT * FROM changed"
+    " UNION ALL SELECT -o_orderkey, 0, 1.0, 0.0, 'new', o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UPDATE, DELETE and MERGE on a partitioned table, with rows that go to other and to new partitions."""
+    use_tables(spark, sf_dir, "lineitem", "orders")
+    folder, name = output_dir(spark, "partitioned"), table_name("partitioned")
+    _run(
+        spark,
+        f"""CREATE TABLE {name} USING parquet PARTITIONED BY (l_returnflag, l_linestatus) LOCATION '{folder}/table'
+          AS SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_returnflag, l_linestatus FROM lineitem;
+        UPDATE {name} SET l_quantity = -l_quantity WHERE l_returnflag = 'R' AND l_quantity > 25;
+        UPDATE {name} SET l_returnflag = 'a moved' WHERE l_returnflag = 'A' AND l_discount > 0.05;
+        DELETE FROM {name} WHERE l_returnflag = 'N' AND l_linenumber = 2;
+        MERGE INTO {name} t USING (SELECT -o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderpriority = '1-URGENT') s
+          ON t.l_orderkey = s.k
+          WHEN MATCHED THEN DELETE
+          WHEN NOT MATCHED THEN INSERT (l_orderkey, l_linenumber, l_quantity, l_discount, l_returnflag, l_linestatus)
+            VALUES (s.k, 0, 1.0, 0.0, 'new', s.s)""",
+    )
+    return spark.table(name)
+
+
+@catalog.add(
+    "dml_merge_clauses",
+    "WITH joined AS (SELECT c.*, o.o_custkey, o.total, o.n FROM customer c LEFT JOIN"
+    "  (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY 1) o"
+    "  ON c.c_custkey = o.o_custkey AND o.n > 5 AND c.c_acctbal < o.total),"
+    " coded AS (SELECT *, CASE WHEN o_custkey IS NULL THEN CASE WHEN c_mktsegment = 'MACHINERY' THEN 'drop'"
+    "   WHEN c_acctbal < 0 THEN 'idle' ELSE 'keep' END"
+    "  WHEN n > 15 THEN 'big' WHEN c_acctbal < 0 THEN 'drop' WHEN n > 8 THEN 'some' ELSE 'keep' END AS what FROM joined)"
+    " SELECT c_custkey, CASE what WHEN 'big' THEN concat('big ', n) WHEN 'idle' THEN 'idle' ELSE c_name END AS c_name,"
+    "  c_nationkey, CASE what WHEN 'some' THEN c_acctbal + 1000 WHEN 'idle' THEN 0.0 ELSE c_acctbal END AS c_acctbal,"
+    "  c_mktsegment FROM coded WHERE what <> 'drop'"
+    " UNION ALL SELECT o_custkey, CASE WHEN n > 12 THEN 'back' END, NULL, CASE WHEN n <= 12 THEN 0.5 END, NULL"
+    "  FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o WHERE n > 10 AND NOT EXISTS"
+    "  (SELECT 1 FROM joined j WHERE j.o_custkey = o.o_custkey)",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of MERGE clause, several of each, in the order written, with a residual condition."""
+    use_tables(spark, sf_dir, "customer", "orders")
+    name = _loaded(spark, sf_dir, "customer")
+    _run(
+        spark,
+        f"""MERGE INTO {name} AS c
+        USING (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY o_custkey) AS o
+        ON c.c_custkey = o.o_custkey AND o.n > 5 AND c.c_acctbal < o.total
+        WHEN MATCHED AND o.n > 15 THEN UPDATE SET c_name = concat('big ', o.n)
+        WHEN MATCHED AND c.c_acctbal < 0 THEN DELETE
+        WHEN MATCHED AND o.n > 8 THEN UPDATE SET c.c_acctbal = c.c_acctbal + 1000
+        WHEN NOT MATCHED AND o.n > 12 THEN INSERT (c_custkey, c_name) VALUES (o.o_custkey, 'back')
+        WHEN NOT MATCHED AND o.n > 10 THEN INSERT (c_custkey, c_acctbal) VALUES (o.o_custkey, 0.5)
+        WHEN NOT MATCHED BY SOURCE AND c.c_mktsegment = 'MACHINERY' THEN DELETE
+        WHEN NOT MATCHED BY SOURCE AND c.c_acctbal < 0 THEN UPDATE SET c_name = 'idle', c_acctbal = 0""",
+    )
+    return spark.table(name)
+
+
 # New balances for the customers of one segment, and as many new customers.
 _CHANGES = """
 SELECT c_custkey, 'changed' AS note, c_acctbal + 1 AS balance FROM customer

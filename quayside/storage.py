@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -65,13 +66,12 @@ class HadoopFiles:
         found = self._fs(pattern).globStatus(self._path(pattern)) or []
         return sorted((s.getPath().toString(), s.getLen()) for s in found)
 
-    def walk(self, directory: str) -> list[tuple[str, int]]:
+    def walk(self, directory: str) -> Iterator[tuple[str, int]]:
         """(path, length) of every file below a directory, in one listing where stores allow."""
-        found, status = [], self._fs(directory).listFiles(self._path(directory), True)
+        status = self._fs(directory).listFiles(self._path(directory), True)
         while status.hasNext():
             file = status.next()
-            found.append((file.getPath().toString(), file.getLen()))
-        return found
+            yield file.getPath().toString(), file.getLen()
 
     def make_dirs(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))
@@ -79,6 +79,17 @@ class HadoopFiles:
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
+    def of_uri(self, uri: str) -> str:
+        """The path that an encoded address, as rows' metadata has it, stands for, with its scheme and store."""
+        path = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri))
+        return path.getFileSystem(self._conf).makeQualified(path).toString()
+
+    def move(self, source: str, target: str) -> bool:
+        """Rename a file into a folder, which is made if need be; false if the file is not there any more."""
+        fs = self._fs(source)
+        self.make_dirs(parent_of(target))
+        return fs.exists(self._path(source)) and fs.rename(self._path(source), self._path(target))
+
     def replace(self, source: str, target: str) -> None:
         """Rename a file, replacing a file (never a directory) at the target."""
         fs = self._fs(target)

@@ -95,3 +95,39 @@ def test_routines(spark):
     ]
     assert result.results[0].first().word == "a;b)" and len(calls) == 2
     assert "Hint: Check that the table exists" in result.outcomes[-1].message
+
+
+def test_results_outlive_their_tables(spark, table):
+    result = run_script(
+        spark,
+        f"""CREATE TABLE {table} (id INT, v STRING) USING parquet;
+        INSERT INTO {table} SELECT id, concat('v', id) FROM range(100);
+        SELECT * FROM {table} WHERE id < 3;
+        SELECT id, id, NULL AS `a b`, rand() AS `sum(x)` FROM {table} ORDER BY -id LIMIT 20;
+        UPDATE {table} SET v = 'changed';
+        SELECT count(DISTINCT v) AS n FROM {table};
+        DROP TABLE {table}; SELECT 1 AS one; SHOW TABLES LIKE 'nothing'""",
+    )
+    assert result.failed == 0, result.outcomes[-1].message
+    first, ordered, counted, one, none = result.results
+    assert sorted(map(tuple, first.collect())) == [(0, "v0"), (1, "v1"), (2, "v2")]
+    rows = ordered.collect()
+    assert [r[0] for r in rows] == list(range(99, 79, -1)) == [r[1] for r in rows]
+    assert ordered.columns == ["id", "id", "a b", "sum(x)"] and rows == ordered.collect()
+    assert counted.first().n == 1 == one.first().one and none.count() == 0
+    assert [o.rows for o in result.outcomes if o.status == "rows"] == [3, 20, 1, 1, 0]
+    result.close(spark)
+    with pytest.raises(Exception, match="(?i)not.?exist|not found"):
+        first.collect()
+
+
+def test_scripts_leave_no_old_versions(spark, folder, table):
+    run_script(
+        spark,
+        f"""CREATE TABLE {table} (id INT, p INT) USING parquet PARTITIONED BY (p) LOCATION '{folder}/t';
+        INSERT INTO {table} SELECT id, id % 3 FROM range(9);
+        UPDATE {table} SET id = -id WHERE p = 1; DELETE FROM {table} WHERE p = 2;
+        MERGE INTO {table} t USING (SELECT 3 AS k) s ON t.id = s.k WHEN MATCHED THEN DELETE""",
+    )
+    assert sorted(r.id for r in spark.table(table).collect()) == [-7, -4, -1, 0, 6]
+    assert not [n for n in os.listdir(f"{folder}/t") if n.startswith(("_replaced", "_change"))]

@@ -24,19 +24,18 @@ def letters(spark, count, seed=7, longest=60):
 
 
 def cut(lines, max_rows, max_bytes, header):
-    """Brute force: grid of bytes, then rows inside each grid cell."""
-    step = max_rows or len(lines)
-    by_rows = [lines[i : i + step] for i in range(0, len(lines), step)]
-    if max_bytes is None:
-        return by_rows
-    room, before, cells = max_bytes - header, 0, {}
+    """Brute force, one row after the other: a full file ends before the next row, whose file counts anew."""
+    files, held = [], 0
     for line in lines:
-        cells.setdefault(before // room, []).append(line)
-        before += len(line)
-    files = []
-    for cell in cells.values():
-        step = max_rows or len(cell)
-        files += [cell[i : i + step] for i in range(0, len(cell), step)]
+        full = files and (
+            (max_rows is not None and len(files[-1]) >= max_rows)
+            or (max_bytes is not None and held >= max_bytes)
+        )
+        if not files or full:
+            files.append([])
+            held = header
+        files[-1].append(line)
+        held += len(line)
     return files
 
 
@@ -46,7 +45,10 @@ def read_all(paths):
 
 @pytest.mark.parametrize(
     "max_rows, max_bytes",
-    [(3, None), (1, None), (7, None), (100, None), (None, 200), (None, 75), (5, 200), (2, 90)],
+    [
+        (3, None), (1, None), (7, None), (100, None), (None, 200), (None, 75), (None, 9),
+        (None, 9000), (5, 200), (2, 90), (1, 20), (39, 500),
+    ],
 )
 def test_csv_files_equal_brute_force(spark, folder, max_rows, max_bytes):
     rows, frame = letters(spark, 40)
@@ -66,6 +68,30 @@ def test_csv_files_equal_brute_force(spark, folder, max_rows, max_bytes):
     assert [file.rows for file in result.files] == [len(part) for part in wanted]
 
 
+@pytest.mark.parametrize("together", [2, 8])
+@pytest.mark.parametrize("max_rows, room", [(None, 1), (None, 13), (None, 100), (None, 5000), (None, 10**6), (4, 30), (3, 7), (60, 900)])
+def test_files_are_followed_through_many_parts(spark, folder, monkeypatch, together, max_rows, room):
+    """Parts of every size, files within a part and over many, against one row after the other."""
+    from quayside.operators import chain
+
+    monkeypatch.setattr(chain, "STRETCHES", together)
+    pick = random.Random(room)
+    sizes = [pick.choice([1, 1, 2, 3, 8, 40, 300]) for _ in range(700)]
+    bounds = sorted(pick.sample(range(1, 700), 20))
+    rows, before = [], 0
+    for number, size in enumerate(sizes):
+        rows.append((3 * sum(b <= number for b in bounds), number, before))
+        before += size
+    columns = f"{numbering.PART} int, {numbering.NUMBER} long, {numbering.BEFORE} long"
+    frame = spark.createDataFrame(rows, columns).repartition(4)
+    found = chain.file_starts(frame, chain.FileLimit(room, max_rows), folder)
+    wanted = cut(["x" * size for size in sizes], max_rows, room, 0)
+    starts = [0]
+    for file in wanted[:-1]:
+        starts.append(starts[-1] + len(file))
+    assert [tuple(r) for r in found.starts.orderBy("file_id").collect()] == list(enumerate(starts))
+
+
 def test_row_limit_alone_decides_when_bytes_never_fill(spark, folder):
     _, frame = letters(spark, 40, longest=5)
     frame.createOrReplaceTempView("short")
@@ -136,6 +162,17 @@ def test_numbers_are_dense_and_repeatable(spark, folder):
         assert [r.k for r in rows] == sorted((r.k for r in rows), reverse=True)
 
 
+@pytest.mark.parametrize("in_files", [True, False])
+def test_offsets_of_many_files_are_summed_in_groups(spark, folder, monkeypatch, in_files):
+    monkeypatch.setattr(numbering, "GROUP_FILES", 3)
+    spark.range(0, 300, 1, 11).write.parquet(f"{folder}/in")
+    scan = spark.read.parquet(f"{folder}/in")
+    positioned = numbering.position_rows(scan, in_files, f"{folder}/scratch", ["id"] if not in_files else ())
+    numbered = numbering.number_rows(positioned, f"{folder}/offsets")
+    rows = numbered.frame.orderBy(numbering.NUMBER).collect()
+    assert [r[numbering.NUMBER] for r in rows] == list(range(300)) == [r.id for r in rows]
+
+
 def test_lookup_joins_work_without_broadcast(spark, folder, monkeypatch):
     monkeypatch.setattr(numbering, "BROADCAST_BYTES", 0)
     rows, frame = letters(spark, 50)
