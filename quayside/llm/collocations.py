@@ -35,6 +35,8 @@ from quayside.llm.counters import Tally, counter_of, frequent, held, mixed
 LONGEST = 5
 #: Text whose words a task has at hand at once.
 _STRETCH = 4 << 20
+#: Windows that a task adds up before it hands them on.
+_MOST_WINDOWS = 1 << 20
 #: Groups that a language's phrases are first ranked in.
 _SALTS = 64
 
@@ -132,43 +134,85 @@ def _triples(bits: np.ndarray) -> Tally:
     return run
 
 
-def _distinct_windows(windows: np.ndarray, radix: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of word numbers below ``radix``, and how often each occurs."""
+def _distinct_windows(windows: np.ndarray, times: np.ndarray, radix: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of word numbers below ``radix``, and the sums of their times."""
     first, number = np.unique(windows[:, 0], return_inverse=True)
     rows = [first[:, None]]
     for k in range(1, windows.shape[1]):
         keys, number = np.unique(number * radix + windows[:, k], return_inverse=True)
         rows = [r[keys // radix] for r in rows] + [(keys % radix)[:, None]]
-    return np.concatenate(rows, axis=1), np.bincount(number, minlength=len(rows[0]))
+    return np.concatenate(rows, axis=1), np.bincount(number, weights=times, minlength=len(rows[0])).astype(np.int64)
+
+
+class _Tally:
+    """A task's windows of one language, with words numbered as they come up."""
+
+    def __init__(self):
+        self.numbers = Words({_BREAK: 0})
+        self.rows, self.times = np.zeros((0, LONGEST), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self._fresh: list[tuple[np.ndarray, np.ndarray]] = []
+
+    @property
+    def size(self) -> int:
+        return len(self.rows) + sum(len(rows) for rows, _ in self._fresh)
+
+    def add(self, distinct: list[bytes], rows: np.ndarray, times: np.ndarray) -> None:
+        used = np.unique(rows)
+        numbers = np.zeros(len(distinct), dtype=np.int64)
+        numbers[used] = [self.numbers[distinct[k]] for k in used.tolist()]
+        self._fresh.append((numbers[rows], times))
+
+    def merge(self) -> None:
+        rows, times = zip((self.rows, self.times), *self._fresh, strict=True)
+        self.rows, self.times = _distinct_windows(np.concatenate(rows), np.concatenate(times), len(self.numbers))
+        self._fresh = []
+
+    def batches(self, lang: str) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        names = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
+        for at in range(0, len(self.rows), 50_000):
+            # Number 0, the break, stands for padding.
+            part = self.rows[at : at + 50_000]
+            columns = {"lang": pa.array([lang] * len(part), pa.string())}
+            columns |= {c: names.take(pa.array(part[:, k], mask=part[:, k] == 0)) for k, c in enumerate(_COLUMNS)}
+            yield pa.RecordBatch.from_pydict(columns | {"times": pa.array(self.times[at : at + 50_000], pa.int64())})
 
 
 def _windows(bits: np.ndarray, triple_bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def of_stretch(own: _Stretch, begins: int) -> tuple[np.ndarray, np.ndarray]:
+        codes = own.codes
+        triples = own.triples()
+        tripled = np.zeros(len(codes) + LONGEST, dtype=bool)
+        tripled[triples] = held(triple_bits, own.counters(triples, 3))
+        linked = np.append(own.linked, np.zeros(LONGEST, dtype=bool))
+        places = np.flatnonzero(codes[:begins])
+        longer, alone = places[linked[places]], places[~linked[places]]
+        # A seldom word is padding, which only counts as a word.
+        once = np.bincount(np.where(own.frequent[alone], codes[alone], 0), minlength=len(own.distinct))
+        single = np.flatnonzero(once)
+        lead, alive = [codes[longer]], linked[longer]
+        for k in range(1, LONGEST):
+            if k > 1:
+                alive = alive & tripled[longer + k - 2]
+            lead.append(np.where(alive, codes[np.minimum(longer + k, len(codes) - 1)], 0))
+        found, times = _distinct_windows(np.stack(lead, axis=1), np.ones(len(longer)), len(own.distinct))
+        rows = np.zeros((len(single) + len(found), LONGEST), dtype=np.int64)
+        rows[: len(single), 0], rows[len(single) :] = single, found
+        return rows, np.concatenate([once[single], times])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies: dict[str, _Tally] = {}
         for lang, words, begins in _of_slices(batches):
             own = _Stretch(lang, words, bits)
-            codes, distinct = own.codes, own.distinct
-            triples = own.triples()
-            tripled = np.zeros(len(codes) + LONGEST, dtype=bool)
-            tripled[triples] = held(triple_bits, own.counters(triples, 3))
-            linked = np.append(own.linked, np.zeros(LONGEST, dtype=bool))
-            places = np.flatnonzero(codes[:begins])
-            longer = places[linked[places]]
-            alone = places[~linked[places]]
-            # Number 0, the break, stands for padding; so does a seldom word, which only counts as one.
-            once = np.bincount(np.where(own.frequent[alone], codes[alone], 0), minlength=len(distinct))
-            single = np.flatnonzero(once)
-            lead, alive = [codes[longer]], linked[longer]
-            for k in range(1, LONGEST):
-                if k > 1:
-                    alive = alive & tripled[longer + k - 2]
-                lead.append(np.where(alive, codes[np.minimum(longer + k, len(codes) - 1)], 0))
-            found, times = _distinct_windows(np.stack(lead, axis=1), len(distinct))
-            rows = np.zeros((len(single) + len(found), LONGEST), dtype=np.int64)
-            rows[: len(single), 0], rows[len(single) :] = single, found
-            names = pa.array(distinct, pa.binary()).cast(pa.string())
-            columns = {"lang": pa.array([lang] * len(rows), pa.string())}
-            columns |= {c: names.take(pa.array(rows[:, k], mask=rows[:, k] == 0)) for k, c in enumerate(_COLUMNS)}
-            yield pa.RecordBatch.from_pydict(columns | {"times": pa.array(np.concatenate([once[single], times]), pa.int64())})
+            tallies.setdefault(lang, _Tally()).add(own.distinct, *of_stretch(own, begins))
+            if sum(t.size for t in tallies.values()) > _MOST_WINDOWS:
+                for tally in tallies.values():
+                    tally.merge()
+                if sum(t.size for t in tallies.values()) > _MOST_WINDOWS // 2:
+                    for name in list(tallies):
+                        yield from tallies.pop(name).batches(name)
+        for name, tally in tallies.items():
+            yield from tally.batches(name)
 
     return run
 

@@ -245,6 +245,7 @@ def test_stretches_of_long_texts_lose_no_window(monkeypatch):
 
 def test_phrases_with_many_tasks_and_shared_counters(spark, monkeypatch):
     monkeypatch.setattr(counters, "_GROUP", 3)
+    monkeypatch.setattr(collocations, "_MOST_WINDOWS", 30)
     rows = phrase_rows(60, 8)
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(11)
     assert mined(spark, frame, 3, 100) == plain_phrases(rows, 3, 100)
