@@ -1,30 +1,35 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-A paragraph is a line, or a run of neighbouring lines over which a notice is wrapped.  Sparse features are its distinct words and pairs of neighbouring words, as far as
-they occur in the templates; a multinomial logistic regression gives the chances of the licence
-families and of the class ``unknown``.  It is trained in numpy, on the templates, whole, shortened and with
-other words around them, against lines of a bounded sample of the corpus; the chances are
-calibrated by a temperature fitted to rows kept apart.  A prediction counts only if the paragraph
-has most of the words of one of the family's templates; otherwise the family is ``unknown``.
-
-Scanning uses DataFrame functions alone and does not shuffle.  Only paragraphs with a word that
-templates do not share with ordinary prose are scored.  Others cannot be confirmed, as without such a
-word no template's share of words is reached.
-
-Lines without a word, as blank lines or bare comment marks, end a run.  Comment marks are no words, so they
-do not count within one.  A run is given out if it is confirmed and just holds a template: without its first or
-its last line it would not, and it has at most twice the template's words and ``RUN_SLACK`` more.  Words are
-the same whether wrapped or not, so the examples of whole lines train for runs too.  Runs have ``RUN_LINES``
-lines at most.
-
-Defined results: one row for each line that is scored and for each run that is given out; null and empty texts give none; repeated
-rows give repeated rows; of equal chances the first family in alphabetical order is taken.  Only the
-named columns are read.
+A paragraph is a notice, on one line or wrapped over any number of them, or a line.  Sparse features are its
+distinct words and pairs of neighbouring words, as far as they occur in the templates; a multinomial logistic
+regression gives the chances of the licence families and of the class ``unknown``.  It is trained in numpy, on
+the templates, whole, shortened and with other words around them, against lines of a bounded sample of the
+corpus; the chances are calibrated by a temperature fitted to rows kept apart.
+
+Notices are found by the templates' key words: as many of a template's least shared words as a paragraph that
+has ``CONFIRMS`` of its words cannot all miss.  From a key word on, and then back to the one before, words of the
+template that were not there yet are taken on, as long as at most ``GAP`` other words lie in between and the
+paragraph has at most twice the template's words and ``SPREAD`` more: the same words farther apart are prose.  Line
+ends do not count, but lines without a word, as blank lines or bare comment marks, end a paragraph.  What has the
+template's share so is a candidate.  Of overlapping ones the first is kept, of those with the same start the one
+of the longest template and then the longest one.  What is kept is classified; the prediction counts if it is likely enough and the paragraph
+has ``CONFIRMS`` of the words of one of the predicted family's templates.
+Lines outside of notices that have a word which templates do not share with ordinary prose are classified
+too, and given out as ``unknown``.
+
+Scanning uses DataFrame functions alone and does not shuffle; a text's rows are made from its words in place,
+in time linear in its length, and no row carries more than its own paragraph.
+
+Defined results: one row for each notice, and for each other line that is scored; null and empty texts give
+none, nor does an empty table; repeated rows give repeated rows; of equal chances the first family in alphabetical
+order is taken.  Long texts are scanned whole.  Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,8 +46,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
@@ -69,6 +82,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-2.0-only",
     ),
     "GPL-3.0": (
@@ -76,9 +90,21 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "LGPL": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This work is licensed under the GNU Lesser General Public License.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
     "MIT": (
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "Licensed under the MIT License.",
         "SPDX-License-Identifier: MIT",
     ),
@@ -93,13 +119,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 _COMMON = frozenset(
     "a all and any are as at be by can charge either except file files following for form forms found free in is it later law met not of"
     " option or person possible terms that the this to under use used version with without work you"
-    " 0 1 2 3 4 cc mit nc only sa v".split()
+    " 0 1 2 3 4 above appear binary by cc code copies copy derived from included its list materials mit must name names nc neither nor only other"
+    " portions prior products program promote provided purpose retain reproduce sa shall specific use v written".split()
 )
 UNKNOWN = "unknown"
 #: The share of a template's words that confirms a prediction, and the least chance.
 CONFIRMS, LEAST_CHANCE = 0.9, 0.5
-#: Lines of a run at most, and words that it may have beyond twice a template's.
-RUN_LINES, RUN_SLACK = 24, 24
+#: Words that a notice may have beyond twice its template's, and between two words that it takes on.
+SPREAD, GAP = 24, 12
 #: Documents whose lines stand for unknown text, at most about so many, and lines.
 SAMPLE_ROWS, SAMPLE_LINES = 500, 3000
 _SPLIT = "[^a-z0-9]+"
@@ -122,7 +149,7 @@ def _grams(words: list[str]) -> set[str]:
     return {*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))}
 
 
-def _share(words: set[str], template: str) -> float:
+def _covered(words: set[str], template: str) -> float:
     own = set(words_of(template))
     return len(own & words) / len(own)
 
@@ -150,13 +177,13 @@ def fit(lines: list[str], seed: int = 13) -> LicenseModel:
     """Train on the templates and on lines of other text; lines that a template's words cover are left out."""
     families = [*sorted(TEMPLATES), UNKNOWN]
     random = np.random.default_rng(seed)
-    templates = [(k, t) for k, family in enumerate(families[:-1]) for t in TEMPLATES[family]]
-    other = [w for line in lines if (w := words_of(line)) and max(_share(set(w), t) for _, t in templates) < 0.5]
+    known = [(k, t) for k, family in enumerate(families[:-1]) for t in TEMPLATES[family]]
+    other = [w for line in lines if (w := words_of(line)) and max(_covered(set(w), t) for _, t in known) < 0.5]
     filler = [word for words in other for word in words] or ["x"]
-    grams = sorted({g for _, t in templates for g in _grams(words_of(t))})
+    grams = sorted({g for _, t in known for g in _grams(words_of(t))})
     place = {g: n for n, g in enumerate(grams)}
     examples: list[tuple[int, list[str]]] = []
-    for k, template in templates:
+    for k, template in known:
         words = words_of(template)
         examples += [(k, words)] * 4
         for _ in range(30):
@@ -182,99 +209,256 @@ def fit(lines: list[str], seed: int = 13) -> LicenseModel:
 
 
 def learn(documents: DataFrame, key: str = "doc_id", text: str = "text") -> LicenseModel:
-    """Fit against lines of about ``SAMPLE_ROWS`` documents, ``SAMPLE_LINES`` at most."""
-    drawn = bounded(documents.where(F.col(text).isNotNull()), SAMPLE_ROWS, 10, key).select(F.col(text).alias("t"))
+    """Fit against lines of ``SAMPLE_ROWS`` documents at most, ``SAMPLE_LINES`` at most."""
+    texts = documents.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    drawn = bounded(texts, SAMPLE_ROWS, 10).select("t")
     lines = sorted({line for (t,) in drawn.collect() for line in t.split("\n")})
     pick = np.random.default_rng(1).permutation(len(lines))[:SAMPLE_LINES]
     return fit([lines[k] for k in sorted(pick)])
 
 
 def _literal(words: list[str]) -> Column:
-    return F.array(*map(F.lit, words))
+    """Words as one constant array; a literal for each would take long to put together."""
+    return F.split(F.lit("\t".join(words)), "\t")
+
+
+def _numbers(values, kind: str) -> Column:
+    return _literal([f"{v:.6f}" if kind == "double" else str(v) for v in values]).cast(f"array<{kind}>")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), _SPLIT), lambda w: w != "")
 
 
-def _shares(words: Column, family: str) -> list[tuple[Column, int]]:
-    """The share of each template's words, and how many it has."""
-    own = [sorted(set(words_of(t))) for t in TEMPLATES[family]]
-    return [(F.size(F.array_intersect(words, _literal(w))) / F.lit(float(len(w))), len(w)) for w in own]
+# --- templates as tables ------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Template:
+    """The distinct words of a template, how many of them confirm, and the words of which one is always among these."""
+
+    family: str
+    words: tuple[str, ...]
+    need: int
+    keys: tuple[str, ...]
+
+    @property
+    def most(self) -> int:
+        """Words of a notice at most."""
+        return 2 * len(self.words) + SPREAD
+
+
+def templates() -> list[Template]:
+    every = [(family, sorted(set(words_of(t)))) for family in sorted(TEMPLATES) for t in TEMPLATES[family]]
+    shared = Counter(w for _, words in every for w in words)
+    out = []
+    for family, words in every:
+        need = math.ceil(CONFIRMS * len(words) - 1e-9)
+        rare = sorted(words, key=lambda w: (w in _COMMON, shared[w], -len(w), w))
+        out.append(Template(family, tuple(words), need, tuple(rare[: len(words) - need + 1])))
+    return out
+
+
+def anchors() -> list[str]:
+    """Words that templates do not share with ordinary prose, and all key words."""
+    return sorted({w for t in templates() for w in (*t.keys, *t.words)} - (_COMMON - {w for t in templates() for w in t.keys}))
+
+
+@dataclass(frozen=True)
+class _Tables:
+    """The templates, from 1 on, as constants."""
+
+    words: Column
+    need: Column
+    most: Column
+    size: Column
+    keys: Column
+    #: Numbers of the templates that a word is a key of, and of those of a class.
+    by_key: Column
+    by_class: Column
+
+    @classmethod
+    def of(cls, known: list[Template], families: list[str]) -> _Tables:
+        keyed = sorted({w for t in known for w in t.keys})
+        numbers = [" ".join(str(n) for n, t in enumerate(known, 1) if w in t.keys) for w in keyed]
+        own = [" ".join(str(n) for n, t in enumerate(known, 1) if t.family == family) or "0" for family in families]
+        return cls(
+            _literal([" ".join(t.words) for t in known]),
+            _numbers([t.need for t in known], "int"),
+            _numbers([t.most for t in known], "int"),
+            _numbers([len(t.words) for t in known], "int"),
+            _literal([" ".join(t.keys) for t in known]),
+            F.map_from_arrays(_literal(keyed), _literal(numbers)),
+            _literal(own),
+        )
+
+    def words_of(self, number: Column) -> Column:
+        return F.split(F.element_at(self.words, number), " ")
+
+
+# --- notices of one text ------------------------------------------------------------------------
+
+
+def _bit(word: Column, own: Column) -> Column:
+    """A bit for each of a template's words."""
+    place = F.array_position(own, word).cast("int")
+    return F.when(place > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), place - 1)).otherwise(F.lit(0).cast("bigint"))
+
+
+def _taken(words: Column, mask: Column, own: Column) -> Column:
+    """``mask, n``: the template's words found from here on, and the place of the last that was new."""
+
+    def step(state: Column, word: Column) -> Column:
+        return _let(_bit(word, own), lambda bit: F.when(
+            (bit != 0) & (state["mask"].bitwiseAND(bit) == 0) & (state["at"] - state["n"] <= GAP),
+            F.struct(state["mask"].bitwiseOR(bit).alias("mask"), (state["at"] + 1).alias("n"), (state["at"] + 1).alias("at")),
+        ).otherwise(F.struct(state["mask"].alias("mask"), state["n"].alias("n"), (state["at"] + 1).alias("at"))))
+
+    start = F.struct(mask.alias("mask"), F.lit(0).alias("n"), F.lit(0).alias("at"))
+    return F.aggregate(words, start, step)
 
 
-def _judged(scored: DataFrame, model: LicenseModel) -> DataFrame:
-    """With the class of ``words`` and its chance."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1), lambda n: F.concat_ws(" ", F.element_at("words", n), F.element_at("words", n + 1))
-    )
-    pairs = F.when(F.size("words") > 1, pairs).otherwise(F.array().cast("array<string>"))
-    scored = scored.withColumn("grams", F.array_intersect(F.concat("words", pairs), _literal(model.grams)))
-    table = F.map_from_arrays(
-        _literal(model.grams), F.array(*(F.array(*(F.lit(round(float(v), 6)) for v in line)) for line in model.weights))
-    )
+def _until(words: Column, stops) -> Column:
+    """The words before the first for which ``stops`` holds."""
+    # The place of the first, one past the end if there is none.
+    first = F.array_position(F.transform(words, lambda w: stops(w)), F.lit(True)).cast("int")
+    return F.when(first > 0, F.slice(words, F.lit(1), first - 1)).otherwise(words)
+
+
+def _notice(flat: Column, place: Column, number: Column, tables: _Tables) -> Column:
+    """The paragraph around the key word at ``place`` that reaches the template, or null."""
+    need, most = (F.element_at(t, number) for t in (tables.need, tables.most))
+
+    def words(start: Column, count: Column) -> Column:
+        return F.transform(F.slice(flat, start, count), lambda x: x["word"])
+
+    def of_template(own: Column) -> Column:
+        ahead = _until(words(place, most), lambda w: w == "")
+        return _let(_taken(ahead, F.lit(0).cast("bigint"), own), lambda ahead: around(own, ahead))
+
+    def around(own: Column, ahead: Column) -> Column:
+        low = F.greatest(F.lit(1), place - most + ahead["n"])
+        keys = F.split(F.element_at(tables.keys, number), " ")
+        behind = _let(keys, lambda keys: _until(F.reverse(words(low, place - low)), lambda w: (w == "") | F.array_contains(keys, w)))
+        return _let(_taken(behind, ahead["mask"], own), lambda behind: F.when(F.bit_count(behind["mask"]) >= need, F.struct(
+            (place - behind["n"]).alias("first"), (-F.element_at(tables.size, number)).alias("longest"),
+            (1 - place - ahead["n"]).alias("farthest"),
+        )))
+
+    return _let(tables.words_of(number), of_template)
+
+
+def _candidates(flat: Column, tables: _Tables) -> Column:
+    """The paragraphs of a text that reach a template and do not overlap, by their start."""
+
+    def of_word(item: Column, at: Column) -> Column:
+        numbers = F.element_at(tables.by_key, item["word"])
+        places = F.transform(F.split(numbers, " ").cast("array<int>"), lambda n: F.struct((at + 1).alias("place"), n.alias("number")))
+        return F.when(numbers.isNotNull(), places)
+
+    places = F.flatten(F.filter(F.transform(flat, of_word), lambda x: x.isNotNull()))
+    found = F.filter(F.transform(places, lambda p: _notice(flat, p["place"], p["number"], tables)), lambda n: n.isNotNull())
+    kind = "array<struct<first: int, longest: int, farthest: int>>"
+
+    def apart(kept: Column, n: Column) -> Column:
+        free = (F.size(kept) == 0) | (-F.element_at(kept, -1)["farthest"] < n["first"])
+        return F.when(free, F.array_append(kept, n)).otherwise(kept)
+
+    return F.aggregate(F.sort_array(found.cast(kind)), F.array().cast(kind), apart)
+
+
+def _class_of(words: Column, model: LicenseModel) -> Column:
+    """The class of a paragraph's words and its chance."""
+    classes = len(model.families)
+    pairs = F.when(
+        F.size(words) > 1,
+        F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.concat_ws(" ", F.element_at(words, n), F.element_at(words, n + 1))),
+    ).otherwise(F.array().cast("array<string>"))
+    grams, weights = _literal(model.grams), _numbers(model.weights.ravel(), "double")
+    found = F.transform(F.array_intersect(F.concat(words, pairs), grams), lambda g: F.array_position(grams, g).cast("int"))
     logits = F.aggregate(
-        F.transform("grams", lambda g: F.element_at(table, g)),
-        F.array(*(F.lit(round(float(v), 6)) for v in model.bias)),
-        lambda total, own: F.zip_with(total, own, lambda a, b: a + b),
-    )
-    scored = scored.withColumn("logits", logits).withColumn("top", F.array_max("logits"))
-    scored = scored.withColumn("class", F.array_position("logits", F.col("top")).cast("int"))
-    return scored.withColumn(
-        "chance", 1 / F.aggregate("logits", F.lit(0.0), lambda total, v: total + F.exp(v - F.col("top")))
-    )
+        found, _numbers(model.bias, "double"),
+        lambda total, n: F.zip_with(total, F.slice(weights, (n - 1) * classes + 1, F.lit(classes)), lambda a, b: a + b),
+    )
+
+    def judged(logits: Column) -> Column:
+        top = F.array_max(logits)
+        chance = 1 / F.aggregate(logits, F.lit(0.0), lambda total, v: total + F.exp(v - top))
+        return F.struct(F.array_position(logits, top).cast("int").alias("class"), chance.alias("chance"))
+
+    return _let(logits, judged)
+
+
+def _similarity(words: Column, class_: Column, tables: _Tables) -> Column:
+    """The largest share of a template of the class that is among the words; 0 for the class without any."""
+
+    def share(number: Column) -> Column:
+        own = F.array_intersect(words, tables.words_of(number))
+        return F.size(own) / F.element_at(tables.size, number).cast("double")
+
+    numbers = F.filter(F.split(F.element_at(tables.by_class, class_), " ").cast("array<int>"), lambda n: n > 0)
+    return F.coalesce(F.array_max(F.transform(numbers, share)), F.lit(0.0))
+
+
+def _judged(words: Column, model: LicenseModel, tables: _Tables) -> Column:
+    return _let(words, lambda words: _let(_class_of(words, model), lambda c: F.struct(
+        c["class"].alias("class"), c["chance"].alias("chance"), _similarity(words, c["class"], tables).alias("similarity"),
+    )))
+
+
+def _notices(flat: Column, model: LicenseModel, tables: _Tables) -> Column:
+    """The confirmed paragraphs of a text, by their start."""
+
+    def classified(n: Column) -> Column:
+        words = F.transform(F.slice(flat, n["first"], 1 - n["farthest"] - n["first"]), lambda x: x["word"])
+        first, last = (F.element_at(flat, place)["line"] for place in (n["first"], -n["farthest"]))
+        return F.struct(first.alias("paragraph"), (last - first + 1).alias("lines"), _judged(words, model, tables).alias("judged"))
+
+    def sure(n: Column) -> Column:
+        judged = n["judged"]
+        return (judged["similarity"] >= CONFIRMS) & (judged["chance"] >= LEAST_CHANCE)
+
+    return F.filter(F.transform(_candidates(flat, tables), classified), sure)
 
 
 def scan(documents: DataFrame, model: LicenseModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, paragraph, family, chance, similarity, lines`` for every line that is scored and every confirmed run.
+    """``doc_id, paragraph, family, chance, similarity, lines`` for every notice and every other line that is scored.
 
     ``paragraph`` is the number of its first line, and ``lines`` how many it has.
     """
-    families = model.families[:-1]
-    sure = (F.col("similarity") >= CONFIRMS) & (F.col("chance") >= LEAST_CHANCE)
-    lines = documents.select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias("paragraph", "line"))
-    anchors = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t)} - _COMMON)
-    scored = _judged(lines.withColumn("words", _words(F.col("line"))).where(F.arrays_overlap("words", _literal(anchors))), model)
-    shares = [F.greatest(*(share for share, _ in _shares(F.col("words"), family)), F.lit(0.0)) for family in families]
-    scored = scored.withColumn("similarity", F.element_at(F.array(*shares, F.lit(0.0)), F.col("class")))
-    family = F.when(sure, F.element_at(_literal(model.families), F.col("class"))).otherwise(F.lit(UNKNOWN))
-    single = scored.select("doc_id", "paragraph", family.alias("family"), "chance", "similarity", F.lit(1).alias("lines"))
-    runs = _judged(_runs(documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), families), model)
-    runs = runs.withColumn("similarity", F.element_at(F.concat("shares", F.array(F.lit(0.0))), F.col("class"))).where(sure)
-    named = F.element_at(_literal(model.families), F.col("class")).alias("family")
-    return single.union(runs.select("doc_id", "paragraph", named, "chance", "similarity", "lines"))
-
-
-def _runs(documents: DataFrame, families: list[str]) -> DataFrame:
-    """``doc_id, paragraph, lines, words, shares``: runs of lines that just hold a template, with a share per family."""
-
-    def reached(words: str) -> Column:
-        return F.greatest(*(share for family in families for share, _ in _shares(F.col(words), family))) >= CONFIRMS
-
-    vocabulary = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t)})
-    split = documents.select("doc_id", F.transform(F.split("text", "\n"), _words).alias("all"))
-    # What no whole text or window reaches, no run in it does.
-    held = split.where(F.size("all") > 1).withColumn("distinct", F.array_distinct(F.flatten("all"))).where(reached("distinct"))
-    starts = held.select("doc_id", "all", F.posexplode("all").alias("paragraph", "first")).where(F.arrays_overlap("first", _literal(vocabulary)))
-    ahead = starts.withColumn("ahead", F.slice("all", F.col("paragraph") + 1, RUN_LINES))
-    blank = F.array_position(F.transform("ahead", F.size), F.lit(0)).cast("int")
-    ahead = ahead.select("doc_id", "paragraph", F.when(blank > 0, F.slice("ahead", F.lit(1), blank - 1)).otherwise(F.col("ahead")).alias("ahead"))
-    ahead = ahead.where(F.size("ahead") > 1).withColumn("near", F.array_distinct(F.flatten("ahead"))).where(reached("near"))
-    ends = ahead.select("doc_id", "paragraph", "ahead", F.explode(F.sequence(F.lit(2), F.size("ahead"))).alias("lines"))
-    runs = ends.select(
-        "doc_id", "paragraph", "lines", F.flatten(F.slice("ahead", F.lit(1), F.col("lines"))).alias("words"),
-        F.flatten(F.slice("ahead", F.lit(2), F.col("lines") - 1)).alias("later"),
-        F.flatten(F.slice("ahead", F.lit(1), F.col("lines") - 1)).alias("sooner"),
-    )
-    runs = runs.where(reached("words"))
-    shares = []
-    for family in families:
-        whole, less = _shares(F.col("words"), family), [_shares(F.col(c), family) for c in ("later", "sooner")]
-        just = [
-            F.when(
-                (share >= CONFIRMS) & (a < CONFIRMS) & (b < CONFIRMS) & (F.size("words") <= 2 * n + RUN_SLACK), share
-            ).otherwise(F.lit(0.0))
-            for (share, n), (a, _), (b, _) in zip(whole, *less, strict=True)
-        ]
-        shares.append(F.greatest(*just, F.lit(0.0)))
-    return runs.withColumn("shares", F.array(*shares)).where(F.array_max("shares") >= CONFIRMS)
+    known = templates()
+    tables = _Tables.of(known, model.families)
+    marks = _literal(anchors())
+    kept = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    kept = kept.where(F.arrays_overlap(F.split(F.lower("text"), _SPLIT), marks))
+
+    def of_line(line: Column, number: Column) -> Column:
+        # A line without words is one empty word, which no paragraph holds.
+        words = _let(_words(line), lambda own: F.when(F.size(own) > 0, own).otherwise(_literal([""])))
+        return F.transform(words, lambda w: F.struct(w.alias("word"), number.alias("line")))
+
+    flat = F.flatten(F.transform(F.split("text", "\n"), of_line))
+    read = kept.select("doc_id", "text", _let(flat, lambda flat: _notices(flat, model, tables)).alias("notices"))
+    # An explode in between keeps what is found from being worked out for each line again.
+    read = read.select("doc_id", "text", F.explode(F.array("notices")).alias("notices"))
+
+    def left(lines: Column) -> Column:
+        covered = F.flatten(F.transform("notices", lambda n: F.sequence(n["paragraph"], n["paragraph"] + n["lines"] - 1)))
+        rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
+        return F.transform(rest, lambda n: F.struct(n.alias("paragraph"), _words(F.element_at(lines, n + 1)).alias("words")))
+
+    lines = F.filter(_let(F.split("text", "\n"), left), lambda x: F.arrays_overlap(x["words"], marks))
+    lines = F.transform(lines, lambda x: F.struct(
+        x["paragraph"].alias("paragraph"), F.lit(1).alias("lines"), _judged(x["words"], model, tables).alias("judged"), F.lit(False).alias("sure"),
+    ))
+    notices = F.transform("notices", lambda n: F.struct(
+        n["paragraph"].alias("paragraph"), n["lines"].alias("lines"), n["judged"].alias("judged"), F.lit(True).alias("sure"),
+    ))
+    rows = read.select("doc_id", F.explode(F.concat(notices, lines)).alias("p")).select("doc_id", "p.*")
+    family = F.when(F.col("sure"), F.element_at(_literal(model.families), F.col("judged.class"))).otherwise(F.lit(UNKNOWN))
+    return rows.select("doc_id", "paragraph", family.alias("family"), "judged.chance", "judged.similarity", "lines")
