@@ -10,6 +10,7 @@ bring similar documents together, and the likeness of the whole fingerprints ver
 
 Defined results: a null text counts as empty; the empty text's fingerprint has no notes, and is like
 itself (1) and unlike others (0).  Equal texts have equal fingerprints.  Long texts are walked whole.
+Repeated rows are rows each; an empty table gives no rows.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import SLICE_BYTES, Staged, slices
+from quayside.llm.counters import counter_of, frequent, held
 from quayside.llm.neardup import by_block, components, deal, joining
 
 #: Sampled steps that a fingerprint has at most; on average three quarters of it.
@@ -171,45 +173,71 @@ def fingerprint(text: Column) -> Column:
     return F.arrow_udf(run, "string").asNondeterministic()(text)
 
 
+class _Ranges:
+    """Ranges of (id, hash of the text) in ascending order; an id that would fill several is split by the hash."""
+
+    def __init__(self, bounds: list[float]):
+        self.cuts, times = np.unique(np.array(bounds, dtype=np.int64), return_counts=True)
+        # A bound that comes up several times is an id with as many shares of all rows.
+        self.parts = np.where(times > 1, times, 0)
+        self.starts = np.concatenate([[0], np.cumsum(1 + self.parts)])
+
+    @property
+    def count(self) -> int:
+        return int(self.starts[-1]) + 1
+
+    def __call__(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.cuts, ids, "left")
+        found = self.starts[place]
+        if len(self.cuts):
+            inner = np.minimum(place, len(self.cuts) - 1)
+            hot = (place < len(self.cuts)) & (self.cuts[inner] == ids) & (self.parts[inner] > 0)
+            share = (hashes >> 32) + (1 << 31)
+            found = found + np.where(hot, 1 + (share * self.parts[inner] >> 32), 0)
+        return found.astype(np.int32)
+
+
 def in_order(documents: DataFrame, key: str = "doc_id", text: str = "text", partitions: int = 0) -> DataFrame:
     """``id, text, copy``: one range of ids to a partition, from the largest id down, then a copy of the row that comes next.
 
-    The next row is the first of the next lower range, and above the lowest range that of the highest.  The
-    bounds are quantiles of the ids, and each range's largest id is gathered: two numbers for each
-    partition, whatever the data.  Rows without an id come last, in any partition.  Texts are shuffled once.
+    Rows of one id follow each other by a hash of their texts, downwards; an id with several shares of all rows
+    is split by it.  The next row is the first of the next lower range, and above the lowest range that of the
+    highest.  The bounds are quantiles of the ids, and each range's first place is gathered: a few numbers for
+    each partition, whatever the data.  Rows without an id come last, in any partition.  Texts are shuffled once.
     """
-    rows = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    ids = rows.select("id").where("id IS NOT NULL")
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    ids = rows.select("id", "h").where("id IS NOT NULL")
     partitions = partitions or max(1, documents.rdd.getNumPartitions())
     shares = [k / partitions for k in range(1, partitions)]
-    cuts = np.unique(np.array(ids.approxQuantile("id", shares, 0.1 / partitions) if shares else [], dtype=np.int64))
+    ranges = _Ranges(ids.approxQuantile("id", shares, 0.1 / partitions) if shares else [])
 
-    def range_of(found: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(cuts, found.to_numpy(zero_copy_only=False).astype(np.int64), "left").astype(np.int32))
+    def range_of(found: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(ranges(*(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (found, hashes))))
 
-    tops = ids.select("id", F.arrow_udf(range_of, "int")("id").alias("b")).groupBy("b").agg(F.max("id").alias("top")).collect()
-    tops = sorted((r.b, r.top) for r in tops)
+    first = F.max(F.struct("id", "h")).alias("top")
+    tops = ids.select("id", "h", F.arrow_udf(range_of, "int")("id", "h").alias("b")).groupBy("b").agg(first).collect()
+    tops = sorted((r.b, (r.top.id, r.top.h)) for r in tops)
     follows = {top: above for (_, top), (above, _) in zip(tops, tops[1:] + tops[:1], strict=True)}
 
-    def places(found: pa.Array, spread: pa.Array) -> pa.Array:
-        listed, lonely = found.to_pylist(), spread.to_pylist()
-        own = range_of(found.fill_null(0)).to_pylist()
+    def places(found: pa.Array, hashes: pa.Array, spread: pa.Array) -> pa.Array:
+        own = range_of(found.fill_null(0), hashes).to_pylist()
         counts, flat, copy = [0], [], []
-        for i, b, free in zip(listed, own, lonely, strict=True):
+        for i, h, b, free in zip(found.to_pylist(), hashes.to_pylist(), own, spread.to_pylist(), strict=True):
             flat.append(free if i is None else b)
             copy.append(False)
-            if i in follows:
-                flat.append(follows[i])
+            if i is not None and (i, h) in follows:
+                flat.append(follows[i, h])
                 copy.append(True)
             counts.append(len(flat))
         cells = pa.StructArray.from_arrays([pa.array(flat, pa.int32()), pa.array(copy, pa.bool_())], ["b", "copy"])
         return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), cells)
 
-    spread = F.pmod(F.xxhash64("text"), F.lit(partitions)).cast("int")
-    found = F.arrow_udf(places, "array<struct<b: int, copy: boolean>>")("id", spread)
-    dealt = rows.select("id", "text", F.explode(found).alias("p")).select("id", "text", "p.b", "p.copy")
-    placed = dealt.repartitionById(partitions, "b")
-    return placed.sortWithinPartitions(F.col("id").isNull(), "copy", F.col("id").desc(), "text").select("id", "text", "copy")
+    spread = F.pmod(F.col("h"), F.lit(ranges.count)).cast("int")
+    found = F.arrow_udf(places, "array<struct<b: int, copy: boolean>>")("id", "h", spread)
+    dealt = rows.select("id", "text", "h", F.explode(found).alias("p")).select("id", "text", "h", "p.b", "p.copy")
+    placed = dealt.repartitionById(ranges.count, "b")
+    order = (F.col("id").isNull(), "copy", F.col("id").desc(), F.col("h").desc(), "text")
+    return placed.sortWithinPartitions(*order).select("id", "text", "copy")
 
 
 _COMPARED = (
@@ -272,9 +300,22 @@ def compare_in_order(documents: DataFrame, key: str = "doc_id", text: str = "tex
 
 #: Notes of a band, the strides at which bands take them, and the least likeness of a link.
 BAND_NOTES, STRIDES, LEAST_LIKENESS = 9, (3, 5, 11), 0.8
-#: Fingerprints of level 0 with fewer notes have bands drawn from all of their notes besides, for prefixes of these lengths.
-_SHORT, _DRAWN = 280, 64
-_PREFIXES = sorted({max(k + 1, int(1.1**k)) for k in range(60) if 1.1**k <= _SHORT})
+#: One of so many bands is used, the same ones for all documents.  A band of nine notes is shared by 0.8 ** 9 = 13 %
+#: of the links at the threshold, so that of about 32 bands at least one is by 99 %.
+_THIN = 4
+#: Fingerprints of level 0 with fewer notes have bands drawn from all of their notes besides, for prefixes of some lengths.
+_SHORT, _DRAWN = 280, 32
+
+
+def _prefixes() -> list[int]:
+    """Lengths a quarter apart, or 1."""
+    found = [1]
+    while (nxt := max(found[-1] + 1, found[-1] * 5 // 4)) <= _SHORT:
+        found.append(nxt)
+    return found
+
+
+_PREFIXES = _prefixes()
 #: Members of a block of the last comparison.
 _MEMBERS = 512
 
@@ -297,12 +338,15 @@ def _places(count: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
         for stride in STRIDES:
             span = stride * BAND_NOTES
             for at in range(count // span * stride):
-                window, first = divmod(at, stride)
-                lines.append(window * span + first + stride * np.arange(BAND_NOTES))
-                names.append((stride << 32) + at)
-        # The longer one of two like texts has at most 1.25 times the notes; prefixes are 1.1 apart, or 1.
+                name = (stride << 32) + at
+                if int(_mixed(np.array([name]))[0] >> np.uint64(40)) % _THIN == 0:
+                    window, first = divmod(at, stride)
+                    lines.append(window * span + first + stride * np.arange(BAND_NOTES))
+                    names.append(name)
+        # The longer one of two like texts has at most 1.25 times the notes; the longest prefix that the shorter
+        # one fills is a quarter shorter at most.
         for prefix in _PREFIXES if short and count <= _SHORT else ():
-            if prefix <= count <= max(1.375 * prefix, prefix + 2):
+            if prefix <= count <= 1.5625 * prefix:
                 for k, line in enumerate(_drawn(prefix)):
                     lines.append(line)
                     names.append((1 << 48) + (prefix << 32) + k)
@@ -328,11 +372,24 @@ def band_keys(notes: Notes) -> np.ndarray:
     return np.unique(np.concatenate(keys))
 
 
-def _bands(found: pa.Array) -> pa.Array:
-    keys = [band_keys(Notes.parse(line)) for line in found.to_pylist()]
-    ends = np.cumsum([0, *map(len, keys)])
-    flat = np.concatenate([np.zeros(0, dtype=np.uint64), *keys]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The counters of all bands of a task's fingerprints."""
+    for batch in batches:
+        for at in range(0, len(batch), 4096):
+            keys = [band_keys(Notes.parse(line)) for line in batch.column(0).slice(at, 4096).to_pylist()]
+            yield counter_of(np.concatenate([np.zeros(0, dtype=np.uint64), *keys]))
+
+
+def _shared_bands(bits: np.ndarray):
+    """The bands that others may share: a band that comes up once has a counter to itself, but for chance."""
+
+    def run(found: pa.Array) -> pa.Array:
+        keys = [own[held(bits, counter_of(own))] for own in (band_keys(Notes.parse(line)) for line in found.to_pylist())]
+        ends = np.cumsum([0, *map(len, keys)])
+        flat = np.concatenate([np.zeros(0, dtype=np.uint64), *keys]).view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+    return run
 
 
 def alike(prints: list[Notes], least: float) -> np.ndarray:
@@ -379,9 +436,10 @@ def _across(crowd: DataFrame, comps: DataFrame, members: DataFrame, staged: Stag
 
 
 def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: float = LEAST_LIKENESS) -> DataFrame:
-    """``print, class_id, links`` for each fingerprint of ``id, print``.
+    """``print, class_id, joining_links`` for each fingerprint of ``id, print``.
 
-    Bands are sampled notes, neighbouring by a stride or drawn.  In a band every member is compared
+    Bands are sampled notes, neighbouring by a stride or drawn; those that only one fingerprint has are told by a
+    counter table of fixed size and not shuffled.  In a band every member is compared
     with one centre, so that a band of n members gives n - 1 candidates; where it still holds several
     components, all its members are compared within tasks.  No link between two that share a band is lost.
     """
@@ -394,9 +452,11 @@ def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: f
             break
         seed += 1
     members = members.select("node", "rep", "print")
-    dealt = members.select("node", F.explode(F.arrow_udf(_bands, "array<bigint>")("print")).alias("key"))
+    bits = frequent(spark, firsts.select("print"), _counted, 2)
+    dealt = staged(members.select("node", F.explode(F.arrow_udf(_shared_bands(bits), "array<bigint>")("print")).alias("key")))
     hubs = dealt.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").select("key", "hub")
     crowd = staged(dealt.join(hubs, "key").select("key", "node", "hub"))
+    staged.drop(dealt)
     pairs = crowd.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(members.select(F.col("node").alias("a"), F.col("print").alias("x")), "a")
     pairs = pairs.join(members.select(F.col("node").alias("b"), F.col("print").alias("y")), "b")
@@ -408,33 +468,34 @@ def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: f
     edges = staged(pairs.where(F.arrow_udf(like, "boolean")("x", "y")).select("a", "b"))
     comps = components(spark, edges, staged)
     more = _across(crowd, comps, members, staged, least)
+    staged.drop(crowd)
     if not more.isEmpty():
         edges = staged(edges.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         comps = components(spark, edges, staged)
-    links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("joining_links"))
     linked = staged(members.drop("print").join(comps.select(F.col("id").alias("node"), "comp"), "node").join(links, "node"))
     lowest = linked.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    linked = linked.join(lowest, "comp").select("node", "class_id", "links")
+    linked = linked.join(lowest, "comp").select("node", "class_id", "joining_links")
     named = members.join(linked, "node", "left")
-    return staged(named.select("print", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))
+    return staged(named.select("print", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("joining_links", F.lit(0)).alias("joining_links")))
 
 
 def similar(
     spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST_LIKENESS
 ) -> DataFrame:
-    """``doc_id, class_id, links`` for each row: the least id of its class, and confirmed links to its fingerprint.
+    """``doc_id, class_id, joining_links`` for each row: the least id of its class, and how many links joined its fingerprint to it.
 
-    Documents with one fingerprint are one class member.  ``links`` counts the links that the classes
-    were joined by, not all two by two within a class.  Rows without an id are left out.
+    Documents with one fingerprint are one class member.  Not all links two by two within a class are
+    counted.  Rows without an id are left out.
     """
     staged = Staged(spark, "fingerprints")
     own = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), fingerprint(F.col(text)).alias("print"))
     prints = staged(own)
-    return prints.join(link_prints(spark, prints, staged, least), "print").select(F.col("id").alias("doc_id"), "class_id", "links")
+    return prints.join(link_prints(spark, prints, staged, least), "print").select(F.col("id").alias("doc_id"), "class_id", "joining_links")
 
 
 def compare_and_link(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", partitions: int = 0) -> DataFrame:
-    """The rows of ``compare_in_order`` with the ``class_id`` and ``links`` of ``similar``; null and 0 without an id.
+    """The rows of ``compare_in_order`` with the ``class_id`` and ``joining_links`` of ``similar``; null and 0 without an id.
 
     Texts are walked once: the fingerprints that are compared are those that are linked.
     """
@@ -444,4 +505,4 @@ def compare_and_link(spark: SparkSession, documents: DataFrame, key: str = "doc_
     linked = link_prints(spark, prints, staged)
     named = compared.join(linked, compared["fingerprint"] == linked["print"], "left").drop("print")
     known = F.col("doc_id").isNotNull()
-    return named.withColumns({"class_id": F.when(known, F.col("class_id")), "links": F.when(known, F.col("links")).otherwise(F.lit(0))})
+    return named.withColumns({"class_id": F.when(known, F.col("class_id")), "joining_links": F.when(known, F.col("joining_links")).otherwise(F.lit(0))})
