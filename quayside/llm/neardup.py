@@ -323,9 +323,9 @@ def link(
     # All that is compared from here on lies in a bucket with others.
     close = staged(texts.join(crowd.select(F.col("cid").alias("id")).distinct(), "id", "left_semi"))
     # A document with several texts is in several classes, which it links.
-    several = sets.join(classes, "set_hash").groupBy("id").agg(F.min("cid").alias("a"), F.max("cid").alias("z"), F.collect_set("cid").alias("all"))
-    several = several.where("a < z").select("a", F.explode("all").alias("b")).where("a < b")
-    edges = staged(several.distinct())
+    of_id = sets.join(classes, "set_hash").select("id", "cid")
+    least = of_id.groupBy("id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("id", "a")
+    edges = staged(of_id.join(least, "id").where("cid > a").select("a", F.col("cid").alias("b")).distinct())
     star = crowd.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
     edges = edges.union(_confirm(star, reps, close, words, percent, staged))
     comps = components(spark, edges, staged)
