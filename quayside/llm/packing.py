@@ -198,12 +198,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
 
 
 def place(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``rows`` (with ``doc_id``, ``piece``, ``length``, ``ids_crc32``) and their ``sequence_id`` and ``offset``.
+    """``rows`` (with ``doc_id``, ``piece``, ``length``, ``ids_crc32`` and ``_row``) and their ``sequence_id`` and ``offset``.
 
-    ``rows`` are read twice: give a written table.
+    ``rows`` are read twice: give a written table, in which ``_row`` is each row's own number.
     """
     groups = int(min(_MOST_GROUPS, max(8, rows.count() // _GROUP_ROWS)))
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int"))
+    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)).cast("int"))
     found = dealt.groupBy("length", "_group").count().toArrow()
     counts = np.zeros((capacity + 1, groups), dtype=np.int64)
     counts[found["length"].to_numpy(), found["_group"].to_numpy()] = found["count"].to_numpy()
@@ -220,11 +220,11 @@ def place(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY) -> Dat
         )
 
     numbered = dealt.withColumn(
-        "_number", F.expr("row_number() OVER (PARTITION BY length, _group ORDER BY doc_id, piece, start, ids_crc32)")
+        "_number", F.expr("row_number() OVER (PARTITION BY length, _group ORDER BY _row)")
     )
     look = F.arrow_udf(look_up, "struct<sequence_id: bigint, offset: bigint>")
     placed = numbered.withColumn("_place", look("length", "_group", "_number"))
-    return placed.select(*rows.columns, "_place.sequence_id", "_place.offset")
+    return placed.select(*(c for c in rows.columns if c != "_row"), "_place.sequence_id", "_place.offset")
 
 
 def pack(
@@ -245,4 +245,5 @@ def pack(
         content = file.read()
     found = pieces(F.col("t"), content, end, capacity, with_ids)
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t")).select("doc_id", F.explode(found).alias("p"))
-    return place(spark, Staged(spark, "pieces")(rows.select("doc_id", "p.*")), capacity)
+    numbered = rows.select("doc_id", "p.*", F.monotonically_increasing_id().alias("_row"))
+    return place(spark, Staged(spark, "pieces")(numbered), capacity)
