@@ -9,6 +9,8 @@ span of the four kinds is without one; windows elsewhere could add nothing and a
 span of the network counts if it has a digit or an ``@``, has as many characters as the kind's shortest
 form, is certain enough, and overlaps no base span.
 
+Whole texts are read, of any length; the rules take time linear in it, whatever the text.
+
 Defined results: null texts count as empty; an empty text has no spans and its digest is of the
 empty string; rows are judged one by one.  Without any base span in the sample the network adds
 nothing.  Only the given column is read.  Offsets are code points, ends exclusive.
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import bounded
+from quayside.llm.common import bounded, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents to learn from, at most about so many, and windows taken from them.
@@ -38,7 +40,8 @@ _LEAST_CERTAIN, _SHORTEST = 0.9, {"email": 6, "ip": 7, "card": 12, "phone": 10}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match never begins inside a run of digits, as one from the run's first digit would have come before.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
@@ -259,8 +262,9 @@ def _training_windows(texts: list[str], most: int, seed: int = 9) -> tuple[np.nd
 
 
 def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> PiiModel:
-    """Fit to windows of about ``rows`` documents (all, if fewer) that have a digit or an ``@``."""
-    drawn = bounded(documents, rows, 8, key).where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t"))
+    """Fit to windows of ``rows`` documents (all, if fewer) that have a digit or an ``@``."""
+    marked = documents.where(F.col(text).rlike("[0-9@]")).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    drawn = bounded(marked, rows, 8).select("t")
     return fit(*_training_windows(sorted(drawn.toArrow()["t"].to_pylist()), SAMPLE_WINDOWS))
 
 
@@ -354,8 +358,8 @@ def digest(text: Column, model: PiiModel) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         counts: list[list[int]] = [[] for _ in KINDS]
         sums, joined = [], []
-        for at in range(0, len(texts), 500):
-            for base, spans in all_spans(texts.slice(at, 500).to_pylist(), model):
+        for part in slices(texts):
+            for base, spans in all_spans(part.to_pylist(), model):
                 for column, kind in zip(counts, KINDS, strict=True):
                     column.append(sum(s[0] == kind for s in base))
                 sums.append(hashlib.sha256(_joined(base).encode()).hexdigest())
@@ -374,8 +378,8 @@ def masked(text: Column, model: PiiModel) -> Column:
 
     def run(texts: pa.Array) -> pa.Array:
         out = []
-        for at in range(0, len(texts), 500):
-            part = texts.slice(at, 500).to_pylist()
+        for some in slices(texts):
+            part = some.to_pylist()
             for own, (_, spans) in zip(part, all_spans(part, model), strict=True):
                 if spans:
                     parts, done = [], 0
