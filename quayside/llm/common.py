@@ -64,17 +64,18 @@ def crc32_of(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def bounded(frame: DataFrame, rows: int, seed: int, *key: str) -> DataFrame:
-    """About ``rows`` rows (all, if there are fewer), picked by a hash of the key.
+def bounded(frame: DataFrame, rows: int, seed: int) -> DataFrame:
+    """``rows`` distinct rows, or somewhat fewer; all rows as they are, if there are not more.
 
-    The pick depends on the rows' keys alone, so a lost executor changes nothing.
-    The rows drawn vary around ``rows`` by a few times its square root.
+    The pick goes by a hash of the whole row, so that rows that share a key, or have none, are drawn each by
+    itself, and a lost executor changes nothing.  Rows that are equal in all columns are drawn once.
     """
     there = frame.count()
     if there <= rows:
         return frame
-    share = int(rows / there * (1 << 30))
-    return frame.where(F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) < share)
+    pick = F.pmod(F.xxhash64(F.lit(seed), *frame.columns), F.lit(1 << 30))
+    share = min(1 << 30, int((1.1 * rows + 16) / there * (1 << 30)))
+    return frame.where(pick < share).distinct().orderBy(pick, *frame.columns).limit(rows)
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:

@@ -64,10 +64,22 @@ def fit(texts: list[str], languages: list[str], penalty: float = 6.0) -> Languag
 
 
 def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Fit to about ``rows`` documents with a text and a language (all, if fewer)."""
+    """Fit to ``rows`` documents with a text and a language (all, if fewer), of every language its share at least."""
     labelled = documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    drawn = bounded(labelled, rows, 3, key).select(F.col(text).alias("t"), F.col(lang).alias("l")).toArrow()
-    return fit(drawn["t"].to_pylist(), drawn["l"].to_pylist())
+    labelled = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
+    counts = {r.l: r["count"] for r in labelled.groupBy("l").count().collect()}
+    # What languages with few documents leave free goes to the others.
+    parts, free = [], rows
+    for left, (name, count) in zip(range(len(counts), 0, -1), sorted(counts.items(), key=lambda item: (item[1], item[0])), strict=True):
+        share = min(count, max(1, free // left))
+        free -= share
+        parts.append(bounded(labelled.where(F.col("l") == name), share, 3))
+    texts, names = [], []
+    for part in parts:
+        drawn = part.toArrow()
+        texts += drawn["t"].to_pylist()
+        names += drawn["l"].to_pylist()
+    return fit(texts, names)
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -151,7 +151,7 @@ def learn(
     may_learn: Column | None = None,
     rows: int = SAMPLE_ROWS,
 ) -> QualityModel:
-    """Fit to about ``rows`` positives and as many unlabelled documents (all, if fewer).
+    """Fit to ``rows`` positives and as many unlabelled documents (all, if fewer).
 
     ``may_learn`` is a condition on the rows of ``labels``: only labels of rows that meet it are read.
     """
@@ -160,10 +160,12 @@ def learn(
     names = known.select(F.col(key).alias("k"), F.col(label).alias("y"), may.alias("may"))
     shares = names.where("may").agg(F.avg(F.col("y").cast("double")), F.count(F.lit(1))).first()
     prior = (shares[0] * shares[1] + 1) / (shares[1] + 2) if shares[1] else 0.5
-    drawn = bounded(names.where("may AND y = 1").select("k").distinct(), rows, 5, "k").withColumn("positive", F.lit(True))
+    drawn = bounded(names.where("may AND y = 1").select("k").distinct(), rows, 5).withColumn("positive", F.lit(True))
     bare = documents.select(F.col(key).alias("k")).join(names.select("k"), "k", "left_anti").where("k IS NOT NULL").distinct()
-    drawn = drawn.unionByName(bounded(bare, rows, 6, "k").withColumn("positive", F.lit(False)))
+    drawn = drawn.unionByName(bounded(bare, rows, 6).withColumn("positive", F.lit(False)))
     texts = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k")
+    # An id may have many texts.
+    texts = bounded(texts, 2 * rows, 7)
     found = texts.select("k", "positive", features(F.col("t")).alias("f")).toArrow()
     order = np.argsort(found["k"].to_numpy(), kind="stable")
     values = np.array(found["f"].to_pylist(), dtype=np.float64).reshape(-1, _WIDTH)[order]

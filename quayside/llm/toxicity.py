@@ -143,10 +143,11 @@ def fit(texts: list[str], labels: list[int], steps: int = 60, rate: float = 0.02
 def learn(
     documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS
 ) -> ToxicityModel:
-    """Fit to about ``rows`` labelled documents (all, if fewer)."""
+    """Fit to ``rows`` labelled documents (all, if fewer)."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    drawn = bounded(known.select(F.col(key).alias("k"), F.col(label).alias("y")), rows, 2, "k")
-    drawn = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k")
+    drawn = bounded(known.select(F.col(key).alias("k"), F.col(label).alias("y")).distinct(), rows, 2)
+    # An id may have many texts.
+    drawn = bounded(documents.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k"), rows, 12)
     found = sorted(zip(*(drawn.toArrow()[c].to_pylist() for c in ("k", "t", "y")), strict=True), key=str)
     return fit([t or "" for _, t, _ in found], [y for _, _, y in found])
 
