@@ -6,10 +6,10 @@ longest windows are counted; a ROLLUP over the window's columns then sums them o
 prefixes, which gives the number of every shorter phrase, of single words and of all words of a language
 in one aggregation, without an explosion for each length.
 
-A window is also padded behind words, neighbours and triples that occur too seldom: no phrase through such
-ones can be frequent.  They are told apart by a counter table of fixed size, in two readings, the second of
-triples whose pairs are left.  Things may share a counter, so a seldom one may stay, but a frequent one never
-goes: the counts of frequent phrases are exact.  A window that begins with a seldom word still counts as a word.
+A window is also padded behind neighbours and triples that occur too seldom: no phrase through such ones can be
+frequent.  They are told apart by a counter table of fixed size, in two readings, the second of triples whose
+pairs are left.  Things may share a counter, so a seldom one may stay, but a frequent one never goes: the counts of
+frequent phrases are exact.  Most windows are one word then, and these roll up over one column.
 
 Defined results: null texts count as empty and give nothing; a null language is ``und``; repeated rows
 count again; an empty table gives no rows.  Ties end at the phrase, which is unique within a language.
@@ -96,12 +96,9 @@ class _Stretch:
         sums = np.fromiter(map(zlib.crc32, self.distinct), dtype=np.uint64, count=len(self.distinct))
         self._sums = mixed(sums * np.uint64(0x9E3779B97F4A7C15) + np.uint64(zlib.crc32(lang.encode()) * 0x165667B19E3779F9 % (1 << 64)))
         inside = self.codes != 0
-        self.frequent = inside.copy()
-        #: Whether a word's next one, and next two, stay in its window.
+        #: Whether a word's next one stays in its window.
         self.linked = np.append(inside[:-1] & inside[1:], False) if len(inside) else inside
         if bits is not None:
-            self.frequent[inside] = held(bits, self.counters(np.flatnonzero(inside), 1))
-            self.linked &= self.frequent & np.append(self.frequent[1:], False)
             pairs = np.flatnonzero(self.linked)
             self.linked[pairs] = held(bits, self.counters(pairs, 2))
 
@@ -117,11 +114,10 @@ class _Stretch:
         return np.flatnonzero(self.linked & np.append(self.linked[1:], False)) if len(self.linked) else np.zeros(0, dtype=np.int64)
 
 
-def _single_and_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for lang, words, begins in _of_slices(batches):
         own = _Stretch(lang, words)
-        for size, there in ((1, own.frequent), (2, own.linked)):
-            yield own.counters(np.flatnonzero(there[:begins]), size)
+        yield own.counters(np.flatnonzero(own.linked[:begins]), 2)
 
 
 def _triples(bits: np.ndarray) -> Tally:
@@ -187,8 +183,7 @@ def _windows(bits: np.ndarray, triple_bits: np.ndarray) -> Callable[[Iterator[pa
         linked = np.append(own.linked, np.zeros(LONGEST, dtype=bool))
         places = np.flatnonzero(codes[:begins])
         longer, alone = places[linked[places]], places[~linked[places]]
-        # A seldom word is padding, which only counts as a word.
-        once = np.bincount(np.where(own.frequent[alone], codes[alone], 0), minlength=len(own.distinct))
+        once = np.bincount(codes[alone], minlength=len(own.distinct))
         single = np.flatnonzero(once)
         lead, alive = [codes[longer]], linked[longer]
         for k in range(1, LONGEST):
@@ -217,6 +212,17 @@ def _windows(bits: np.ndarray, triple_bits: np.ndarray) -> Callable[[Iterator[pa
     return run
 
 
+def _rolled_up(windows: DataFrame, columns: list[str]) -> DataFrame:
+    """``lang, size, words, times``: the windows' prefixes of every length, down to none."""
+    summed = windows.rollup("lang", *columns).agg(F.sum("times").alias("times"), F.grouping_id().cast("int").alias("left_out"))
+    # The grouping id has a one for every column left out: none for the longest prefix, one for each word for the language alone.
+    sizes = {(1 << len(columns) - k) - 1: k for k in range(len(columns) + 1)}
+    size = F.create_map(*(F.lit(v) for pair in sizes.items() for v in pair))[F.col("left_out")]
+    words = F.filter(F.array(*columns), lambda w: w.isNotNull())
+    found = summed.select("lang", size.alias("size"), words.alias("words"), "times")
+    return found.where(F.col("size").isNotNull() & (F.size("words") == F.col("size")))
+
+
 def phrase_counts(spark: SparkSession, documents: DataFrame, least: int, text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, size, words, phrase, times``, staged: all phrases of at least so many occurrences.
 
@@ -224,20 +230,15 @@ def phrase_counts(spark: SparkSession, documents: DataFrame, least: int, text: s
     """
     texts = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     texts = texts.where(F.col("text").isNotNull() & (F.col("text") != ""))
-    bits = frequent(spark, texts, _single_and_pairs, least)
+    bits = frequent(spark, texts, _pairs, least)
     triple_bits = frequent(spark, texts, _triples(bits), least)
     kinds = ", ".join(f"{c} string" for c in _COLUMNS)
     staged = Staged(spark, "phrases")
     seen = texts.mapInArrow(_windows(bits, triple_bits), f"lang string, {kinds}, times bigint")
     windows = staged(seen.groupBy("lang", *_COLUMNS).agg(F.sum("times").alias("times")))
-    summed = windows.rollup("lang", *_COLUMNS).agg(F.sum("times").alias("times"), F.grouping_id().cast("int").alias("left_out"))
-    # The grouping id has a one for every column left out: 31 for the language alone, 0 for all five words.
-    sizes = {(1 << LONGEST - k) - 1: k for k in range(LONGEST + 1)}
-    size = F.create_map(*(F.lit(v) for pair in sizes.items() for v in pair))[F.col("left_out")]
-    words = F.filter(F.array(*_COLUMNS), lambda w: w.isNotNull())
-    counted = summed.select("lang", size.alias("size"), words.alias("words"), "times").where(
-        F.col("size").isNotNull() & (F.size("words") == F.col("size")) & ((F.col("size") == 0) | (F.col("times") >= least))
-    )
+    counted = _rolled_up(windows.where("w2 IS NOT NULL"), _COLUMNS).unionByName(_rolled_up(windows.where("w2 IS NULL"), _COLUMNS[:1]))
+    counted = counted.groupBy("lang", "size", "words").agg(F.sum("times").alias("times"))
+    counted = counted.where((F.col("size") == 0) | (F.col("times") >= least))
     counts = staged(counted.withColumn("phrase", F.concat_ws(" ", "words")))
     staged.drop(windows)
     return counts
