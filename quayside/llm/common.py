@@ -46,9 +46,9 @@ class Staged:
     def __init__(self, spark: SparkSession, label: str):
         self._spark, self._label, self._paths = spark, label, {}
 
-    def __call__(self, frame: DataFrame) -> DataFrame:
+    def __call__(self, frame: DataFrame, codec: str = "snappy") -> DataFrame:
         path = scratch_dir(self._spark, self._label)
-        frame.write.parquet(path)
+        frame.write.option("compression", codec).parquet(path)
         read = self._spark.read.schema(frame.schema).parquet(path)
         self._paths[id(read)] = path
         return read

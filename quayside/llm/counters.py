@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import Staged
 
-#: Counters, counters of a block, and blocks that are added up in one group.
+#: Counters (a power of two), counters of a block, and blocks that are added up in one group.
 COUNTERS, BLOCK, _GROUP = 1 << 24, 1 << 16, 256
-_SHIFT = np.uint64(64 - COUNTERS.bit_length() + 1)
 
 Tally = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
@@ -30,9 +29,9 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def counter_of(hashes: np.ndarray) -> np.ndarray:
+def counter_of(hashes: np.ndarray, counters: int = COUNTERS) -> np.ndarray:
     """The counter of a thing by its hash."""
-    return (mixed(hashes) * np.uint64(0x94D049BB133111EB) >> _SHIFT).astype(np.int64)
+    return (mixed(hashes) * np.uint64(0x94D049BB133111EB) >> np.uint64(65 - counters.bit_length())).astype(np.int64)
 
 
 def held(bits: np.ndarray, counters: np.ndarray) -> np.ndarray:
@@ -47,9 +46,9 @@ def _unpacked(content: bytes, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(content, BLOCK * kind.itemsize, codec="zstd", asbytes=True), dtype=kind)
 
 
-def _count(tally: Tally, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _count(tally: Tally, least: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(COUNTERS, dtype=np.min_scalar_type(least))
+        counters = np.zeros(size, dtype=np.min_scalar_type(least))
         for found in tally(batches):
             places, times = np.unique(found, return_counts=True)
             counters[places] = np.minimum(counters[places].astype(np.int64) + times, least)
@@ -77,13 +76,13 @@ def _add(least: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def frequent(spark: SparkSession, frame: DataFrame, tally: Tally, least: int) -> np.ndarray:
+def frequent(spark: SparkSession, frame: DataFrame, tally: Tally, least: int, counters: int = COUNTERS) -> np.ndarray:
     """A bitmap of the counters that reach the threshold: bit ``c % 8`` of byte ``c // 8`` for counter ``c``.
 
     ``tally`` gives the counters of the things in a task's rows, with repeats, some at a time.
     """
     staged = Staged(spark, "counters")
-    counted = frame.mapInArrow(_count(tally, least), "block bigint, counters binary")
+    counted = frame.mapInArrow(_count(tally, least, counters), "block bigint, counters binary")
     level = staged(counted.withColumn("part", F.spark_partition_id().cast("bigint")))
     parts = level.agg(F.max("part").alias("m")).first().m
     while parts:
@@ -91,7 +90,7 @@ def frequent(spark: SparkSession, frame: DataFrame, tally: Tally, least: int) ->
         added = staged(grouped.applyInArrow(_add(least), "block bigint, part bigint, counters binary"))
         staged.drop(level)
         level, parts = added, parts // _GROUP
-    bits, kind = np.zeros(COUNTERS // 8, dtype=np.uint8), np.min_scalar_type(least)
+    bits, kind = np.zeros(counters // 8, dtype=np.uint8), np.min_scalar_type(least)
     # One row for each of a fixed number of blocks.
     for row in level.toLocalIterator():
         reached = np.packbits(_unpacked(bytes(row.counters), kind) >= least, bitorder="little")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import SLICE_BYTES, Staged, slices
 from quayside.llm.counters import counter_of, frequent, held
-from quayside.llm.neardup import by_block, components, deal, joining
+from quayside.llm.neardup import by_block, components
 
 #: Sampled steps that a fingerprint has at most; on average three quarters of it.
 SAMPLES = 512
@@ -318,6 +318,8 @@ def _prefixes() -> list[int]:
 _PREFIXES = _prefixes()
 #: Members of a block of the last comparison.
 _MEMBERS = 512
+#: Counters that tell bands which several fingerprints have; a byte each in a task, a bit each for all.
+_COUNTERS = 1 << 27
 
 
 def _drawn(prefix: int) -> np.ndarray:
@@ -377,14 +379,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
         for at in range(0, len(batch), 4096):
             keys = [band_keys(Notes.parse(line)) for line in batch.column(0).slice(at, 4096).to_pylist()]
-            yield counter_of(np.concatenate([np.zeros(0, dtype=np.uint64), *keys]))
+            yield counter_of(np.concatenate([np.zeros(0, dtype=np.uint64), *keys]), _COUNTERS)
 
 
 def _shared_bands(bits: np.ndarray):
     """The bands that others may share: a band that comes up once has a counter to itself, but for chance."""
 
     def run(found: pa.Array) -> pa.Array:
-        keys = [own[held(bits, counter_of(own))] for own in (band_keys(Notes.parse(line)) for line in found.to_pylist())]
+        keys = [own[held(bits, counter_of(own, _COUNTERS))] for own in (band_keys(Notes.parse(line)) for line in found.to_pylist())]
         ends = np.cumsum([0, *map(len, keys)])
         flat = np.concatenate([np.zeros(0, dtype=np.uint64), *keys]).view(np.int64)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
@@ -392,46 +394,82 @@ def _shared_bands(bits: np.ndarray):
     return run
 
 
-def alike(prints: list[Notes], least: float) -> np.ndarray:
-    """Which of the fingerprints are alike, two by two."""
-    own = np.array([n.level for n in prints])
-    out = np.zeros((len(prints), len(prints)), dtype=bool)
-    for level in np.unique(own).tolist():
-        some = np.flatnonzero(own <= level)
-        notes = [prints[k].coarse(level) for k in some]
-        counts = np.array([len(n) for n in notes])
-        # Two that have both ended are not the same there.
-        lines = np.full((len(some), int(counts.max())), 255, dtype=np.uint8)
-        for line, n in zip(lines, notes, strict=True):
-            line[: len(n)] = n
-        for k, count in zip(some[own[some] == level].tolist(), counts[own[some] == level].tolist(), strict=True):
-            same = np.count_nonzero((lines == lines[np.searchsorted(some, k)])[:, :count], axis=1)
-            out[k, some] = out[some, k] = same / np.maximum(np.maximum(counts, count), 1) >= least
-    return out
+class _Lines:
+    """The notes of some fingerprints at any level, a line each; 255 where there are none."""
+
+    def __init__(self, prints: list[Notes]):
+        self._prints, self._known = prints, {}
+        self.levels = np.array([n.level for n in prints])
+
+    def at(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        if level not in self._known:
+            notes = [n.coarse(level) for n in self._prints]
+            counts = np.array([len(n) for n in notes])
+            lines = np.full((len(notes), int(counts.max())), 255, dtype=np.uint8)
+            for line, own in zip(lines, notes, strict=True):
+                line[: len(own)] = own
+            self._known[level] = lines, counts
+        return self._known[level]
 
+    def like(self, one: int, others: np.ndarray, least: float) -> np.ndarray:
+        """Those of the others that are alike."""
+        found = []
+        for level in np.unique(np.maximum(self.levels[others], self.levels[one])).tolist():
+            some = others[np.maximum(self.levels[others], self.levels[one]) == level]
+            lines, counts = self.at(level)
+            count = int(counts[one])
+            same = np.count_nonzero(lines[some, :count] == lines[one, :count], axis=1)
+            found.append(some[same / np.maximum(np.maximum(counts[some], count), 1) >= least])
+        return np.concatenate(found) if found else others[:0]
+
+
+def _cross_links(least: float):
+    """Of the links of the rows that ask to the others of a block, one for each two components that they join."""
 
-def _block_links(least: float):
     def found(block: pa.Table) -> list[tuple[int, int]]:
-        ids, comps, crossed = (block[c].to_numpy() for c in ("id", "comp", "second"))
-        linked = alike([Notes.parse(line) for line in block["print"].to_pylist()], least)
-        return joining(ids, comps, linked, crossed.astype(bool))
+        ids, labels, asks = (block[c].to_numpy().copy() for c in ("id", "comp", "asks"))
+        lines = _Lines([Notes.parse(line) for line in block["print"].to_pylist()])
+        asking, asked, out = np.flatnonzero(asks), np.flatnonzero(~asks.astype(bool)), []
+        for one in asking.tolist():
+            open_ = asked[labels[asked] != labels[one]]
+            for other in lines.like(one, open_, least).tolist() if len(open_) else ():
+                if labels[other] != labels[one]:
+                    out.append((int(min(ids[one], ids[other])), int(max(ids[one], ids[other]))))
+                    labels[labels == labels[other]] = labels[one]
+        return out
 
-    return found
+    return by_block(found)
 
 
 def _across(crowd: DataFrame, comps: DataFrame, members: DataFrame, staged: Staged, least: float) -> DataFrame:
     """Links between components that have members in one band, besides those to its centre.
 
-    Bands with the same members are compared once, block by block within tasks.
+    Members of a band's largest component are not compared with each other: all others ask every member, block
+    by block within tasks.  Bands with the same members are compared once.
     """
     named = crowd.select("key", F.col("node").alias("id")).join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
     sums = [F.bit_xor(F.xxhash64(F.lit(seed), "id")).alias(f"s{seed}") for seed in (1, 2)]
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), *sums)
-    once = staged(mixed.where("lo < hi").groupBy("n", "s1", "s2").agg(F.min("key").alias("key")))
-    blocks = F.ceil(F.col("n") / _MEMBERS).cast("int").alias("blocks")
-    near = named.join(once.select("key", blocks), "key").withColumnRenamed("comp", "own").withColumnRenamed("key", "comp")
-    dealt = members.select(F.col("node").alias("id"), "print").join(deal(near), "id")
-    pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(by_block(_block_links(least)), "a bigint, b bigint")
+    parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), *sums)
+    mixed = parts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
+        F.bit_xor("s1").alias("s1"), F.bit_xor("s2").alias("s2"),
+    )
+    once = mixed.where("parts > 1").groupBy("n", "s1", "s2").agg(F.min(F.struct("key", "top")).alias("b"))
+    counts = [F.ceil(c / _MEMBERS).cast("int").alias(name) for c, name in ((F.col("n"), "blocks"), (F.col("n") - F.col("b.top.n"), "chunks"))]
+    once = staged(once.select("b.key", F.col("b.top.comp").alias("top"), *counts))
+    near = staged(named.join(once, "key"))
+
+    def part(seed: int, count: str) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(seed)), count).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    asked = near.select("key", "id", "comp", F.lit(False).alias("asks"), part(77, "blocks").alias("k"), every("chunks").alias("c"))
+    asking = near.where("comp <> top").select("key", "id", "comp", F.lit(True).alias("asks"), part(78, "chunks").alias("c"), every("blocks").alias("k"))
+    dealt = asked.unionByName(asking).select(F.xxhash64("key", "k", "c").alias("block"), "id", "comp", "asks")
+    dealt = dealt.join(members.select(F.col("node").alias("id"), "print"), "id")
+    pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_cross_links(least), "a bigint, b bigint")
     return staged(pairs.distinct())
 
 
@@ -443,7 +481,7 @@ def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: f
     with one centre, so that a band of n members gives n - 1 candidates; where it still holds several
     components, all its members are compared within tasks.  No link between two that share a band is lost.
     """
-    firsts = staged(prints.groupBy("print").agg(F.min("id").alias("rep")))
+    firsts = staged(prints.groupBy("print").agg(F.min("id").alias("rep")), "zstd")
     seed = 0
     while True:
         # Numbers that are each one fingerprint's alone.
@@ -452,7 +490,7 @@ def link_prints(spark: SparkSession, prints: DataFrame, staged: Staged, least: f
             break
         seed += 1
     members = members.select("node", "rep", "print")
-    bits = frequent(spark, firsts.select("print"), _counted, 2)
+    bits = frequent(spark, firsts.select("print"), _counted, 2, _COUNTERS)
     dealt = staged(members.select("node", F.explode(F.arrow_udf(_shared_bands(bits), "array<bigint>")("print")).alias("key")))
     hubs = dealt.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").select("key", "hub")
     crowd = staged(dealt.join(hubs, "key").select("key", "node", "hub"))
@@ -500,7 +538,7 @@ def compare_and_link(spark: SparkSession, documents: DataFrame, key: str = "doc_
     Texts are walked once: the fingerprints that are compared are those that are linked.
     """
     staged = Staged(spark, "fingerprints")
-    compared = staged(compare_in_order(documents, key, text, partitions))
+    compared = staged(compare_in_order(documents, key, text, partitions), "zstd")
     prints = compared.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print"))
     linked = link_prints(spark, prints, staged)
     named = compared.join(linked, compared["fingerprint"] == linked["print"], "left").drop("print")

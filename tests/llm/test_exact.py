@@ -327,9 +327,10 @@ def test_the_query_links_its_fingerprints(spark, odd, empty):
 
 def test_alike_by_pairs():
     prints = [n for n in fingerprint.walk([fingerprint.classes(t) for _, t in _near_texts()])]
-    found = fingerprint.alike(prints, 0.5)
+    lines = fingerprint._Lines(prints)
     for k, a in enumerate(prints):
-        assert found[k].tolist() == [a.likeness(b) >= 0.5 for b in prints]
+        others = np.array([n for n in range(len(prints)) if n != k])
+        assert sorted(lines.like(k, others, 0.5).tolist()) == [n for n in others.tolist() if a.likeness(prints[n]) >= 0.5]
 
 
 def test_topk_equals_brute_force(spark):
