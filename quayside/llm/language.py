@@ -101,20 +101,26 @@ def _mixture(likelihood, counts, shares, rounds):
     return shares, segment_sums(np.log(total + np.float32(1e-30)), counts)
 
 
-def infer(model: LanguageModel, rows: np.ndarray, counts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the languages chosen for each document, and its number of words with letters."""
+def infer(model: LanguageModel, rows: np.ndarray, counts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the languages chosen for each document, its number of words with letters, and its margin.
+
+    The margin is by how much the words, each in the language that suits it best, are likelier than n-grams
+    drawn evenly, on average per word, in natural logarithms.
+    """
+    n = len(model.languages)
     real = table[rows, -1] > 0
     kept = segment_sums(real.astype(np.float64), counts).astype(np.int64)
-    logs = np.ascontiguousarray(table[rows[real], :-1].T)
-    logs -= logs.max(axis=0) if len(logs) else 0
+    logs = np.ascontiguousarray(table[rows[real], :n].T)
+    top = logs.max(axis=0)
+    margin = segment_sums((top - table[rows[real], n]).astype(np.float64), kept) / np.maximum(kept, 1)
+    logs -= top
     likelihood = np.exp(logs)
-    n = len(model.languages)
     single = _sums(np.maximum(logs, -60), kept)
     best = single.argmax(axis=1)
     shares = np.zeros((len(counts), n))
     shares[np.arange(len(counts)), best] = 1.0
     if n == 1:
-        return shares, kept
+        return shares, kept, margin
     reached = single.max(axis=1)
     price = model.penalty + 0.5 * np.log(np.maximum(kept, 1))
     _, most = _mixture(likelihood, kept, np.full((len(counts), n), 1 / n), _LOOK)
@@ -138,35 +144,42 @@ def infer(model: LanguageModel, rows: np.ndarray, counts: np.ndarray, table: np.
         reached[open_[taken]] += gain[taken]
         open_ = open_[taken]
         open_ = open_[(shares[open_] > 0).sum(axis=1) < n]
-    return shares, kept
+    return shares, kept, margin
 
 
-_RESULT = "struct<lang_pred: string, score: double, languages: string>"
+_RESULT = "struct<lang_pred: string, score: double, languages: string, margin: double>"
 
 
 def identify(text: Column, model: LanguageModel) -> Column:
-    """A struct of ``lang_pred``, ``score`` (its share) and ``languages`` (``en:0.83,de:0.17``)."""
+    """A struct of ``lang_pred``, ``score`` (its share), ``languages`` (``en:0.83,de:0.17``) and ``margin``.
+
+    Where the margin is not above 0, no learnt language makes the text likelier than chance.
+    """
     names = np.array([*model.languages, "und"])
+
     def features(words: list[str]) -> np.ndarray:
         plain = [_letters(w) for w in words]
-        out = np.zeros((len(words), len(model.languages) + 1), dtype=np.float32)
+        out = np.zeros((len(words), len(model.languages) + 2), dtype=np.float32)
         found, owner = ngrams(plain, _SIZES, _BUCKETS)
         for column in range(len(model.languages)):
             sums = np.bincount(owner, weights=model.table[found, column], minlength=len(words))
             out[:, column] = sums / len(_SIZES)
+        out[:, -2] = np.bincount(owner, minlength=len(words)) * (-math.log(_BUCKETS) / len(_SIZES))
         out[:, -1] = [bool(w) for w in plain]
         return out
 
-    memory = worker_wide(lambda: WordTable(features, len(model.languages) + 1))
+    memory = worker_wide(lambda: WordTable(features, len(model.languages) + 2))
 
     def judge(texts: pa.Array) -> pa.Array:
-        preds, scores, sets = [], [], []
+        preds, scores, sets, margins = [], [], [], []
         for part in slices(texts):
             if not model.languages:
                 preds, scores, sets = preds + ["und"] * len(part), scores + [0.0] * len(part), sets + [""] * len(part)
+                margins += [0.0] * len(part)
                 continue
             rows, counts, table = memory()([(t or "").split() for t in part.to_pylist()])
-            shares, kept = infer(model, rows, counts, table)
+            shares, kept, margin = infer(model, rows, counts, table)
+            margins += margin.round(6).tolist()
             top = np.where(kept > 0, shares.argmax(axis=1), len(model.languages))
             preds += names[top].tolist()
             scores += np.where(kept > 0, np.minimum(shares.max(axis=1), 1.0), 0.0).tolist()
@@ -174,8 +187,8 @@ def identify(text: Column, model: LanguageModel) -> Column:
                 order = [k for k in np.argsort(-share, kind="stable") if share[k] > 0] if any_ else []
                 sets.append(",".join(f"{names[k]}:{share[k]:.2f}" for k in order))
         return pa.StructArray.from_arrays(
-            [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.string())],
-            ["lang_pred", "score", "languages"],
+            [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.string()), pa.array(margins, pa.float64())],
+            ["lang_pred", "score", "languages", "margin"],
         )
 
     return F.arrow_udf(judge, _RESULT).asNondeterministic()(text)

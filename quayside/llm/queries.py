@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +11,8 @@ from quayside.llm import (
 )
 from quayside.llm.common import crc32_of, ship, table
 
-#: Where the vocabularies of public tokenizers are.
-TOKENIZERS = "/opt/tokenizers"
-PIECE_MODEL, BYTE_TOKENIZER = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/byte_bpe_50k.json"
+#: The vocabularies of public tokenizers.
+PIECE_MODEL, BYTE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Toxicity by averaged subword embeddings and a linear softmax.
 
-Every word is the bag of its character n-grams (and of itself, with word marks); a document is the
+Every word is the bag of its character n-grams of 3 to 5, with word marks; a document is the
 mean of the embeddings of all its bags' members; a linear softmax reads the mean.  Embeddings and
 softmax are trained together in numpy.  A misspelling that was never seen still shares n-grams, and
 so vectors, with the words that were.

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -32,6 +32,22 @@ def test_stages_on_odd_rows(spark, odd, empty):
         assert stage(spark, empty, SMALL).count() == 0
 
 
+def test_language_stage_rejects_what_no_language_makes_likely(spark):
+    folder = "/root/testdata/sf0.01"
+    own = spark.read.parquet(f"{folder}/documents.parquet").select(corpus_pipeline.COLUMNS)
+    strange = ["яблоко груша слива вишня " * 20, "漢字仮名 交文 " * 30, "zqxj vkqz xzqj qqkx " * 25, "12 34 !!"]
+    rows = [(-1 - k, t, None, "s", len(t)) for k, t in enumerate(strange)]
+    unnamed = own.limit(50).withColumn("lang", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") + 10**6)
+    docs = own.union(spark.createDataFrame(rows, own.schema)).union(unnamed)
+    kept = corpus_pipeline.find_language(spark, docs, folder)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not ids & {-1, -2, -3, -4} and kept.where("doc_id >= 0 AND doc_id < 1000000").count() == own.count()
+    # A language that was not given is filled in.
+    wanted = {r.doc_id: r.lang for r in own.collect()}
+    filled = kept.where("doc_id >= 1000000").collect()
+    assert len(filled) == 50 and sum(r.lang == wanted[r.doc_id - 10**6] for r in filled) >= 49
+
+
 def test_near_duplicates_are_decided_by_row(spark):
     text = lambda n: " ".join(f"w{n}x{k}" for k in range(40))
     rows = [(5, text(1)), (5, text(1)), (None, text(2)), (None, text(2)), (3, text(2)), (None, text(4)), (None, text(4))]
