@@ -223,14 +223,14 @@ def file_starts(numbered: DataFrame, limit: FileLimit, scratch: str) -> Cells:
     levels = [write_and_read(totals.groupBy("unit").applyInArrow(_enter_part(limit), _STRETCH), f"{scratch}/level_0")]
     above = F.expr(f"unit div {STRETCHES}").alias("above")
     units = totals.agg(F.max("unit")).first()[0]
-    while units:
+    while units >= STRETCHES:
         joined = levels[-1].groupBy(above).applyInArrow(_join_stretches(limit), _STRETCH)
         levels.append(write_and_read(joined, f"{scratch}/level_{len(levels)}"))
         units //= STRETCHES
     # Before the first row, as if a file had just been filled.
     start = (0, -(limit.per_file or 0), -limit.room, 0)
     arrivals = numbered.sparkSession.createDataFrame([start], _ARRIVAL)
-    for level in reversed(levels[:-1]):
+    for level in reversed(levels):
         arrivals = level.groupBy(above).cogroup(arrivals.groupBy("unit")).applyInArrow(_arrive(limit), _ARRIVAL)
     walked = totals.groupBy("unit").cogroup(arrivals.groupBy("unit")).applyInArrow(
         _walk_part(limit), "unit bigint, cell bigint, starts_at bigint, file_before bigint, starts array<bigint>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -9,12 +10,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.naming import parse_size, quote_identifier, split_file_path
-from quayside.operators.numbering import discard, number_rows, position_rows
+from quayside.functions.naming import helper_name, parse_size, quote_identifier, split_base, split_file_path
+from quayside.operators.numbering import broadcast_if_small, discard, number_rows, position_rows, write_and_read
 from quayside.operators.split import (
     FILE_ID,
     SplitLimits,
@@ -25,8 +28,9 @@ from quayside.operators.split import (
     plain_row_bytes,
 )
 from quayside.sources.dialect import TIME_TEXT, CsvDialect
+from quayside.sources.listing import address_for_tasks
 from quayside.sources.scan import has_file_positions, scan_source, with_typed_nulls
-from quayside.storage import HadoopFiles, require_parent, scratch_dir
+from quayside.storage import HadoopFiles, parent_of, require_parent, scratch_dir
 
 # The codecs a Parquet export accepts, with Spark's name for each.
 PARQUET_CODECS = {
@@ -37,11 +41,19 @@ PARQUET_CODECS = {
     "none": "uncompressed",
 }
 DEFAULT_CODEC = "snappy"
-#: Share of a Parquet size limit that is planned for; the rest absorbs the
-#: dictionary pages and footers that smaller files repeat.
+#: Share of a Parquet size limit that is planned for; the rest absorbs the dictionary pages and footers
+#: that smaller files repeat.  Files that are over the limit all the same are cut again.
 PARQUET_FILL = 0.85
 
 
+#: Output files that a task names at about.
+_FILES_A_TASK = 500
+
+_NAME, _INDEX, _OLD, _ROWS, _PIECES, _PIECE = (
+    helper_name(n) for n in ("name", "index", "old", "rows", "pieces", "piece")
+)
+
+
 class OutputFile(NamedTuple):
     """A written file; ``rows`` is known for exact splits."""
 
@@ -50,16 +62,23 @@ class OutputFile(NamedTuple):
     rows: int | None = None
 
 
-@dataclass(frozen=True)
 class ExportResult:
-    """What an export wrote: the number of data rows, and the files in row order."""
+    """What an export wrote: the number of data rows, and the files in row order.
 
-    rows: int
-    files: tuple[OutputFile, ...]
+    The files of a split lie in a manifest table below ``spark.checkpoint.dir``, which stays until
+    ``drop_manifest``; ``files`` and ``paths`` fetch them.
+    """
+
+    def __init__(self, rows: int, files: Sequence[OutputFile] | DataFrame, num_files: int | None = None):
+        self.rows, self._files = rows, files
+        self.num_files = len(files) if num_files is None else num_files
 
     @property
-    def num_files(self) -> int:
-        return len(self.files)
+    def files(self) -> tuple[OutputFile, ...]:
+        if isinstance(self._files, DataFrame):
+            found = self._files.orderBy("file_id").toLocalIterator()
+            return tuple(OutputFile(row.path, row.bytes, row.rows) for row in found)
+        return tuple(self._files)
 
     @property
     def paths(self) -> list[str]:
@@ -67,14 +86,20 @@ class ExportResult:
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         """One row per file: file_id, file_name, path, bytes, rows (where counted)."""
+        if isinstance(self._files, DataFrame):
+            return self._files.select("file_id", F.substring_index("path", "/", -1).alias("file_name"), "path", "bytes", "rows")
         rows = [
             (index, file.path.rpartition("/")[2], file.path, file.bytes, file.rows)
-            for index, file in enumerate(self.files)
+            for index, file in enumerate(self._files)
         ]
         return spark.createDataFrame(
             rows, "file_id long, file_name string, path string, bytes long, rows long"
         )
 
+    def drop_manifest(self, spark: SparkSession) -> None:
+        if isinstance(self._files, DataFrame):
+            discard(spark, [parent_of(self._files.inputFiles()[0])])
+
 
 def parquet_codec(name: str | None) -> str:
     codec = (name or DEFAULT_CODEC).lower()
@@ -210,6 +235,7 @@ def _export_split(
             weight = csv_line_bytes(source.schema, sink.dialect)
         else:
             weight = plain_row_bytes(source.schema)
+    manifest = scratch_dir(spark, "manifest")
     with _delivery(spark, sink.output, as_directory) as delivery:
         scratch = delivery.scratch
         positioned = position_rows(source, in_files, scratch, order_by, weight, sink.codec)
@@ -231,17 +257,24 @@ def _export_split(
         counted, count = _counted(place_files(assigned, numbered.file_bytes))
         writer = sink.writer(counted).option("maxRecordsPerFile", 0)
         writer.partitionBy(FILE_ID).mode("overwrite").save(delivery.folder)
-        files = _numbered_files(spark, delivery.folder, assigned.rows_of)
-        if count() != numbered.rows or len(files) != assigned.files:
-            raise RuntimeError(f"incomplete export to {sink.output}; the source has changed")
-        return ExportResult(numbered.rows, delivery.publish(files))
-
-
-def _numbered_files(
-    spark: SparkSession, directory: str, rows_of: Sequence[int]
-) -> list[OutputFile]:
+        changed = RuntimeError(f"incomplete export to {sink.output}; the source has changed")
+        if count() != numbered.rows:
+            raise changed
+        if sink.format == "parquet" and limits.max_bytes is not None:
+            files = _numbered_files(spark, delivery.folder, assigned.counts)
+            if len(files) != assigned.files:
+                raise changed
+            files = _cut_until_small(spark, files, source.schema, limits.max_bytes, sink, delivery)
+            return ExportResult(numbered.rows, delivery.publish(files))
+        placed = _published(delivery, assigned.files)
+        # As long as a file is missing, its task fails.
+        named = placed.join(assigned.counts, "file_id").select("file_id", "path", "bytes", "rows")
+        return ExportResult(numbered.rows, write_and_read(named, manifest), assigned.files)
+
+
+def _numbered_files(spark: SparkSession, directory: str, counts: DataFrame) -> list[OutputFile]:
     """The one file of each FILE_ID, in order."""
-    numbered = {}
+    numbered, rows_of = {}, {row.file_id: row.rows for row in counts.collect()}
     for path, size in HadoopFiles(spark).walk(directory):
         part = re.search(rf"/{FILE_ID}=(\d+)/part-[^/]+$", path)
         if part:
@@ -250,6 +283,119 @@ def _numbered_files(
     return [numbered[number] for number in sorted(numbered)]
 
 
+def _published(delivery: _Delivery, count: int) -> DataFrame:
+    """``file_id, path, bytes``, to be written once: each file is found in its own folder and named by a task.
+
+    A task lists and renames the files of its numbers, so neither listings nor names pass through the
+    driver.  It may be run again: what has its name already is left alone.
+    """
+    spark, keep = delivery.spark, delivery.folder == delivery.output
+    store = HadoopFiles(spark)
+    tasks = max(1, min(count // _FILES_A_TASK + 1, 4096))
+    numbers = spark.range(0, count, 1, tasks).select(F.col("id").alias("file_id"))
+    try:
+        folder, target = (address_for_tasks(spark, path) for path in (delivery.folder, parent_of(delivery.output)))
+        fs.FileSystem.from_uri(folder)
+    except (ValueError, OSError, pa.ArrowException):
+        # A store that only the JVM can open.
+        files = _numbered_files(spark, delivery.folder, numbers.withColumn("rows", F.lit(0)))
+        rows = [(n, file.path, file.bytes) for n, file in enumerate(delivery.publish(files))]
+        return spark.createDataFrame(rows, "file_id long, path string, bytes long")
+    directory, stem, extension = split_base(delivery.output)
+    place, shown = f"{FILE_ID}=", store.qualified(delivery.folder) if keep else directory
+    plain = delivery.output.rpartition("/")[2] if count == 1 else None
+
+    def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(folder)
+        _, above = files.from_uri(target)
+        for batch in batches:
+            paths, sizes = [], []
+            for number in batch.column(0).to_pylist():
+                own = fs.FileSelector(f"{root}/{place}{number}", allow_not_found=True)
+                parts = [f for f in files.get_file_info(own) if f.base_name.startswith("part-")]
+                name = plain or f"{stem}_{number:03d}{extension}"
+                if keep:
+                    (part,) = parts
+                    paths.append(f"{shown}/{place}{number}/{part.base_name}")
+                    sizes.append(part.size)
+                    continue
+                there = files.get_file_info(f"{above}/{name}")
+                if parts:
+                    if there.type == fs.FileType.Directory:
+                        raise IsADirectoryError(f"output path is a directory: {shown}{name}")
+                    # With its checksum, which some local file systems keep beside a file.
+                    for old in (there, files.get_file_info(f"{above}/.{name}.crc")):
+                        if old.type == fs.FileType.File:
+                            files.delete_file(old.path)
+                    (part,) = parts
+                    files.move(part.path, there.path)
+                    sizes.append(part.size)
+                elif there.type == fs.FileType.File:
+                    sizes.append(there.size)
+                else:
+                    raise FileNotFoundError(f"no output file with number {number}; the source has changed")
+                paths.append(f"{shown}{name}")
+            yield pa.RecordBatch.from_pydict(
+                {"file_id": batch.column(0), "path": pa.array(paths, pa.string()), "bytes": pa.array(sizes, pa.int64())}
+            )
+
+    return numbers.mapInArrow(publish, "file_id long, path string, bytes long")
+
+
+def _folder_and_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -2).alias(_NAME)
+
+
+def _cut_until_small(
+    spark: SparkSession, files: list[OutputFile], schema: T.StructType, limit: int, sink: _Sink, delivery: _Delivery
+) -> list[OutputFile]:
+    """The files in order, those over the limit written again in pieces until none is over it.
+
+    Sizes are known only once they are written.  Only the files over the limit are read again, all in one
+    job, and each is cut into equal runs of rows, at least two; a single row cannot be cut.
+    """
+    store, turn = HadoopFiles(spark), 0
+    while over := [n for n, file in enumerate(files) if file.bytes > limit and file.rows > 1]:
+        pieces = [(n, files[n].path, files[n].rows, min(files[n].rows, max(2, math.ceil(1.1 * files[n].bytes / limit)))) for n in over]
+        table = spark.createDataFrame(pieces, "n long, path string, rows long, pieces long")
+        read = spark.read.schema(schema).parquet(*(path for _, path, _, _ in pieces))
+        named = read.select("*", _folder_and_name(F.col("_metadata.file_path")), F.col("_metadata.row_index").alias(_INDEX))
+        table = table.select("n", _folder_and_name(F.col("path")), "rows", "pieces")
+        table = table.toDF(_OLD, _NAME, _ROWS, _PIECES)
+        piece = F.expr(f"`{_INDEX}` * `{_PIECES}` div `{_ROWS}`")
+        # No two pieces of a file have one number, and a file has at most as many as rows.
+        cut = named.join(broadcast_if_small(table, len(pieces), 200), _NAME).withColumn(_PIECE, piece)
+        placed = cut.repartition(max(1, min(len(pieces) * 2, 4096)), _OLD, _PIECE).sortWithinPartitions(_OLD, _PIECE, _INDEX)
+        folder = f"{delivery.scratch}/pieces_{turn}"
+        rows = placed.select(*map(quote_identifier, schema.names), _OLD, _PIECE)
+        writer = rows.write.format("parquet").option("compression", sink.codec).option("maxRecordsPerFile", 0)
+        writer.partitionBy(_OLD, _PIECE).save(folder)
+        made: dict[int, list[tuple[int, str, int]]] = {}
+        for path, size in store.walk(folder):
+            part = re.search(rf"/{_OLD}=(\d+)/{_PIECE}=(\d+)/part-[^/]+$", path)
+            if part:
+                made.setdefault(int(part[1]), []).append((int(part[2]), path, size))
+        result: list[OutputFile] = []
+        for n, file in enumerate(files):
+            if n not in made:
+                result.append(file)
+                continue
+            count = min(file.rows, max(2, math.ceil(1.1 * file.bytes / limit)))
+            for number, path, size in sorted(made[n]):
+                # Rows whose index times the count, divided by the rows, is this number.
+                first, last = -(-number * file.rows // count), -(-(number + 1) * file.rows // count)
+                # A task gives its files of all pieces one name.
+                name = path.rpartition("/")[2].replace("part-", f"part-{turn}-{n}-{number}-", 1)
+                place = f"{file.path.rpartition('/')[0]}/{name}"
+                store.replace(path, place)
+                result.append(OutputFile(place, size, last - first))
+            store.delete(file.path)
+        files, turn = result, turn + 1
+    return files
+
+
 @dataclass(frozen=True)
 class _Delivery:
     """Where an export is written before its files get their names."""

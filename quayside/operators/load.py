@@ -16,7 +16,6 @@ from quayside.sources.scan import (
     common_format,
     scan_csv,
     scan_parquet,
-    settle_line_breaks,
 )
 
 
@@ -40,7 +39,6 @@ def load(
         source = scan_parquet(spark, paths)
         by_name = True
     else:
-        dialect = settle_line_breaks(spark, paths, dialect)
         target = _existing_schema(spark, table)
         schema = None
         if target is not None and align_headers and dialect.header:

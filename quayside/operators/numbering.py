@@ -173,7 +173,7 @@ def number_rows(positioned: Positioned, lookup_path: str) -> Numbered:
     )
     counts = write_and_read(observed.drop("bytes"), f"{lookup_path}/counts")
     found = totals.get
-    lookup = write_and_read(_offsets(counts, found["files"], lookup_path), f"{lookup_path}/offsets")
+    lookup = _offsets(counts, found["files"], lookup_path)
     lookup = broadcast_if_small(lookup, found["files"], 16 + found["key_length"])
     columns = [*data_columns(frame), F.col(PART)]
     columns.append((F.col(_OFFSET_ROWS) + F.col(ROW)).alias(NUMBER))

@@ -48,12 +48,9 @@ class Assigned:
     """Rows with the file each belongs to; file ids are dense from 0 in row order."""
 
     frame: DataFrame
-    rows_of: tuple[int, ...]
-    """Number of rows of each file."""
-
-    @property
-    def files(self) -> int:
-        return len(self.rows_of)
+    files: int
+    counts: DataFrame
+    """file_id, rows: the number of rows of each file."""
 
 
 def csv_line_bytes(schema: T.StructType, dialect: CsvDialect) -> Column:
@@ -100,10 +97,13 @@ def assign_files(numbered: Numbered, limits: SplitLimits, room: int | None, scra
     if room is None:
         file_id = F.expr(f"`{NUMBER}` div {limits.max_rows}")
         assigned = frame.withColumn(FILE_ID, file_id).drop(*helpers)
-        return Assigned(assigned, _even_counts(numbered.rows, limits.max_rows))
+        files = math.ceil(numbered.rows / limits.max_rows)
+        left = F.lit(numbered.rows) - F.col("file_id") * limits.max_rows
+        counts = frame.sparkSession.range(files).toDF("file_id")
+        return Assigned(assigned, files, counts.withColumn("rows", F.least(F.lit(limits.max_rows), left).cast("long")))
 
     cells = file_starts(frame, FileLimit(room, limits.max_rows), scratch)
-    starts = [row.first for row in cells.starts.orderBy("file_id").select("first").toLocalIterator()]
+    files = cells.starts.agg(F.max("file_id")).first()[0] + 1
     lookup = broadcast_if_small(cells.lookup, cells.lookup.count(), 32)
     behind = f"(`{NUMBER}` - `{STARTS_AT}`) div {limits.max_rows}" if limits.max_rows else "0"
     file_id = F.expr(
@@ -115,13 +115,10 @@ def assign_files(numbered: Numbered, limits: SplitLimits, room: int | None, scra
         .withColumn(FILE_ID, file_id)
         .drop(CELL, STARTS_AT, FILE_BEFORE, *helpers)
     )
-    return Assigned(assigned, tuple(b - a for a, b in zip(starts, [*starts[1:], numbered.rows], strict=True)))
-
-
-def _even_counts(rows: int, per_file: int) -> tuple[int, ...]:
-    """Row counts of the files that ``rows`` rows are cut into."""
-    full, rest = divmod(rows, per_file)
-    return (per_file,) * full + ((rest,) if rest else ())
+    ends = cells.starts.select((F.col("file_id") - 1).alias("file_id"), F.col("first").alias("end"))
+    counts = cells.starts.join(ends, "file_id", "left")
+    rows = F.coalesce("end", F.lit(numbered.rows)) - F.col("first")
+    return Assigned(assigned, files, counts.select("file_id", rows.alias("rows")))
 
 
 def place_files(assigned: Assigned, file_bytes: int) -> DataFrame:

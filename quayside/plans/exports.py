@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.export import PARQUET_CODECS, export, export_json
@@ -273,6 +273,25 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, f"{folder}/talk*.parquet")
 
 
+@catalog.add("split_parquet_limit", "SELECT count(*) AS rows, true AS within, true AS in_order FROM documents")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No file is over the limit, although the sizes of texts vary widely; the files follow each other in order."""
+    folder, table = output_dir(spark, "limit"), file_table(sf_dir, "documents")
+    result = export(
+        spark, f"{folder}/d.parquet", "parquet", table=table, max_file_size="150KB", order_by=["doc_id"], compression="zstd"
+    )
+    per_file = scan_parquet(spark, f"{folder}/d*.parquet", lineage="file_name").groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    )
+    above = F.lag("high").over(Window.orderBy("file_id"))
+    found = result.manifest(spark).join(per_file, "file_name").select("n", "rows", "bytes", "low", above.alias("above"))
+    return found.agg(
+        F.sum("n").alias("rows"),
+        (F.max("bytes") <= 150_000).alias("within"),
+        F.every((F.col("n") == F.col("rows")) & (F.coalesce("above", F.lit(-1)) < F.col("low"))).alias("in_order"),
+    )
+
+
 @catalog.add("split_upper_bound", "SELECT count(*) AS rows, true AS within FROM lineitem")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = output_dir(spark, "bounded")

@@ -17,9 +17,11 @@ from quayside.plans.common import (
     table_name,
     use_tables,
 )
+from quayside.sources.audit import audit_files, source_verdict
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.infer import create_table_ddl, dry_run, infer_schema, schema_frame
 from quayside.sources.listing import (
+    extract_blob,
     extract_blobs,
     ingest_blobs,
     list_children,
@@ -139,6 +141,57 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").cast("int").alias("key"), "name")
 
 
+@catalog.add(
+    "scan_csv_mixed_breaks",
+    "SELECT o_orderkey AS id, concat(o_orderpriority, ' \"q\"') AS note FROM orders"
+    " UNION ALL SELECT -doc_id, text FROM documents",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with line breaks inside fields among many without; only that one goes unsplit."""
+    use_tables(spark, sf_dir, "orders", "documents")
+    folder = output_dir(spark, "mixed")
+    plain = "SELECT o_orderkey AS id, concat(o_orderpriority, ' \"q\"') AS note FROM orders"
+    export(spark, f"{folder}/orders.csv", "csv", query=plain, max_rows_per_file=2000)
+    texts = "SELECT -doc_id AS id, text AS note FROM documents"
+    export(spark, f"{folder}/texts.csv", "csv", query=texts, max_rows_per_file=10_000_000)
+    return scan_csv(spark, f"{folder}/*.csv")
+
+
+# One path per nation: of another format, with a file of its customers, and without a file.
+_AUDITED = """
+SELECT n_nationkey AS k, concat('of/', CAST(n_nationkey AS STRING),
+         CASE WHEN n_regionkey = 4 THEN '.json' ELSE '.csv' END) AS path,
+       n_regionkey < 3 AS stored FROM nation
+"""
+
+
+@catalog.add(
+    "input_audit",
+    "WITH p AS (SELECT n_nationkey AS k, n_regionkey AS r,"
+    " (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9900) AS rows FROM nation)"
+    " SELECT concat('of/', k, CASE WHEN r = 4 THEN '.json' ELSE '.csv' END) AS path, CASE WHEN r = 4 THEN 'unsupported file format'"
+    " WHEN r = 3 THEN 'file not found' WHEN rows = 0 THEN 'no data rows' ELSE 'ok' END AS verdict FROM p"
+    " UNION ALL SELECT concat('request ', o_orderkey), CASE WHEN o_orderstatus = 'F' THEN 'ok' WHEN o_orderstatus = 'O'"
+    " THEN 'table and query cannot be used together' ELSE 'either table or query must be provided' END FROM orders",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and requests with the errors that a load or an export would stop with."""
+    use_tables(spark, sf_dir, "nation", "customer", "orders")
+    folder = output_dir(spark, "audit")
+    paths = spark.sql(_AUDITED)
+    rich = spark.table("customer").where("c_acctbal > 9900")
+    lines = rich.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.concat("c_name", F.lit("\n")))).alias("lines"))
+    stored = paths.where("stored").join(lines, F.col("k") == F.col("c_nationkey"), "left")
+    text = F.concat(F.lit("c_name\n"), F.coalesce(F.array_join("lines", ""), F.lit("")))
+    extract_blobs(stored.select(F.col("path").alias("target"), F.encode(text, "UTF-8").alias("content")), folder)
+    name = F.when(F.col("o_orderstatus") != "P", "t")
+    query = F.when(F.col("o_orderstatus") == "O", "SELECT 1")
+    requests = spark.table("orders").select(
+        F.concat(F.lit("request "), "o_orderkey").alias("path"), source_verdict(name, query).alias("verdict")
+    )
+    return audit_files(paths, folder).union(requests)
+
+
 @catalog.add(
     "file_format_audit",
     "SELECT CASE WHEN lang = 'en' THEN 'csv' WHEN lang = 'fr' THEN 'parquet'"
@@ -200,6 +253,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("target", F.octet_length("content").cast("long").alias("length"))
 
 
+@catalog.add(
+    "blob_extract_one",
+    "SELECT 'first.txt' AS name, text FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)"
+    " UNION ALL SELECT concat(doc_id, '.txt'), text FROM documents WHERE doc_id = (SELECT max(doc_id) FROM documents)",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single files: one to a path, one into a directory, where it keeps its name."""
+    folder = output_dir(spark, "one")
+    documents = scan_parquet(spark, table_file(sf_dir, "documents"))
+    contents = documents.select(
+        F.concat(F.lit("raw/"), "doc_id", F.lit(".txt")).alias("target"), F.encode("text", "UTF-8").alias("content")
+    )
+    first, last = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
+    extract_blob(contents, f"raw/{first}.txt", f"{folder}/first.txt")
+    extract_blob(contents, f"raw/{last}.txt", folder)
+    return scan_blobs(spark, folder).select(
+        F.substring_index("path", "/", -1).alias("name"), F.decode("content", "UTF-8").alias("text")
+    )
+
+
 @catalog.add("blob_extract", "SELECT doc_id, text FROM documents")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = output_dir(spark, "extract")

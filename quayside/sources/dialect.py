@@ -24,7 +24,7 @@ class CsvDialect:
 
     ``escape=None`` means RFC 4180 doubling of the quote.  ``multi_line`` lets a
     quoted field hold line breaks, and then each file is read by one task; by
-    default that is so unless large files turn out to have none.
+    default that is so for the files that turn out to have some.
     """
 
     delimiter: str = ","

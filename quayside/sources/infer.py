@@ -13,9 +13,11 @@ from quayside.sources.dialect import CsvDialect
 from quayside.sources.scan import (
     naming_missing_path,
     as_paths,
+    Parts,
+    by_line_breaks,
     common_format,
+    common_type,
     scan_parquet,
-    settle_line_breaks,
 )
 
 
@@ -40,7 +42,7 @@ def infer_parquet_schema(spark: SparkSession, paths: str | Sequence[str]) -> T.S
 
 def infer_csv_schema(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | Parts,
     dialect: CsvDialect | None = None,
     sampling_ratio: float | None = None,
 ) -> T.StructType:
@@ -52,20 +54,30 @@ def infer_csv_schema(
     who asks for it gets types from a share of the rows (``sampling_ratio``); a
     value elsewhere that does not fit then fails the scan, it is never dropped.
     """
-    paths = as_paths(paths)
-    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
-    found = naming_missing_path(paths, lambda: _parsed_schema(spark, paths, dialect, sampling_ratio))
-    if not found.fields:
-        raise NoDataRowsError(f"no data rows in {', '.join(paths)}")
-    return _named_columns(found, dialect, _widen)
+    parts = paths if isinstance(paths, list) and not isinstance(paths[0], str) else None
+    if parts is None:
+        paths = as_paths(paths)
+        parts = by_line_breaks(spark, paths, dialect or CsvDialect())
+    found = []
+    for files, own in parts:
+        read = naming_missing_path(files, lambda: _parsed_schema(spark, files, own, sampling_ratio))
+        found += [_named_columns(read, own, _widen)] if read.fields else []
+    if not found:
+        raise NoDataRowsError(f"no data rows in {', '.join(f for files, _ in parts for f in files[:10])}")
+    if len(found) == 1:
+        return found[0]
+    one, other = found
+    if [n.lower() for n in one.names] != [n.lower() for n in other.names]:
+        raise ValueError(f"files have different columns: {', '.join(one.names)} and {', '.join(other.names)}")
+    kinds = (common_type(a.dataType, b.dataType) for a, b in zip(one.fields, other.fields, strict=True))
+    return T.StructType([T.StructField(n, kind, True) for n, kind in zip(one.names, kinds, strict=True)])
 
 
 def csv_columns(
     spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect | None = None
 ) -> T.StructType:
-    """The columns of a CSV input as text, from its first line; types are not looked for."""
-    paths = as_paths(paths)
-    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
+    """The columns of a CSV input as text, from its first record; types are not looked for."""
+    paths, dialect = as_paths(paths), dialect or CsvDialect()
     reader = spark.read.options(**dialect.read_options())
     frame = naming_missing_path(paths, lambda: reader.csv(paths))
     if frame.isEmpty():

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.sources.scan import naming_missing_path, as_paths
-from quayside.storage import HadoopFiles
+from quayside.storage import HadoopFiles, parent_of, shared_root
 
 
 def list_recursive(paths: DataFrame, prefix: str = "", column: str = "path") -> DataFrame:
@@ -86,11 +86,43 @@ def extract_blobs(blobs: DataFrame, directory: str, prefix: str = "") -> tuple[i
     their own rows, each to a name of its own first, so a retried task only
     repeats its work.  Returns (files, bytes).
     """
-    base = HadoopFiles(blobs.sparkSession).qualified(directory).rstrip("/")
+    lead = prefix.rstrip("/")
+    under = blobs.where(F.col("target").startswith(lead) & (F.length("target") > len(lead)))
+    rest = F.substring("target", len(lead) + 1, 2**31 - 1 - len(lead))
+    return _write_below(under.select(F.regexp_replace(rest, "^/+", "").alias("name"), "content"), directory)
+
+
+def extract_blob(blobs: DataFrame, target: str, destination: str) -> str:
+    """Write one stored file: into ``destination`` under its own name if that is a directory, else to that path.
+
+    Returns the path written.  A target that is not stored is an error.
+    """
+    files = HadoopFiles(blobs.sparkSession)
+    if destination.endswith("/") or files.is_dir(destination):
+        directory, name = destination.rstrip("/") or "/", target.rstrip("/").rpartition("/")[2]
+    else:
+        directory, name = parent_of(destination), destination.rpartition("/")[2]
+    if not name:
+        raise ValueError(f"no file name in {target!r}")
+    rows = blobs.where(F.col("target") == target).select(F.lit(name).alias("name"), "content")
+    if _write_below(rows, directory)[0] == 0:
+        raise FileNotFoundError(f"file not found: {target}")
+    return f"{directory.rstrip('/')}/{name}"
+
+
+def address_for_tasks(spark: SparkSession, path: str) -> str:
+    """The path as the file systems that tasks open by themselves take it."""
+    base = HadoopFiles(spark).qualified(path).rstrip("/")
     if base.startswith("file:"):
-        if not blobs.sparkSession.sparkContext.master.startswith("local"):
-            raise ValueError(f"{directory} is on each executor's own disk; name a shared folder")
+        if not spark.sparkContext.master.startswith("local") and not path.startswith(shared_root(spark)):
+            raise ValueError(f"{path} is on each executor's own disk; name a shared folder")
         base = "file://" + base.removeprefix("file:").removeprefix("//")
+    return base
+
+
+def _write_below(rows: DataFrame, directory: str) -> tuple[int, int]:
+    """Write (name, content) rows to files; returns how many, and their bytes."""
+    base = address_for_tasks(rows.sparkSession, directory)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from uuid import uuid4
@@ -115,10 +147,6 @@ def extract_blobs(blobs: DataFrame, directory: str, prefix: str = "") -> tuple[i
                 lengths.append(len(content.as_buffer()))
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["bytes"])
 
-    lead = prefix.rstrip("/")
-    under = blobs.where(F.col("target").startswith(lead) & (F.length("target") > len(lead)))
-    rest = F.substring("target", len(lead) + 1, 2**31 - 1 - len(lead))
-    rows = under.select(F.regexp_replace(rest, "^/+", "").alias("name"), "content")
     done = rows.mapInArrow(write, "bytes long")
     files, size = done.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     return files, size

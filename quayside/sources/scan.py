@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,12 @@ from pyspark.sql import types as T
 
 from quayside.functions.naming import detect_format, quote_identifier, table_identifier
 from quayside.sources.dialect import CsvDialect
+from quayside.storage import HadoopFiles
 
 _RECORD = "__record"
 _FILE = "__file"
-_ORDER = "__order"
+#: Bytes of a file that are read for its first line at a time.
+_FIRST_BYTES = 1 << 16
 
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
@@ -70,17 +74,20 @@ def scan_csv(
     """
     from quayside.sources.infer import infer_csv_schema
 
-    paths = as_paths(paths)
-    dialect = settle_line_breaks(spark, paths, dialect or CsvDialect())
+    paths, dialect = as_paths(paths), dialect or CsvDialect()
     if align_headers and dialect.header:
-        groups = _files_by_header(spark, paths, dialect)
+        dialect = settle_line_breaks(spark, paths, dialect)
+        groups = _files_by_header(spark, paths)
         if len(groups) > 1:
             return _scan_groups(spark, groups, dialect, schema, lineage)
+    parts = by_line_breaks(spark, paths, dialect)
     if schema is None:
-        schema = infer_csv_schema(spark, paths, dialect)
-    reader = spark.read.options(**dialect.read_options()).schema(schema)
-    frame = naming_missing_path(paths, lambda: reader.csv(paths))
-    return _with_lineage(frame, lineage)
+        schema = infer_csv_schema(spark, parts)
+    frames = []
+    for files, own in parts:
+        reader = spark.read.options(**own.read_options()).schema(schema)
+        frames.append(_with_lineage(naming_missing_path(files, lambda: reader.csv(files)), lineage))
+    return frames[0] if len(frames) == 1 else frames[0].union(frames[1])
 
 
 def _scan_groups(
@@ -105,7 +112,7 @@ def _scan_groups(
     kinds: dict[str, T.DataType] = {}
     for field in [f for _, s in found for f in s.fields] if schema is None else schema.fields:
         name = field.name.lower()
-        kinds[name] = _common_type(kinds.get(name, field.dataType), field.dataType)
+        kinds[name] = common_type(kinds.get(name, field.dataType), field.dataType)
     parts = []
     for files, columns in found:
         unknown = [name for name in columns.names if name.lower() not in kinds]
@@ -120,7 +127,7 @@ def _scan_groups(
     return frame.select(*map(quote_identifier, names + [lineage] * (lineage is not None)))
 
 
-def _common_type(one: T.DataType, other: T.DataType) -> T.DataType:
+def common_type(one: T.DataType, other: T.DataType) -> T.DataType:
     """A type that holds the text of both: theirs if equal, double for numbers, else text."""
     if one == other:
         return one
@@ -128,22 +135,39 @@ def _common_type(one: T.DataType, other: T.DataType) -> T.DataType:
     return T.DoubleType() if numbers else T.StringType()
 
 
-def settle_line_breaks(
-    spark: SparkSession, paths: list[str], dialect: CsvDialect
-) -> CsvDialect:
-    """The dialect with ``multi_line`` decided, if it was left open.
+Parts = list[tuple[list[str], CsvDialect]]
 
-    The content alone decides, whatever the size of the input: files of which
-    every line is a whole record can be split among tasks.  A carriage return
-    that ends no line belongs to a value, so such a file is not split.
+
+def by_line_breaks(spark: SparkSession, paths: list[str], dialect: CsvDialect) -> Parts:
+    """The files that can be split among tasks, and those that cannot, each with a settled dialect.
+
+    The content of each file decides, whatever its size: a file of which every line is a whole record can
+    be split.  A carriage return that ends no line belongs to a value, so such a file is not split.
     """
     if dialect.multi_line is not None:
-        return dialect
+        return [(paths, dialect)]
     lines = naming_missing_path(paths, lambda: spark.read.option("lineSep", "\n").text(paths))
     line = F.regexp_replace("value", "\r$", "")
     broken = line.contains("\r")
     broken |= line.contains(dialect.quote) & ~line.rlike(dialect.whole_line_pattern())
-    return replace(dialect, multi_line=not lines.where(broken).isEmpty())
+    files = HadoopFiles(spark)
+    odd = lines.where(broken).select(F.col("_metadata.file_path").alias(_FILE)).distinct()
+    # Of the files that the scan lists anyway.
+    whole = {files.of_uri(row[0]) for row in odd.collect()}
+    if not whole:
+        return [(paths, replace(dialect, multi_line=False))]
+    split = sorted({files.of_uri(uri) for uri in lines.inputFiles()} - whole)
+    if not split:
+        return [(paths, replace(dialect, multi_line=True))]
+    return [(split, replace(dialect, multi_line=False)), (sorted(whole), replace(dialect, multi_line=True))]
+
+
+def settle_line_breaks(
+    spark: SparkSession, paths: list[str], dialect: CsvDialect
+) -> CsvDialect:
+    """The dialect with ``multi_line`` decided for all files together, if it was left open."""
+    parts = by_line_breaks(spark, paths, dialect)
+    return parts[-1][1]
 
 
 def scan_files(
@@ -218,17 +242,56 @@ def _with_lineage(frame: DataFrame, lineage: str | None) -> DataFrame:
     return frame.select("*", F.col("_metadata.file_name").alias(lineage))
 
 
-def _files_by_header(
-    spark: SparkSession, paths: list[str], dialect: CsvDialect
-) -> list[list[str]]:
-    """Input files grouped by their first line, looking only at each file's first block."""
-    lines = (
-        spark.read.text(paths)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select("value", F.col("_metadata.file_path").alias(_FILE))
-        .withColumn(_ORDER, F.monotonically_increasing_id())
-    )
-    headers = lines.groupBy(_FILE).agg(F.min_by("value", _ORDER).alias(_RECORD))
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The first line of each file, and the file's address; tasks open the files and read their first blocks.
+
+    Where only the JVM can open the store, or files are on one machine's disk, the files are scanned.
+    """
+    lines = spark.read.text(paths)
+    found = lines.inputFiles()
+    if not _open_to_tasks(spark, found):
+        numbered = lines.select("value", F.col("_metadata.file_path").alias(_FILE), F.monotonically_increasing_id().alias("n"))
+        return numbered.groupBy(_FILE).agg(F.min_by("value", "n").alias(_RECORD)).select(_RECORD, _FILE)
+    block = _FIRST_BYTES
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            records, addresses = [], []
+            for address in batch.column(0).to_pylist():
+                store, path = fs.FileSystem.from_uri(address)
+                held = b""
+                # Compressed files are told by their names, as in a scan.
+                with store.open_input_stream(path) as stream:
+                    while not (b"\n" in held or b"\r" in held) and (more := stream.read(block)):
+                        held += more
+                if held:
+                    records.append(held.splitlines()[0].decode("utf-8", "replace"))
+                    addresses.append(address)
+            yield pa.RecordBatch.from_pydict({_RECORD: pa.array(records, pa.string()), _FILE: pa.array(addresses, pa.string())})
+
+    named = spark.createDataFrame([(address,) for address in found], "address string")
+    return named.repartition(max(1, min(len(found), 1024))).mapInArrow(first, f"{_RECORD} string, {_FILE} string")
+
+
+def _open_to_tasks(spark: SparkSession, addresses: list[str]) -> bool:
+    """Whether tasks can open files by themselves."""
+    local = spark.sparkContext.master.startswith("local")
+    for scheme in {address.split(":", 1)[0]: address for address in addresses}.values():
+        try:
+            fs.FileSystem.from_uri(scheme)
+        except (ValueError, OSError, pa.ArrowException):
+            return False
+        if scheme.startswith("file:") and not local:
+            return False
+    return True
+
+
+def _files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Input files grouped by their first line."""
+    headers = naming_missing_path(paths, lambda: first_lines(spark, paths))
     # One row per distinct header; the paths were named by the caller.
     groups = headers.groupBy(_RECORD).agg(F.sort_array(F.collect_list(_FILE)).alias("files"))
-    return [row.files for row in groups.orderBy(F.get("files", F.lit(0))).collect()]
+    files = HadoopFiles(spark)
+    return [[files.of_uri(uri) for uri in row.files] for row in groups.orderBy(F.get("files", F.lit(0))).collect()]

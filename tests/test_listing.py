@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.sources import listing
 from quayside.sources.listing import (
     extract_blobs,
     ingest_blobs,
@@ -90,3 +91,15 @@ def test_bad_arguments(spark, tree, folder):
     bad = spark.createDataFrame([("../up.txt", bytearray(b"x"))], "target string, content binary")
     with pytest.raises(Exception, match="outside the directory"):
         extract_blobs(bad, folder)
+
+
+def test_one_file_to_a_path_or_into_a_directory(spark, folder):
+    blobs = spark.createDataFrame([("raw/a/x.txt", bytearray(b"one")), ("raw/a/y", bytearray(b""))], "target string, content binary")
+    os.makedirs(f"{folder}/there")
+    assert listing.extract_blob(blobs, "raw/a/x.txt", f"{folder}/there") == f"{folder}/there/x.txt"
+    assert listing.extract_blob(blobs, "raw/a/y", f"{folder}/new/") == f"{folder}/new/y"
+    assert listing.extract_blob(blobs, "raw/a/x.txt", f"{folder}/there/z") == f"{folder}/there/z"
+    assert open(f"{folder}/there/x.txt").read() == open(f"{folder}/there/z").read() == "one"
+    assert open(f"{folder}/new/y").read() == ""
+    with pytest.raises(FileNotFoundError, match="raw/a/z"):
+        listing.extract_blob(blobs, "raw/a/z", f"{folder}/there")

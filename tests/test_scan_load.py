@@ -13,6 +13,7 @@ from quayside.sources.infer import (
     infer_csv_schema,
     infer_schema,
 )
+from quayside.sources import scan
 from quayside.sources.scan import scan_csv, scan_files, scan_parquet, scan_source, settle_line_breaks
 
 
@@ -289,3 +290,52 @@ def test_reserved_words_as_columns(spark, folder, table):
     frame.write.parquet(f"{folder}/r.parquet")
     assert load(spark, f"{folder}/r.parquet", table) == 1
     assert spark.table(table).columns == ["timestamp", "select", "Mixed Case"]
+
+
+def test_one_odd_file_leaves_the_others_split(spark, folder):
+    for n in range(3):
+        write(f"{folder}/a b{n}.csv", "id,v\n" + "".join(f'{n}{i},"some ""text"" of a row"\n' for i in range(100, 4000)))
+    write(f"{folder}/odd.csv", "id,v\n" + "".join(f'9{i},"one\ntwo"\n' for i in range(100, 400)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        frame = scan_csv(spark, f"{folder}/*.csv", lineage="file")
+        tasks = frame.select("file", F.spark_partition_id().alias("t")).distinct().groupBy("file").agg(F.count("t").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    by_file = {r.file: r.n for r in tasks}
+    assert by_file.pop("odd.csv") == 1 and len(by_file) == 3 and min(by_file.values()) > 3
+    assert frame.count() == 3 * 3900 + 300 and frame.where("v = 'one\ntwo'").count() == 300
+    assert frame.dtypes[:2] == [("id", "bigint"), ("v", "string")]
+
+
+def test_odd_and_plain_files_share_their_types(spark, folder):
+    write(f"{folder}/a.csv", "k,v\n1,2\n")
+    write(f"{folder}/b.csv", 'k,v\n2.5,"x\ny"\n')
+    frame = scan_csv(spark, f"{folder}/*.csv")
+    assert frame.dtypes == [("k", "double"), ("v", "string")]
+    assert sorted(tuple(r) for r in frame.collect()) == [(1.0, "2"), (2.5, "x\ny")]
+    write(f"{folder}/c.csv", "k,other\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|different columns"):
+        scan_csv(spark, f"{folder}/*.csv").collect()
+
+
+def test_only_the_first_block_is_read_for_a_header(spark, folder):
+    for n in range(3):
+        write(f"{folder}/big {n}.csv", ("id,v\n" if n else "v,id\n") + "1,abcdefghijklmnopqrstuvwxyz\n" * 300_000)
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics
+
+    def read():
+        """By the JVM, from anywhere; what tasks open by themselves ends with the first block."""
+        return sum(s.getBytesRead() for s in statistics() if s.getScheme() == "file")
+
+    before = read()
+    groups = scan._files_by_header(spark, [f"{folder}/*.csv"])
+    assert sorted(map(len, groups)) == [1, 2] and all(" " in path for files in groups for path in files)
+    assert read() - before < 4_000_000
+
+
+def test_empty_files_have_no_first_line(spark, folder):
+    write(f"{folder}/a.csv", "")
+    write(f"{folder}/b.csv", "id,v\n1,2\n")
+    assert [tuple(r) for r in scan.first_lines(spark, [f"{folder}/*.csv"]).select(scan._RECORD).collect()] == [("id,v",)]

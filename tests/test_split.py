@@ -242,6 +242,39 @@ def test_parquet_size_limit_alone_splits(spark, folder):
     assert scan_parquet(spark, result.paths).distinct().count() == 60000
 
 
+@pytest.mark.parametrize("as_directory", [False, True])
+def test_files_over_a_parquet_limit_are_cut_again(spark, folder, monkeypatch, as_directory):
+    """Planned far too large, so that nearly every file has to be cut, some of them twice."""
+    from quayside.operators import export as module
+
+    monkeypatch.setattr(module, "PARQUET_FILL", 6.0)
+    many = F.concat(*(F.sha2(F.concat_ws("-", "id", F.lit(n)), 256) for n in range(30)))
+    text = F.when(F.col("id") % 100 < 5, many).otherwise(F.lit("x"))
+    spark.range(0, 4000, 1, 3).select("id", text.alias("v")).write.parquet(f"{folder}/in")
+    result = export(
+        spark, f"{folder}/p.parquet", "parquet", table=f"parquet.`{folder}/in`", max_file_size="40KB",
+        order_by=["id"], as_directory=as_directory,
+    )
+    assert result.num_files > 10 and max(f.bytes for f in result.files) <= 40_000
+    found = []
+    for file in result.files:
+        ids = [r.id for r in spark.read.parquet(file.path).collect()]
+        assert len(ids) == file.rows
+        found += ids
+    assert found == list(range(4000))
+    if not as_directory:
+        assert [os.path.basename(p) for p in result.paths] == [f"p_{i:03d}.parquet" for i in range(result.num_files)]
+
+
+def test_a_row_over_a_parquet_limit_stays_whole(spark, folder):
+    rows = [(i, ("%032x" % random.Random(i).getrandbits(128)) * (2000 if i == 5 else 1)) for i in range(12)]
+    spark.createDataFrame(rows, "i int, v string").coalesce(1).write.parquet(f"{folder}/in")
+    result = export(spark, f"{folder}/p.parquet", "parquet", table=f"parquet.`{folder}/in`", max_file_size=2500, order_by=["i"])
+    back = scan_parquet(spark, result.paths)
+    assert sorted(tuple(r) for r in back.collect()) == rows
+    assert [f.rows for f in result.files if f.bytes > 2500] in ([], [1])
+
+
 def test_many_small_files_share_tasks(spark, folder):
     spark.range(500).createOrReplaceTempView("small")
     result = export(
@@ -252,6 +285,44 @@ def test_many_small_files_share_tasks(spark, folder):
     assert read_all(result.paths) == [f"{i}\n" for i in range(500)]
 
 
+@pytest.mark.parametrize("by", ["tasks", "driver"])
+@pytest.mark.parametrize("limits", [{"max_rows_per_file": 1}, {"max_file_size": 5}, {"max_rows_per_file": 2, "max_file_size": 9}])
+def test_files_are_named_by_tasks_or_the_driver(spark, folder, monkeypatch, by, limits):
+    from quayside.operators import export as module
+
+    monkeypatch.setattr(module, "_FILES_A_TASK", 40)
+    if by == "driver":
+        def unknown(spark, path):
+            raise ValueError("no such store")
+
+        monkeypatch.setattr(module, "address_for_tasks", unknown)
+    else:
+        # Nothing about single files passes through the driver.
+        monkeypatch.setattr(module, "_numbered_files", None)
+        monkeypatch.setattr(HadoopFiles, "walk", None)
+        monkeypatch.setattr(HadoopFiles, "replace_all", None)
+    spark.range(700).createOrReplaceTempView("small")
+    with open(f"{folder}/s_003.csv", "w") as file:
+        file.write("from before")
+    result = export(
+        spark, f"{folder}/s.csv", "csv", query="SELECT * FROM small", order_by=["id"], dialect=CsvDialect(header=False), **limits
+    )
+    rows = result.manifest(spark).orderBy("file_id").collect()
+    assert [r.file_id for r in rows] == list(range(result.num_files)) and result.num_files >= 340
+    assert [r.file_name for r in rows] == [f"s_{k:03d}.csv" for k in range(result.num_files)]
+    lines = [open(r.path).read() for r in rows]
+    assert "".join(lines) == "".join(f"{i}\n" for i in range(700))
+    assert [(r.rows, r.bytes) for r in rows] == [(text.count("\n"), len(text)) for text in lines]
+    assert sorted(n for n in os.listdir(folder) if not n.endswith(".crc")) == sorted(r.file_name for r in rows)
+    result.drop_manifest(spark)
+
+
+def test_an_output_that_is_a_directory_is_an_error(spark, folder):
+    os.makedirs(f"{folder}/d_001.csv")
+    with pytest.raises(Exception, match="output path is a directory"):
+        export(spark, f"{folder}/d.csv", "csv", query="SELECT * FROM range(5)", max_rows_per_file=2)
+
+
 def test_failed_exports_leave_nothing_behind(spark, folder):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(f"{shared}/quayside"))
