@@ -445,19 +445,17 @@ def _across(crowd: DataFrame, comps: DataFrame, members: DataFrame, staged: Stag
     """Links between components that have members in one band, besides those to its centre.
 
     Members of a band's largest component are not compared with each other: all others ask every member, block
-    by block within tasks.  Bands with the same members are compared once.
+    by block within tasks.  Bands with the same largest component are put together, as near copies share most of
+    their bands, so that two members are compared once.
     """
     named = crowd.select("key", F.col("node").alias("id")).join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    sums = [F.bit_xor(F.xxhash64(F.lit(seed), "id")).alias(f"s{seed}") for seed in (1, 2)]
-    parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), *sums)
-    mixed = parts.groupBy("key").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
-        F.bit_xor("s1").alias("s1"), F.bit_xor("s2").alias("s2"),
-    )
-    once = mixed.where("parts > 1").groupBy("n", "s1", "s2").agg(F.min(F.struct("key", "top")).alias("b"))
-    counts = [F.ceil(c / _MEMBERS).cast("int").alias(name) for c, name in ((F.col("n"), "blocks"), (F.col("n") - F.col("b.top.n"), "chunks"))]
-    once = staged(once.select("b.key", F.col("b.top.comp").alias("top"), *counts))
-    near = staged(named.join(once, "key"))
+    parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "comp")).alias("top"))
+    mixed = mixed.where("parts > 1").select("key", F.col("top.comp").alias("top"))
+    met = staged(named.join(mixed, "key").select(F.col("top").alias("key"), "id", "comp").distinct())
+    counts = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("comp") != F.col("key")).alias("m"))
+    blocks, chunks = (F.ceil(F.col(c) / _MEMBERS).cast("int").alias(name) for c, name in (("n", "blocks"), ("m", "chunks")))
+    near = staged(met.join(counts.select("key", blocks, chunks), "key"))
 
     def part(seed: int, count: str) -> Column:
         return F.pmod(F.xxhash64("id", F.lit(seed)), count).cast("int")
@@ -466,7 +464,7 @@ def _across(crowd: DataFrame, comps: DataFrame, members: DataFrame, staged: Stag
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
     asked = near.select("key", "id", "comp", F.lit(False).alias("asks"), part(77, "blocks").alias("k"), every("chunks").alias("c"))
-    asking = near.where("comp <> top").select("key", "id", "comp", F.lit(True).alias("asks"), part(78, "chunks").alias("c"), every("blocks").alias("k"))
+    asking = near.where("comp <> key").select("key", "id", "comp", F.lit(True).alias("asks"), part(78, "chunks").alias("c"), every("blocks").alias("k"))
     dealt = asked.unionByName(asking).select(F.xxhash64("key", "k", "c").alias("block"), "id", "comp", "asks")
     dealt = dealt.join(members.select(F.col("node").alias("id"), "print"), "id")
     pairs = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_cross_links(least), "a bigint, b bigint")
