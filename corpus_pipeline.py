@@ -1,6 +1,7 @@
 """From documents to packed training sequences: five stages, each written as Parquet and read by the next.
 
-1. ``language`` drops documents without any text in a language that was learnt (no letter, or null).
+1. ``language`` drops documents without any text in a language that was learnt (null, no letter, or letters that
+   no learnt language makes likelier than evenly drawn ones, as other scripts), and fills in a missing ``lang``.
 2. ``quality`` drops documents that the quality classifier predicts to be 0.
 3. ``near_duplicates`` keeps of each group of near duplicates the one row with the smallest id.
 4. ``personal_data`` replaces personal data in the texts by its kind in brackets.
