@@ -8,9 +8,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.sources.scan import naming_missing_path, as_paths
+from quayside.sources.scan import naming_missing_path, as_paths, scan_bytes
 from quayside.storage import HadoopFiles, parent_of, shared_root
 
+#: Of the scan's own parts, each some 30 small files, this many are read by a task.
+_PARTS_A_TASK = 8
+#: On average a task is given no more than this.
+_TASK_BYTES = 128 << 20
+
 
 def list_recursive(paths: DataFrame, prefix: str = "", column: str = "path") -> DataFrame:
     """Every path under ``prefix``, relative to it.
@@ -39,11 +44,15 @@ def list_children(paths: DataFrame, prefix: str = "", column: str = "path") -> D
 def scan_blobs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Whole files as rows: path, modificationTime, length, content.
 
-    The content is only read when it is selected.
+    The content is only read when it is selected.  Where there are very many small files, a task reads
+    several of the scan's parts one after another; the start of a task takes longer than its files otherwise.
     """
     paths = as_paths(paths)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return naming_missing_path(paths, lambda: reader.load(paths))
+    blobs = naming_missing_path(paths, lambda: reader.load(paths))
+    parts = blobs.select("path").rdd.getNumPartitions()
+    fewest = max(-(-parts // _PARTS_A_TASK), scan_bytes(blobs) // _TASK_BYTES, 4 * spark.sparkContext.defaultParallelism)
+    return blobs.coalesce(fewest) if fewest < parts else blobs
 
 
 def list_files(
@@ -130,18 +139,23 @@ def _write_below(rows: DataFrame, directory: str) -> tuple[int, int]:
         from pyarrow import fs
 
         files, root = fs.FileSystem.from_uri(base)
+        # Some file systems do not rename onto a file.
+        replaces = isinstance(files, fs.LocalFileSystem)
+        made = set()
         for batch in batches:
             lengths = []
             for name, content in zip(batch["name"], batch["content"]):
                 if ".." in name.as_py().split("/"):
                     raise ValueError(f"target outside the directory: {name}")
                 place = f"{root}/{name.as_py()}"
-                files.create_dir(place.rpartition("/")[0], recursive=True)
+                folder = place.rpartition("/")[0]
+                if folder not in made:
+                    files.create_dir(folder, recursive=True)
+                    made.add(folder)
                 part = f"{place}.{uuid4().hex}"
                 with files.open_output_stream(part) as sink:
                     sink.write(content.as_buffer())
-                # Some file systems do not rename onto a file.
-                if files.get_file_info(place).type == fs.FileType.File:
+                if not replaces and files.get_file_info(place).type == fs.FileType.File:
                     files.delete_file(place)
                 files.move(part, place)
                 lengths.append(len(content.as_buffer()))

@@ -103,3 +103,16 @@ def test_one_file_to_a_path_or_into_a_directory(spark, folder):
     assert open(f"{folder}/new/y").read() == ""
     with pytest.raises(FileNotFoundError, match="raw/a/z"):
         listing.extract_blob(blobs, "raw/a/z", f"{folder}/there")
+
+
+def test_very_many_small_files_are_read_by_few_tasks(spark, folder):
+    names = [f"{n % 3}/{n}.txt" for n in range(2000)]
+    blobs = spark.createDataFrame([(name, name.encode() * (n % 4 + 1)) for n, name in enumerate(names)], "target string, content binary")
+    for _ in range(2):  # the second time onto the first's files
+        assert listing.extract_blobs(blobs, f"{folder}/out") == (2000, sum(len(name) * (n % 4 + 1) for n, name in enumerate(names)))
+    read = scan_blobs(spark, f"{folder}/out")
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/out")
+    assert 4 <= read.rdd.getNumPartitions() <= own.rdd.getNumPartitions() // 2
+    assert read.columns == own.columns and read.exceptAll(own).isEmpty() and read.count() == 2000
+    assert bytes(read.where("path LIKE '%/1/7.txt'").first().content) == b"1/7.txt" * 4
+    assert scan_blobs(spark, f"{folder}/out/0").select("path").distinct().count() == 667
