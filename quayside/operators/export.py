@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import helper_name, parse_size, quote_identifier, split_base, split_file_path
+from quayside.operators import numbering
 from quayside.operators.numbering import broadcast_if_small, discard, number_rows, position_rows, write_and_read
 from quayside.operators.split import (
     FILE_ID,
@@ -25,6 +26,7 @@ from quayside.operators.split import (
     csv_header_bytes,
     csv_line_bytes,
     place_files,
+    place_runs,
     plain_row_bytes,
 )
 from quayside.sources.dialect import TIME_TEXT, CsvDialect
@@ -48,6 +50,8 @@ PARQUET_FILL = 0.85
 
 #: Output files that a task names at about.
 _FILES_A_TASK = 500
+#: Bytes copied at a time where parts of a file are put together.
+_COPIED_BYTES = 4 << 20
 
 _NAME, _INDEX, _OLD, _ROWS, _PIECES, _PIECE = (
     helper_name(n) for n in ("name", "index", "old", "rows", "pieces", "piece")
@@ -254,7 +258,11 @@ def _export_split(
                 scale = numbered.weight / max(numbered.file_bytes, 1)
                 room = max(1, int(limits.max_bytes * PARQUET_FILL * scale))
         assigned = assign_files(numbered, limits, room, f"{scratch}/chain")
-        counted, count = _counted(place_files(assigned, numbered.file_bytes))
+        # Files much larger than a task's share are written in parts, where those can be put together in place.
+        runs = math.ceil(numbered.file_bytes / numbering.TASK_BYTES)
+        in_parts = sink.format == "csv" and runs >= 2 * assigned.files and _writes_in_place(spark, delivery.folder)
+        placed = place_runs(assigned, numbered.rows, runs) if in_parts else place_files(assigned, numbered.file_bytes)
+        counted, count = _counted(placed)
         writer = sink.writer(counted).option("maxRecordsPerFile", 0)
         writer.partitionBy(FILE_ID).mode("overwrite").save(delivery.folder)
         changed = RuntimeError(f"incomplete export to {sink.output}; the source has changed")
@@ -266,6 +274,8 @@ def _export_split(
                 raise changed
             files = _cut_until_small(spark, files, source.schema, limits.max_bytes, sink, delivery)
             return ExportResult(numbered.rows, delivery.publish(files))
+        if in_parts:
+            _join_parts(spark, delivery.folder, csv_header_bytes(spark, source.schema, sink.dialect))
         placed = _published(delivery, assigned.files)
         # As long as a file is missing, its task fails.
         named = placed.join(assigned.counts, "file_id").select("file_id", "path", "bytes", "rows")
@@ -283,6 +293,67 @@ def _numbered_files(spark: SparkSession, directory: str, counts: DataFrame) -> l
     return [numbered[number] for number in sorted(numbered)]
 
 
+def _writes_in_place(spark: SparkSession, folder: str) -> bool:
+    """Whether tasks can write a file of a folder at any place."""
+    try:
+        return isinstance(fs.FileSystem.from_uri(address_for_tasks(spark, folder))[0], fs.LocalFileSystem)
+    except (ValueError, OSError, pa.ArrowException):
+        return False
+
+
+def _join_parts(spark: SparkSession, directory: str, header: int) -> None:
+    """Make one file of the parts in each FILE_ID's folder; every part is copied to its place by a task.
+
+    All parts begin with the header line of so many bytes, of which the first one's stays.  A task that is
+    run again writes the same bytes to the same place.
+    """
+    store, found = HadoopFiles(spark), {}
+    for path, size in store.walk(directory):
+        part = re.search(rf"/{FILE_ID}=(\d+)/part-(\d+)-[^/]+$", path)
+        if part:
+            found.setdefault(int(part[1]), []).append((int(part[2]), path, size))
+    moves, sizes = [], {}
+    root = fs.FileSystem.from_uri(address_for_tasks(spark, directory))[1]
+    for number, parts in found.items():
+        if len(parts) == 1:
+            continue
+        parts.sort()
+        at, place = 0, f"{FILE_ID}={number}/part-joined-{uuid.uuid4().hex}"
+        for order, (_, path, size) in enumerate(parts):
+            skipped = header if order else 0
+            moves.append((f"{root}/{FILE_ID}={number}/{path.rpartition('/')[2]}", skipped, f"{root}/{place}", at))
+            at += size - skipped
+        sizes[f"{directory}/{place}"] = at
+    if not moves:
+        return
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                with open(row["part"], "rb") as source:
+                    source.seek(row["skipped"])
+                    sink = os.open(row["place"], os.O_WRONLY | os.O_CREAT, 0o644)
+                    with os.fdopen(sink, "wb", buffering=0) as target:
+                        target.seek(row["at"])
+                        while block := source.read(_COPIED_BYTES):
+                            left = memoryview(block)
+                            while left:
+                                left = left[target.write(left) :]
+            yield pa.RecordBatch.from_pydict({"done": pa.array([batch.num_rows], pa.int64())})
+
+    table = spark.createDataFrame(spark.sparkContext.parallelize(moves, len(moves)), "part string, skipped long, place string, at long")
+    done = table.mapInArrow(copy, "done long").agg(F.sum("done")).first()[0]
+    made = {path.rpartition("/")[2]: size for path, size in store.walk(directory) if "/part-joined-" in path}
+    if done != len(moves) or any(made.get(path.rpartition("/")[2]) != size for path, size in sizes.items()):
+        raise RuntimeError(f"incomplete parts in {directory}")
+    # With their checksums, which some local file systems keep beside a file.
+    for parts in found.values():
+        for _, path, _ in parts if len(parts) > 1 else []:
+            store.delete(path)
+
+
 def _published(delivery: _Delivery, count: int) -> DataFrame:
     """``file_id, path, bytes``, to be written once: each file is found in its own folder and named by a task.
 

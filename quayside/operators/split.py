@@ -121,6 +121,16 @@ def assign_files(numbered: Numbered, limits: SplitLimits, room: int | None, scra
     return Assigned(assigned, files, counts.select("file_id", rows.alias("rows")))
 
 
+def place_runs(assigned: Assigned, rows: int, runs: int) -> DataFrame:
+    """Bring as many runs of neighbouring rows into one task each, in row order; a file's parts lie in order of the tasks."""
+    task = F.expr(f"cast(`{NUMBER}` div {math.ceil(rows / runs)} as int)")
+    return (
+        assigned.frame.repartitionById(runs, task)
+        .sortWithinPartitions(FILE_ID, NUMBER)
+        .select(*data_columns(assigned.frame.drop(FILE_ID)), FILE_ID)
+    )
+
+
 def place_files(assigned: Assigned, file_bytes: int) -> DataFrame:
     """Bring every file's rows into one task, in row order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.functions.naming import quote_identifier, table_identifier
+from quayside.sources import records
 from quayside.sources.dialect import CsvDialect
 from quayside.sources.scan import (
     naming_missing_path,
@@ -59,18 +60,20 @@ def infer_csv_schema(
         paths = as_paths(paths)
         parts = by_line_breaks(spark, paths, dialect or CsvDialect())
     found = []
-    for files, own in parts:
-        read = naming_missing_path(files, lambda: _parsed_schema(spark, files, own, sampling_ratio))
+    for files, own, cut in parts:
+        read = naming_missing_path(files, lambda: _parsed_schema(spark, files, own, sampling_ratio, cut))
         found += [_named_columns(read, own, _widen)] if read.fields else []
     if not found:
-        raise NoDataRowsError(f"no data rows in {', '.join(f for files, _ in parts for f in files[:10])}")
+        raise NoDataRowsError(f"no data rows in {', '.join(f for part in parts for f in part.files[:10])}")
     if len(found) == 1:
         return found[0]
-    one, other = found
-    if [n.lower() for n in one.names] != [n.lower() for n in other.names]:
-        raise ValueError(f"files have different columns: {', '.join(one.names)} and {', '.join(other.names)}")
-    kinds = (common_type(a.dataType, b.dataType) for a, b in zip(one.fields, other.fields, strict=True))
-    return T.StructType([T.StructField(n, kind, True) for n, kind in zip(one.names, kinds, strict=True)])
+    one, *others = found
+    for other in others:
+        if [n.lower() for n in one.names] != [n.lower() for n in other.names]:
+            raise ValueError(f"files have different columns: {', '.join(one.names)} and {', '.join(other.names)}")
+        kinds = (common_type(a.dataType, b.dataType) for a, b in zip(one.fields, other.fields, strict=True))
+        one = T.StructType([T.StructField(n, kind, True) for n, kind in zip(one.names, kinds, strict=True)])
+    return one
 
 
 def csv_columns(
@@ -97,9 +100,19 @@ def _named_columns(schema: T.StructType, dialect: CsvDialect, kind: Callable) ->
 
 
 def _parsed_schema(
-    spark: SparkSession, paths: list[str], dialect: CsvDialect, sampling_ratio: float | None
+    spark: SparkSession,
+    paths: list[str],
+    dialect: CsvDialect,
+    sampling_ratio: float | None,
+    cut: records.Cut | None = None,
 ) -> T.StructType:
     """Schema of the rows in some files, empty if they have none."""
+    if cut is not None:
+        named = spark.read.options(**dialect.read_options()).csv(cut.samples[0])
+        with _session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
+            found = records.inferred(records.records(spark, cut.ranges, dialect), dialect, sampling_ratio)
+        if len(found.names) == len(named.columns):
+            return T.StructType([T.StructField(n, f.dataType) for n, f in zip(named.columns, found.fields, strict=True)])
     reader = spark.read.options(**dialect.read_options()).option("inferSchema", "true")
     if sampling_ratio is not None:
         reader = reader.option("samplingRatio", sampling_ratio)

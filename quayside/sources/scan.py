@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import replace
+from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyarrow import fs
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.naming import detect_format, quote_identifier, table_identifier
+from quayside.sources import records
 from quayside.sources.dialect import CsvDialect
 from quayside.storage import HadoopFiles
 
@@ -84,10 +87,16 @@ def scan_csv(
     if schema is None:
         schema = infer_csv_schema(spark, parts)
     frames = []
-    for files, own in parts:
+    for files, own, cut in parts:
         reader = spark.read.options(**own.read_options()).schema(schema)
-        frames.append(_with_lineage(naming_missing_path(files, lambda: reader.csv(files)), lineage))
-    return frames[0] if len(frames) == 1 else frames[0].union(frames[1])
+        if cut is None:
+            frames.append(_with_lineage(naming_missing_path(files, lambda: reader.csv(files)), lineage))
+            continue
+        for sample in cut.samples:
+            # Holds the header against the schema.
+            reader.csv(sample).first()
+        frames.append(records.parsed(records.records(spark, cut.ranges, own), own, schema, lineage))
+    return reduce(DataFrame.union, frames)
 
 
 def _scan_groups(
@@ -135,17 +144,55 @@ def common_type(one: T.DataType, other: T.DataType) -> T.DataType:
     return T.DoubleType() if numbers else T.StringType()
 
 
-Parts = list[tuple[list[str], CsvDialect]]
+class Part(NamedTuple):
+    """Files that are read alike; large ones whose records end within ranges that are known are cut."""
+
+    files: list[str]
+    dialect: CsvDialect
+    cut: records.Cut | None = None
+
+
+Parts = list[Part]
 
 
 def by_line_breaks(spark: SparkSession, paths: list[str], dialect: CsvDialect) -> Parts:
-    """The files that can be split among tasks, and those that cannot, each with a settled dialect.
+    """The files that can be split among tasks at every line, those that can at some, and the others,
+    each with a settled dialect.
 
     The content of each file decides, whatever its size: a file of which every line is a whole record can
-    be split.  A carriage return that ends no line belongs to a value, so such a file is not split.
+    be split.  A carriage return that ends no line belongs to a value, so such a file is not split at lines.
     """
+    split, whole = _with_broken_lines(spark, paths, dialect)
+    parts = [Part(split, replace(dialect, multi_line=False))] if split else []
+    if not whole:
+        return parts
+    own = replace(dialect, multi_line=True)
+    sizes = _large_files(spark, whole)
+    cut = records.cut_by_records(spark, sizes, own)
+    if not cut.ranges:
+        return [*parts, Part(whole, own)]
+    files = HadoopFiles(spark)
+    cut = cut._replace(samples=[files.of_uri(uri) for uri in cut.samples])
+    covered = {files.of_uri(uri) for uri in {part.address for part in cut.ranges}}
+    listed = naming_missing_path(whole, lambda: spark.read.text(whole)).inputFiles()
+    rest = sorted({files.of_uri(uri) for uri in listed} - covered)
+    return [*parts, Part(sorted(covered), own, cut), *([Part(rest, own)] if rest else [])]
+
+
+def _large_files(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """The sizes of the files that are too large for one task, by address."""
+    listed = naming_missing_path(paths, lambda: spark.read.format("binaryFile").load(paths))
+    large = listed.where(F.col("length") > records.WHOLE_BYTES).select("path", "length").collect()
+    files = HadoopFiles(spark)
+    return {files.to_uri(row.path): row.length for row in large}
+
+
+def _with_broken_lines(
+    spark: SparkSession, paths: list[str], dialect: CsvDialect
+) -> tuple[list[str], list[str]]:
+    """The files of which every line is a whole record, and those with other lines."""
     if dialect.multi_line is not None:
-        return [(paths, dialect)]
+        return ([], paths) if dialect.multi_line else (paths, [])
     lines = naming_missing_path(paths, lambda: spark.read.option("lineSep", "\n").text(paths))
     line = F.regexp_replace("value", "\r$", "")
     broken = line.contains("\r")
@@ -155,19 +202,17 @@ def by_line_breaks(spark: SparkSession, paths: list[str], dialect: CsvDialect) -
     # Of the files that the scan lists anyway.
     whole = {files.of_uri(row[0]) for row in odd.collect()}
     if not whole:
-        return [(paths, replace(dialect, multi_line=False))]
+        return paths, []
     split = sorted({files.of_uri(uri) for uri in lines.inputFiles()} - whole)
-    if not split:
-        return [(paths, replace(dialect, multi_line=True))]
-    return [(split, replace(dialect, multi_line=False)), (sorted(whole), replace(dialect, multi_line=True))]
+    return (split, sorted(whole)) if split else ([], paths)
 
 
 def settle_line_breaks(
     spark: SparkSession, paths: list[str], dialect: CsvDialect
 ) -> CsvDialect:
     """The dialect with ``multi_line`` decided for all files together, if it was left open."""
-    parts = by_line_breaks(spark, paths, dialect)
-    return parts[-1][1]
+    _, whole = _with_broken_lines(spark, paths, dialect)
+    return replace(dialect, multi_line=bool(whole))
 
 
 def scan_files(

@@ -8,6 +8,7 @@ has none configured.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -84,6 +85,11 @@ class HadoopFiles:
         path = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri))
         return path.getFileSystem(self._conf).makeQualified(path).toString()
 
+    def to_uri(self, path: str) -> str:
+        """The encoded address of a path, as scans' metadata has it."""
+        uri = self._path(path).toUri().toString()
+        return "file://" + uri.removeprefix("file:") if re.match("file:/[^/]", uri) else uri
+
     def move(self, source: str, target: str) -> bool:
         """Rename a file into a folder, which is made if need be; false if the file is not there any more."""
         fs = self._fs(source)

@@ -14,6 +14,7 @@ from quayside.sources.infer import (
     infer_schema,
 )
 from quayside.sources import scan
+from quayside.sources import records
 from quayside.sources.scan import scan_csv, scan_files, scan_parquet, scan_source, settle_line_breaks
 
 
@@ -339,3 +340,41 @@ def test_empty_files_have_no_first_line(spark, folder):
     write(f"{folder}/a.csv", "")
     write(f"{folder}/b.csv", "id,v\n1,2\n")
     assert [tuple(r) for r in scan.first_lines(spark, [f"{folder}/*.csv"]).select(scan._RECORD).collect()] == [("id,v",)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("header, multi_line", [(True, None), (False, True)])
+def test_large_files_with_line_breaks_are_read_by_many_tasks(spark, folder, monkeypatch, end, header, multi_line):
+    def quoted(text):
+        return '"' + text.replace('"', '""') + '"'
+
+    values = ["plain", "", quoted("two\nlines"), quoted('a "q"\n\n"b"'), quoted(""), quoted('"'), quoted("x,\r\ny"), quoted("é\r" * 900), " "]
+    lines = [f"{n},{values[n % len(values)]},{n % 7}.5" + end * (1 + (n % 5 == 0)) for n in range(3000)]
+    lines.insert(1500, "id,v,w" + end if not header else "")
+    text = ("id,v,w" + end if header else "") + "".join(lines)
+    path = f"{folder}/big ü.csv"
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        file.write(text.rstrip() if multi_line else text)
+    dialect = CsvDialect(header=header, multi_line=multi_line)
+    whole = scan_csv(spark, path, dialect, lineage="file")
+    kept = whole.schema, sorted(map(repr, whole.collect()))
+    monkeypatch.setattr(records, "WHOLE_BYTES", 1000)
+    monkeypatch.setattr(records, "RANGE_BYTES", 1777)
+    read = scan_csv(spark, path, dialect, lineage="file")
+    assert (read.schema, sorted(map(repr, read.collect()))) == kept
+    assert whole.rdd.getNumPartitions() == 1 < 10 < read.rdd.getNumPartitions()
+    with pytest.raises(Exception, match="(?i)header|malformed"):
+        scan_csv(spark, path, dialect, T.StructType.fromDDL("id int, v string")).collect()
+
+
+def test_doubtful_quotes_leave_a_large_file_to_one_task(spark, folder, monkeypatch):
+    sound = 'id,v\n1,"a\nb"\n'
+    for n, odd in enumerate(['2,5" pipe\n', '2,"a" b\n', '2,"open\n', "2,x\r\n", "2,x\ry\n"]):
+        path = f"{folder}/{n}.csv"
+        with open(path, "w", newline="") as file:
+            file.write(sound * 50 + odd)
+        monkeypatch.setattr(records, "WHOLE_BYTES", 10)
+        monkeypatch.setattr(records, "RANGE_BYTES", 40)
+        size = len(sound * 50 + odd)
+        assert records.cut_by_records(spark, {f"file://{path}": size}, CsvDialect()).ranges == [], odd
+    assert len(records.cut_by_records(spark, {f"file://{path}": len(sound) * 50}, CsvDialect()).ranges) == -(-len(sound) * 50 // 40)

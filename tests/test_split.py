@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.operators import export as export_module
 from quayside.operators import numbering
 from quayside.operators.export import export
 from quayside.operators.split import SplitLimits, csv_header_bytes, csv_line_bytes
@@ -385,3 +386,28 @@ def test_no_user_column_is_lost(spark, folder, limits, name):
     written = scan_csv(spark, f"{folder}/c*.csv")
     assert written.columns == [name, "v"]
     assert sorted(tuple(r) for r in written.collect()) == [(i, 2 * i) for i in range(10)]
+
+
+@pytest.mark.parametrize("header", [True, False])
+@pytest.mark.parametrize("files", [1, 3])
+def test_one_large_csv_file_is_written_by_many_tasks(spark, folder, monkeypatch, header, files):
+    query = "SELECT id, concat('line ', id, if(id % 3 = 0, '\n\"q\"', '')) AS `a,\"b\"` FROM range(0, 5000, 1, 7)"
+    dialect, rows = CsvDialect(header=header), -(-5000 // files)
+    options = dict(query=query, dialect=dialect, max_rows_per_file=rows, order_by=[F.col("id").desc()])
+    plain = export(spark, f"{folder}/plain.csv", "csv", **options)
+    monkeypatch.setattr(numbering, "TASK_BYTES", 3000)
+    joined, join = [], export_module._join_parts
+
+    def seen(spark, directory, header_bytes):
+        joined.append(sum(name.startswith("part-") for _, _, names in os.walk(directory) for name in names))
+        join(spark, directory, header_bytes)
+
+    monkeypatch.setattr(export_module, "_join_parts", seen)
+    parts = export(spark, f"{folder}/parts.csv", "csv", **options)
+    assert joined[0] >= 2 * files and parts.rows == plain.rows == 5000 and parts.num_files == files
+    for one, other in zip(plain.files, parts.files, strict=True):
+        with open(one.path.removeprefix("file:"), "rb") as a, open(other.path.removeprefix("file:"), "rb") as b:
+            assert a.read() == b.read()
+        assert (one.bytes, one.rows) == (other.bytes, other.rows)
+    assert sorted(n for n in os.listdir(folder) if "parts" in n) == sorted(p.rpartition("/")[2] for p in parts.paths)
+    assert spark.read.options(**dialect.read_options()).csv(parts.paths).count() == 5000
