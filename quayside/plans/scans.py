@@ -147,7 +147,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     " UNION ALL SELECT -doc_id, text FROM documents",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file with line breaks inside fields among many without; only that one goes unsplit."""
+    """One file with line breaks inside fields among many without; only that one is not split at every line."""
     use_tables(spark, sf_dir, "orders", "documents")
     folder = output_dir(spark, "mixed")
     plain = "SELECT o_orderkey AS id, concat(o_orderpriority, ' \"q\"') AS note FROM orders"

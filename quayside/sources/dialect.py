@@ -23,7 +23,7 @@ class CsvDialect:
     """Field format of a CSV file.
 
     ``escape=None`` means RFC 4180 doubling of the quote.  ``multi_line`` lets a
-    quoted field hold line breaks, and then each file is read by one task; by
+    quoted field hold line breaks, and then files are not split at every line; by
     default that is so for the files that turn out to have some.
     """
 
