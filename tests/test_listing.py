@@ -116,3 +116,80 @@ def test_very_many_small_files_are_read_by_few_tasks(spark, folder):
     assert read.columns == own.columns and read.exceptAll(own).isEmpty() and read.count() == 2000
     assert bytes(read.where("path LIKE '%/1/7.txt'").first().content) == b"1/7.txt" * 4
     assert scan_blobs(spark, f"{folder}/out/0").select("path").distinct().count() == 667
+
+
+def _of_spark(spark, *roots):
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(roots))
+
+
+def test_the_driver_holds_none_of_the_files(spark, folder):
+    names = [f"{n % 3}/{n}.txt" for n in range(600)]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(name)
+    read = scan_blobs(spark, folder)
+    assert len(read.inputFiles()) <= 4
+    assert sorted(bytes(row.content).decode() for row in read.collect()) == sorted(names)
+
+
+@pytest.mark.parametrize("most", [1, 4, 10_000])
+def test_tasks_list_what_sparks_reader_lists(spark, folder, monkeypatch, most):
+    monkeypatch.setattr(listing, "_NAMES_A_TASK", most)
+    monkeypatch.setattr(listing, "_BATCH_BYTES", 10)
+    odd = ["_h", ".h", "_a=1", "x._COPYING_", "_metadata", "_common_metadata.x", "_metadata=1", "a b%20ü#&+.txt", "zip.gz"]
+    names = [f"{at}{name}" for at in ("", "s/", "s/_x/", "s/_x=2/", "s/.y/", "_metadata_d/", "s/d/e/e/p/", "s%41 b/") for name in odd]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(name)
+    for name in ("empty", "s/empty"):
+        open(f"{folder}/{name}", "w").close()
+    open(os.fsencode(f"{folder}/s/no text ") + b"\xff", "w").close()
+    os.makedirs(f"{folder}/nothing")
+    os.symlink(f"{folder}/gone", f"{folder}/broken")
+    os.symlink(f"{folder}/s/d", f"{folder}/link")
+    roots = [
+        [folder], [f"{folder}/"], [f"{folder}/s", folder, f"{folder}/s/d", f"{folder}/zip.gz", f"{folder}/s"], [f"{folder}/s/.y"],
+        [f"{folder}/_h"], [f"{folder}/nothing"], [f"file:{folder}/s/../s/d//e"], [f"{folder}/zip.gz", f"{folder}/_a=1"],
+    ]
+    for some in roots if most == 4 else roots[:1]:
+        found, own = scan_blobs(spark, some), _of_spark(spark, *some)
+        assert found.schema == own.schema
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, own.collect())), some
+    assert _of_spark(spark, folder).count() > 20
+
+
+def test_files_are_read_as_columns_ask(spark, folder):
+    for n in range(20):
+        with open(f"{folder}/{n}.txt", "w") as file:
+            file.write("x" * (n + 1))
+    read = scan_blobs(spark, folder)
+    with open(f"{folder}/20.txt", "w") as file:  # came later
+        file.write("late")
+    assert read.where(F.length("content") == F.col("length")).select(F.length("content"), "content", "path").count() == 20
+    os.remove(f"{folder}/3.txt")
+    assert read.select("path", "length").agg(F.sum("length")).first()[0] == 210
+    assert read.where("length > 4").select(F.sum(F.length("content"))).first()[0] == 200
+    with pytest.raises(Exception, match="3.txt"):
+        read.select("content").collect()
+
+
+def test_a_file_over_sparks_limit_is_an_error(spark, folder):
+    with open(f"{folder}/large", "w") as file:
+        file.write("12345")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "4")
+    try:
+        read = scan_blobs(spark, folder)
+        assert read.select("length").first().length == 5
+        with pytest.raises(Exception, match="5 bytes, of at most 4"):
+            read.collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_globs_and_stores_of_spark_only(spark, tree, monkeypatch):
+    assert sorted(row.length for row in scan_blobs(spark, f"{tree}/m/*").collect()) == [29, 44]
+    assert not listing._open_to_tasks(spark, ["viewfs://store/in"]) and not listing._open_to_tasks(spark, [f"file:{tree}", "s3a://b/c"])
+    monkeypatch.setattr(listing, "_open_to_tasks", lambda *_: False)
+    assert scan_blobs(spark, tree).count() == 3
